@@ -123,12 +123,18 @@ def last_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(F.struct(*others), F.col(order_by)).alias("__r")).select(key, "__r.*")
 
 
-def batch_similarity(left: DataFrame, right: DataFrame, batch: str, vector: str = "embedding",
-                     index: str = "idx") -> DataFrame:
-    """Dot products of every left with every right vector of the same batch of bounded size."""
-    a = left.select(batch, F.col(index).alias("i"), F.col(vector).alias("__a"))
-    b = right.select(batch, F.col(index).alias("j"), F.col(vector).alias("__b"))
-    return a.join(b, batch).select(batch, "i", "j", dot("__a", "__b").alias("sim"))
+def batch_similarities(left: DataFrame, right: DataFrame, batch: str, vector: str = "embedding",
+                       index: str = "idx") -> DataFrame:
+    """Each left row with its dot products to the right rows of its batch, in index order (`sims`).
+
+    A batch is a fixed number of rows, so its vectors fit one array; pairs are never
+    turned into rows.
+    """
+    block = right.groupBy(batch).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(index).alias("j"), F.col(vector).alias("v")))).alias("__block"))
+    return left.join(block, batch).select(
+        batch, index, F.transform("__block", lambda s: s["j"]).alias("others"),
+        F.transform("__block", lambda s: dot(F.col(vector), s["v"])).alias("sims"))
 
 
 def centered(df: DataFrame, vector: str = "embedding") -> DataFrame:
