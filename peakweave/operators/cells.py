@@ -166,11 +166,14 @@ def filter_by_counts(matrix: CellMatrix, min_gene_counts: int, min_cell_counts:
 # --- normalisation, variable genes, binning --------------------------------------------------
 
 def normalize_log1p(counts: DataFrame, target_sum: float = 1e4) -> DataFrame:
-    """Layers X_normed (each cell sums to target_sum) and X_log1p."""
-    totals = counts.groupBy("cell_id").agg(F.sum("value").alias("__total"))
-    normed = ratio(F.col("value") * target_sum, F.col("__total"))
-    return counts.join(totals, "cell_id").withColumn("X_normed", normed).withColumn(
-        "X_log1p", F.log1p("X_normed")).drop("__total")
+    """Layers X_normed (each cell sums to target_sum) and X_log1p.
+
+    A cell has at most one row per gene, so its total is a window sum: one shuffle on
+    the cell, which binning and packing by cell then reuse.
+    """
+    total = F.sum("value").over(Window.partitionBy("cell_id"))
+    return counts.withColumn("X_normed", ratio(F.col("value") * target_sum, total)).withColumn(
+        "X_log1p", F.log1p("X_normed"))
 
 
 def gene_moments(counts: DataFrame, obs: DataFrame, value: str, batch: str | None = None) -> DataFrame:
@@ -230,16 +233,23 @@ def highly_variable_genes(counts: DataFrame, obs: DataFrame, n_top: int, value:
 
 
 def bin_expression(counts: DataFrame, value: str = "X_log1p", n_bins: int = 51, column: str = "X_binned") -> DataFrame:
-    """Per-cell quantile bins of the non-zero values: the number of the n_bins-1 edges at or below a value.
+    """Per-cell quantile bins of the non-zero values: how many of the n_bins-1 edges lie at or below a value.
 
-    The edges come from one aggregate per cell whose buffer holds counts per distinct
-    value (at most one per gene). Ties go to the upper bin, deterministically.
+    The edges are evenly spaced quantiles of the cell's n non-zero values. A value with
+    k others at or below it lies at position k of n-1, so edge j of m counts when
+    j·(n-1) <= m·k: whole-number arithmetic, where interpolated edges would make
+    ties depend on rounding. Zeros stay in bin 0. A cell has one row per gene at most.
     """
-    points = F.array(*[F.lit(i / (n_bins - 2)) for i in range(n_bins - 1)])
-    x = F.col(value).cast("double")
-    edges = counts.filter(x > 0).groupBy("cell_id").agg(F.percentile(x, points).alias("__edges"))
-    binned = F.when(x > 0, F.size(F.filter("__edges", lambda e: e <= x))).otherwise(0)
-    return counts.join(edges, "cell_id", "left").withColumn(column, binned).drop("__edges")
+    x = F.col(value)
+    keys = ["cell_id", x > 0]
+    upto = F.count(F.lit(1)).over(
+        Window.partitionBy(*keys).orderBy(x).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    last = n_bins - 2
+    ranked = counts.withColumns({"__k": upto - 1, "__n": n})
+    k, n = F.col("__k"), F.col("__n")
+    place = F.when(k == n - 1, last + 1).otherwise(F.expr(f"(__k * {last}) div (__n - 1)") + 1)
+    return ranked.withColumn(column, F.when(x > 0, place).otherwise(0).cast("int")).drop("__k", "__n")
 
 
 # --- composed recipes ------------------------------------------------------------------------

@@ -83,11 +83,18 @@ def read_cleaned(spark: SparkSession, paths: str | Sequence[str], schema: T.Stru
 
 def read_headered_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = SNP_SCHEMA,
                       index_column: bool = True) -> DataFrame:
-    """CSV with a header, LF or CRLF line ends, and optionally an unnamed index column in front."""
-    full = T.StructType(([T.StructField("_c0", T.StringType())] if index_column else []) + schema.fields)
-    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in full.fields])
-    rows = spark.read.csv(path, header=True, schema=raw, enforceSchema=True)
-    return rows.select(*[F.regexp_replace(f.name, r"\r$", "").cast(f.dataType).alias(f.name) for f in schema.fields])
+    """CSV with a header, LF or CRLF line ends, and optionally an unnamed index column in front.
+
+    Header lines are recognised by their names, so any number of files can be read at once.
+    """
+    names = [f.name for f in schema.fields]
+    raw = T.StructType([T.StructField(c, T.StringType()) for c in (["__index"] if index_column else []) + names])
+    rows = spark.read.csv(path, schema=raw).select(
+        *[F.regexp_replace(c, r"\r$", "").alias(c) for c in names])
+    header = F.lit(True)
+    for c in names:
+        header = header & F.col(c).eqNullSafe(c)
+    return rows.filter(~header).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_headerless_tsv(spark: SparkSession, path: str | Sequence[str],
