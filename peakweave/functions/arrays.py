@@ -10,6 +10,11 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with `value` evaluated once per row, however often the lambda bodies use it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def array_sum(values: str | Column) -> Column:
     return F.aggregate(_col(values), F.lit(0.0), lambda acc, x: acc + x.cast("double"))
 
@@ -24,8 +29,7 @@ def l2_norm(v: str | Column) -> Column:
 
 def l2_normalize(v: str | Column, eps: float = 1e-12) -> Column:
     v = _col(v)
-    norm = F.greatest(l2_norm(v), F.lit(eps))
-    return F.transform(v, lambda x: x.cast("double") / norm)
+    return let(F.greatest(l2_norm(v), F.lit(eps)), lambda norm: F.transform(v, lambda x: x.cast("double") / norm))
 
 
 def center(v: str | Column, mean: str | Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from peakweave.functions.arrays import let
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.core import Metric, register, weight_column
 from peakweave.operators.joins import batch_similarities, centered
@@ -219,8 +220,8 @@ def clip_loss(left: DataFrame, right: DataFrame, temperature: float = 0.0, batch
     def one(a, b, name):
         rows = batch_similarities(a, b, batch).withColumn(
             "sims", F.transform("sims", lambda s: s * F.exp(F.lit(float(temperature)))))
-        top = F.array_max("sims")
-        lse = top + F.log(F.aggregate("sims", F.lit(0.0), lambda acc, s: acc + F.exp(s - top)))
+        lse = let(F.array_max("sims"), lambda top: top + F.log(
+            F.aggregate("sims", F.lit(0.0), lambda acc, s: acc + F.exp(s - top))))
         own = F.element_at("sims", F.array_position("others", F.col("idx")).cast("int"))
         return rows.groupBy(batch).agg(F.avg(lse - own).alias(name))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from peakweave.functions.numeric import correlation_p_value, ratio
 from peakweave.metrics.core import Metric, register, weight_column
 from peakweave.operators.ordering import average_ranks, lag_difference
+from peakweave.session import materialize
 
 EPS = 2.220446049250313e-16  # double precision machine epsilon
 
@@ -127,7 +128,7 @@ def rank_correlation(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     mean before squaring, which keeps the sums exact enough at any row count.
     """
     keys = list(keys)
-    pairs = df.groupBy(*keys, _p().alias("x"), _r().alias("y")).agg(F.count(F.lit(1)).alias("c"))
+    pairs = materialize(df.groupBy(*keys, _p().alias("x"), _r().alias("y")).agg(F.count(F.lit(1)).alias("c")))
     ranked = pairs
     for value, rank in (("x", "rx"), ("y", "ry")):
         table = average_ranks(pairs, value, rank, keys, weight="c").drop("n")

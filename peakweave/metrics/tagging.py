@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peakweave.functions.arrays import let
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.classification import accuracy, class_counts, class_scores
 from peakweave.metrics.core import evaluate
@@ -34,12 +35,16 @@ def entity_spans(tags: str | Column, suffix: bool = False, scheme: str | None =
     if scheme is not None:
         return strict_spans(tags, scheme, suffix)
     n = F.size(tags)
-    parsed = F.transform(tags, lambda t: F.struct(_parts(t, suffix)[0].alias("m"), _parts(t, suffix)[1].alias("t")))
     outside = F.struct(F.lit("O").alias("m"), F.lit("_").alias("t"))
-    # position i is compared with its left neighbour; one O is put on both sides
-    padded = F.concat(F.array(outside), parsed, F.array(outside))
-    steps = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(
-        i.alias("i"), F.get(padded, i).alias("a"), F.get(padded, i + 1).alias("b")))
+
+    def parse(t):
+        mark, kind = _parts(t, suffix)
+        return F.struct(mark.alias("m"), kind.alias("t"))
+
+    # every position next to its left neighbour; one O is put on both sides
+    padded = F.concat(F.array(outside), F.transform(tags, parse), F.array(outside))
+    steps = let(padded, lambda p: F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(
+        i.alias("i"), F.get(p, i).alias("a"), F.get(p, i + 1).alias("b"))))
 
     def starts(s):
         a, b = s["a"], s["b"]
@@ -51,76 +56,74 @@ def entity_spans(tags: str | Column, suffix: bool = False, scheme: str | None =
         return (a["m"].isin("E", "S") | (a["m"].isin("B", "I") & b["m"].isin("B", "S", "O"))
                 | (~a["m"].isin("O", ".") & (a["t"] != b["t"])))
 
-    begin = F.transform(F.filter(steps, starts), lambda s: F.struct(s["b"]["t"].alias("type"), s["i"].alias("start")))
-    end = F.transform(F.filter(steps, ends), lambda s: s["i"] - 1)
-    spans = F.zip_with(begin, end, lambda x, y: F.struct(
-        x["type"].alias("type"), x["start"].alias("start"), y.alias("end")))
-    return F.when(n > 0, spans).otherwise(F.slice(spans, 1, 0))
+    def spans(s):
+        begin = F.transform(F.filter(s, starts), lambda x: F.struct(x["b"]["t"].alias("type"), x["i"].alias("start")))
+        end = F.transform(F.filter(s, ends), lambda x: x["i"] - 1)
+        return F.zip_with(begin, end, lambda x, y: F.struct(
+            x["type"].alias("type"), x["start"].alias("start"), y.alias("end")))
+
+    found = let(steps, spans)
+    return F.when(n > 0, found).otherwise(F.slice(found, 1, 0))
 
 
-# Per scheme, the marks that may open, continue and close an entity, and the one-token mark.
-SCHEMES = {
-    "IOB2": ("B", "I", None, None),
-    "IOE2": (None, "I", "E", None),
-    "IOBES": ("B", "I", "E", "S"),
-    "BILOU": ("B", "I", "L", "U"),
-    "IOB1": ("IB", "I", None, None),
-    "IOE1": (None, "I", "IE", None),
-}
+# The tagging schemes known by name.
+SCHEMES = ("IOB1", "IOB2", "IOE1", "IOE2", "IOBES", "BILOU")
 
 
 def strict_spans(tags: Column, scheme: str, suffix: bool = False) -> Column:
     """Well-formed entities only, e.g. for IOB2 one B and the I of the same type that follow it."""
     if scheme not in SCHEMES:
-        raise ValueError(f"scheme must be one of {sorted(SCHEMES)}")
+        raise ValueError(f"scheme must be one of {SCHEMES}")
     n = F.size(tags)
-    marks = F.transform(tags, lambda t: _parts(t, suffix)[0])
-    kinds = F.transform(tags, lambda t: _parts(t, suffix)[1])
-    places = F.sequence(F.lit(0), n - 1)
-
-    def same(i, j):
-        return F.coalesce(F.get(kinds, i) == F.get(kinds, j), F.lit(False))
-
-    def mark(i):
-        return F.coalesce(F.get(marks, i), F.lit("O"))
-
-    def opens(i):
-        linked = same(i, i - 1)
-        if scheme == "IOB2":
-            return mark(i) == "B"
-        if scheme == "IOB1":
-            return (mark(i) == "B") & mark(i - 1).isin("I", "B") & linked | (
-                (mark(i) == "I") & ~(mark(i - 1).isin("I", "B") & linked))
-        if scheme == "IOE2":
-            return mark(i).isin("I", "E") & ~((mark(i - 1) == "I") & linked)
-        if scheme == "IOE1":
-            return mark(i).isin("I", "E") & ~((mark(i - 1) == "I") & linked)
-        return mark(i).isin("B", "S", "U")
-
-    def goes_on(i):
-        """Position i continues into i+1."""
-        linked = same(i, i + 1)
-        if scheme == "IOB2":
-            return mark(i).isin("B", "I") & (mark(i + 1) == "I") & linked
-        if scheme == "IOB1":
-            return mark(i).isin("B", "I") & (mark(i + 1) == "I") & linked
-        if scheme in ("IOE2", "IOE1"):
-            return (mark(i) == "I") & mark(i + 1).isin("I", "E") & linked
-        return mark(i).isin("B", "I") & mark(i + 1).isin("I", "E", "L") & linked
-
-    stops = F.filter(places, lambda i: ~goes_on(i))
-    spans = F.transform(F.filter(places, opens), lambda i: F.struct(
-        F.get(kinds, i).alias("type"), i.alias("start"), F.array_min(F.filter(stops, lambda j: j >= i)).alias("end")))
-
-    def complete(s):
-        if scheme == "IOE2":
-            return mark(s["end"]) == "E"
-        if scheme in ("IOBES", "BILOU"):
-            single = mark(s["start"]).isin("S", "U")
-            return F.when(single, s["start"] == s["end"]).otherwise(mark(s["end"]).isin("E", "L"))
-        return F.lit(True)
-
-    return F.when(n > 0, F.filter(spans, complete)).otherwise(F.slice(spans, 1, 0))
+    parts = F.struct(F.transform(tags, lambda t: _parts(t, suffix)[0]).alias("m"),
+                     F.transform(tags, lambda t: _parts(t, suffix)[1]).alias("t"))
+
+    def spans(p):
+        places = F.sequence(F.lit(0), n - 1)
+
+        def linked(i, j):
+            return F.coalesce(F.get(p["t"], i) == F.get(p["t"], j), F.lit(False))
+
+        def mark(i):
+            return F.coalesce(F.get(p["m"], i), F.lit("O"))
+
+        def opens(i):
+            follows = linked(i, i - 1)
+            if scheme == "IOB2":
+                return mark(i) == "B"
+            if scheme == "IOB1":
+                inside = mark(i - 1).isin("I", "B") & follows
+                return ((mark(i) == "B") & inside) | ((mark(i) == "I") & ~inside)
+            if scheme in ("IOE2", "IOE1"):
+                return mark(i).isin("I", "E") & ~((mark(i - 1) == "I") & follows)
+            return mark(i).isin("B", "S", "U")
+
+        def goes_on(i):
+            """Position i continues into i+1."""
+            if scheme in ("IOB2", "IOB1"):
+                return mark(i).isin("B", "I") & (mark(i + 1) == "I") & linked(i, i + 1)
+            if scheme in ("IOE2", "IOE1"):
+                return (mark(i) == "I") & mark(i + 1).isin("I", "E") & linked(i, i + 1)
+            return mark(i).isin("B", "I") & mark(i + 1).isin("I", "E", "L") & linked(i, i + 1)
+
+        def complete(s):
+            if scheme == "IOE2":
+                return mark(s["end"]) == "E"
+            if scheme in ("IOBES", "BILOU"):
+                single = mark(s["start"]).isin("S", "U")
+                return F.when(single, s["start"] == s["end"]).otherwise(mark(s["end"]).isin("E", "L"))
+            return F.lit(True)
+
+        def from_stops(stops):
+            # an entity ends at the first stop at or after its start
+            return F.transform(F.filter(places, opens), lambda i: F.struct(
+                F.get(p["t"], i).alias("type"), i.alias("start"),
+                F.array_min(F.filter(stops, lambda j: j >= i)).alias("end")))
+
+        return F.filter(let(F.filter(places, lambda i: ~goes_on(i)), from_stops), complete)
+
+    found = let(parts, spans)
+    return F.when(n > 0, found).otherwise(F.slice(found, 1, 0))
 
 
 def entity_counts(df: DataFrame, suffix: bool = False, scheme: str | None = None, weight: str | None = None) -> DataFrame:

@@ -56,33 +56,33 @@ def _best_ref(refs: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(refs, lambda r: r["c"])), F.lit(0))
 
 
-def _lengths(tokens: DataFrame, which: str) -> DataFrame:
-    """Corpus lengths: every prediction, and the shortest or the closest reference of each."""
+def _corpus_sums(tokens: DataFrame, key: str, max_order: int, which: str) -> DataFrame:
+    """One row of corpus sums: matches m1… and possible n-grams p1… by order, sys_len, ref_len.
+
+    A row counts with its shortest or its closest reference (ties: the shorter).
+    """
+    orders = range(1, max_order + 1)
+    table = gram_table(tokens, key, max_order)
+    matches = table.groupBy("order").agg(F.sum(F.least(F.col("hyp"), _best_ref(F.col("refs")))).alias("m"))
+    summed = matches.agg(*[F.sum(F.when(F.col("order") == n, F.col("m")).otherwise(0)).cast("double").alias(f"m{n}")
+                           for n in orders])
     hyp = F.size("hyp")
     sizes = F.transform("refs", lambda t: F.size(t))
     if which == "shortest":
         ref = F.array_min(sizes)
     else:
         ref = F.array_min(F.transform(sizes, lambda s: F.struct(F.abs(s - hyp).alias("gap"), s.alias("s"))))["s"]
-    return tokens.agg(F.sum(hyp).cast("double").alias("sys_len"), F.sum(ref).cast("double").alias("ref_len"))
-
-
-def _order_sums(tokens: DataFrame, key: str, max_order: int) -> DataFrame:
-    """One row: arrays `matches` and `possible` by order (corpus sums of clipped and of all n-grams)."""
-    table = gram_table(tokens, key, max_order)
-    matches = table.groupBy("order").agg(F.sum(F.least(F.col("hyp"), _best_ref(F.col("refs")))).alias("m"))
-    summed = matches.agg(*[F.sum(F.when(F.col("order") == n, F.col("m")).otherwise(0)).cast("double").alias(f"m{n}")
-                           for n in range(1, max_order + 1)])
-    possible = tokens.agg(*[F.sum(F.greatest(F.size("hyp") - (n - 1), F.lit(0))).cast("double").alias(f"p{n}")
-                            for n in range(1, max_order + 1)])
-    return summed.join(F.broadcast(possible))  # one row each
+    lengths = tokens.agg(
+        *[F.sum(F.greatest(hyp - (n - 1), F.lit(0))).cast("double").alias(f"p{n}") for n in orders],
+        F.sum(hyp).cast("double").alias("sys_len"), F.sum(ref).cast("double").alias("ref_len"))
+    return summed.join(F.broadcast(lengths))  # one row each
 
 
 def bleu(df: DataFrame, key: str, max_order: int = 4, smooth: bool = False,
          tokenizer: tx.Tokenizer = tx.tokenize_13a) -> DataFrame:
     """bleu, precisions, brevity_penalty, length_ratio, translation_length, reference_length."""
     tokens = tokenized(df, key, tokenizer)
-    sums = _order_sums(tokens, key, max_order).join(F.broadcast(_lengths(tokens, "shortest")))
+    sums = _corpus_sums(tokens, key, max_order, "shortest")
     orders = range(1, max_order + 1)
     m, p = {n: F.coalesce(f"m{n}", F.lit(0.0)) for n in orders}, {n: F.col(f"p{n}") for n in orders}
     precisions = [(m[n] + 1) / (p[n] + 1) if smooth else ratio(m[n], p[n]) for n in orders]
@@ -109,7 +109,7 @@ def sacrebleu(df: DataFrame, key: str, smooth_method: str = "exp", smooth_value:
         df = df.withColumns({"prediction": F.lower("prediction"), "references": F.transform("references", F.lower)})
     spread = df.agg(F.min(F.size("references")).alias("lo"), F.max(F.size("references")).alias("hi"))
     tokens = tokenized(df, key, tokenizer)
-    sums = _order_sums(tokens, key, max_order).join(F.broadcast(_lengths(tokens, "closest")))
+    sums = _corpus_sums(tokens, key, max_order, "closest")
     sums = sums.join(F.broadcast(spread)).filter(
         F.when(F.col("lo") == F.col("hi"), F.lit(True)).otherwise(
             F.raise_error(F.lit("all rows need the same number of references")).cast("boolean")))
