@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from peakweave.functions.arrays import dot
 from peakweave.functions.numeric import ratio
+from peakweave.operators.quantiles import group_quantiles
 
 
 def covariance(df: DataFrame, vector: str) -> DataFrame:
@@ -60,8 +61,9 @@ def mahalanobis(df: DataFrame, reference: DataFrame, vector: str = "embedding",
 
 def aggregate_scores(df: DataFrame, column: str, how: str = "mean") -> DataFrame:
     """Mean, sum or exact median of given per-row scores."""
-    fn = {"mean": F.avg, "sum": F.sum, "median": F.median}[how]
-    return df.agg(fn(column).alias(column))
+    if how == "median":
+        return group_quantiles(df, column, {column: 0.5})
+    return df.agg({"mean": F.avg, "sum": F.sum}[how](column).alias(column))
 
 
 # --- coreference -----------------------------------------------------------------------------

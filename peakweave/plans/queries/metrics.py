@@ -10,7 +10,10 @@ from peakweave.metrics import ranking as rk
 from peakweave.metrics import regression as rg
 from peakweave.metrics import tagging
 from peakweave.metrics.distances import aggregate_scores, coreference, mahalanobis
+from peakweave.metrics.distribution import mauve
 from peakweave.metrics.qa import multirc
+from peakweave.metrics.reliability import offline_reliability, online_reliability
+from peakweave.operators.quantiles import group_quantiles
 from peakweave.plans.queries.registry import query, r
 from peakweave.plans.queries.views import table, view
 from peakweave.session import scratch_path
@@ -520,3 +523,55 @@ def coreference_scores(spark, sf):
     key = events.filter("event_type <> 'error'").select(doc, F.col("user_id").alias("cluster"), F.col("event_id").alias("mention"))
     system = events.filter("event_type <> 'view'").select(doc, F.pmod("user_id", F.lit(30)).alias("cluster"), F.col("event_id").alias("mention"))
     return rounded(coreference(key, system))
+
+
+# --- reliability and distributions -----------------------------------------------------------
+
+@query("""SELECT l_suppkey, round(quantile_cont(l_extendedprice, 0.1::DOUBLE), 4) AS p10, round(median(l_extendedprice), 4) AS p50,
+round(quantile_cont(l_extendedprice, 0.95::DOUBLE), 4) AS p95 FROM lineitem GROUP BY 1""")
+def exact_quantiles(spark, sf):
+    out = group_quantiles(table(spark, sf, "lineitem"), "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p95": 0.95}, ["l_suppkey"])
+    return rounded(out, 4)
+
+
+def curves(spark, sf):
+    return table(spark, sf, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("t"), "value")
+
+
+OFFLINE_SQL = """c AS (SELECT user_id AS run, value AS x FROM events),
+m AS (SELECT run, median(x) AS med, quantile_cont(x, 0.75::DOUBLE) - quantile_cont(x, 0.25::DOUBLE) AS iqr, stddev_pop(x) AS sd, quantile_cont(x, 0.05::DOUBLE) AS lo, quantile_cont(x, 0.95::DOUBLE) AS hi FROM c GROUP BY run),
+d AS (SELECT c.run, median(abs(x - med)) AS mad, avg(x) FILTER (WHERE x <= lo) AS lcv, avg(x) FILTER (WHERE x >= hi) AS ucv FROM c JOIN m ON c.run = m.run GROUP BY c.run)"""
+
+
+@query(f"""WITH {OFFLINE_SQL} SELECT m.run, round(iqr / med, 6) + 0.0 AS iqr_across_rollouts, round(mad / med, 6) + 0.0 AS mad_across_rollouts, round(sd / med, 6) + 0.0 AS stddev_across_rollouts,
+round(lcv / med, 6) + 0.0 AS lower_cvar_across_rollouts, round(ucv / med, 6) + 0.0 AS upper_cvar_across_rollouts, round(med, 6) + 0.0 AS median_perf_across_rollouts FROM m JOIN d ON m.run = d.run""")
+def reliability_offline(spark, sf):
+    return rounded(offline_reliability(curves(spark, sf)))
+
+
+ONLINE_SQL = """c AS (SELECT user_id AS run, event_id AS t, value AS x FROM events),
+o AS (SELECT *, x - lag(x) OVER w AS d, max(x) OVER (PARTITION BY run ORDER BY t ROWS UNBOUNDED PRECEDING) - x AS dd FROM c WINDOW w AS (PARTITION BY run ORDER BY t)),
+b AS (SELECT run, quantile_cont(x, 0.95::DOUBLE) - min_by(x, t) AS base FROM c GROUP BY run),
+cut AS (SELECT run, quantile_cont(d, 0.05::DOUBLE) AS dl, quantile_cont(d, 0.95::DOUBLE) AS dh, quantile_cont(dd, 0.05::DOUBLE) AS wl, quantile_cont(dd, 0.95::DOUBLE) AS wh FROM o GROUP BY run),
+tails AS (SELECT o.run, avg(d) FILTER (WHERE d <= dl) AS a1, avg(d) FILTER (WHERE d >= dh) AS a2, avg(dd) FILTER (WHERE dd <= wl) AS a3, avg(dd) FILTER (WHERE dd >= wh) AS a4, max(dd) AS mdd FROM o JOIN cut ON o.run = cut.run GROUP BY o.run),
+ev AS (SELECT unnest([2500, 5000, 7500, 10000]) AS e),
+win AS (SELECT run, e, quantile_cont(d, 0.75::DOUBLE) - quantile_cont(d, 0.25::DOUBLE) AS iqr, stddev_pop(d) AS sd FROM o, ev WHERE t <= e AND t > e - 2400 AND d IS NOT NULL GROUP BY run, e),
+med AS (SELECT run, e, median(x) AS m FROM c, ev WHERE t <= e AND t > e - 2500 GROUP BY run, e),
+acr AS (SELECT e, quantile_cont(m, 0.75::DOUBLE) - quantile_cont(m, 0.25::DOUBLE) AS iqr, stddev_pop(m) AS sd FROM med GROUP BY e)"""
+
+
+@query(f"""WITH {ONLINE_SQL} SELECT (SELECT round(avg(iqr / nullif(base, 0)), 5) FROM win JOIN b ON win.run = b.run) + 0.0 AS iqr_within_runs, (SELECT round(avg(sd / nullif(base, 0)), 5) FROM win JOIN b ON win.run = b.run) + 0.0 AS stddev_within_runs,
+round(avg(a1 / nullif(base, 0)), 5) + 0.0 AS lower_cvar_on_diffs, round(avg(a2 / nullif(base, 0)), 5) + 0.0 AS upper_cvar_on_diffs, round(avg(a3 / nullif(base, 0)), 5) + 0.0 AS lower_cvar_on_drawdown, round(avg(a4 / nullif(base, 0)), 5) + 0.0 AS upper_cvar_on_drawdown, round(avg(mdd), 5) + 0.0 AS max_drawdown,
+(SELECT round(avg(iqr) / (SELECT avg(base) FROM b), 5) FROM acr) + 0.0 AS iqr_across_runs, (SELECT round(avg(sd) / (SELECT avg(base) FROM b), 5) FROM acr) + 0.0 AS stddev_across_runs, (SELECT round(avg(m), 5) FROM med) + 0.0 AS median_perf_during_training FROM tails JOIN b ON tails.run = b.run""")
+def reliability_online(spark, sf):
+    """Windowed dispersion, tail risks of changes and drawdown, and dispersion across runs."""
+    out = online_reliability(curves(spark, sf), (2500, 5000, 7500, 10000), 2500, 2400)
+    return rounded(out.select("iqr_within_runs", "stddev_within_runs", "lower_cvar_on_diffs", "upper_cvar_on_diffs", "lower_cvar_on_drawdown",
+                              "upper_cvar_on_drawdown", "max_drawdown", "iqr_across_runs", "stddev_across_runs", "median_perf_during_training"), 5)
+
+
+@query()
+def distribution_gap(spark, sf):
+    """Divergence-frontier area between two halves of the embeddings (clustered, so no SQL form)."""
+    vectors = table(spark, sf, "embeddings").select("label", F.col("embedding").alias("features"))
+    return mauve(vectors.filter("label < 5"), vectors.filter("label >= 5"), num_buckets=20, redo=2, max_iter=50)

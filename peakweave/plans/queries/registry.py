@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("metrics", "text")
+_MODULES = ("sequences", "cells", "metrics", "text", "streams")
 
 
 def query(sql: str | None = None, views: tuple[str, ...] = (), name: str | None = None):

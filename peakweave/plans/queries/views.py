@@ -68,12 +68,16 @@ VIEW_SQL = {
 }
 
 
+def derive(df: DataFrame, name: str) -> DataFrame:
+    """Apply a simple view's columns and filter to its source table, batch or stream."""
+    _, cols, cond = _SIMPLE[name]
+    return (df.filter(cond) if cond else df).selectExpr(*cols.splitlines())
+
+
 def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A stand-in view as a DataFrame."""
     if name in _SIMPLE:
-        source, cols, cond = _SIMPLE[name]
-        df = table(spark, sf, source)
-        return (df.filter(cond) if cond else df).selectExpr(*cols.splitlines())
+        return derive(table(spark, sf, _SIMPLE[name][0]), name)
     return _COMPOSED[name](spark, sf)
 
 
