@@ -13,32 +13,30 @@ from pyspark.sql import functions as F
 
 from peakweave.functions.numeric import ratio
 from peakweave.operators.ordering import lag_difference, ordered_scan
-from peakweave.operators.quantiles import group_quantiles, median_absolute_deviation
+from peakweave.operators.quantiles import group_quantiles
+from peakweave.session import materialize
 
 # 20 evaluation points, every 100 000 steps from 50 000 on.
 EVAL_POINTS = tuple(range(50_000, 2_000_000, 100_000))
 
 
-def tail_means(df: DataFrame, value: str, alpha: float, keys: Sequence[str], prefix: str) -> DataFrame:
-    """Mean of the values at or below the alpha quantile, and at or above the 1 - alpha quantile."""
-    keys = list(keys)
-    cuts = group_quantiles(df, value, {"__lo": alpha, "__hi": 1 - alpha}, keys)
-    joined = df.join(cuts, keys) if keys else df.join(F.broadcast(cuts))
-    x = F.col(value)
-    return joined.groupBy(*keys).agg(F.avg(F.when(x <= F.col("__lo"), x)).alias(f"lower_cvar_{prefix}"),
-                                     F.avg(F.when(x >= F.col("__hi"), x)).alias(f"upper_cvar_{prefix}"))
-
+def spread(df: DataFrame, value: str, keys: Sequence[str], alpha: float) -> DataFrame:
+    """Per group: median, iqr, mad, stddev (population) and the mean of the lower and the upper tail.
 
-def dispersion(df: DataFrame, value: str, keys: Sequence[str], suffix: str) -> DataFrame:
-    """iqr, mad and stddev (population) per group."""
+    A tail holds the values at or below the alpha quantile, or at or above the 1 - alpha
+    one. All quantiles come from one sort, the mad from a second.
+    """
     keys = list(keys)
-    q = group_quantiles(df, value, {"__q1": 0.25, "__q3": 0.75}, keys).select(
-        *keys, (F.col("__q3") - F.col("__q1")).alias(f"iqr_{suffix}"))
-    mad = median_absolute_deviation(df, value, keys, f"mad_{suffix}")
-    std = df.groupBy(*keys).agg(F.stddev_pop(value).alias(f"stddev_{suffix}"))
-    if keys:
-        return q.join(mad, keys).join(std, keys)
-    return q.join(F.broadcast(mad)).join(F.broadcast(std))
+    data = materialize(df.select(*keys, F.col(value).alias("__v")))
+    cuts = group_quantiles(data, "__v", {"__q1": 0.25, "__mid": 0.5, "__q3": 0.75, "__lo": alpha, "__hi": 1 - alpha}, keys)
+    joined = materialize(data.join(cuts, keys))
+    x = F.col("__v")
+    stats = joined.groupBy(*keys).agg(
+        F.first("__mid").alias("median"), (F.first("__q3") - F.first("__q1")).alias("iqr"),
+        F.stddev_pop(x).alias("stddev"), F.avg(F.when(x <= F.col("__lo"), x)).alias("lower_cvar"),
+        F.avg(F.when(x >= F.col("__hi"), x)).alias("upper_cvar"))
+    away = joined.select(*keys, F.abs(x - F.col("__mid")).alias("__d"))
+    return stats.join(group_quantiles(away, "__d", {"mad": 0.5}, keys), keys)
 
 
 def curve_range(df: DataFrame) -> DataFrame:
@@ -55,33 +53,32 @@ def _windows(df: DataFrame, eval_points: Sequence[int], size: int) -> DataFrame:
     return df.withColumn("eval", F.explode(inside))
 
 
-def _scaled_mean(df: DataFrame, baseline: DataFrame, columns: Sequence[str]) -> DataFrame:
-    joined = df.join(baseline, "run")
-    return joined.agg(*[F.avg(ratio(F.col(c), F.col("baseline"), None)).alias(c) for c in columns])
-
-
 def online_reliability(df: DataFrame, eval_points: Sequence[int] = EVAL_POINTS, window_size: int = 100_000,
                        window_size_trimmed: int = 99_000, alpha: float = 0.05) -> DataFrame:
     """One row of metrics over training curves, scaled by each run's curve range."""
-    df = df.select("run", "t", F.col("value").cast("double").alias("value"))
-    base = curve_range(df)
-    diffs = lag_difference(df, "value", ["t"], 1, ["run"], "d").select("run", "t", "d")
+    df = materialize(df.select("run", "t", F.col("value").cast("double").alias("value")))
+    base = materialize(curve_range(df))
+    diffs = materialize(lag_difference(df, "value", ["t"], 1, ["run"], "d").select("run", "t", "d"))
     drawdown = ordered_scan(df, ["t"], ["run"], index="i", maxima={"peak": "value"}).select(
         "run", (F.col("peak") - F.col("value")).alias("x"))
-    parts = []
-    within = dispersion(_windows(diffs, eval_points, window_size_trimmed), "d", ["run", "eval"], "within_runs")
-    parts.append(_scaled_mean(within, base, [c for c in within.columns if c not in ("run", "eval")]))
-    for frame, column, name in ((diffs, "d", "on_diffs"), (drawdown, "x", "on_drawdown"), (df, "value", "on_raw")):
-        tails = tail_means(frame, column, alpha, ["run"], name)
-        parts.append(_scaled_mean(tails, base, [c for c in tails.columns if c != "run"]))
+
+    def scaled(frame, names):
+        """Means over all runs (and windows) of the named columns in units of the run's range."""
+        return frame.join(base, "run").agg(*[
+            F.avg(ratio(F.col(c), F.col("baseline"), None)).alias(name) for c, name in names.items()])
+
+    within = spread(_windows(diffs, eval_points, window_size_trimmed), "d", ["run", "eval"], alpha)
+    parts = [scaled(within, {c: f"{c}_within_runs" for c in ("iqr", "mad", "stddev")})]
+    for frame, column, name in ((diffs, "d", "diffs"), (drawdown, "x", "drawdown"), (df, "value", "raw")):
+        tails = spread(frame, column, ["run"], alpha)
+        parts.append(scaled(tails, {c: f"{c}_on_{name}" for c in ("lower_cvar", "upper_cvar")}))
     parts.append(drawdown.groupBy("run").agg(F.max("x").alias("m")).agg(F.avg("m").alias("max_drawdown")))
-    # across runs: every run's median in the window stands for the run at that point
-    medians = group_quantiles(_windows(df, eval_points, window_size), "value", {"m": 0.5}, ["run", "eval"])
-    scale = base.agg(F.avg("baseline").alias("__b"))
-    across = dispersion(medians, "m", ["eval"], "across_runs").join(
-        tail_means(medians, "m", alpha, ["eval"], "on_across"), "eval")
-    names = [c for c in across.columns if c != "eval"]
-    parts.append(across.join(F.broadcast(scale)).agg(*[F.avg(F.col(c) / F.col("__b")).alias(c) for c in names]))
+    # every run's median in the window stands for the run at that point
+    medians = materialize(group_quantiles(_windows(df, eval_points, window_size), "value", {"m": 0.5}, ["run", "eval"]))
+    across = spread(medians, "m", ["eval"], alpha).join(F.broadcast(base.agg(F.avg("baseline").alias("__b"))))
+    names = {"iqr": "iqr_across_runs", "mad": "mad_across_runs", "stddev": "stddev_across_runs",
+             "lower_cvar": "lower_cvar_on_across", "upper_cvar": "upper_cvar_on_across"}
+    parts.append(across.agg(*[F.avg(F.col(c) / F.col("__b")).alias(n) for c, n in names.items()]))
     parts.append(medians.agg(F.avg("m").alias("median_perf_during_training")))
     out = parts[0]
     for part in parts[1:]:
@@ -91,11 +88,8 @@ def online_reliability(df: DataFrame, eval_points: Sequence[int] = EVAL_POINTS,
 
 def offline_reliability(df: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Per run (a fixed policy) over its rollouts, scaled by the run's median performance."""
-    df = df.select("run", F.col("value").cast("double").alias("value"))
-    middle = group_quantiles(df, "value", {"median_perf_across_rollouts": 0.5}, ["run"])
-    spread = dispersion(df, "value", ["run"], "across_rollouts").join(
-        tail_means(df, "value", alpha, ["run"], "across_rollouts"), "run")
-    names = [c for c in spread.columns if c != "run"]
-    return spread.join(middle, "run").select(
-        "run", *[ratio(F.col(c), F.col("median_perf_across_rollouts"), None).alias(c) for c in names],
-        "median_perf_across_rollouts")
+    stats = spread(df.select("run", F.col("value").cast("double").alias("value")), "value", ["run"], alpha)
+    return stats.select(
+        "run", *[ratio(F.col(c), F.col("median"), None).alias(f"{c}_across_rollouts")
+                 for c in ("iqr", "mad", "stddev", "lower_cvar", "upper_cvar")],
+        F.col("median").alias("median_perf_across_rollouts"))

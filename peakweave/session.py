@@ -22,6 +22,8 @@ def build_session(app: str = "peakweave", master: str | None = None, **conf) ->
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
+        # no call-site capture per column expression: it costs several driver round trips each
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():
