@@ -15,15 +15,15 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _id_map() -> Column:
-    return F.create_map(*[x for ch, i in BASE_IDS.items() for x in (F.lit(ch), F.lit(i))])
-
-
 def encode(seq: str | Column) -> Column:
-    """One id per character; anything but A, C, G, T, N (case-sensitive) is unknown; '' gives []."""
+    """One id per character; anything but A, C, G, T, N (case-sensitive) is unknown; '' gives [].
+
+    The bases have consecutive ids in vocabulary order, right after the unknown id, so
+    the place of a character among them (0: none) is its distance from that id.
+    """
     seq = _col(seq)
-    ids = _id_map()
-    tokens = F.transform(F.split(seq, ""), lambda c: F.coalesce(F.try_element_at(ids, c), F.lit(UNK)))
+    bases = F.lit("".join(BASE_IDS))
+    tokens = F.transform(F.split(seq, ""), lambda c: F.lit(UNK) + F.instr(bases, c))
     return F.when(F.length(seq) == 0, F.array().cast("array<int>")).otherwise(tokens)
 
 

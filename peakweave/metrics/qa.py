@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from peakweave.functions import text as tx
 from peakweave.functions.numeric import ratio
-from peakweave.metrics.textgen import gram_table
+from peakweave.metrics.textgen import gram_table, spread_texts
 from peakweave.operators.ordering import ordered_scan
 
 
@@ -23,7 +23,7 @@ def answer_scores(df: DataFrame, key: str, f1_if_empty: bool = False) -> DataFra
     def tokens(c):
         return tx.words(tx.normalize_answer(c))
 
-    tokenized = df.select(key, exact.cast("double").alias("exact"), tokens(F.col("prediction")).alias("hyp"),
+    tokenized = spread_texts(df, key).select(key, exact.cast("double").alias("exact"), tokens(F.col("prediction")).alias("hyp"),
                           F.transform("answers", tokens).alias("refs"))
     table = gram_table(tokenized.select(key, "hyp", "refs"), key, 1)
     hits = table.select(key, "hyp", F.explode("refs").alias("r")).groupBy(key, F.col("r.k").alias("k")).agg(

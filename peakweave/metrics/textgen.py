@@ -25,15 +25,24 @@ def as_references(df: DataFrame) -> DataFrame:
     return df if "references" in df.columns else df.withColumn("references", F.array("reference"))
 
 
+def spread_texts(df: DataFrame, key: str) -> DataFrame:
+    """Place whole texts by their unique key, before they are tokenised.
+
+    All n-gram counts of a text are grouped by the key and more, so this one shuffle of
+    the raw text is the only large one: the exploded n-grams stay where they are.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def tokenized(df: DataFrame, key: str, tokenizer: tx.Tokenizer) -> DataFrame:
     """(key, hyp, refs): token arrays of the prediction and of each reference."""
-    df = as_references(df)
+    df = spread_texts(as_references(df), key)
     return df.select(key, tokenizer(F.col("prediction")).alias("hyp"),
                      F.transform("references", tokenizer).alias("refs"))
 
 
-def gram_table(tokens: DataFrame, key: str, max_order: int, separator: str = " ") -> DataFrame:
-    """(key, order, gram, hyp, refs): the n-gram's count in the prediction and, per reference k, in refs."""
+def gram_counts(tokens: DataFrame, key: str, max_order: int, separator: str = " ") -> DataFrame:
+    """(key, order, gram, k, c): how often an n-gram occurs in the prediction (k = -1) and in reference k."""
     def of_order(column, n):
         return F.transform(tx.ngrams(column, n, separator),
                            lambda g: F.struct(F.lit(n).alias("order"), g.alias("gram")))
@@ -46,14 +55,18 @@ def gram_table(tokens: DataFrame, key: str, max_order: int, separator: str = " "
         F.transform("refs", lambda t, k: F.struct(k.alias("k"), t.alias("t"))))).alias("s"))
     rows = sides.select(key, F.col("s.k").alias("k"), F.explode(grams(F.col("s.t"))).alias("g")).select(
         key, "k", "g.order", "g.gram")
-    counts = rows.groupBy(key, "order", "gram", "k").agg(F.count(F.lit(1)).alias("c"))
-    per_ref = F.collect_list(F.when(F.col("k") >= 0, F.struct("k", "c")))  # one entry per reference
-    return counts.groupBy(key, "order", "gram").agg(
-        F.sum(F.when(F.col("k") == -1, F.col("c")).otherwise(0)).alias("hyp"), per_ref.alias("refs"))
+    return rows.groupBy(key, "order", "gram", "k").agg(F.count(F.lit(1)).alias("c"))
+
 
+def _count_where(cond: Column) -> Column:
+    return F.sum(F.when(cond, F.col("c")).otherwise(0))
 
-def _best_ref(refs: Column) -> Column:
-    return F.coalesce(F.array_max(F.transform(refs, lambda r: r["c"])), F.lit(0))
+
+def gram_table(tokens: DataFrame, key: str, max_order: int, separator: str = " ") -> DataFrame:
+    """(key, order, gram, hyp, refs): the n-gram's count in the prediction and, per reference k, in refs."""
+    per_ref = F.collect_list(F.when(F.col("k") >= 0, F.struct("k", "c")))  # one entry per reference
+    return gram_counts(tokens, key, max_order, separator).groupBy(key, "order", "gram").agg(
+        _count_where(F.col("k") == -1).alias("hyp"), per_ref.alias("refs"))
 
 
 def _corpus_sums(tokens: DataFrame, key: str, max_order: int, which: str) -> DataFrame:
@@ -62,8 +75,10 @@ def _corpus_sums(tokens: DataFrame, key: str, max_order: int, which: str) -> Dat
     A row counts with its shortest or its closest reference (ties: the shorter).
     """
     orders = range(1, max_order + 1)
-    table = gram_table(tokens, key, max_order)
-    matches = table.groupBy("order").agg(F.sum(F.least(F.col("hyp"), _best_ref(F.col("refs")))).alias("m"))
+    per_gram = gram_counts(tokens, key, max_order).groupBy(key, "order", "gram").agg(
+        _count_where(F.col("k") == -1).alias("hyp"),
+        F.max(F.when(F.col("k") >= 0, F.col("c")).otherwise(0)).alias("best"))
+    matches = per_gram.groupBy("order").agg(F.sum(F.least("hyp", "best")).alias("m"))
     summed = matches.agg(*[F.sum(F.when(F.col("order") == n, F.col("m")).otherwise(0)).cast("double").alias(f"m{n}")
                            for n in orders])
     hyp = F.size("hyp")
@@ -245,8 +260,9 @@ def _f_measure(hits: Column, hyp: Column, ref: Column) -> Column:
 def rouge_rows(df: DataFrame, key: str, types: Sequence[str] = ("rouge1", "rouge2", "rougeL", "rougeLsum"),
                tokenizer: tx.Tokenizer = tx.rouge_tokens) -> DataFrame:
     """Per row the F-measure of each type, against the best reference."""
-    df = as_references(df)
-    tokens = tokenized(df, key, tokenizer)
+    df = spread_texts(as_references(df), key)
+    tokens = df.select(key, tokenizer(F.col("prediction")).alias("hyp"),
+                       F.transform("references", tokenizer).alias("refs"))
     orders = sorted(int(t[5:]) for t in types if t[5:].isdigit())
     flat = tokens.select(key, F.col("hyp"), F.posexplode("refs").alias("k", "ref"))
     scores = flat.select(key, "k", F.size("hyp").alias("h"), F.size("ref").alias("r"),
@@ -328,20 +344,15 @@ def simplification_tokens(lowercase: bool = True) -> tx.Tokenizer:
 def sari_rows(df: DataFrame, key: str, tokenizer: tx.Tokenizer | None = None) -> DataFrame:
     """Per row: keep (F1), delete (precision) and add (F1), averaged over n-gram orders 1 to 4, and sari."""
     tokenizer = tokenizer or simplification_tokens()
-    df = as_references(df)
+    df = spread_texts(as_references(df), key)
     # the source travels as reference 0, the true references follow
     tokens = df.select(key, tokenizer(F.col("prediction")).alias("hyp"), F.transform(
         F.concat(F.array("source"), F.col("references")), tokenizer).alias("refs"))
     n_refs = df.select(key, F.size("references").alias("n"))
-    table = gram_table(tokens, key, 4).join(n_refs, key)
-
-    def ref_sum(wanted):
-        picked = F.filter("refs", lambda r: wanted(r["k"]))
-        return F.aggregate(picked, F.lit(0).cast("long"), lambda acc, r: acc + r["c"])
-
-    counts = table.select(
-        key, "order", (ref_sum(lambda k: k == 0) * F.col("n")).alias("s"), (F.col("hyp") * F.col("n")).alias("c"),
-        ref_sum(lambda k: k > 0).alias("r"))
+    k, n = F.col("k"), F.col("n")
+    counts = gram_counts(tokens, key, 4).groupBy(key, "order", "gram").agg(
+        _count_where(k == 0).alias("s"), _count_where(k == -1).alias("c"), _count_where(k > 0).alias("r"))
+    counts = counts.join(n_refs, key).select(key, "order", (F.col("s") * n).alias("s"), (F.col("c") * n).alias("c"), "r")
     s, c, r = F.col("s"), F.col("c"), F.col("r")
     keep, dele = F.least(s, c), F.greatest(s - c, F.lit(0))
     new = (c > 0) & (s == 0)

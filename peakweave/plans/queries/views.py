@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peakweave.sources.datasets import spread_small_scan
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -77,7 +79,8 @@ def derive(df: DataFrame, name: str) -> DataFrame:
 def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A stand-in view as a DataFrame."""
     if name in _SIMPLE:
-        return derive(table(spark, sf, _SIMPLE[name][0]), name)
+        source = table(spark, sf, _SIMPLE[name][0])
+        return derive(spread_small_scan(source) if name == "raw_seq" else source, name)
     return _COMPOSED[name](spark, sf)
 
 
