@@ -50,7 +50,10 @@ def frontier_area(histograms: DataFrame, points: int = 25, scaling: float = 5.0)
                        F.collect_list(F.struct("x", "y")))  # one entry per mixture
 
     def area(first: str, second: str) -> Column:
-        ordered = F.array_sort(F.transform("c", lambda s: F.struct(s[first].alias("a"), s[second].alias("b"))))
+        # along the curve: of points with one abscissa the higher comes first
+        ordered = F.transform(
+            F.array_sort(F.transform("c", lambda s: F.struct(s[first].alias("a"), (-s[second]).alias("b")))),
+            lambda s: F.struct(s["a"].alias("a"), (-s["b"]).alias("b")))
         return let(ordered, lambda o: F.aggregate(
             F.sequence(F.lit(1), F.size(o) - 1), F.lit(0.0),
             lambda acc, i: acc + (F.get(o, i)["a"] - F.get(o, i - 1)["a"]) * (F.get(o, i)["b"] + F.get(o, i - 1)["b"]) / 2))

@@ -215,13 +215,16 @@ def highly_variable_genes(counts: DataFrame, obs: DataFrame, n_top: int, value:
                           batch: str | None = None) -> DataFrame:
     """The n_top genes by normalised dispersion, ties by gene.
 
+    Scores are compared at nine decimals, so that the order of a distributed sum
+    cannot decide between equal genes.
+
     With a batch column the genes are ranked per batch, and kept by the number of
     batches that select them, then by their mean normalised dispersion over all batches.
     """
     scored = normalized_dispersion(gene_moments(counts, obs, value, batch), [batch] if batch else [])
+    order = [F.round("dispersion_norm", 9).desc_nulls_last(), F.col("gene")]
     if batch is None:
-        return scored.orderBy(F.col("dispersion_norm").desc_nulls_last(), "gene").limit(n_top)
-    order = [F.col("dispersion_norm").desc_nulls_last(), F.col("gene")]
+        return scored.orderBy(*order).limit(n_top)
     ranked = ordered_scan(scored, order, [batch], index="__i")
     merged = ranked.groupBy("gene").agg(
         F.count_if(F.col("__i") < n_top).alias("n_batches"),
@@ -229,7 +232,7 @@ def highly_variable_genes(counts: DataFrame, obs: DataFrame, n_top: int, value:
     batches = obs.agg(F.count_distinct(batch).alias("__b"))
     merged = merged.join(F.broadcast(batches)).withColumn("dispersion_norm", F.col("__sum") / F.col("__b"))
     return merged.select("gene", "n_batches", "dispersion_norm").orderBy(
-        F.col("n_batches").desc(), F.col("dispersion_norm").desc(), "gene").limit(n_top)
+        F.col("n_batches").desc(), F.round("dispersion_norm", 9).desc(), "gene").limit(n_top)
 
 
 def bin_expression(counts: DataFrame, value: str = "X_log1p", n_bins: int = 51, column: str = "X_binned") -> DataFrame:

@@ -142,7 +142,7 @@ scored AS (SELECT *, CASE WHEN mad <> 0 THEN dev / mad END AS dispersion_norm FR
 
 @query("WITH data AS (SELECT gene, value, (SELECT count(*) FROM obs) AS n FROM counts),\n"
        + HVG_SQL.format(b="", g="", j=", edges")
-       + " SELECT gene, round(dispersion_norm, 6) + 0.0 AS dispersion_norm FROM scored ORDER BY scored.dispersion_norm DESC NULLS LAST, gene LIMIT 300",
+       + " SELECT gene, round(dispersion_norm, 6) + 0.0 AS dispersion_norm FROM scored ORDER BY round(scored.dispersion_norm, 9) DESC NULLS LAST, gene LIMIT 300",
        ("counts", "obs"))
 def highly_variable_genes(spark, sf):
     """Top genes by dispersion against genes of similar mean; the top-n is the feature."""
@@ -152,10 +152,10 @@ def highly_variable_genes(spark, sf):
 
 @query("""WITH batches AS (SELECT cell_type, count(*) AS n FROM obs GROUP BY cell_type),
 data AS (SELECT o.cell_type, gene, value, n FROM counts c JOIN obs o ON c.cell_id = o.cell_id JOIN batches b ON b.cell_type = o.cell_type),
-""" + HVG_SQL.format(b="cell_type,", g="GROUP BY cell_type", j="JOIN edges e ON e.cell_type = d.cell_type").replace("SELECT d.*, len", "SELECT d.*, len")
-       + """, ranked AS (SELECT *, row_number() OVER (PARTITION BY cell_type ORDER BY dispersion_norm DESC NULLS LAST, gene) AS place FROM scored)
+""" + HVG_SQL.format(b="cell_type,", g="GROUP BY cell_type", j="JOIN edges e ON e.cell_type = d.cell_type")
+       + """, ranked AS (SELECT *, row_number() OVER (PARTITION BY cell_type ORDER BY round(dispersion_norm, 9) DESC NULLS LAST, gene) AS place FROM scored)
 SELECT gene, count(*) FILTER (WHERE place <= 300) AS n_batches, round(sum(coalesce(dispersion_norm, 0)) / (SELECT count(*) FROM batches), 6) + 0.0 AS dispersion_norm
-FROM ranked GROUP BY gene ORDER BY n_batches DESC, sum(coalesce(ranked.dispersion_norm, 0)) DESC, gene LIMIT 300""", ("counts", "obs"))
+FROM ranked GROUP BY gene ORDER BY n_batches DESC, round(sum(coalesce(ranked.dispersion_norm, 0)) / (SELECT count(*) FROM batches), 9) DESC, gene LIMIT 300""", ("counts", "obs"))
 def highly_variable_genes_by_batch(spark, sf):
     out = cl.highly_variable_genes(view(spark, sf, "counts"), view(spark, sf, "obs"), 300, batch="cell_type")
     return out.select("gene", "n_batches", r("dispersion_norm").alias("dispersion_norm"))

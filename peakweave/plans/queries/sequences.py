@@ -115,12 +115,11 @@ def dataset_directory_scan(spark, sf):
 
 @query("SELECT gene_name AS key, ensembl_id AS value FROM var_genes WHERE ensembl_id IS NOT NULL", ("var_genes",))
 def dictionary_scan(spark, sf):
-    """A JSON dictionary file to (key, value) rows."""
+    """JSON dictionaries, one object per line, to (key, value) rows."""
     path = scratch_path(spark, "dictionary") + ".json"
     genes = view(spark, sf, "var_genes").filter("ensembl_id is not null")
-    entries = F.collect_list(F.struct("gene_name", "ensembl_id"))
-    genes.agg(F.to_json(F.map_from_entries(entries)).alias("value")).coalesce(1).write.text(path)
-    return datasets.read_dictionary(spark, path)
+    genes.select(F.to_json(F.create_map("gene_name", "ensembl_id")).alias("value")).write.text(path)
+    return datasets.read_dictionary(spark, path, whole_file=False)
 
 
 # --- tokens ----------------------------------------------------------------------------------

@@ -77,11 +77,12 @@ def write_run_config(frame: DataFrame, params: Mapping, directory: str, mode: st
     full.select(*sorted(full.columns)).coalesce(1).write.mode(mode).json(directory)
 
 
-def read_dictionary(spark: SparkSession, path: str, key: str = "key", value: str = "value") -> DataFrame:
-    """A JSON object file as (key, value) rows."""
+def read_dictionary(spark: SparkSession, path: str, key: str = "key", value: str = "value",
+                    whole_file: bool = True) -> DataFrame:
+    """JSON objects as (key, value) rows: one object per file, or one per line (whole_file=False)."""
     if not path.endswith(".json"):
         raise ValueError(f"dictionary must be a .json file, got {path}")
-    text = spark.read.text(path, wholetext=True)
+    text = spark.read.text(path, wholetext=whole_file)
     return text.select(F.explode(F.from_json("value", "map<string,string>")).alias(key, value))
 
 

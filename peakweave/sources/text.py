@@ -74,11 +74,7 @@ def read_cleaned(spark: SparkSession, paths: str | Sequence[str], schema: T.Stru
     lines = spark.read.text(paths)
     if source_header is not None:
         lines = lines.filter(F.col("value") != source_header)
-    parts = F.split(clean_lines(lines)["value"], ",")
-    return clean_lines(lines).select(*[
-        F.nullif(F.get(parts, F.lit(i)), F.lit("")).cast(f.dataType).alias(f.name)
-        for i, f in enumerate(schema.fields)
-    ])
+    return clean_lines(lines).select(*split_fields(F.col("value"), schema, ","))
 
 
 def read_headered_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = SNP_SCHEMA,
