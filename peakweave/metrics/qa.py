@@ -9,6 +9,7 @@ from peakweave.functions import text as tx
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.textgen import gram_table, spread_texts
 from peakweave.operators.ordering import ordered_scan
+from peakweave.session import materialize
 
 
 def answer_scores(df: DataFrame, key: str, f1_if_empty: bool = False) -> DataFrame:
@@ -60,6 +61,17 @@ def record(predictions: DataFrame, references: DataFrame, key: str = "id") -> Da
     return _means(predictions, references, key, 1.0)
 
 
+def _answerable_rows(predictions: DataFrame, references: DataFrame, key: str, extra: list[str]) -> DataFrame:
+    """Per question: has_ans, na (no-answer probability), prediction, exact, f1; null where unanswered."""
+    usable = F.filter("answers", lambda a: tx.normalize_answer(a) != "")
+    gold = references.select(
+        key, (F.size("answers") > 0).alias("has_ans"),
+        F.when(F.size(usable) > 0, usable).otherwise(F.array(F.lit(""))).alias("answers"))
+    raw = answer_scores(gold.join(predictions, key, "inner"), key, f1_if_empty=True)
+    given = predictions.select(key, *extra, F.col("no_answer_probability").alias("na"), "prediction")
+    return gold.select(key, "has_ans").join(given, key, "left").join(raw, key, "left")
+
+
 def squad_v2(predictions: DataFrame, references: DataFrame, key: str = "id", threshold: float = 1.0,
              order_by: str | None = None) -> DataFrame:
     """Scores with unanswerable questions, split by HasAns / NoAns, and the best thresholds.
@@ -67,16 +79,7 @@ def squad_v2(predictions: DataFrame, references: DataFrame, key: str = "id", thr
     `predictions` has no_answer_probability. Questions without a prediction score 0.
     Equal probabilities are swept in the order of `order_by` (the key by default).
     """
-    usable = F.filter("answers", lambda a: tx.normalize_answer(a) != "")
-    gold = references.select(
-        key, (F.size("answers") > 0).alias("has_ans"),
-        F.when(F.size(usable) > 0, usable).otherwise(F.array(F.lit(""))).alias("answers"))
-    answered = gold.join(predictions, key, "inner")
-    raw = answer_scores(answered, key, f1_if_empty=True)
-    extra = [order_by] if order_by and order_by != key else []
-    rows = gold.select(key, "has_ans").join(
-        predictions.select(key, *extra, F.col("no_answer_probability").alias("na"), F.col("prediction")), key, "left"
-    ).join(raw, key, "left")
+    rows = materialize(_answerable_rows(predictions, references, key, [order_by] if order_by and order_by != key else []))
     no_answer = (~F.col("has_ans")).cast("double")
 
     def after(c):
@@ -114,6 +117,28 @@ def _best_threshold(rows: DataFrame, score: str, name: str, tie: list[str]) -> D
         F.when(better, F.col("b.na")).otherwise(0.0).alias(f"{name}_thresh"))
 
 
+def answer_precision_recall(predictions: DataFrame, references: DataFrame, key: str = "id") -> DataFrame:
+    """Average precision (percent) when answers are given in the order of the no-answer probability.
+
+    For the exact and the F1 score, and for an oracle that knows which questions have an
+    answer. Equal probabilities are one step of the curve.
+    """
+    rows = _answerable_rows(predictions, references, key, [])
+    total = rows.agg(F.count_if("has_ans").alias("n"))
+    known = rows.filter(F.col("na").isNotNull()).select("na", key, *[
+        F.when(F.col("has_ans"), score).otherwise(0.0).alias(f"own_{name}")
+        for name, score in (("exact", F.col("exact")), ("f1", F.col("f1")), ("oracle", F.lit(1.0)))])
+    names = ("exact", "f1", "oracle")
+    swept = ordered_scan(known, ["na", key], index="i", sums={n: f"own_{n}" for n in names})
+    steps = swept.groupBy("na").agg(
+        (F.max("i") + 1).alias("seen"),
+        *[F.max_by(n, "i").alias(n) for n in names],
+        *[F.min_by(F.col(n) - F.col(f"own_{n}"), "i").alias(f"before_{n}") for n in names])
+    return steps.join(F.broadcast(total)).agg(*[
+        (100 * F.sum(F.col(n) / F.col("seen") * (F.col(n) - F.col(f"before_{n}")) / F.col("n"))).alias(f"pr_{n}_ap")
+        for n in names])
+
+
 # --- span lists ------------------------------------------------------------------------------
 
 IOU_THRESHOLD = 0.5

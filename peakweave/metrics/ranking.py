@@ -229,6 +229,15 @@ def clip_loss(left: DataFrame, right: DataFrame, temperature: float = 0.0, batch
         batch, ((F.col("__l") + F.col("__r")) / 2).alias("clip_loss"))
 
 
+def combined_loss(pairs: DataFrame, left: DataFrame, right: DataFrame, alpha: float, beta: float,
+                  temperature: float = 0.0, batch: str = "batch") -> DataFrame:
+    """alpha·mse + beta·contrastive loss per batch; `pairs` has batch, prediction, reference."""
+    d = F.col("prediction").cast("double") - F.col("reference").cast("double")
+    errors = pairs.groupBy(batch).agg(F.avg(d * d).alias("mse"))
+    return errors.join(clip_loss(left, right, temperature, batch), batch).select(
+        batch, (alpha * F.col("mse") + beta * F.col("clip_loss")).alias("loss"))
+
+
 # --- cross-lingual retrieval -----------------------------------------------------------------
 
 def precision_at_k(left: DataFrame, right: DataFrame, id_column: str = "id", vector: str = "embedding", k: int = 10,

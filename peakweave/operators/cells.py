@@ -375,3 +375,8 @@ def rank_tokens(matrix: CellMatrix, gene_tokens: DataFrame, model_input_size: in
 
 def cells_per_sample(obs: DataFrame) -> DataFrame:
     return obs.groupBy("sample").agg(F.count(F.lit(1)).alias("n_cells"))
+
+
+# What a named cell model needs: the preparation of the matrix and the tokens made of it.
+PREPARATIONS = {"rank": prepare_for_ranking, "bin": prepare_for_binning}
+TOKENIZERS = {"rank": rank_tokens, "bin": binned_tokens}

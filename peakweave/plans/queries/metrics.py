@@ -426,6 +426,17 @@ def contrastive_loss(spark, sf):
     return rounded(rk.clip_loss(left, right, 0.5))
 
 
+@query(f"""WITH {TWO_SQL}, {SIM_SQL}, t AS (SELECT batch, i, j, s * exp(0.5) AS s FROM sims),
+a AS (SELECT batch, i, ln(sum(exp(s))) - sum(CASE WHEN i = j THEN s END) AS x FROM t GROUP BY batch, i), b AS (SELECT batch, j, ln(sum(exp(s))) - sum(CASE WHEN i = j THEN s END) AS x FROM t GROUP BY batch, j),
+e AS (SELECT vec_id // 72 AS batch, avg(pow(cast(embedding[1] AS DOUBLE) - cast(embedding[2] AS DOUBLE), 2)) AS mse FROM embeddings GROUP BY 1)
+SELECT batch, round(2 * mse + 0.5 * ((SELECT avg(x) FROM a WHERE a.batch = e.batch) + (SELECT avg(x) FROM b WHERE b.batch = e.batch)) / 2, 6) + 0.0 AS loss FROM e""")
+def combined_loss(spark, sf):
+    """Squared error and contrastive loss, weighted."""
+    left, right = (rk.with_batch(d, 72, "id") for d in two_views(spark, sf))
+    pairs = left.select("batch", F.col("embedding")[0].alias("prediction"), F.col("embedding")[1].alias("reference"))
+    return rounded(rk.combined_loss(pairs, left, right, 2.0, 0.5, 0.5))
+
+
 @query(f"""WITH {TWO_SQL}, d AS (SELECT k FROM range(1, 65) t(k)),
 ml AS (SELECT list(m ORDER BY k) AS m FROM (SELECT k, avg(v[k]) AS m FROM l, d GROUP BY k)), mr AS (SELECT list(m ORDER BY k) AS m FROM (SELECT k, avg(v[k]) AS m FROM rr, d GROUP BY k)),
 a AS (SELECT id, list_transform(range(1, 65), lambda k: v[k] - m[k]) AS v FROM l, ml), b AS (SELECT id, list_transform(range(1, 65), lambda k: v[k] - m[k]) AS v FROM rr, mr),

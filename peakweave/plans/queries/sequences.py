@@ -103,6 +103,22 @@ def json_shard_export(spark, sf):
     return back.select("record_id", "o_orderpriority", "shard", "row_index")
 
 
+@query("""SELECT cast(vec_id % 5 AS INTEGER) AS shard, count(*) AS n, cast(sum(len(embedding)) AS BIGINT) AS n_values FROM embeddings GROUP BY 1""")
+def embedding_shards(spark, sf):
+    """Embeddings written as parquet shards and read back."""
+    path = scratch_path(spark, "embedding-shards")
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("record_id"), "embedding")
+    datasets.write_parquet_shards(rows, path, 5)
+    return spark.read.parquet(path).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("embedding")).alias("n_values"))
+
+
+@query("""SELECT page_id, string_split(string_split(string_split(url, '://')[2], '/')[-1], '.')[1] AS base FROM pages""")
+def base_names(spark, sf):
+    """Last path part up to its first dot."""
+    rest = F.substring_index("url", "://", -1)
+    return table(spark, sf, "pages").select("page_id", sq.base_name(rest).alias("base"))
+
+
 @query("""SELECT cell_type, sample, count(*) AS n FROM obs WHERE cell_type <> '1-URGENT' GROUP BY cell_type, sample""", ("obs",))
 def dataset_directory_scan(spark, sf):
     """A dataset directory partitioned by cell type and split; the filter prunes directories."""

@@ -286,6 +286,15 @@ def answer_scores_unanswerable(spark, sf):
     return rounded(qa.squad_v2(preds, refs, threshold=0.6))
 
 
+@query(f"""WITH {HYP_SQL}, {QA_SQL}, raw_ AS (SELECT q.id, has, na, CASE WHEN has THEN coalesce(em, 0) ELSE 0 END AS em, CASE WHEN has THEN coalesce(f1, 0) ELSE 0 END AS f1, has::INT AS o FROM q LEFT JOIN f ON q.id = f.id WHERE p IS NOT NULL),
+s AS (SELECT na, count(*) AS c, sum(em) AS em, sum(f1) AS f1, sum(o) AS o FROM raw_ GROUP BY na), w AS (SELECT *, sum(c) OVER x AS seen, sum(em) OVER x AS ce, sum(f1) OVER x AS cf, sum(o) OVER x AS co FROM s WINDOW x AS (ORDER BY na ROWS UNBOUNDED PRECEDING)),
+n AS (SELECT count(*) AS n FROM q WHERE has)
+SELECT round(100 * sum(ce / seen * em / n), 6) + 0.0 AS pr_exact_ap, round(100 * sum(cf / seen * f1 / n), 6) + 0.0 AS pr_f1_ap, round(100 * sum(co / seen * o / n), 6) + 0.0 AS pr_oracle_ap FROM w, n""", ("text_pairs",))
+def answer_precision_recall(spark, sf):
+    """Average precision along the no-answer probability."""
+    return rounded(qa.answer_precision_recall(*questions(spark, sf)))
+
+
 def span_lists(spark, sf):
     """Sentences as spans: the gold ones of the reference, predicted ones of the changed text."""
     rows = hypotheses(spark, sf)
