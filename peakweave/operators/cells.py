@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from peakweave.functions.numeric import ratio
 from peakweave.operators.joins import require
 from peakweave.operators.ordering import ordered_scan
+from peakweave.operators.smoothing import local_regression
 from peakweave.session import materialize
 from peakweave.sources.matrix import CellMatrix
 
@@ -235,6 +236,31 @@ def highly_variable_genes(counts: DataFrame, obs: DataFrame, n_top: int, value:
         F.col("n_batches").desc(), F.round("dispersion_norm", 9).desc(), "gene").limit(n_top)
 
 
+def variance_stabilized_genes(counts: DataFrame, obs: DataFrame, n_top: int, value: str = "value",
+                              span: float = 0.3) -> DataFrame:
+    """The n_top genes by the variance of their clipped, standardised counts (flavor seurat_v3), ties by gene.
+
+    The expected variance comes from a local regression of log variance on log mean;
+    counts are clipped at the square root of the number of cells in its units.
+    """
+    moments = gene_moments(counts, obs, value)
+    logged = moments.filter("variance > 0").select(
+        "gene", F.log10("mean").alias("__lm"), F.log10("variance").alias("__lv"))
+    fitted = local_regression(logged, "__lm", "__lv", ["gene"], span, column="__fit").select("gene", "__fit")
+    cells = obs.agg(F.count(F.lit(1)).cast("double").alias("__n"))
+    scale = moments.join(fitted, "gene", "left").join(F.broadcast(cells)).select(  # one row
+        "gene", "mean", "variance", "__n", F.sqrt(F.pow(F.lit(10.0), F.coalesce("__fit", F.lit(0.0)))).alias("__sd"))
+    ceiling = F.col("mean") + F.col("__sd") * F.sqrt("__n")
+    x = F.least(F.col(value).cast("double"), ceiling)
+    sums = counts.join(scale, "gene").groupBy("gene").agg(
+        F.sum(x).alias("__s"), F.sum(x * x).alias("__q"), F.first("mean").alias("mean"),
+        F.first("variance").alias("variance"), F.first("__n").alias("__n"), F.first("__sd").alias("__sd"))
+    n, mean = F.col("__n"), F.col("mean")
+    norm = (n * mean * mean + F.col("__q") - 2 * mean * F.col("__s")) / ((n - 1) * F.col("__sd") * F.col("__sd"))
+    return sums.select("gene", "mean", "variance", norm.alias("variance_norm")).orderBy(
+        F.round("variance_norm", 9).desc(), "gene").limit(n_top)
+
+
 def bin_expression(counts: DataFrame, value: str = "X_log1p", n_bins: int = 51, column: str = "X_binned") -> DataFrame:
     """Per-cell quantile bins of the non-zero values: how many of the n_bins-1 edges lie at or below a value.
 
@@ -288,7 +314,12 @@ def prepare_for_binning(matrix: CellMatrix, vocab: DataFrame, params: CellParams
     matrix = filter_by_counts(matrix, params.min_counts_per_gene, params.min_counts_per_cell)
     counts = materialize(normalize_log1p(matrix.counts, params.target_sum))
     if params.n_hvg >= 1:
-        kept = highly_variable_genes(counts, matrix.obs, params.n_hvg, batch=batch).select("gene")
+        if params.hvg_flavor == "seurat_v3" or params.count_raw_data:
+            if batch:
+                raise NotImplementedError("variance-stabilised selection per batch")
+            kept = variance_stabilized_genes(counts, matrix.obs, params.n_hvg).select("gene")
+        else:
+            kept = highly_variable_genes(counts, matrix.obs, params.n_hvg, batch=batch).select("gene")
         matrix = matrix.with_(var=matrix.var.join(kept, "gene", "left_semi"))
         counts = counts.join(kept, "gene", "left_semi")
     return matrix.with_(counts=bin_expression(counts, n_bins=params.n_bins))

@@ -161,6 +161,13 @@ def highly_variable_genes_by_batch(spark, sf):
     return out.select("gene", "n_batches", r("dispersion_norm").alias("dispersion_norm"))
 
 
+@query()
+def variance_stabilized_genes(spark, sf):
+    """Top genes by clipped standardised variance; the local regression has no SQL form."""
+    return cl.variance_stabilized_genes(view(spark, sf, "counts"), view(spark, sf, "obs"), 300).select(
+        "gene", r("variance_norm", 4).alias("variance_norm"))
+
+
 BIN_SQL = """placed AS (SELECT *, count(*) OVER (PARTITION BY cell_id ORDER BY {v} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS k,
   count(*) OVER (PARTITION BY cell_id) AS m FROM {t}),
 binned AS (SELECT *, cast(len(list_filter(range(50), lambda j: j * (m - 1) <= 49 * k)) AS INTEGER) AS bin FROM placed)"""
