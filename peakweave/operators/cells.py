@@ -357,27 +357,41 @@ def binned_tokens(matrix: CellMatrix, vocab: DataFrame, layer: str = "X_binned",
     else:
         entries = entries.filter("v > 0")
     tokens = entries.join(ids, "gene")
-    if max_length:
-        order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("cell_id").cast("string"), F.col("gene").cast("string")))
-        w = Window.partitionBy("cell_id").orderBy(order, "gene")  # a cell holds one row per gene at most
-        tokens = tokens.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= max_length - 1)
+    # a cell holds one row per gene at most, so its list has a fixed bound
     packed = tokens.groupBy("cell_id").agg(F.array_sort(F.collect_list(F.struct("gene", "gene_id", "v"))).alias("t"))
     cells = matrix.obs.select("cell_id").join(packed, "cell_id", "left").withColumn(
         "t", F.coalesce("t", F.array().cast(packed.schema["t"].dataType)))
+    if max_length:
+        cells = cells.withColumn("t", F.when(F.size("t") > max_length - 1, _sampled("t", max_length - 1, seed)).otherwise(
+            F.col("t")))
     rows = cells.select(
         "cell_id",
         F.concat(F.array(F.lit(special[cls_token]).cast("int")), F.transform("t", lambda s: s["gene_id"])).alias("genes"),
         F.concat(F.array(F.lit(0.0)), F.transform("t", lambda s: s["v"])).alias("values"))
     if not padding:
         return rows
-    width = rows.agg(F.max(F.size("genes")).alias("__w"))
+    # the longest row, from counts alone
+    longest = tokens.groupBy("cell_id").count().agg((1 + F.coalesce(F.max("count"), F.lit(0))).cast("int").alias("__w"))
+    if max_length:
+        longest = longest.select(F.least("__w", F.lit(max_length)).alias("__w"))
     fill = F.greatest(F.col("__w") - F.size("genes"), F.lit(0))
-    return rows.join(F.broadcast(width)).select(
+    return rows.join(F.broadcast(longest)).select(  # one row
         "cell_id",
         F.concat("genes", F.array_repeat(F.lit(special[pad_token]).cast("int"), fill)).alias("genes"),
         F.concat("values", F.array_repeat(F.lit(float(pad_value)), fill)).alias("values"))
 
 
+def _sampled(tokens: str, n: int, seed: int):
+    """n of a cell's genes by a seeded hash, back in gene order."""
+    def place(s):
+        return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("cell_id").cast("string"), s["gene"].cast("string")))
+
+    shuffled = F.array_sort(F.transform(tokens, lambda s: F.struct(
+        place(s).alias("h"), s["gene"].alias("gene"), s["gene_id"].alias("gene_id"), s["v"].alias("v"))))
+    return F.array_sort(F.transform(F.slice(shuffled, 1, n), lambda s: F.struct(
+        s["gene"].alias("gene"), s["gene_id"].alias("gene_id"), s["v"].alias("v"))))
+
+
 def rank_tokens(matrix: CellMatrix, gene_tokens: DataFrame, model_input_size: int = 2048,
                 keep: Sequence[str] = ("cell_type", "sample", "adata_order"), target_sum: float = 10_000.0,
                 gene_key: str = "ensembl_id") -> DataFrame:
@@ -396,12 +410,13 @@ def rank_tokens(matrix: CellMatrix, gene_tokens: DataFrame, model_input_size: in
         .join(obs.select("cell_id", F.col("n_counts").alias("__n")), "cell_id")
         .select("cell_id", "token", (F.col("value") / F.col("__n") * target_sum / F.col("median")).alias("x"))
     )
-    w = Window.partitionBy("cell_id").orderBy(F.col("x").desc(), "token")  # a cell holds one row per gene at most
-    top = scored.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= model_input_size)
-    packed = top.groupBy("cell_id").agg(F.array_sort(F.collect_list(F.struct("r", "token"))).alias("t"))
-    ids = F.transform(F.coalesce("t", F.array().cast(packed.schema["t"].dataType)), lambda s: s["token"])
+    # a cell holds one row per gene at most, so its list has a fixed bound
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("x")).alias("x"), "token")))
+    packed = scored.groupBy("cell_id").agg(
+        F.transform(F.slice(ranked, 1, model_input_size), lambda s: s["token"]).alias("input_ids"))
+    ids = F.coalesce("input_ids", F.array().cast(packed.schema["input_ids"].dataType))
     return obs.select("cell_id", *keep).join(packed, "cell_id", "left").withColumn("input_ids", ids).withColumn(
-        "length", F.size("input_ids")).drop("t")
+        "length", F.size("input_ids"))
 
 
 def cells_per_sample(obs: DataFrame) -> DataFrame:
