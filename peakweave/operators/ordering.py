@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peakweave.session import materialize
 
@@ -28,6 +29,7 @@ def ordered_scan(
     index: str | None = None,
     sums: Mapping[str, str | Column] | None = None,
     maxima: Mapping[str, str | Column] | None = None,
+    split_copies: bool = False,
 ) -> DataFrame:
     """Add a 0-based `index` and inclusive running `sums` / `maxima` per group.
 
@@ -37,11 +39,22 @@ def ordered_scan(
     are added. A group reaches into a partition from an earlier one at most once
     per partition, so that carry table has fewer rows than there are partitions and
     is safe to broadcast.
+
+    Rows equal in all sort keys stay in one partition. `split_copies` numbers them
+    within their input partition first, so that copies of one row can be spread too.
+    The numbers follow a local sort on all columns: a task that is run again gives
+    the same ones.
     """
     sums = dict(sums or {})
     maxima = dict(maxima or {})
     groups = list(partition_by)
-    placed = materialize(df.orderBy(*groups, *_columns(order_by)))
+    order = [*[F.col(g) for g in groups], *_columns(order_by)]
+    if split_copies:
+        rest = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        numbered = df.sortWithinPartitions(*order, *rest).withColumn(_SEQ, F.monotonically_increasing_id())
+        placed = materialize(numbered.orderBy(*order, _SEQ).drop(_SEQ))
+    else:
+        placed = materialize(df.orderBy(*order))
     tagged = placed.withColumns({_PID: F.spark_partition_id(), _SEQ: F.monotonically_increasing_id()})
     if not sums and not maxima and not groups:
         return _with_offsets(tagged, index)
@@ -102,7 +115,7 @@ def _with_offsets(tagged: DataFrame, index: str) -> DataFrame:
 def with_record_id(df: DataFrame, order_by: Sequence[str | Column], column: str = "record_id",
                    start: int = 0) -> DataFrame:
     """Contiguous ids `start`, `start`+1, … in the given order."""
-    out = ordered_scan(df, order_by, index=column)
+    out = ordered_scan(df, order_by, index=column, split_copies=True)
     return out.withColumn(column, F.col(column) + F.lit(start)) if start else out
 
 
@@ -111,7 +124,7 @@ def with_record_id_by_split(df: DataFrame, order_by: Sequence[str | Column], spl
     """Ids run through the splits in turn: the second starts where the first ends."""
     rank = F.array_position(F.array(*[F.lit(s) for s in splits]), F.col(split))
     keyed = df.withColumn("__split_rank", rank)
-    return ordered_scan(keyed, ["__split_rank", *order_by], index=column).drop("__split_rank")
+    return ordered_scan(keyed, ["__split_rank", *order_by], index=column, split_copies=True).drop("__split_rank")
 
 
 def zip_by(left: DataFrame, right: DataFrame, left_order: Sequence, right_order: Sequence) -> DataFrame:

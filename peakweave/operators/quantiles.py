@@ -13,26 +13,33 @@ from peakweave.operators.ordering import ordered_scan
 def group_quantiles(df: DataFrame, value: str, points: Mapping[str, float], keys: Sequence[str] = ()) -> DataFrame:
     """One row per group with the linearly interpolated quantiles, one column per point.
 
-    The values are range-sorted and the two rows next to each point picked by position,
-    so no task ever holds a group, as the built-in exact percentile would.
+    Values are collapsed to distinct ones with their counts, range-sorted, and the values
+    at the positions next to each point picked by running count. No task ever holds a
+    group, as the built-in exact percentile would, and one frequent value is one row.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).cast("double").alias("__x")).filter("__x is not null")
-    placed = ordered_scan(rows, ["__x"], keys, index="__i")
-    sizes = placed.groupBy(*keys).agg((F.max("__i") + 1).alias("__n"))
+    distinct = rows.groupBy(*keys, "__x").agg(F.count(F.lit(1)).alias("__c"))
+    placed = ordered_scan(distinct, ["__x"], keys, sums={"__upto": "__c"})
+    sizes = placed.groupBy(*keys).agg(F.max("__upto").alias("__n"))
     if keys:
         match = [F.col(f"p.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-        sized = placed.alias("p").join(sizes.alias("s"), match).select(*[F.col(f"p.{k}") for k in keys], "__x", "__i", "__n")
+        sized = placed.alias("p").join(sizes.alias("s"), match).select(
+            *[F.col(f"p.{k}") for k in keys], "__x", "__c", "__upto", "__n")
     else:
         sized = placed.join(F.broadcast(sizes))  # one row
     at = {name: (F.col("__n") - 1) * F.lit(float(q)) for name, q in points.items()}
+
+    def holds(position):
+        return (position >= F.col("__upto") - F.col("__c")) & (position < F.col("__upto"))
+
     near = F.lit(False)
     for p in at.values():
-        near = near | (F.col("__i") == F.floor(p)) | (F.col("__i") == F.ceil(p))
+        near = near | holds(F.floor(p)) | holds(F.ceil(p))
     picked = sized.filter(near).groupBy(*keys).agg(*[
         c for name, p in at.items() for c in (
-            F.max(F.when(F.col("__i") == F.floor(p), F.col("__x"))).alias(f"__lo_{name}"),
-            F.max(F.when(F.col("__i") == F.ceil(p), F.col("__x"))).alias(f"__hi_{name}"),
+            F.max(F.when(holds(F.floor(p)), F.col("__x"))).alias(f"__lo_{name}"),
+            F.max(F.when(holds(F.ceil(p)), F.col("__x"))).alias(f"__hi_{name}"),
             F.max(p - F.floor(p)).alias(f"__f_{name}"))])
     return picked.select(*keys, *[
         (F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__f_{n}")).alias(n) for n in points])

@@ -102,3 +102,15 @@ def test_lag_and_zip(spark):
     assert {(r.x, r.y) for r in o.zip_by(a, b, ["k"], ["m"]).collect()} == {("a", "x"), ("b", "y"), ("c", "z")}
     with pytest.raises(Exception, match="different lengths"):
         o.zip_by(a, b.limit(2), ["k"], ["m"]).collect()
+
+
+def test_copies_are_spread(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(4000).select(F.when(F.col("id") % 4 == 0, F.col("id")).otherwise(-1).alias("k"), F.lit("x").alias("v")).repartition(6)
+        out = o.with_record_id(df, ["k"])
+        assert sorted(r.record_id for r in out.collect()) == list(range(4000))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 2000  # three quarters of the rows are copies of one
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
