@@ -125,17 +125,26 @@ def word_edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([edit_counts(list(x), list(y)) for x, y in zip(a, b)], dtype="int64")
 
 
-def lcs_size(a, b) -> int:
-    """Length of the longest common subsequence, with the rows of the table packed in one integer."""
+def _lcs_rows(a, b):
+    """After each token of `b`, an integer whose bit i is 0 where a[i] lengthens the common subsequence."""
     where: dict = {}
     for i, t in enumerate(a):
         where[t] = where.get(t, 0) | (1 << i)
     full = (1 << len(a)) - 1
     row = full
+    yield row
     for t in b:
         hit = row & where.get(t, 0)
         row = ((row + hit) | (row - hit)) & full
-    return len(a) - bin(row).count("1")
+        yield row
+
+
+def lcs_size(a, b) -> int:
+    """Length of the longest common subsequence."""
+    row = 0
+    for row in _lcs_rows(a, b):
+        pass
+    return len(a) - row.bit_count()
 
 
 @F.pandas_udf(T.LongType())
@@ -144,23 +153,21 @@ def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _lcs_positions(ref, hyp) -> set[int]:
-    """Positions of `ref` on one longest common subsequence with `hyp`."""
-    table = np.zeros((len(ref) + 1, len(hyp) + 1), dtype=np.int32)
-    codes: dict = {}
-    r = [codes.setdefault(t, len(codes)) for t in ref]
-    h = np.array([codes.setdefault(t, len(codes)) for t in hyp], dtype=np.int64)
-    for i, t in enumerate(r):
-        step = np.where(h == t, table[i, :-1] + 1, table[i, 1:])
-        table[i + 1, 1:] = np.maximum.accumulate(step)
-    found, i, j = set(), len(r), len(h)
+    """Positions of `ref` on one longest common subsequence with `hyp`, taken from the ends.
+
+    Equal tokens are always paired; otherwise the candidate is shortened if that loses
+    nothing, else the reference. One bit per cell of the table is kept.
+    """
+    rows = list(_lcs_rows(ref, hyp))
+    found, i, j = set(), len(ref), len(hyp)
     while i and j:
-        if r[i - 1] == h[j - 1]:
+        if ref[i - 1] == hyp[j - 1]:
             found.add(i - 1)
             i, j = i - 1, j - 1
-        elif table[i, j - 1] > table[i - 1, j]:
-            j -= 1
-        else:
+        elif rows[j] >> (i - 1) & 1:
             i -= 1
+        else:
+            j -= 1
     return found
 
 

@@ -69,7 +69,8 @@ def attach_cells(sequences: DataFrame, cells: DataFrame, rows: int, salts: int |
 def samples_without_cells(sequences: DataFrame, cells: DataFrame) -> DataFrame:
     """Samples of the sequences that have no cell, with their row counts."""
     wanted = sequences.groupBy("sample").agg(F.count(F.lit(1)).alias("n_sequences"))
-    return wanted.join(cells.select("sample"), "sample", "left_anti")
+    known = cells.select("sample").distinct()  # combined map-side: a hot sample ships one row per task
+    return wanted.join(known, "sample", "left_anti")
 
 
 def deduplicate_variants(snp: DataFrame, keep: str, position: str) -> DataFrame:

@@ -89,7 +89,16 @@ def test_alignment_helpers_against_tables():
                 lcs[i][j] = lcs[i - 1][j - 1] + 1 if same else max(lcs[i - 1][j], lcs[i][j - 1])
         assert tx.edit_counts(a, b) == e[-1][-1]
         assert tx.lcs_size(a, b) == lcs[-1][-1]
-        assert len(tx._lcs_positions(a, b)) == lcs[-1][-1]
+        i, j, want = len(a), len(b), set()
+        while i and j:
+            if a[i - 1] == b[j - 1]:
+                want.add(i - 1)
+                i, j = i - 1, j - 1
+            elif lcs[i][j - 1] > lcs[i - 1][j]:
+                j -= 1
+            else:
+                i -= 1
+        assert tx._lcs_positions(a, b) == want and len(want) == lcs[-1][-1]
 
 
 def test_sari_and_wiki_split(spark):
