@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,3 +76,33 @@ def map_texts(df: DataFrame, columns: list[str], schema: str, fn: Callable[[pa.R
 def held_crc(doc_ids: list, divisor: int) -> list[int]:
     """crc32 of each id as text, modulo `divisor`."""
     return [zlib.crc32(b"" if i is None else str(i).encode()) % divisor for i in doc_ids]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, learn: Column) -> list[tuple[str, int]]:
+    """At most `per_class` labelled texts of each class, chosen by a hash of their id among the rows `learn` admits.
+
+    The bound keeps the sample on the driver of fixed size; an id labelled twice counts once, as the larger label.
+    """
+    known = labels.filter(learn).filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max(label).cast("int").alias("label"))
+    parts = [known.filter(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)]
+    chosen = parts[0].unionByName(parts[1])
+    # at most two times `per_class` narrow rows
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect()
+    return [(r["text"] or "", r["label"]) for r in sorted(rows, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))]
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
+    """Weights, the intercept last, by Newton steps on the penalised likelihood."""
+    x = np.column_stack([x, np.ones(len(x))])
+    penalty = np.diag([ridge] * (x.shape[1] - 1) + [1e-6])
+    w = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (p - y) + penalty @ w
+        change = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(len(w)), gradient)
+        size = np.abs(change).max()
+        w -= change * min(1.0, 5 / max(size, 1e-12))
+        if size < 1e-8:
+            break
+    return w

@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peakweave.llm import decontamination, pii, quality_rules, simhash
-from peakweave.llm.common import table
+from peakweave.llm import (
+    decontamination, licenses, packing, pii, quality_classifier, quality_rules, simhash, token_counts, toxicity)
+from peakweave.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    divisor, held = toxicity.HELD_OUT
+    return toxicity.score(docs, toxicity.fit(docs, labels, crc_mod("doc_id", divisor) != held))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.group(table(spark, sf_dir, "documents")))
 
@@ -20,6 +35,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.spans(table(spark, sf_dir, "documents")))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.sections(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.find_matches(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -29,8 +48,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    divisor, held = quality_classifier.HELD_OUT
+    return quality_classifier.score(docs, quality_classifier.fit(docs, labels, crc_mod("doc_id", divisor) != held))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_simhash, op6_pii, op8_decontamination, op9_quality_rules)}
+    return {f.__name__: f for f in (
+        op1_licenses, op2_toxicity, op3_packing, op5_simhash, op6_pii, op7_token_counts, op8_decontamination,
+        op9_quality_rules, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
