@@ -1,13 +1,16 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two interpolated bigram models, of toxic and of ordinary texts, share their lowest order: the continuation counts of both
-classes together (in how many different contexts a word was seen). A rare expression falls back to those shared counts in
-both models and so says nothing for either side; a word that copies of one text repeat has few contexts and weighs little.
+Two interpolated Kneser-Ney models over the characters of words, of toxic and of ordinary texts. A word counts once per
+text, lower orders count contexts instead of occurrences, and both models end in the same lowest order, the continuation
+counts of both classes together: a rare expression, unseen in either class, falls back to the shared counts and says
+nothing for either side, while the unseen form of a known stem is still recognised. Copies in the sample count once.
+
 A text's evidence is the difference of the two log-likelihoods, length-normalised over the whole text and over its most
-suspicious stretch; a logistic fit on labelled texts kept from the counts turns both into a probability.
+suspicious stretch of words; a logistic fit turns both into a probability, on evidence from models that have not
+counted the text in question.
 
-The models are fitted on at most PER_CLASS labelled texts of each class and are small fixed arrays in the tasks; each
-text is scored once, whole, without a shuffle.
+The models are fitted on at most PER_CLASS labelled texts of each class and are small arrays in the tasks; each text is
+scored once, whole, without a shuffle.
 
 Defined cases: a null or empty text carries no evidence; when one class has no labelled text every score is the share of
 the other in the labels (0 or 1; 0 without labels); repeated rows get equal scores; other columns are ignored.
@@ -16,7 +19,6 @@ the other in the labels (0 or 1; 0 without labels); repeated rows get equal scor
 from __future__ import annotations
 
 from collections import Counter
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,104 +27,140 @@ from pyspark.sql import Column, DataFrame
 from peakweave.llm.common import alnum_words, held_crc, labelled_sample, logistic, map_texts, utf8
 
 PER_CLASS = 3000
-#: A word needs so many labelled texts to be told from other rare words.
-MIN_TEXTS = 3
+#: Characters of an n-gram; five bytes and their key fit a long.
+ORDER = 5
 DISCOUNT = 0.75
 #: Words of the most suspicious stretch.
-STRETCH = 24
+STRETCH = 8
+FOLDS = 3
 HELD_OUT = (3, 1)
 THRESHOLD = 0.7
+#: Words whose evidence a Python worker remembers; beyond that it starts afresh between batches.
+REMEMBERED = 500_000
+
+
+def without_copies(texts: list[tuple[bytes, int]], shingle: int = 5, most: float = 0.5) -> list[tuple[bytes, int]]:
+    """The texts of a sample without those that share over `most` of their shingles with earlier ones."""
+    seen, kept = set(), []
+    for text, label in texts:
+        words = alnum_words(text)
+        own = {tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
+        if len(own & seen) <= most * len(own):
+            kept.append((text, label))
+        seen |= own
+    return kept
+
+
+def characters(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words' bytes with room for contexts between them; the places to predict (the blank behind a word too) and
+    their words."""
+    data = np.frombuffer(b"".join(b"\0" * (ORDER - 1) + w + b" " for w in words), np.uint8).astype(np.int64)
+    width = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+    owner = np.repeat(np.arange(len(words)), width)
+    return data, np.arange(len(owner)) + (ORDER - 1) * (owner + 1), owner
+
+
+def keys(data: np.ndarray, places: np.ndarray, order: int) -> np.ndarray:
+    """The `order` bytes that end at each place, as one number."""
+    key = np.zeros(len(places), dtype=np.int64)
+    for back in range(order - 1, -1, -1):
+        key = key * 256 + data[places - back]
+    return key
+
+
+class Level:
+    """Counts of one order with the totals of their contexts."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray):
+        self.grams, self.counts = grams, counts
+        self.contexts, at = np.unique(grams >> 8, return_inverse=True)
+        self.total, self.kinds = np.bincount(at, weights=counts), np.bincount(at)
+
+    def refine(self, key: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Probabilities of this order; an unseen context keeps those of the order below."""
+        if not len(self.grams):
+            return lower
+        at = np.minimum(np.searchsorted(self.grams, key), len(self.grams) - 1)
+        context = np.minimum(np.searchsorted(self.contexts, key >> 8), len(self.contexts) - 1)
+        own = np.where(self.grams[at] == key, self.counts[at] - DISCOUNT, 0.0)
+        mixed = (own + DISCOUNT * self.kinds[context] * lower) / self.total[context]
+        return np.where(self.contexts[context] == key >> 8, mixed, lower)
 
 
 class Model:
-    """Evidence per word pair: `context` + `word` where a pair is new to both classes, else the pair's own value."""
+    """Both classes' levels over the shared lowest order, and the evidence of words."""
 
     def __init__(self, texts: list[tuple[bytes, int]]):
-        split = [(alnum_words(t), y) for t, y in texts]
-        seen = Counter(w for ws, _ in split for w in set(ws))
-        self.vocabulary = {w: k + 2 for k, w in enumerate(sorted(w for w, n in seen.items() if n >= MIN_TEXTS))}
-        size = len(self.vocabulary) + 2  # 0 starts a text, 1 stands for all rare words
-        pairs, counts = [], []
+        self.levels = []
+        shared = np.full(256, 0.1)
         for label in (0, 1):
-            keys = [self._pairs(self._ids(ws), size) for ws, y in split if y == label]
-            unique, n = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_counts=True)
-            pairs.append(unique)
-            counts.append(n)
-        follows = [np.bincount(p % size, minlength=size).astype(float) for p in pairs]  # contexts a word was seen in
-        shared = follows[0] + follows[1] + 0.5
-        shared /= shared.sum()
-        lower, left, backoff = [], [], []
-        for p, n, f in zip(pairs, counts, follows):
-            types, all_ = (f > 0).sum(), max(f.sum(), 1.0)
-            # DISCOUNT of every seen type is handed to the shared counts
-            share = DISCOUNT * types / all_ if types else 1.0
-            lower.append(np.maximum(f - DISCOUNT, 0) / all_ + share * shared)
-            total = np.bincount(p // size, weights=n, minlength=size)
-            kinds = np.bincount(p // size, minlength=size)
-            backoff.append(np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0))
-            left.append(total)
-        self.word = np.log(lower[1] / lower[0])
-        self.context = np.log(backoff[1] / backoff[0])
-        self.pairs = np.union1d(*pairs)
-        probability = []
-        for p, n, total, low, back in zip(pairs, counts, left, lower, backoff):
-            own = np.zeros(len(self.pairs))
-            own[np.searchsorted(self.pairs, p)] = n - DISCOUNT
-            v, w = self.pairs // size, self.pairs % size
-            probability.append(own / np.maximum(total[v], 1) + back[v] * low[w])
-        self.value = np.log(probability[1] / probability[0])
-        self.size = size
-
-    def _ids(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.vocabulary.get, words, repeat(1)), dtype=np.int64, count=len(words))
-
-    @staticmethod
-    def _pairs(ids: np.ndarray, size: int) -> np.ndarray:
-        return np.concatenate([[0], ids[:-1]]) * size + ids if len(ids) else ids
-
-    def evidence(self, text: bytes) -> np.ndarray:
-        """The log-likelihood ratio of each word after the one before it."""
-        ids = self._ids(alnum_words(text))
-        pairs = self._pairs(ids, self.size)
-        if not len(ids) or not len(self.pairs):
-            return np.zeros(len(ids))
-        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == pairs, self.value[at], self.context[pairs // self.size] + self.word[ids])
-
-    def features(self, text: bytes) -> tuple[float, float]:
-        """Evidence per word of the whole text, and of the stretch where it is largest."""
-        evidence = self.evidence(text)
-        if not len(evidence):
-            return 0.0, 0.0
-        sums = np.concatenate([[0.0], np.cumsum(evidence)])
-        width = min(STRETCH, len(evidence))
-        return float(sums[-1] / len(evidence)), float((sums[width:] - sums[:-width]).max() / STRETCH)
+            texts_with = Counter(w for t, y in texts if y == label for w in set(alnum_words(t)))
+            words = sorted(texts_with)
+            data, places, owner = characters(words)
+            times = np.array([texts_with[w] for w in words], dtype=float)
+            grams, at = np.unique(keys(data, places, ORDER), return_inverse=True)
+            levels = [Level(grams, np.bincount(at, weights=times[owner], minlength=len(grams)))]
+            for order in range(ORDER - 1, 0, -1):
+                grams, counts = np.unique(grams & (256**order - 1), return_counts=True)
+                levels.append(Level(grams, counts.astype(float)))
+            shared[grams] += counts
+            self.levels.append(levels[::-1])
+        self.shared = shared / shared.sum()
+        self.known: dict[bytes, float] = {}
+
+    def weigh(self, words: list[bytes]) -> np.ndarray:
+        """The log-likelihood ratio of each word."""
+        data, places, owner = characters(words)
+        start = self.shared[data[places]]
+        found = [start, start]
+        for order in range(1, ORDER + 1):
+            key = keys(data, places, order)
+            found = [levels[order - 1].refine(key, p) for levels, p in zip(self.levels, found)]
+        return np.bincount(owner, weights=np.log(found[1] / found[0]), minlength=len(words))
+
+    def features(self, texts: list[bytes]) -> np.ndarray:
+        """Evidence per word of each whole text, and of the stretch where it is largest."""
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        split = [alnum_words(t) for t in texts]
+        new = list({w for words in split for w in words if w not in self.known})
+        for at in range(0, len(new), 50_000):
+            part = new[at : at + 50_000]
+            self.known.update(zip(part, self.weigh(part).tolist()))
+        out = np.zeros((len(texts), 2))
+        for k, words in enumerate(split):
+            if words:
+                sums = np.concatenate([[0.0], np.cumsum([*map(self.known.__getitem__, words)])])
+                width = min(STRETCH, len(words))
+                out[k] = sums[-1] / len(words), (sums[width:] - sums[:-width]).max() / STRETCH
+        return out
 
 
 class Scorer:
-    """Models and calibration; three of four texts make the counts, the others the calibration."""
+    """Models of all sample texts, and a calibration on evidence that each text got from models without it."""
 
     def __init__(self, sample: list[tuple[str, int]]):
-        texts = [(t.encode(), y) for t, y in sample]
+        texts = without_copies([(t.encode(), y) for t, y in sample])
         labels = {y for _, y in texts}
         self.constant = None if len(labels) == 2 else float(max(labels, default=0))
         if self.constant is not None:
             return
-        fit = [x for k, x in enumerate(texts) if k % 4]
-        held = [x for k, x in enumerate(texts) if k % 4 == 0]
-        if len({y for _, y in fit}) < 2 or len({y for _, y in held}) < 2:
-            fit = held = texts
-        self.model = Model(fit)
-        x = np.array([self.model.features(t) for t, _ in held])
+        y = np.array([label for _, label in texts], dtype=float)
+        fold = np.arange(len(texts)) % FOLDS
+        x = np.zeros((len(texts), 2))
+        for k in range(FOLDS):
+            x[fold == k] = Model([t for t, f in zip(texts, fold) if f != k]).features(
+                [t for (t, _), f in zip(texts, fold) if f == k])
+        self.model = Model(texts)
         self.mean, self.scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
-        self.weights = logistic((x - self.mean) / self.scale, np.array([y for _, y in held], dtype=float), ridge=0.1)
+        self.weights = logistic((x - self.mean) / self.scale, y, ridge=0.1)
 
-    def score(self, text: bytes) -> float:
+    def scores(self, texts: list[bytes]) -> np.ndarray:
         if self.constant is not None:
-            return self.constant
-        x = (np.array(self.model.features(text)) - self.mean) / self.scale
-        z = float(x @ self.weights[:-1] + self.weights[-1])
-        return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+            return np.full(len(texts), self.constant)
+        parts = [self.model.features(texts[at : at + 1024]) for at in range(0, len(texts), 1024)]
+        z = ((np.concatenate(parts) - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1]
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_CLASS) -> Scorer:
@@ -133,7 +171,7 @@ def score(docs: DataFrame, scorer: Scorer, held_out: tuple[int, int] = HELD_OUT,
     """`doc_id`, `held_out`, `score` and `predicted` of every document."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        scores = np.array([scorer.score(t) for t in utf8(batch.column("text"))])
+        scores = scorer.scores(utf8(batch.column("text")))
         held = held_crc(batch.column("doc_id").to_pylist(), held_out[0])
         return {"doc_id": batch.column("doc_id"), "held_out": [h == held_out[1] for h in held], "score": scores,
                 "predicted": (scores >= threshold).astype(np.int32)}
