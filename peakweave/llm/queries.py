@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from peakweave.llm import (
-    decontamination, licenses, packing, pii, quality_classifier, quality_rules, simhash, token_counts, toxicity)
+    decontamination, licenses, packing, pii, quality_classifier, quality_rules, recurrent_lm, simhash, token_counts,
+    toxicity)
 from peakweave.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op4_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.group(table(spark, sf_dir, "documents")))
 
@@ -56,8 +61,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_licenses, op2_toxicity, op3_packing, op5_simhash, op6_pii, op7_token_counts, op8_decontamination,
-        op9_quality_rules, op10_quality_classifier)}
+        op1_licenses, op2_toxicity, op3_packing, op4_recurrent_lm, op5_simhash, op6_pii, op7_token_counts,
+        op8_decontamination, op9_quality_rules, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:

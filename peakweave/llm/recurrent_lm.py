@@ -33,13 +33,15 @@ from pyspark.sql import functions as F
 
 from peakweave.llm.common import crc_mod, lowered, space_words, written
 
-HEAD = 1024
+HEAD = 512
 CLASS_SIZE = 32
 #: Most frequent words whose counts each task holds.
 LOOKUP = 50_000
 HIDDEN = 8
 TRAIN_STEPS = 16
-TRAIN_LANES = 512
+TRAIN_LANES = 1024
+#: A longer text is trained in parts of so many words, each from an empty state.
+TRAIN_PART = 2048
 SCORE_STEPS = 32
 SCORE_LANES = 1024
 RATE = 0.01
@@ -59,6 +61,15 @@ def shape(word: bytes) -> int:
     return 3 * sum(n > limit for limit in LENGTHS) + (0 if word.isalpha() else 1 if word.isascii() else 2)
 
 
+def shapes_of(words: list[bytes]) -> np.ndarray:
+    """`shape` of many words."""
+    n = len(words)
+    size = np.fromiter(map(len, words), dtype=np.int64, count=n)
+    letters = np.fromiter(map(bytes.isalpha, words), dtype=bool, count=n)
+    ascii_ = np.fromiter(map(bytes.isascii, words), dtype=bool, count=n)
+    return 3 * np.searchsorted(LENGTHS, size, side="left") + np.where(letters, 0, np.where(ascii_, 1, 2))
+
+
 def shape_column(word: str = "word") -> Column:
     """`shape` as a column expression."""
     size = F.octet_length(word)
@@ -116,7 +127,7 @@ class Vocabulary:
         symbols[:-1] = self.symbol[at]
         missing = np.flatnonzero(at < 0)
         rest = [words[i] for i in missing.tolist()]
-        symbols[missing] = [HEAD + shape(w) for w in rest]
+        symbols[missing] = HEAD + shapes_of(rest)
         return symbols, at, rest
 
 
@@ -147,65 +158,78 @@ class Network:
             self.parts["class_bias"][:] = np.log(grouped / grouped.sum())
             self.parts["gates"][:] = 0
 
-    def forward(self, x: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> dict:
+    def forward(self, x: np.ndarray, fresh: np.ndarray, state: np.ndarray, all_parts: bool = True) -> dict:
         """Run the unit over a window; x and fresh are (steps, lanes), `fresh` marks the first word of a text."""
         p, h = self.parts, HIDDEN
         steps, lanes = x.shape
-        keep = {k: np.empty((steps, lanes, h), np.float32) for k in ("before", "update", "reset", "new", "inner", "after")}
+        names = ("after", "before", "update", "reset", "new", "inner") if all_parts else ("after",)
+        keep = {k: np.empty((steps, lanes, h), np.float32) for k in names}
+        inputs, any_fresh = p["inputs"] + p["gates"], fresh.any(axis=1).tolist()
         for t in range(steps):
-            if fresh[t].any():
+            if any_fresh[t]:
                 state = np.where(fresh[t][:, None], np.float32(0), state)
-            g = p["inputs"][x[t]] + p["gates"]
+            g = inputs[x[t]]
             u = state @ p["state"]
-            gates = 1 / (1 + np.exp(-(g[:, : 2 * h] + u[:, : 2 * h])))
-            update, reset = gates[:, :h], gates[:, h:]
-            new = np.tanh(g[:, 2 * h :] + reset * u[:, 2 * h :])
-            after = new + update * (state - new)
-            for k, v in zip(keep, (state, update, reset, new, u[:, 2 * h :], after)):
+            gates = g[:, : 2 * h] + u[:, : 2 * h]
+            np.exp(np.negative(gates, out=gates), out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            update, reset, inner = gates[:, :h], gates[:, h:], u[:, 2 * h :]
+            new = reset * inner
+            new += g[:, 2 * h :]
+            np.tanh(new, out=new)
+            after = state - new
+            after *= update
+            after += new
+            for k, v in zip(names, (after, state, update, reset, new, inner)):
                 keep[k][t] = v
             state = after
         return keep
 
     def read_out(self, states: np.ndarray, y: np.ndarray, gradient: bool):
-        """Natural log-probabilities of symbols y (a shape symbol: of its class) and, if asked for, all gradients."""
+        """Natural log-probabilities of symbols y (a shape symbol: of its class) and, if asked for, all gradients.
+
+        Scores lie class by class, so that a softmax runs along long rows.
+        """
         p = self.parts
-        rows = np.arange(len(y))
-        cls = np.where(y < HEAD, y // CLASS_SIZE, y - HEAD + HEAD // CLASS_SIZE)
-        logits = states @ p["to_class"] + p["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        chosen = logits[rows, cls].copy()
-        np.exp(logits, out=logits)
-        total = logits.sum(axis=1)
-        logp = chosen - np.log(total)
+        states = np.ascontiguousarray(states.T)
+        cls = np.where(y < HEAD, y // CLASS_SIZE, y - HEAD + HEAD // CLASS_SIZE).astype(np.int16)
+        logp, error = self._softmax(p["to_class"].T @ states + p["class_bias"][:, None], cls, gradient)
         grads = {}
         if gradient:
-            logits /= total[:, None]
-            logits[rows, cls] -= 1
-            back = logits @ p["to_class"].T
-            grads = {"to_class": states.T @ logits, "class_bias": logits.sum(axis=0),
-                     "to_word": np.zeros_like(p["to_word"]), "word_bias": np.zeros_like(p["word_bias"]), "back": back}
+            grads = {"to_class": states @ error.T, "class_bias": error.sum(axis=1), "to_word": np.zeros_like(p["to_word"]),
+                     "word_bias": np.zeros_like(p["word_bias"]), "back": p["to_class"] @ error}
         heads = np.flatnonzero(y < HEAD)
         order = heads[np.argsort(cls[heads], kind="stable")]
         bounds = np.searchsorted(cls[order], np.arange(HEAD // CLASS_SIZE + 1))
         for c in np.flatnonzero(np.diff(bounds)).tolist():
             at = order[bounds[c] : bounds[c + 1]]
             block = slice(c * CLASS_SIZE, (c + 1) * CLASS_SIZE)
-            inner = states[at] @ p["to_word"][block].T + p["word_bias"][block]
-            inner -= inner.max(axis=1, keepdims=True)
-            own = y[at] - c * CLASS_SIZE
-            mine = np.arange(len(at))
-            chosen = inner[mine, own].copy()
-            np.exp(inner, out=inner)
-            total = inner.sum(axis=1)
-            logp[at] += chosen - np.log(total)
+            own = states[:, at]
+            found, error = self._softmax(p["to_word"][block] @ own + p["word_bias"][block][:, None],
+                                         y[at] - c * CLASS_SIZE, gradient)
+            logp[at] += found
             if gradient:
-                inner /= total[:, None]
-                inner[mine, own] -= 1
-                grads["to_word"][block] = inner.T @ states[at]
-                grads["word_bias"][block] = inner.sum(axis=0)
-                grads["back"][at] += inner @ p["to_word"][block]
+                grads["to_word"][block] = error @ own.T
+                grads["word_bias"][block] = error.sum(axis=1)
+                grads["back"][:, at] += p["to_word"][block].T @ error
+        if gradient:
+            grads["back"] = grads["back"].T
         return logp, grads
 
+    @staticmethod
+    def _softmax(scores: np.ndarray, chosen: np.ndarray, gradient: bool) -> tuple[np.ndarray, np.ndarray | None]:
+        """Log-probabilities of the chosen rows and the gradient of their negative sum; `scores` is used up."""
+        columns = np.arange(len(chosen))
+        scores -= scores.max(axis=0)
+        own = scores[chosen, columns]
+        np.exp(scores, out=scores)
+        total = scores.sum(axis=0)
+        if gradient:
+            scores /= total
+            scores[chosen, columns] -= 1
+        return own - np.log(total), scores if gradient else None
+
     def gradients(self, x: np.ndarray, fresh: np.ndarray, y: np.ndarray, state: np.ndarray) -> tuple[dict, np.ndarray, float]:
         """Gradients of the mean loss over a window, the state behind it, and the summed log-probability."""
         p, h = self.parts, HIDDEN
@@ -235,7 +259,7 @@ class Network:
         wide = to_gates.reshape(-1, 3 * h)
         grads["state"] = kept["before"].reshape(-1, h).T @ to_state.reshape(-1, 3 * h)
         grads["gates"] = wide.sum(axis=0)
-        symbols = x.reshape(-1)
+        symbols = x.reshape(-1).astype(np.int16)
         order = np.argsort(symbols, kind="stable")
         first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
         grads["inputs"] = np.zeros_like(p["inputs"])
@@ -263,8 +287,8 @@ class Lanes:
         self.starts_of_texts = np.cumsum(sizes) - sizes
         self.fresh = np.zeros(len(self.y), dtype=bool)
         self.fresh[self.starts_of_texts] = True
-        # each text ends with symbol 0, which is also what a first word follows
-        self.x = np.concatenate([[0], self.y[:-1]])
+        # what a first word follows is symbol 0, the end
+        self.x = np.where(self.fresh, 0, np.concatenate([[0], self.y[:-1]]))
         self.lengths = np.array([sum(len(texts[k]) for k in m) for m in members])
         self.starts = np.cumsum(self.lengths) - self.lengths
 
@@ -281,16 +305,18 @@ class Lanes:
 
 def train(network: Network, texts: list[np.ndarray], moments: dict) -> int:
     """One pass of truncated backpropagation over the texts; returns the tokens seen."""
-    lanes, seen = Lanes(texts, TRAIN_LANES), 0
+    parts = [t[at : at + TRAIN_PART] for t in texts for at in range(0, len(t), TRAIN_PART)]
+    lanes, seen = Lanes(parts, TRAIN_LANES), 0
     state = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
     for _, x, fresh, y in lanes.windows(TRAIN_STEPS):
         grads, state, _ = network.gradients(x, fresh, y, state[: x.shape[1]])
-        moments["step"] = step = moments.get("step", 0) + 1
-        for k, g in grads.items():
-            first, second = moments.setdefault(k, [np.zeros_like(g), np.zeros_like(g)])
-            first += 0.1 * (g - first)
-            second += 0.01 * (g * g - second)
-            network.parts[k] -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+        step = moments["step"] = moments.get("step", 0) + 1
+        flat = np.concatenate([grads[k].reshape(-1) for k in network.shapes])
+        first, second = moments.setdefault("means", [np.zeros_like(flat), np.zeros_like(flat)])
+        first += 0.1 * (flat - first)
+        flat *= flat
+        second += 0.01 * (flat - second)
+        network.flat -= (RATE / (1 - 0.9**step)) * first / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
         seen += int((y >= 0).sum())
     return seen
 
@@ -301,7 +327,7 @@ def likelihoods(network: Network, texts: list[np.ndarray]) -> np.ndarray:
     logp = np.zeros(len(lanes.y))
     state = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
     for places, x, fresh, y in lanes.windows(SCORE_STEPS):
-        kept = network.forward(x, fresh, state[: x.shape[1]])
+        kept = network.forward(x, fresh, state[: x.shape[1]], False)
         state = kept["after"][-1]
         real = np.flatnonzero(y >= 0)
         found, _ = network.read_out(kept["after"].reshape(-1, HIDDEN)[real], y.reshape(-1)[real], False)
