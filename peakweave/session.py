@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -28,7 +29,19 @@ def build_session(app: str = "peakweave", master: str | None = None, **conf) ->
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers of the session, once: their functions import it by name."""
+    context = spark.sparkContext
+    if not getattr(context, "_peakweave_shipped", False):
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="peakweave-"), "peakweave"), "zip",
+                                      os.path.dirname(package), os.path.basename(package))
+        context.addPyFile(archive)
+        context._peakweave_shipped = True
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
