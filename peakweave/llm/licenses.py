@@ -93,8 +93,8 @@ def votes(docs: DataFrame) -> DataFrame:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """One row per verified span: `template`, `label`, `base`, `start` and `end` in words, `coverage`; a document without
-    one has a single row of nulls."""
+    """One row per verified span: `template`, `label`, `base`, `start` and `end` in words, `coverage`. Every
+    document has a row; those of clusters that were not verified, or of no vote at all, hold nulls there."""
     frame = docs.sparkSession.createDataFrame(
         [(t, label, base, len(text)) for t, (label, text, base) in enumerate(TEMPLATES)],
         "template int, label string, base boolean, size int")
