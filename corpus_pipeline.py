@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from peakweave.llm import decontamination, packing, pii, quality_classifier, simhash
 from peakweave.llm.common import crc_mod, table, written
-from peakweave.session import ship_package
+from peakweave.session import prepare
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier does not reject; it learns from labelled rows outside the held-out fold."""
+    prepare(spark)
     divisor, held = quality_classifier.HELD_OUT
     scorer = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", divisor) != held)
     return quality_classifier.keep(docs, scorer)
@@ -27,21 +28,25 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    prepare(spark)
     return simhash.keep_one(docs)
 
 
 def unseen_by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a verbatim window of a benchmark item."""
+    prepare(spark)
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with personal data replaced by its kind."""
+    prepare(spark)
     return pii.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences, with ids and their checksum."""
+    prepare(spark)
     return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
@@ -58,8 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`."""
-    ship_package(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs = table(prepare(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
