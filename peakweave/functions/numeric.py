@@ -42,7 +42,8 @@ def _incomplete_beta(a: float, b: float, x: float) -> float:
     c, d = 1.0, 1.0 - (a + b) * x / (a + 1)
     d = 1.0 / (d if abs(d) > tiny else tiny)
     f = d
-    for m in range(1, 500):
+    # the fraction settles after some multiple of sqrt(max(a, b)) steps
+    for m in range(1, 1000 + 20 * math.isqrt(int(max(a, b)) + 1)):
         for step in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -53,8 +54,24 @@ def _incomplete_beta(a: float, b: float, x: float) -> float:
             c = c if abs(c) > tiny else tiny
             f *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return front * f / a
+            return front * f / a
+    raise ArithmeticError(f"the incomplete beta fraction did not settle for a={a}, b={b}, x={x}")
+
+
+#: Degrees of freedom from which the tail of Student's t follows from the normal one: the first term left out is below
+#: 1e-12 there, while the logarithms of gamma functions begin to lose digits.
+MANY = 10_000
+
+
+def t_two_sided(t: float, freedom: float) -> float:
+    """P(|T| >= t) of Student's t for t >= 0, by Fisher's expansion around the normal tail."""
+    if t > 40:  # the density is below the smallest double
+        return 0.0
+    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    first = t * (t**2 + 1) / 4
+    second = t * (3 * t**6 - 7 * t**4 - 5 * t**2 - 3) / 96
+    third = t * (t**10 - 11 * t**8 + 14 * t**6 + 6 * t**4 - 3 * t**2 - 15) / 384
+    return math.erfc(t / math.sqrt(2)) + 2 * density * (first / freedom + second / freedom**2 + third / freedom**3)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -66,6 +83,9 @@ def correlation_p_value(r: pd.Series, n: pd.Series) -> pd.Series:
             return None
         if nn == 2:
             return 1.0
-        return _incomplete_beta((nn - 2) / 2.0, 0.5, max(0.0, 1.0 - rr * rr))
+        free, rest = float(nn - 2), max(0.0, 1.0 - rr * rr)
+        if free >= MANY:
+            return t_two_sided(abs(rr) * math.sqrt(free / rest), free) if rest else 0.0
+        return _incomplete_beta(free / 2.0, 0.5, rest)
 
     return pd.Series([one(rr, nn) for rr, nn in zip(r, n)], dtype="float64")

@@ -102,7 +102,12 @@ def precision_recall_f1(df: DataFrame, average: str | None = "binary", pos_label
     if average is None:
         return scored.select(*keys, "label", *names, F.col("true").alias("support"))
     if average == "binary":
-        return scored.filter(F.col("label") == F.lit(pos_label)).select(*keys, *names)
+        # a group without the positive class still has a row
+        own = {n: F.coalesce(F.sum(F.when(F.col("label") == F.lit(pos_label), F.col(n))), F.lit(0.0))
+               for n in ("tp", "pred", "true")}
+        sums = counts.groupBy(*keys).agg(*[c.alias(n) for n, c in own.items()])
+        done = class_scores(F.col("tp"), F.col("pred"), F.col("true"), zero_division)
+        return sums.select(*keys, *[done[n].alias(n) for n in names])
     if average == "macro":
         return scored.groupBy(*keys).agg(*[F.avg(n).alias(n) for n in names])
     if average == "micro":
@@ -124,7 +129,7 @@ def _per_sample(df: DataFrame, keys: list[str], weight: str | None, zero_divisio
                            lambda z: (z["prediction"] == 1) & (z["reference"] == 1))).cast("double")
     scores = class_scores(both, ones("prediction"), ones("reference"), zero_division)
     w = weight_column(weight)
-    return df.groupBy(*keys).agg(*[(F.sum(w * s) / F.sum(w)).alias(n) for n, s in scores.items()])
+    return df.groupBy(*keys).agg(*[ratio(F.sum(w * s), F.sum(w), None).alias(n) for n, s in scores.items()])
 
 
 def _factory(name: str):

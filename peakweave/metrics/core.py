@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peakweave.operators.joins import join_groups
+
 
 @dataclass(frozen=True)
 class Metric:
@@ -86,5 +88,5 @@ def evaluate(df: DataFrame, metrics: Sequence[Metric | str], group_by: Sequence[
             if result is None:
                 result = part
             else:
-                result = result.join(part, keys, "full") if keys else result.join(F.broadcast(part))  # one row each
+                result = join_groups(result, part, keys, "full")
     return result

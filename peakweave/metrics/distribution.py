@@ -4,29 +4,32 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakweave.functions.arrays import l2_normalize, let
+from peakweave.session import materialize
 
 
-def cluster_histograms(p: DataFrame, q: DataFrame, num_buckets: int | None = None, explained: float = 0.9,
+def cluster_histograms(p: DataFrame, q: DataFrame, num_buckets: int, explained: float = 0.9,
                        redo: int = 5, max_iter: int = 500, seed: int = 25, vector: str = "features") -> DataFrame:
-    """(cluster, p, q): each side's share per k-means cluster of the joint, normalised, PCA-reduced vectors."""
+    """(cluster, p, q): each side's share per k-means cluster of the joint, normalised, PCA-reduced vectors.
+
+    `num_buckets` is the caller's: the centres are held by every task, so their number must not follow the data.
+    """
     both = p.select(F.lit("p").alias("side"), F.col(vector).alias("v")).unionByName(
         q.select(F.lit("q").alias("side"), F.col(vector).alias("v")))
-    data = both.select("side", array_to_vector(l2_normalize("v")).alias("x")).persist()
+    data = materialize(both.select("side", array_to_vector(l2_normalize("v")).alias("x")))
     sizes = {row["side"]: row["count"] for row in data.groupBy("side").count().collect()}  # two rows
-    if num_buckets is None:
-        num_buckets = max(2, round(min(sizes["p"], sizes["q"]) / 10))
     width = len(data.first()["x"])
     model = PCA(k=width, inputCol="x", outputCol="z").fit(data)
     kept, total = 0, 0.0
     while kept < width and total < explained:
         total += float(model.explainedVariance[kept])
         kept += 1
-    reduced = PCA(k=kept, inputCol="x", outputCol="z").fit(data).transform(data).select("side", "z").persist()
+    reduced = materialize(model.transform(data).select(
+        "side", array_to_vector(F.slice(vector_to_array("z"), 1, kept)).alias("z")))
     fits = [KMeans(k=num_buckets, maxIter=max_iter, seed=seed + i, featuresCol="z", predictionCol="cluster").fit(reduced)
             for i in range(redo)]
     best = min(fits, key=lambda m: m.summary.trainingCost)
@@ -61,5 +64,5 @@ def frontier_area(histograms: DataFrame, points: int = 25, scaling: float = 5.0)
     return curve.agg(entries.alias("c")).select(((area("x", "y") + area("y", "x")) / 2).alias("mauve"))
 
 
-def mauve(p: DataFrame, q: DataFrame, points: int = 25, scaling: float = 5.0, **options) -> DataFrame:
-    return frontier_area(cluster_histograms(p, q, **options), points, scaling)
+def mauve(p: DataFrame, q: DataFrame, num_buckets: int, points: int = 25, scaling: float = 5.0, **options) -> DataFrame:
+    return frontier_area(cluster_histograms(p, q, num_buckets, **options), points, scaling)

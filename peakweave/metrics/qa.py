@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from peakweave.functions import text as tx
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.textgen import gram_table, spread_texts
+from peakweave.operators.joins import last_per_key, unique_by
 from peakweave.operators.ordering import ordered_scan
 from peakweave.session import materialize
 
@@ -40,25 +41,32 @@ def answer_scores(df: DataFrame, key: str, f1_if_empty: bool = False) -> DataFra
     return scored.groupBy(key).agg(F.coalesce(F.first("exact"), F.lit(0.0)).alias("exact"), F.max("f1").alias("f1"))
 
 
-def _answered(predictions: DataFrame, references: DataFrame, key: str) -> DataFrame:
-    return references.join(predictions, key, "inner")
+def one_answer_each(predictions: DataFrame, key: str, last_by: str | None = None) -> DataFrame:
+    """One prediction per question: the last by `last_by`, or the only one; without an order two of them fail the job."""
+    if last_by is not None:
+        return last_per_key(predictions, key, last_by)
+    return unique_by(predictions, [key], "a question has two predictions and no order is given")
 
 
-def _means(predictions: DataFrame, references: DataFrame, key: str, scale: float) -> DataFrame:
-    scores = answer_scores(_answered(predictions, references, key), key)
+def _answered(predictions: DataFrame, references: DataFrame, key: str, last_by: str | None) -> DataFrame:
+    return references.join(one_answer_each(predictions, key, last_by), key, "inner")
+
+
+def _means(predictions: DataFrame, references: DataFrame, key: str, scale: float, last_by: str | None) -> DataFrame:
+    scores = answer_scores(_answered(predictions, references, key, last_by), key)
     full = references.select(key).join(scores, key, "left")  # unanswered questions score 0 and count
     return full.agg((scale * F.avg(F.coalesce("exact", F.lit(0.0)))).alias("exact_match"),
                     (scale * F.avg(F.coalesce("f1", F.lit(0.0)))).alias("f1"))
 
 
-def squad(predictions: DataFrame, references: DataFrame, key: str = "id") -> DataFrame:
-    """exact_match and f1 in percent over all questions."""
-    return _means(predictions, references, key, 100.0)
+def squad(predictions: DataFrame, references: DataFrame, key: str = "id", last_by: str | None = None) -> DataFrame:
+    """exact_match and f1 in percent over all questions; of several predictions the last by `last_by` counts."""
+    return _means(predictions, references, key, 100.0, last_by)
 
 
-def record(predictions: DataFrame, references: DataFrame, key: str = "id") -> DataFrame:
-    """exact_match and f1 as fractions."""
-    return _means(predictions, references, key, 1.0)
+def record(predictions: DataFrame, references: DataFrame, key: str = "id", last_by: str | None = None) -> DataFrame:
+    """exact_match and f1 as fractions; of several predictions the last by `last_by` counts."""
+    return _means(predictions, references, key, 1.0, last_by)
 
 
 def _answerable_rows(predictions: DataFrame, references: DataFrame, key: str, extra: list[str]) -> DataFrame:
@@ -73,12 +81,13 @@ def _answerable_rows(predictions: DataFrame, references: DataFrame, key: str, ex
 
 
 def squad_v2(predictions: DataFrame, references: DataFrame, key: str = "id", threshold: float = 1.0,
-             order_by: str | None = None) -> DataFrame:
+             order_by: str | None = None, last_by: str | None = None) -> DataFrame:
     """Scores with unanswerable questions, split by HasAns / NoAns, and the best thresholds.
 
     `predictions` has no_answer_probability. Questions without a prediction score 0.
     Equal probabilities are swept in the order of `order_by` (the key by default).
     """
+    predictions = one_answer_each(predictions, key, last_by)
     rows = materialize(_answerable_rows(predictions, references, key, [order_by] if order_by and order_by != key else []))
     no_answer = (~F.col("has_ans")).cast("double")
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from peakweave.functions.arrays import let
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.core import Metric, register, weight_column
-from peakweave.operators.joins import batch_similarities, centered
+from peakweave.operators.joins import batch_similarities, centered, join_groups
 from peakweave.operators.ordering import ordered_scan, with_record_id
 
 # --- ROC AUC ---------------------------------------------------------------------------------
@@ -31,19 +31,20 @@ def auc(df: DataFrame, keys: Sequence[str] = (), max_fpr: float | None = None) -
     steps = df.groupBy(*keys, "score").agg(positive.alias("dp"), negative.alias("dn"))
     swept = ordered_scan(steps, [F.col("score").desc()], keys, sums={"cp": "dp", "cn": "dn"})
     totals = steps.groupBy(*keys).agg(F.sum("dp").alias("np"), F.sum("dn").alias("nn"))
-    swept = swept.join(totals, keys) if keys else swept.join(F.broadcast(totals))
+    swept = join_groups(swept, totals, keys)
     if max_fpr is None or max_fpr == 1:
         area = F.sum(F.col("dn") * (F.col("cp") - F.col("dp") / 2))
         return swept.groupBy(*keys).agg(
             ratio(area, F.first("np") * F.first("nn"), None).alias("roc_auc"))
     # the step runs from (x0, y0) to (x1, y1); only its part left of max_fpr counts
-    x0 = (F.col("cn") - F.col("dn")) / F.col("nn")
-    x1 = F.col("cn") / F.col("nn")
-    y0 = (F.col("cp") - F.col("dp")) / F.col("np")
-    slope = ratio(F.col("dp") / F.col("np"), F.col("dn") / F.col("nn"))
+    x0 = ratio(F.col("cn") - F.col("dn"), F.col("nn"), None)
+    x1 = ratio(F.col("cn"), F.col("nn"), None)
+    y0 = ratio(F.col("cp") - F.col("dp"), F.col("np"), None)
+    slope = ratio(ratio(F.col("dp"), F.col("np"), None), ratio(F.col("dn"), F.col("nn"), None))
     right = F.least(x1, F.lit(float(max_fpr)))
     width = F.greatest(right - x0, F.lit(0.0))
-    partial = F.sum(width * (y0 + slope * width / 2))
+    # null where a class is absent
+    partial = F.sum(F.when((F.col("np") > 0) & (F.col("nn") > 0), width * (y0 + slope * width / 2)))
     lowest = max_fpr * max_fpr / 2
     return swept.groupBy(*keys).agg((0.5 * (1 + (partial - lowest) / (max_fpr - lowest))).alias("roc_auc"))
 
@@ -79,7 +80,8 @@ def roc_auc(df: DataFrame, mode: str = "binary", average: str | None = "macro",
     if average == "macro":
         return per.agg(F.avg("roc_auc").alias("roc_auc"))
     support = rows.groupBy("label").agg(F.sum(F.when(F.col("positive"), F.col("w")).otherwise(0.0)).alias("s"))
-    return per.join(support, "label").agg((F.sum(F.col("roc_auc") * F.col("s")) / F.sum("s")).alias("roc_auc"))
+    return per.join(support, "label").agg(
+        ratio(F.sum(F.col("roc_auc") * F.col("s")), F.sum("s"), None).alias("roc_auc"))
 
 
 def _one_vs_one(df: DataFrame, average: str | None) -> DataFrame:
@@ -99,7 +101,8 @@ def _one_vs_one(df: DataFrame, average: str | None) -> DataFrame:
     if average != "weighted":
         return pairs.agg(F.avg("a").alias("roc_auc"))
     counts = rows.filter("positive").groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("n"))
-    return pairs.join(counts, ["lo", "hi"]).agg((F.sum(F.col("a") * F.col("n")) / F.sum("n")).alias("roc_auc"))
+    return pairs.join(counts, ["lo", "hi"]).agg(
+        ratio(F.sum(F.col("a") * F.col("n")), F.sum("n"), None).alias("roc_auc"))
 
 
 @register("roc_auc")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from peakweave.functions.numeric import correlation_p_value, ratio
 from peakweave.metrics.core import Metric, register, weight_column
+from peakweave.operators.joins import join_groups
 from peakweave.operators.ordering import average_ranks, lag_difference
 from peakweave.session import materialize
 
@@ -25,7 +26,7 @@ def _r() -> Column:
 
 def _mean_metric(name: str, error: Column, weight: str | None, finish=lambda x: x) -> Metric:
     w = weight_column(weight)
-    return Metric(name, {"e": F.sum(w * error), "w": F.sum(w)}, {name: lambda s: finish(s["e"] / s["w"])})
+    return Metric(name, {"e": F.sum(w * error), "w": F.sum(w)}, {name: lambda s: finish(ratio(s["e"], s["w"], None))})
 
 
 def _errors() -> dict[str, Column]:
@@ -88,12 +89,12 @@ def mae_msle(alpha: float = 2.0, beta: float = 10.0) -> Metric:
 
 @register("r_squared")
 def r_squared() -> Metric:
-    """1 - residual / total sum of squares, rounded to 3 decimals."""
+    """1 - residual / total sum of squares, rounded to 3 decimals; null when the reference is constant."""
     d = _p() - _r()
     return Metric(
         "r_squared",
         {"ssr": F.sum(d * d), "var": F.var_pop(_r()), "n": F.count(_r())},
-        {"r_squared": lambda s: F.round(1 - s["ssr"] / (s["var"] * s["n"]), 3)})
+        {"r_squared": lambda s: F.round(1 - ratio(s["ssr"], s["var"] * s["n"], None), 3)})
 
 
 @register("pearsonr")
@@ -132,9 +133,9 @@ def rank_correlation(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     ranked = pairs
     for value, rank in (("x", "rx"), ("y", "ry")):
         table = average_ranks(pairs, value, rank, keys, weight="c").drop("n")
-        ranked = ranked.join(table, [*keys, value])
+        ranked = join_groups(ranked, table, [*keys, value])
     totals = pairs.groupBy(*keys).agg(F.sum("c").alias("n"))
-    ranked = ranked.join(totals, keys) if keys else ranked.join(F.broadcast(totals))
+    ranked = join_groups(ranked, totals, keys)
     middle = (F.col("n") + 1) / 2
     a, b, c = F.col("rx") - middle, F.col("ry") - middle, F.col("c")
     sums = ranked.groupBy(*keys).agg(F.sum(c * a * b).alias("ab"), F.sum(c * a * a).alias("aa"),
@@ -153,7 +154,7 @@ def multioutput(df: DataFrame, error: str, weight: str | None = None, squared: b
     w = weight_column(weight).alias("__w")
     flat = df.select(w, F.posexplode(F.arrays_zip("prediction", "reference")).alias("i", "z")).select(
         "__w", "i", F.col("z.prediction").alias("prediction"), F.col("z.reference").alias("reference"))
-    per = flat.groupBy("i").agg((F.sum(F.col("__w") * _errors()[kind]) / F.sum("__w")).alias("v"))
+    per = flat.groupBy("i").agg(ratio(F.sum(F.col("__w") * _errors()[kind]), F.sum("__w"), None).alias("v"))
     if not squared:
         per = per.withColumn("v", F.sqrt("v"))
     if aggregate == "uniform_average":
@@ -175,12 +176,17 @@ def mase(df: DataFrame, training: DataFrame, order_by: Sequence[str], series: Se
     naive = lag_difference(training, value, order_by, period, keys, "__d").groupBy(*keys).agg(
         F.avg(F.abs("__d")).alias("__naive"))
     w = weight_column(weight)
-    error = df.groupBy(*keys).agg((F.sum(w * F.abs(_p() - _r())) / F.sum(w)).alias("__mae"))
-    joined = error.join(naive, keys) if keys else error.join(F.broadcast(naive))
+    error = df.groupBy(*keys).agg(ratio(F.sum(w * F.abs(_p() - _r())), F.sum(w), None).alias("__mae"))
+    joined = join_groups(error, naive, keys)
     return joined.select(*keys, (F.col("__mae") / F.greatest("__naive", F.lit(EPS))).alias("mase"))
 
 
 def text_perplexity(tokens: DataFrame, text_id: str, nll: str = "nll", mask: str | None = None) -> DataFrame:
-    """exp(mean token loss) per text."""
+    """exp(mean token loss) per text; null for a text whose tokens are all masked."""
     m = F.col(mask).cast("double") if mask else F.lit(1.0)
-    return tokens.groupBy(text_id).agg(F.exp(F.sum(F.col(nll) * m) / F.sum(m)).alias("perplexity"))
+    return tokens.groupBy(text_id).agg(F.exp(ratio(F.sum(F.col(nll) * m), F.sum(m), None)).alias("perplexity"))
+
+
+def corpus_perplexity(tokens: DataFrame, text_id: str, nll: str = "nll", mask: str | None = None) -> DataFrame:
+    """The mean of the texts' perplexities; texts without a counted token are left out."""
+    return text_perplexity(tokens, text_id, nll, mask).agg(F.avg("perplexity").alias("mean_perplexity"))

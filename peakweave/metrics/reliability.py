@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peakweave.functions.numeric import ratio
+from peakweave.operators.joins import join_groups
 from peakweave.operators.ordering import lag_difference, ordered_scan
 from peakweave.operators.quantiles import group_quantiles
 from peakweave.session import materialize
@@ -29,21 +30,21 @@ def spread(df: DataFrame, value: str, keys: Sequence[str], alpha: float) -> Data
     keys = list(keys)
     data = materialize(df.select(*keys, F.col(value).alias("__v")))
     cuts = group_quantiles(data, "__v", {"__q1": 0.25, "__mid": 0.5, "__q3": 0.75, "__lo": alpha, "__hi": 1 - alpha}, keys)
-    joined = materialize(data.join(cuts, keys))
+    joined = materialize(join_groups(data, cuts, keys))
     x = F.col("__v")
     stats = joined.groupBy(*keys).agg(
         F.first("__mid").alias("median"), (F.first("__q3") - F.first("__q1")).alias("iqr"),
         F.stddev_pop(x).alias("stddev"), F.avg(F.when(x <= F.col("__lo"), x)).alias("lower_cvar"),
         F.avg(F.when(x >= F.col("__hi"), x)).alias("upper_cvar"))
     away = joined.select(*keys, F.abs(x - F.col("__mid")).alias("__d"))
-    return stats.join(group_quantiles(away, "__d", {"mad": 0.5}, keys), keys)
+    return join_groups(stats, group_quantiles(away, "__d", {"mad": 0.5}, keys), keys)
 
 
 def curve_range(df: DataFrame) -> DataFrame:
     """(run, baseline): 95th percentile of the run minus its first value."""
     top = group_quantiles(df, "value", {"__p95": 0.95}, ["run"])
     first = df.groupBy("run").agg(F.min_by("value", "t").alias("__first"))
-    return top.join(first, "run").select("run", (F.col("__p95") - F.col("__first")).alias("baseline"))
+    return join_groups(top, first, ["run"]).select("run", (F.col("__p95") - F.col("__first")).alias("baseline"))
 
 
 def _windows(df: DataFrame, eval_points: Sequence[int], size: int) -> DataFrame:
@@ -64,7 +65,7 @@ def online_reliability(df: DataFrame, eval_points: Sequence[int] = EVAL_POINTS,
 
     def scaled(frame, names):
         """Means over all runs (and windows) of the named columns in units of the run's range."""
-        return frame.join(base, "run").agg(*[
+        return join_groups(frame, base, ["run"]).agg(*[
             F.avg(ratio(F.col(c), F.col("baseline"), None)).alias(name) for c, name in names.items()])
 
     within = spread(_windows(diffs, eval_points, window_size_trimmed), "d", ["run", "eval"], alpha)
@@ -78,7 +79,7 @@ def online_reliability(df: DataFrame, eval_points: Sequence[int] = EVAL_POINTS,
     across = spread(medians, "m", ["eval"], alpha).join(F.broadcast(base.agg(F.avg("baseline").alias("__b"))))
     names = {"iqr": "iqr_across_runs", "mad": "mad_across_runs", "stddev": "stddev_across_runs",
              "lower_cvar": "lower_cvar_on_across", "upper_cvar": "upper_cvar_on_across"}
-    parts.append(across.agg(*[F.avg(F.col(c) / F.col("__b")).alias(n) for c, n in names.items()]))
+    parts.append(across.agg(*[F.avg(ratio(F.col(c), F.col("__b"), None)).alias(n) for c, n in names.items()]))
     parts.append(medians.agg(F.avg("m").alias("median_perf_during_training")))
     out = parts[0]
     for part in parts[1:]:

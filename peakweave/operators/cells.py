@@ -188,7 +188,7 @@ def gene_moments(counts: DataFrame, obs: DataFrame, value: str, batch: str | Non
     n = F.col("__n")
     mean = F.col("__s") / n
     return joined.select(*keys, mean.alias("mean"),
-                         ((F.col("__q") / n - mean * mean) * n / (n - 1)).alias("variance"))
+                         ratio((F.col("__q") / n - mean * mean) * n, n - 1, None).alias("variance"))
 
 
 def normalized_dispersion(moments: DataFrame, batch: Sequence[str] = ()) -> DataFrame:

@@ -29,6 +29,29 @@ def salted_join(facts: DataFrame, table: DataFrame, on: Sequence[str], how: str
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on group keys where null is a group like any other; without keys both sides are one row."""
+    keys = list(keys)
+    if not keys:
+        return left.join(F.broadcast(right))
+    renamed = right.withColumnsRenamed({k: f"__on_{k}" for k in keys})
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"__on_{k}"))
+    joined = left.join(renamed, match, how)
+    if how in ("full", "right"):
+        joined = joined.withColumns({k: F.coalesce(k, f"__on_{k}") for k in keys})
+    return joined.drop(*[f"__on_{k}" for k in keys])
+
+
+def unique_by(df: DataFrame, keys: Sequence[str], message: str) -> DataFrame:
+    """The rows, failing the job when two share a key; the shuffle is the one a join on the key needs anyway."""
+    keys = list(keys)
+    others = [c for c in df.columns if c not in keys]
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.first(F.struct(*others)).alias("__r"))
+    return require(grouped, F.col("__rows") == 1, message).select(*keys, "__r.*")
+
+
 def require(df: DataFrame, condition, message: str) -> DataFrame:
     """Pass rows through, failing the job on the first one that breaks the condition."""
     passes = F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
@@ -38,9 +61,11 @@ def require(df: DataFrame, condition, message: str) -> DataFrame:
 def matrix_lookup(sequences: DataFrame, matrix: DataFrame, strict: bool = True, value: str = "value") -> DataFrame:
     """Add norm_peak_value and log1p_norm_peak_value (both float32) looked up by (sample, pos).
 
-    A pair missing from the long-form matrix fails the job when strict, else gives null.
+    A pair missing from the long-form matrix fails the job when strict, else gives null;
+    a pair that stands there twice fails it in any case.
     """
-    found = matrix.select("sample", "pos", F.col(value).alias("__x"), F.lit(True).alias("__found"))
+    found = unique_by(matrix.select("sample", "pos", F.col(value).alias("__x"), F.lit(True).alias("__found")),
+                      ["sample", "pos"], "a sample and peak stand twice in the matrix")
     joined = sequences.join(found, ["sample", "pos"], "left")
     if strict:
         joined = require(joined, F.col("__found").isNotNull(), "sample or peak not in the matrix")
@@ -110,9 +135,9 @@ def with_variant_offset(df: DataFrame, column: str = "snp_relative_pos") -> Data
 
 
 def realign(predictions: DataFrame, source: DataFrame, key: str = "record_id") -> DataFrame:
-    """Predictions back on their source rows by id; a row missing on either side fails the job."""
-    left = source.withColumn("__s", F.lit(True))
-    right = predictions.withColumn("__p", F.lit(True))
+    """Predictions back on their source rows by id; a row missing or repeated on either side fails the job."""
+    left = unique_by(source.withColumn("__s", F.lit(True)), [key], "a source row stands twice")
+    right = unique_by(predictions.withColumn("__p", F.lit(True)), [key], "a row has two predictions")
     joined = left.join(right, key, "full")
     both = F.col("__s").isNotNull() & F.col("__p").isNotNull()
     return require(joined, both, "predictions and source rows do not match").drop("__s", "__p")

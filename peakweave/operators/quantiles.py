@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peakweave.operators.joins import join_groups
 from peakweave.operators.ordering import ordered_scan
 
 
@@ -22,12 +23,7 @@ def group_quantiles(df: DataFrame, value: str, points: Mapping[str, float], keys
     distinct = rows.groupBy(*keys, "__x").agg(F.count(F.lit(1)).alias("__c"))
     placed = ordered_scan(distinct, ["__x"], keys, sums={"__upto": "__c"})
     sizes = placed.groupBy(*keys).agg(F.max("__upto").alias("__n"))
-    if keys:
-        match = [F.col(f"p.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-        sized = placed.alias("p").join(sizes.alias("s"), match).select(
-            *[F.col(f"p.{k}") for k in keys], "__x", "__c", "__upto", "__n")
-    else:
-        sized = placed.join(F.broadcast(sizes))  # one row
+    sized = join_groups(placed, sizes, keys)
     at = {name: (F.col("__n") - 1) * F.lit(float(q)) for name, q in points.items()}
 
     def holds(position):
@@ -49,6 +45,6 @@ def median_absolute_deviation(df: DataFrame, value: str, keys: Sequence[str] = (
     """Median distance from the group's median."""
     keys = list(keys)
     middle = group_quantiles(df, value, {"__m": 0.5}, keys)
-    joined = df.join(middle, keys) if keys else df.join(F.broadcast(middle))
+    joined = join_groups(df, middle, keys)
     spread = joined.select(*keys, F.abs(F.col(value) - F.col("__m")).alias("__d"))
     return group_quantiles(spread, "__d", {column: 0.5}, keys)

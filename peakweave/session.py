@@ -44,20 +44,20 @@ def ship_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it in spark.checkpoint.dir.
+def prepare(spark: SparkSession) -> SparkSession:
+    """What a session that was built elsewhere needs: the package on its workers and, on one machine, a shared folder."""
+    context = spark.sparkContext
+    if context.master.startswith("local[") and not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="peakweave-"))
+    return ship_package(spark)
 
-    Only a local master may fall back to a temporary folder: on a cluster the
-    driver's own disk is not visible to the executors.
-    """
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors see, as the cluster names it in spark.checkpoint.dir."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="peakweave-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    return configured
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -12,16 +12,6 @@ from pyspark.sql import types as T
 from peakweave.operators.ordering import with_shard
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores out to all cores.
-
-    For files written as one row group, in front of work that is heavy per row. A scan
-    with enough splits is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def read_dataset(spark: SparkSession, directory: str, split: str | None = None) -> DataFrame:
     """A dataset directory; `split` (and cell type) are partition columns, pruned by the filter."""
     df = spark.read.parquet(directory)

@@ -7,33 +7,31 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Cells that mean "missing".
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+           "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 def read_wide_matrix(spark: SparkSession, path: str, index: str = "sample", column_name: str = "pos",
                      value_name: str = "value", separator: str = ",") -> DataFrame:
-    """A CSV with one row per sample and one column per peak, as (sample, pos, value) rows.
+    """CSV files with one row per sample and one column per peak, as (sample, pos, value) rows.
 
-    The file is read as text and exploded against its header, so a matrix of
-    100 000 columns never becomes a 100 000-column schema. Only the header line
-    reaches the driver; it is broadcast while it is small and joined otherwise.
+    Files are read as text and exploded against their own header, so a matrix of
+    100 000 columns never becomes a 100 000-column schema and files may order their
+    columns differently. Headers stay in Spark, one row per file. A cell that means
+    "missing" is null; any other text that is no number fails the job.
     """
-    lines = spark.read.text(path)
-    header = lines.filter(F.col("value").startswith(index + separator)).first()
-    if header is None:
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"))
+    lines = lines.withColumn("value", F.regexp_replace("value", r"\r$", ""))
+    is_header = F.col("value").startswith(index + separator)
+    headers = lines.filter(is_header).groupBy("__file").agg(F.first("value").alias("__header"))
+    if headers.isEmpty():
         raise ValueError(f"no header line starting with {index!r} in {path}")
-    names = header["value"].rstrip("\r").split(separator)
-    columns = spark.createDataFrame([(i, n) for i, n in enumerate(names) if i > 0], f"__i int, {column_name} string")
-    if len(header["value"]) + 16 * len(names) <= MAX_BROADCAST_BYTES:
-        columns = F.broadcast(columns)
-    cells = lines.filter(F.col("value") != header["value"]).select(
-        F.split(F.regexp_replace("value", r"\r$", ""), separator).alias("__cells"))
-    return (
-        cells.select(F.col("__cells")[0].alias(index), F.posexplode("__cells").alias("__i", "__cell"))
-        .filter("__i > 0")
-        .join(columns, "__i")
-        .select(index, column_name, F.nullif("__cell", F.lit("")).cast("double").alias(value_name))
-    )
+    cells = lines.filter(~is_header).join(headers, "__file").select(
+        F.split("value", separator).alias("__cells"), F.split("__header", separator).alias("__names"))
+    named = cells.select(F.col("__cells")[0].alias(index), F.posexplode(F.arrays_zip("__names", "__cells")).alias("__i", "__c"))
+    cell = F.when(~F.col("__c.__cells").isin(*MISSING), F.col("__c.__cells")).cast("double")
+    return named.filter("__i > 0").select(index, F.col("__c.__names").alias(column_name), cell.alias(value_name))
 
 
 def melt(df: DataFrame, index: str = "sample", column_name: str = "pos", value_name: str = "value") -> DataFrame:
