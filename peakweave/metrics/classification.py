@@ -21,14 +21,14 @@ def accuracy(normalize: bool = True, weight: str | None = None) -> Metric:
     w = weight_column(weight)
     hit = F.col("prediction").eqNullSafe(F.col("reference")).cast("double")
     return Metric("accuracy", {"hit": F.sum(w * hit), "w": F.sum(w)},
-                  {"accuracy": lambda s: s["hit"] / s["w"] if normalize else s["hit"]})
+                  {"accuracy": lambda s: ratio(s["hit"], s["w"], None) if normalize else s["hit"]})
 
 
 @register("brier_score")
 def brier_score(pos_label=1, weight: str | None = None) -> Metric:
     w = weight_column(weight)
     d = F.col("prediction").cast("double") - (F.col("reference") == F.lit(pos_label)).cast("double")
-    return Metric("brier_score", {"e": F.sum(w * d * d), "w": F.sum(w)}, {"brier_score": lambda s: s["e"] / s["w"]})
+    return Metric("brier_score", {"e": F.sum(w * d * d), "w": F.sum(w)}, {"brier_score": lambda s: ratio(s["e"], s["w"], None)})
 
 
 def confusion_counts(df: DataFrame, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:

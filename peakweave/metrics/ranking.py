@@ -120,9 +120,8 @@ def roc_auc_metric(**options) -> Metric:
 
 # --- retrieval -------------------------------------------------------------------------------
 
-# The cut-offs and depths of the report.
+# The cut-offs of the report.
 CUTOFFS = (5, 10, 15, 20, 30, 100, 200, 500, 1000)
-MAP_DEPTH, RANK_DEPTH = 10_000, 1_000
 
 
 def ranked_run(run: DataFrame, qrels: DataFrame) -> DataFrame:
@@ -151,7 +150,7 @@ def _ideal_dcg(qrels: DataFrame) -> DataFrame:
         *[F.sum(F.when(F.col("__i") < k, gain)).alias(f"ideal_{k}") for k in CUTOFFS])
 
 
-def trec_per_query(run: DataFrame, qrels: DataFrame) -> DataFrame:
+def trec_per_query(run: DataFrame, qrels: DataFrame, map_depth: int = 10_000, rank_depth: int = 1_000) -> DataFrame:
     """All measures per query of the run that has judgements."""
     ranked = ranked_run(run, qrels)
     needs = qrels.groupBy("query").agg(F.count_if(F.col("rel") > 0).alias("n_rel"),
@@ -166,10 +165,10 @@ def trec_per_query(run: DataFrame, qrels: DataFrame) -> DataFrame:
     per = rows.groupBy("query").agg(
         F.count(F.lit(1)).alias("num_ret"), F.first("n_rel").alias("num_rel"),
         F.count_if(relevant).alias("num_rel_ret"),
-        F.sum(F.when(relevant & (rank <= MAP_DEPTH), hits / rank)).alias("__ap"),
-        F.sum(F.when(relevant & (rank <= RANK_DEPTH), bpref)).alias("__bpref"),
-        F.count_if(relevant & (rank <= R) & (rank <= RANK_DEPTH)).alias("__rp"),
-        F.min(F.when(relevant & (rank <= RANK_DEPTH), rank)).alias("__first"),
+        F.sum(F.when(relevant & (rank <= map_depth), hits / rank)).alias("__ap"),
+        F.sum(F.when(relevant & (rank <= rank_depth), bpref)).alias("__bpref"),
+        F.count_if(relevant & (rank <= R) & (rank <= rank_depth)).alias("__rp"),
+        F.min(F.when(relevant & (rank <= rank_depth), rank)).alias("__first"),
         *[F.count_if(relevant & (rank <= k)).alias(f"__p{k}") for k in CUTOFFS],
         *[F.sum(F.when(rank <= k, gain)).alias(f"__d{k}") for k in CUTOFFS],
     ).join(_ideal_dcg(qrels), "query", "left")
@@ -185,9 +184,13 @@ def trec_per_query(run: DataFrame, qrels: DataFrame) -> DataFrame:
         *[F.coalesce(F.coalesce(f"__d{k}", zero) / F.col(f"ideal_{k}"), zero).alias(f"NDCG@{k}") for k in CUTOFFS])
 
 
-def trec_eval(run: DataFrame, qrels: DataFrame) -> DataFrame:
-    """The report row: counts, then measures averaged over queries."""
-    per = trec_per_query(run, qrels)
+def trec_eval(run: DataFrame, qrels: DataFrame, map_depth: int = 10_000, rank_depth: int = 1_000) -> DataFrame:
+    """The report row: counts, then measures averaged over queries.
+
+    By the report's definition, ranks beyond `map_depth` do not count for map, nor those beyond `rank_depth` for bpref,
+    Rprec and recip_rank; the defaults are the usual ones.
+    """
+    per = trec_per_query(run, qrels, map_depth, rank_depth)
     averaged = ["bpref", "Rprec", "recip_rank", *[f"P@{k}" for k in CUTOFFS], *[f"NDCG@{k}" for k in CUTOFFS]]
     return per.agg(
         F.sum("num_ret").alias("num_ret"), F.sum("num_rel").alias("num_rel"),

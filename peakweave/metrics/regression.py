@@ -99,10 +99,15 @@ def r_squared() -> Metric:
 
 @register("pearsonr")
 def pearsonr(p_value: bool = True) -> Metric:
-    finish = {"pearsonr": lambda s: s["r"]}
+    def r(s):  # null for a single row and where a side is constant
+        return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio(s["c"], s["sp"] * s["sr"], None)))
+
+    finish = {"pearsonr": lambda s: F.when(s["sp"] * s["sr"] > 0, r(s))}
     if p_value:
-        finish["p-value"] = lambda s: correlation_p_value(s["r"], s["n"])
-    return Metric("pearsonr", {"r": F.corr(_p(), _r()), "n": F.count(F.lit(1))}, finish)
+        finish["p-value"] = lambda s: correlation_p_value(F.when(s["sp"] * s["sr"] > 0, r(s)), s["n"])
+    both = _p().isNotNull() & _r().isNotNull()
+    return Metric("pearsonr", {"c": F.covar_pop(_p(), _r()), "sp": F.stddev_pop(F.when(both, _p())),
+                               "sr": F.stddev_pop(F.when(both, _r())), "n": F.count(F.lit(1))}, finish)
 
 
 @register("perplexity")

@@ -1,9 +1,9 @@
 """Text-generation metrics as corpus aggregates over `prediction` and `references`.
 
 The shared core is a table with one row per (text, n-gram): how often the n-gram
-occurs in the prediction and in each reference. It is built by exploding and
-counting, so a text of any length is spread over the cluster, and the same n-gram
-is combined before the shuffle.
+occurs in the prediction and in each reference. Whole texts are placed by their key
+first, so a text's n-grams are exploded and combined in one task and need no further
+shuffle; texts of a corpus spread evenly over the tasks.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def spread_texts(df: DataFrame, key: str) -> DataFrame:
     All n-gram counts of a text are grouped by the key and more, so this one shuffle of
     the raw text is the only large one: the exploded n-grams stay where they are.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return df.repartition(key)
 
 
 def tokenized(df: DataFrame, key: str, tokenizer: tx.Tokenizer) -> DataFrame:
@@ -104,7 +104,7 @@ def bleu(df: DataFrame, key: str, max_order: int = 4, smooth: bool = False,
     arr = F.array(*precisions)
     logs = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + F.log(x))
     mean = F.when(F.array_min(arr) > 0, F.exp(logs / max_order)).otherwise(0.0)
-    rate = F.col("sys_len") / F.col("ref_len")
+    rate = ratio(F.col("sys_len"), F.col("ref_len"))
     bp = F.when(rate > 1, 1.0).when(rate > 0, F.exp(1 - 1 / rate)).otherwise(0.0)
     return sums.select(
         (mean * bp).alias("bleu"), arr.alias("precisions"), bp.alias("brevity_penalty"), rate.alias("length_ratio"),
@@ -313,21 +313,24 @@ def exact_match(regexes_to_ignore: list[str] | None = None, ignore_case: bool =
 
 @register("wer")
 def wer() -> Metric:
-    """Word edits over reference words, of the whole corpus."""
+    """Word edits over reference words, of the whole corpus; a pair with a null text does not count."""
     def compute(df, keys):
         pairs = df.select(*keys, tx.words("prediction").alias("h"), tx.words("reference").alias("r"))
-        counted = pairs.select(*keys, tx.word_edit_distance("h", "r").alias("e"), F.size("r").alias("n"))
-        return counted.groupBy(*keys).agg((F.sum("e") / F.sum("n")).alias("wer"))
+        both = F.col("h").isNotNull() & F.col("r").isNotNull()
+        empty = F.array().cast("array<string>")
+        edits = tx.word_edit_distance(F.coalesce("h", empty), F.coalesce("r", empty))
+        counted = pairs.select(*keys, F.when(both, edits).alias("e"), F.when(both, F.size("r")).alias("n"))
+        return counted.groupBy(*keys).agg(ratio(F.sum("e"), F.sum("n"), None).alias("wer"))
 
     return Metric("wer", compute=compute)
 
 
 @register("cer")
 def cer() -> Metric:
-    """Character edits over reference characters, after squeezing spaces."""
+    """Character edits over reference characters, after squeezing spaces; a pair with a null text does not count."""
     h, r = tx.squeeze("prediction"), tx.squeeze("reference")
-    return Metric("cer", {"e": F.sum(F.levenshtein(h, r)), "n": F.sum(F.length(r))},
-                  {"cer": lambda s: s["e"] / s["n"]})
+    return Metric("cer", {"e": F.sum(F.levenshtein(h, r)), "n": F.sum(F.when(h.isNotNull(), F.length(r)))},
+                  {"cer": lambda s: ratio(s["e"], s["n"], None)})
 
 
 # --- simplification --------------------------------------------------------------------------

@@ -2,8 +2,10 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
+from peakweave.functions.numeric import _incomplete_beta, correlation_p_value, t_two_sided
 from peakweave.metrics import evaluate, get
 from peakweave.metrics import classification as c
 from peakweave.metrics import ranking as rk
@@ -16,29 +18,47 @@ def pairs(spark, p, r, w=None, kind="double"):
     return spark.createDataFrame(rows, f"prediction {kind}, reference {kind}" + (", w double" if w else ""))
 
 
-def test_regression_goldens(spark):
-    df = pairs(spark, [2.5, 0.0, 2.0, 8.0], [3.0, -0.5, 2.0, 7.0])
-    row = evaluate(df, ["mse", "rmse", "metrics/mae", "mape", "smape"]).first()
-    assert row.mse == pytest.approx(0.375)
-    assert row.rmse == pytest.approx(0.6123724356957945)
-    assert row.mae == pytest.approx(0.5)
-    assert row.mape == pytest.approx(0.3273809523809524)
-    assert row.smape == pytest.approx(0.5787878787878785)
-    row = evaluate(pairs(spark, [1.0, 2.0, 3.0, 4.0], [0.9, 2.1, 3.2, 3.8]), ["r_squared"]).first()
-    assert row.r_squared == 0.98
+def test_regression_against_numpy(spark):
+    p, q = np.array([1.5, -2.0, 4.25, 0.5, 3.0]), np.array([1.0, -1.0, 4.0, 0.25, 5.0])
+    row = evaluate(pairs(spark, p.tolist(), q.tolist()), ["mse", "rmse", "metrics/mae", "mape", "smape", "r_squared"]).first()
+    gap = np.abs(p - q)
+    assert row.mse == pytest.approx((gap**2).mean())
+    assert row.rmse == pytest.approx(math.sqrt((gap**2).mean()))
+    assert row.mae == pytest.approx(gap.mean())
+    assert row.mape == pytest.approx((gap / np.abs(q)).mean())
+    assert row.smape == pytest.approx((2 * gap / (np.abs(p) + np.abs(q))).mean())
+    assert row.r_squared == round(1 - (gap**2).sum() / ((q - q.mean()) ** 2).sum(), 3)
 
 
 def test_mase(spark):
-    df = pairs(spark, [2.5, 0.0, 2.0, 8.0, 1.25], [3.0, -0.5, 2.0, 7.0, 2.0])
-    training = spark.createDataFrame(list(enumerate([5.0, 0.5, 4.0, 6.0, 3.0, 5.0, 2.0])), "t int, value double")
-    assert r.mase(df, training, ["t"]).first().mase == pytest.approx(0.18333333333333335)
+    p, q, series = [4.0, 1.0, 6.5], [3.0, 1.5, 5.0], [2.0, 4.0, 3.0, 7.0]
+    training = spark.createDataFrame(list(enumerate(series)), "t int, value double")
+    want = np.abs(np.subtract(p, q)).mean() / np.abs(np.diff(series)).mean()
+    assert r.mase(pairs(spark, p, q), training, ["t"]).first().mase == pytest.approx(want)
 
 
 def test_correlations(spark):
-    df = pairs(spark, [10.0, 9.0, 2.5, 6.0, 4.0], [1.0, 2.0, 3.0, 4.0, 5.0])
-    row = evaluate(df, ["pearsonr", "spearmanr", "mse"]).first()
-    assert (round(row.pearsonr, 2), round(row["p-value"], 2)) == (-0.74, 0.15)
-    assert (round(row.spearmanr, 1), round(row.spearmanr_pvalue, 2)) == (-0.7, 0.19)
+    p, q = [3.0, 1.0, 4.0, 1.5, 9.0, 2.0], [2.0, 7.0, 1.0, 8.0, 2.5, 6.0]
+    row = evaluate(pairs(spark, p, q), ["pearsonr", "spearmanr", "mse"]).first()
+    rank = lambda v: np.argsort(np.argsort(v))
+    assert row.pearsonr == pytest.approx(np.corrcoef(p, q)[0, 1])
+    assert row.spearmanr == pytest.approx(np.corrcoef(rank(p), rank(q))[0, 1])
+    # the p-value is the tail of Student's t; its integral by the trapezoid rule
+    for value, found in ((row.pearsonr, row["p-value"]), (row.spearmanr, row.spearmanr_pvalue)):
+        t, free = abs(value) * math.sqrt(4 / (1 - value**2)), 4
+        x = np.linspace(t, 4000, 4_000_001)
+        density = math.gamma(2.5) / (math.sqrt(free * math.pi) * math.gamma(2)) * (1 + x * x / free) ** -2.5
+        assert found == pytest.approx(2 * np.trapezoid(density, x), abs=1e-6)
+
+
+def test_p_value_of_many_rows_follows_the_normal_tail():
+    for n in (10**6, 10**10, 10**12):
+        for t in (0.5, 1.96, 5.0):
+            r_ = t / math.sqrt(n - 2 + t * t)
+            found = correlation_p_value.func(pd.Series([r_]), pd.Series([n]))[0]
+            assert found == pytest.approx(math.erfc(t / math.sqrt(2)), abs=1e-6 if n == 10**6 else 1e-9)
+    both = [f(t, 10_000) for t in (0.3, 2.5) for f in (t_two_sided, lambda t, v: _incomplete_beta(v / 2, 0.5, v / (v + t * t)))]
+    assert both[0] == pytest.approx(both[1], abs=1e-10) and both[2] == pytest.approx(both[3], abs=1e-10)
 
 
 def test_grouped_evaluation_with_ties(spark):
@@ -58,12 +78,13 @@ def test_grouped_evaluation_with_ties(spark):
 
 
 def test_multioutput_and_loss(spark):
-    p, q = [[0.5, 1.0], [-1.0, 1.0], [7.0, -6.0]], [[0.0, 2.0], [-1.0, 2.0], [8.0, -5.0]]
+    p, q = [[1.0, 3.0], [2.5, -1.0], [0.0, 4.0]], [[2.0, 3.5], [2.0, -3.0], [0.5, 4.0]]
     df = spark.createDataFrame(list(zip(p, q)), "prediction array<double>, reference array<double>")
-    assert r.multioutput(df, "mse", aggregate="raw_values").first().value == pytest.approx([0.41666666, 1.0])
-    assert r.multioutput(df, "mse").first().value == pytest.approx(0.7083333)
-    assert r.multioutput(df, "mae", aggregate=[0.3, 0.7]).first().value == pytest.approx(0.85)
-    assert r.multioutput(df, "mse", squared=False).first().value == pytest.approx((math.sqrt(0.41666666) + 1) / 2)
+    squares, gaps = (np.subtract(p, q) ** 2).mean(axis=0), np.abs(np.subtract(p, q)).mean(axis=0)
+    assert r.multioutput(df, "mse", aggregate="raw_values").first().value == pytest.approx(squares.tolist())
+    assert r.multioutput(df, "mse").first().value == pytest.approx(squares.mean())
+    assert r.multioutput(df, "mae", aggregate=[0.3, 0.7]).first().value == pytest.approx(gaps @ [0.3, 0.7])
+    assert r.multioutput(df, "mse", squared=False).first().value == pytest.approx(np.sqrt(squares).mean())
     df = pairs(spark, [1.0, 2.0], [2.0, 4.0])
     msle = np.mean((np.log1p([1, 2]) - np.log1p([2, 4])) ** 2)
     row = evaluate(df, [get("msle"), get("mse_msle", alpha=1e-4, beta=5), get("mae_msle")]).first()
