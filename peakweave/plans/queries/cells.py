@@ -272,7 +272,7 @@ def binned_tokens_sampled(spark, sf):
     return out.select("cell_id", F.array_join(F.slice("genes", F.lit(2), F.size("genes") - 1), ",").alias("genes"))
 
 
-@query(f"""WITH {RANK_PREP_SQL}, scored AS (SELECT cell_id, gene * 3 AS token, value / n_counts * 10000 / gene_median AS x FROM prepared WHERE gene_median > 950),
+@query(f"""WITH {RANK_PREP_SQL}, scored AS (SELECT cell_id, gene * 3 AS token, value / n_counts * 10000 / gene_median AS x FROM prepared),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY x DESC, token) AS place FROM scored),
 packed AS (SELECT cell_id, string_agg(cast(token AS VARCHAR), ',' ORDER BY place) AS ids, count(*) AS n FROM ranked WHERE place <= 2048 GROUP BY cell_id)
 SELECT o.cell_id, o.cell_type, o.sample, o.cell_id AS adata_order, coalesce(ids, '') AS input_ids, cast(coalesce(n, 0) AS INTEGER) AS length
@@ -280,7 +280,7 @@ FROM obs o JOIN kept_cells k ON k.cell_id = o.cell_id LEFT JOIN packed p ON p.ce
 def rank_tokens(spark, sf):
     """Gene tokens of each cell by median-scaled expression, highest first."""
     matrix, _ = ranked_matrix(spark, sf)
-    tokens = view(spark, sf, "var_genes").filter("ensembl_id is not null and gene_median > 950").select(
+    tokens = view(spark, sf, "var_genes").filter("ensembl_id is not null").select(
         "ensembl_id", (F.col("gene") * 3).alias("token"), F.col("gene_median").alias("median"))
     return cl.rank_tokens(matrix, tokens).withColumn("input_ids", joined("input_ids"))
 

@@ -514,8 +514,8 @@ def token_report(spark, sf):
     return rounded(tagging.poseval(tag_rows(spark, sf)))
 
 
-COREF_SQL = """k AS (SELECT user_id % 5 AS doc, user_id AS cluster, event_id AS mention FROM events WHERE event_type <> 'error'),
-s AS (SELECT user_id % 5 AS doc, user_id % 30 AS cluster, event_id AS mention FROM events WHERE event_type <> 'view')"""
+COREF_SQL = """k AS (SELECT user_id % 5 AS doc, user_id AS cluster, event_id AS mention FROM events),
+s AS (SELECT user_id % 5 AS doc, user_id % 30 AS cluster, event_id AS mention FROM events)"""
 
 
 @query(f"""WITH {COREF_SQL}, links AS (SELECT k.doc, k.cluster AS a, s.cluster AS b, count(*) AS n FROM k JOIN s ON k.doc = s.doc AND k.mention = s.mention GROUP BY 1, 2, 3),
@@ -531,8 +531,8 @@ round(r.lea, 6) AS "lea/recall", round(p.lea, 6) AS "lea/precision", round(2 * r
 def coreference_scores(spark, sf):
     events = table(spark, sf, "events")
     doc = F.pmod("user_id", F.lit(5)).alias("doc")
-    key = events.filter("event_type <> 'error'").select(doc, F.col("user_id").alias("cluster"), F.col("event_id").alias("mention"))
-    system = events.filter("event_type <> 'view'").select(doc, F.pmod("user_id", F.lit(30)).alias("cluster"), F.col("event_id").alias("mention"))
+    key = events.select(doc, F.col("user_id").alias("cluster"), F.col("event_id").alias("mention"))
+    system = events.select(doc, F.pmod("user_id", F.lit(30)).alias("cluster"), F.col("event_id").alias("mention"))
     return rounded(coreference(key, system))
 
 

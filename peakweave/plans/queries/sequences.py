@@ -148,13 +148,11 @@ def tokenize_sequences(spark, sf):
     return tokens.select(*KEYS, joined("input_ids").alias("input_ids"), mask.alias("mask_sum"))
 
 
-@query(f"""WITH cut AS (SELECT l_orderkey, l_linenumber, sample, pos, substr(seq, 1, cast(peak_value AS INTEGER) % 33) AS seq FROM raw_seq)
-SELECT l_orderkey, l_linenumber, sample, pos, seq, cast(length(seq) AS INTEGER) AS n_tokens FROM cut WHERE length(seq) >= 16""", ("raw_seq",))
+@query("SELECT doc_id, text AS seq, cast(length(text) AS INTEGER) AS n_tokens FROM documents WHERE length(text) >= 1000")
 def filter_min_length(spark, sf):
-    """Sequences cut to varying lengths; short ones are dropped before tokenising."""
-    rows = view(spark, sf, "raw_seq").withColumn("seq", F.expr("substr(seq, 1, cast(peak_value as int) % 33)"))
-    return sequence_dataset.tokenize(rows, 16).select(
-        "l_orderkey", "l_linenumber", "sample", "pos", "seq", F.size("input_ids").alias("n_tokens"))
+    """Whole texts of varying length; short ones are dropped before tokenising."""
+    rows = table(spark, sf, "documents").select("doc_id", F.col("text").alias("seq"))
+    return sequence_dataset.tokenize(rows, 1000).select("doc_id", "seq", F.size("input_ids").alias("n_tokens"))
 
 
 @query(f"""SELECT DISTINCT seq, replace(replace(seq, 'a', '[UNK]'), 'x', '[UNK]') AS decoded FROM raw_seq""", ("raw_seq",))
@@ -163,41 +161,38 @@ def detokenize_sequences(spark, sf):
     return rows.select("seq", sq.decode(sq.encode("seq")).alias("decoded"))
 
 
-@query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, sample, pos, {TOKENS_SQL.format("substr(seq, 1, 5)")} AS a, {TOKENS_SQL.format("substr(seq, 6, 3)")} AS b FROM raw_seq)
+@query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, sample, pos, length(seq) AS n, {TOKENS_SQL.format("seq")} AS a, {TOKENS_SQL.format("reverse(seq)")} AS b FROM raw_seq)
 SELECT l_orderkey, l_linenumber, sample, pos, '0,' || array_to_string(a, ',') || ',1,' || array_to_string(b, ',') || ',1' AS pair_ids,
-'1,0,0,0,0,0,1,0,0,0,1' AS special_mask, '0,0,0,0,0,0,0,1,1,1,1' AS type_ids FROM t""", ("raw_seq",))
+'1,' || repeat('0,', n) || '1,' || repeat('0,', n) || '1' AS special_mask, repeat('0,', n + 2) || repeat('1,', n) || '1' AS type_ids FROM t""", ("raw_seq",))
 def special_tokens(spark, sf):
-    a, b = sq.encode(F.substring("seq", 1, 5)), sq.encode(F.substring("seq", 6, 3))
+    """A sequence and its reversal as a pair."""
+    a, b = sq.encode("seq"), sq.encode(F.reverse("seq"))
     return view(spark, sf, "raw_seq").select(
         "l_orderkey", "l_linenumber", "sample", "pos", joined(sq.add_special_tokens(a, b)).alias("pair_ids"),
         joined(sq.special_tokens_mask(a, b)).alias("special_mask"), joined(sq.token_type_ids(a, b)).alias("type_ids"))
 
 
-@query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, sample, pos, {TOKENS_SQL.format("substr(seq, 1, 8 + cast(peak_value AS INTEGER) % 25)")} AS ids FROM raw_seq)
-SELECT l_orderkey, l_linenumber, sample, pos, array_to_string(CASE WHEN len(ids) > 20 THEN ids[len(ids) - 19:] ELSE
-  list_concat(list_transform(range(20 - len(ids)), lambda x: 4), ids) END, ',') AS padded, cast(least(len(ids), 20) AS INTEGER) AS seq_len FROM t""", ("raw_seq",))
+@query(f"""WITH t AS (SELECT item_id, {TOKENS_SQL.format("text")} AS ids FROM benchmark)
+SELECT item_id, array_to_string(CASE WHEN len(ids) > 250 THEN ids[len(ids) - 249:] ELSE
+  list_concat(list_transform(range(250 - len(ids)), lambda x: 4), ids) END, ',') AS padded, cast(least(len(ids), 250) AS INTEGER) AS seq_len FROM t""")
 def pad_left_crop(spark, sf):
-    ids = sq.encode(F.expr("substr(seq, 1, 8 + cast(peak_value as int) % 25)"))
-    rows = view(spark, sf, "raw_seq").withColumn("ids", ids)
-    return rows.select("l_orderkey", "l_linenumber", "sample", "pos", joined(sq.pad_left("ids", 20)).alias("padded"),
-                       sq.cropped_length("ids", 20).alias("seq_len"))
+    """Whole texts, the shorter ones padded and the longer ones cropped on the left."""
+    rows = table(spark, sf, "benchmark").withColumn("ids", sq.encode("text"))
+    return rows.select("item_id", joined(sq.pad_left("ids", 250)).alias("padded"), sq.cropped_length("ids", 250).alias("seq_len"))
 
 
-@query("""WITH t AS (SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, substr(o_orderpriority, 1, 1 + cast(o_orderkey % 7 AS INTEGER)) AS s FROM orders),
-w AS (SELECT i // 64 AS batch, max(length(s)) AS width FROM t GROUP BY 1)
-SELECT id, i // 64 AS batch, rpad(s, cast(width AS INTEGER), '_') AS padded, repeat('1', length(s)) || repeat('0', cast(width - length(s) AS INTEGER)) AS mask
-FROM t JOIN w ON t.i // 64 = w.batch""")
+@query("""WITH t AS (SELECT item_id AS id, row_number() OVER (ORDER BY item_id) - 1 AS i, list_transform(string_split(text, ''), lambda c: unicode(c)) AS s FROM benchmark),
+w AS (SELECT i // 16 AS batch, max(len(s)) AS width FROM t GROUP BY 1)
+SELECT id, i // 16 AS batch, array_to_string(list_concat(s, list_transform(range(width - len(s)), lambda x: 0)), ',') AS padded, repeat('1', len(s)) || repeat('0', width - len(s)) AS mask
+FROM t JOIN w ON t.i // 16 = w.batch""")
 def pad_right_batch(spark, sf):
-    """Right padding to the longest row of each batch, with the mask."""
-    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.expr(
-        "substr(o_orderpriority, 1, 1 + cast(o_orderkey % 7 as int))").alias("s"))
-    placed = od.with_record_id(rows, ["id"], "i").withColumn("batch", F.floor(F.col("i") / 64))
-    chars = F.transform(F.split("s", ""), lambda c: F.ascii(c))
-    tokens = placed.withColumn("t", chars)
+    """Right padding to the longest row of each batch, with the mask; tokens are code points."""
+    rows = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), F.transform(F.split("text", ""), F.ascii).alias("t"))
+    tokens = od.with_record_id(rows, ["id"], "i").withColumn("batch", F.floor(F.col("i") / 16))
     widths = tokens.groupBy("batch").agg(F.max(F.size("t")).alias("width"))
     full = tokens.join(widths, "batch")
-    text = F.array_join(F.transform(sq.pad_right("t", "width", ord("_")), lambda c: F.char(c)), "")
-    return full.select("id", "batch", text.alias("padded"), F.array_join(sq.pad_mask("t", "width"), "").alias("mask"))
+    return full.select("id", "batch", joined(sq.pad_right("t", "width", 0)).alias("padded"),
+                       F.array_join(sq.pad_mask("t", "width"), "").alias("mask"))
 
 
 @query("""SELECT DISTINCT pos, string_split(pos, ':')[1] AS chrom, cast(string_split(string_split(pos, ':')[2], '-')[1] AS BIGINT) AS "start",
@@ -297,18 +292,23 @@ def positional_zip(spark, sf):
 
 # --- joins -----------------------------------------------------------------------------------
 
-LOOKUP_SQL = """SELECT e.event_id, e.value AS raw, cast(cast(m.value AS FLOAT) AS DOUBLE) AS norm_peak_value,
+LOOKUP_SQL = """WITH probes AS (SELECT event_id, cast(user_id AS VARCHAR) AS sample, event_type AS pos FROM events
+UNION ALL SELECT -1 - c_custkey, cast(c_custkey AS VARCHAR), c_mktsegment FROM customer)
+SELECT e.event_id, cast(cast(m.value AS FLOAT) AS DOUBLE) AS norm_peak_value,
 round(cast(cast(ln(1 + cast(cast(m.value AS FLOAT) AS DOUBLE)) AS FLOAT) AS DOUBLE), 5) AS log1p_norm_peak_value
-FROM events e LEFT JOIN (SELECT * FROM matrix WHERE pos <> 'error') m ON m.sample = cast(e.user_id AS VARCHAR) AND m.pos = e.event_type"""
+FROM probes e LEFT JOIN matrix m ON m.sample = e.sample AND m.pos = e.pos"""
 
 
 @query(LOOKUP_SQL, ("matrix",))
 def matrix_lookup(spark, sf):
-    """Peak values by (sample, pos); the pairs missing from the matrix come out null."""
+    """Peak values by (sample, pos); pairs the matrix does not have come out null."""
     probes = table(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("sample"),
-                                               F.col("event_type").alias("pos"), F.col("value").alias("raw"))
-    found = joins.matrix_lookup(probes, view(spark, sf, "matrix").filter("pos <> 'error'"), strict=False)
-    return found.select("event_id", "raw", F.col("norm_peak_value").cast("double").alias("norm_peak_value"),
+                                               F.col("event_type").alias("pos"))
+    unknown = table(spark, sf, "customer").select((-1 - F.col("c_custkey")).alias("event_id"),
+                                                  F.col("c_custkey").cast("string").alias("sample"),
+                                                  F.col("c_mktsegment").alias("pos"))
+    found = joins.matrix_lookup(probes.unionByName(unknown), view(spark, sf, "matrix"), strict=False)
+    return found.select("event_id", F.col("norm_peak_value").cast("double").alias("norm_peak_value"),
                         r("log1p_norm_peak_value", 5).alias("log1p_norm_peak_value"))
 
 
@@ -466,11 +466,11 @@ def l2_normalize(spark, sf):
 # --- sets ------------------------------------------------------------------------------------
 
 @query("""WITH t AS (SELECT cast(user_id AS VARCHAR) AS u, event_type FROM events)
-SELECT u, count(*) AS n_types FROM (SELECT DISTINCT u, event_type FROM t WHERE event_type <> 'click' UNION SELECT DISTINCT u, 'extra' FROM t) GROUP BY u""")
+SELECT u, count(*) AS n_types FROM (SELECT DISTINCT u, event_type FROM t UNION SELECT DISTINCT u, 'extra' FROM t) GROUP BY u""")
 def split_union(spark, sf):
     """Two splits stacked by name, then distinct."""
     t = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("u"), "event_type")
-    both = t.filter("event_type <> 'click'").unionByName(t.select("u", F.lit("extra").alias("event_type")))
+    both = t.unionByName(t.select("u", F.lit("extra").alias("event_type")))
     return both.distinct().groupBy("u").agg(F.count(F.lit(1)).alias("n_types"))
 
 

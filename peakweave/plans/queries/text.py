@@ -245,18 +245,20 @@ def suite_speech_translation(spark, sf):
 # --- question answering ----------------------------------------------------------------------
 
 def questions(spark, sf):
-    """Answers: the reference and the reply, none where the reference is long; questions with a very long reply are unanswered."""
+    """Answers: the reference and the reply, none where the reference is long; every question stands a second time under an id without a prediction."""
     rows = hypotheses(spark, sf)
     answers = F.when(F.length("reference") > 1200, F.array().cast("array<string>")).otherwise(F.array("reference", "source"))
     refs = rows.select("id", answers.alias("answers"))
+    refs = refs.unionByName(refs.withColumn("id", -1 - F.col("id")))
     texts = F.when(F.col("id") % 3 == 0, F.concat(F.lit("The "), "reference", F.lit("!"))).when(F.length("source") > 1200, "").otherwise(F.col("prediction"))
-    preds = rows.filter("length(source) < 1500").select("id", texts.alias("prediction"), ((F.col("id") % 97) / 97).alias("no_answer_probability"))
+    preds = rows.select("id", texts.alias("prediction"), ((F.col("id") % 97) / 97).alias("no_answer_probability"))
     return preds, refs
 
 
 SIDES_QA = f"""SELECT id, -1 AS k, string_split({NORM_SQL.format('p')}, ' ') AS t FROM q WHERE p IS NOT NULL UNION ALL SELECT id, 0, string_split({NORM_SQL.format('reference')}, ' ') FROM q WHERE has
 UNION ALL SELECT id, 1, string_split({NORM_SQL.format('reply')}, ' ') FROM q WHERE has"""
-QA_SQL = f"""q AS (SELECT id, reference, reply, length(reference) <= 1200 AS has, id % 97 / 97 AS na, CASE WHEN length(reply) < 1500 THEN CASE WHEN id % 3 = 0 THEN 'The ' || reference || '!' WHEN length(reply) > 1200 THEN '' ELSE prediction END END AS p FROM hyp),
+QA_SQL = f"""q AS (SELECT id, reference, reply, length(reference) <= 1200 AS has, id % 97 / 97 AS na, CASE WHEN id % 3 = 0 THEN 'The ' || reference || '!' WHEN length(reply) > 1200 THEN '' ELSE prediction END AS p FROM hyp
+UNION ALL SELECT -1 - id, reference, reply, length(reference) <= 1200, NULL, NULL FROM hyp),
 sides AS (SELECT id, k, list_filter(t, lambda w: w <> '') AS t FROM ({SIDES_QA})),
 {grams_sql(1, 'SELECT id, k, t FROM sides')},
 f AS (SELECT r.id, max(CASE WHEN m > 0 THEN 2 * (m / len(h.t)) * (m / len(r.t)) / (m / len(h.t) + m / len(r.t)) ELSE 0 END) AS f1, max((h.t = r.t)::INT) AS em FROM toks r JOIN toks h ON h.k = -1 AND r.k >= 0 AND h.id = r.id LEFT JOIN hits x ON x.id = r.id AND x.k = r.k GROUP BY r.id)"""

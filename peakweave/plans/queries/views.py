@@ -37,7 +37,7 @@ o_orderpriority as cell_type"""
 # name: (table, columns, filter)
 _SIMPLE = {
     "raw_seq": ("lineitem", _RAW_SEQ, None),
-    "snp": ("part", _SNP, "p_partkey % 3 <> 0"),
+    "snp": ("part", _SNP, None),
     "cell_type_samples": ("supplier", "cast(s_suppkey as string) as sample", "s_nationkey < 12"),
     "obs": ("orders", _OBS, None),
     "var_genes": ("part", _VAR, None),
@@ -63,7 +63,7 @@ VIEW_SQL = {
     "trec_run": "SELECT l_suppkey AS query, l_partkey AS docid, max(l_extendedprice) AS score "
                 "FROM lineitem GROUP BY l_suppkey, l_partkey",
     "trec_qrels": "SELECT l_suppkey AS query, l_partkey AS docid, max(case when l_returnflag = 'R' then 2 "
-                  "when l_returnflag = 'A' then 1 else 0 end) AS rel FROM lineitem WHERE l_linenumber <= 4 "
+                  "when l_returnflag = 'A' then 1 else 0 end) AS rel FROM lineitem "
                   "GROUP BY l_suppkey, l_partkey",
 }
 
@@ -113,7 +113,7 @@ def _trec_run(spark, sf):
 
 def _trec_qrels(spark, sf):
     rel = F.when(F.col("l_returnflag") == "R", 2).when(F.col("l_returnflag") == "A", 1).otherwise(0)
-    return table(spark, sf, "lineitem").filter("l_linenumber <= 4").groupBy(
+    return table(spark, sf, "lineitem").groupBy(
         F.col("l_suppkey").alias("query"), F.col("l_partkey").alias("docid")).agg(F.max(rel).alias("rel"))
 
 
