@@ -28,7 +28,7 @@ class Metric:
 
 
 _FACTORIES: dict[str, Callable[..., Metric]] = {}
-_MODULES = ("regression", "classification", "ranking", "textgen")
+_MODULES = ("regression", "classification", "ranking", "textgen", "named")
 
 
 def register(name: str):

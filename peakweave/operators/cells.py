@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peakweave.functions.numeric import ratio
-from peakweave.operators.joins import require
+from peakweave.operators.joins import join_groups, require
 from peakweave.operators.ordering import ordered_scan
+from peakweave.operators.quantiles import group_quantiles
 from peakweave.operators.smoothing import local_regression
 from peakweave.session import materialize
 from peakweave.sources.matrix import CellMatrix
@@ -199,16 +200,18 @@ def normalized_dispersion(moments: DataFrame, batch: Sequence[str] = ()) -> Data
     normal's deviation) divided out. The input has one row per gene.
     """
     disp = moments.withColumn("dispersion", F.col("variance") / F.when(F.col("mean") == 0, 1e-12).otherwise(F.col("mean")))
-    grid = [p / 100 for p in range(10, 105, 5)]
-    edges = disp.groupBy(*batch).agg(F.percentile("mean", F.array(*map(F.lit, grid))).alias("__edges"))
+    disp = materialize(disp)  # one row per gene and batch, read by three quantile sorts
+    cuts = {f"__e{p}": p / 100 for p in range(10, 105, 5)}
+    edges = group_quantiles(disp, "mean", cuts, batch).select(*batch, F.array(*cuts).alias("__edges"))
     # right-closed bins: a mean equal to an edge belongs to the bin below it
-    binned = (disp.join(edges, list(batch)) if batch else disp.join(F.broadcast(edges))).withColumn(
+    binned = join_groups(disp, edges, batch).withColumn(
         "mean_bin", F.size(F.filter("__edges", lambda e: e < F.col("mean")))).drop("__edges")
     keys = [*batch, "mean_bin"]
-    medians = binned.groupBy(*keys).agg(F.median("dispersion").alias("__median"))
-    centred = binned.join(medians, keys).withColumn("__dev", F.col("dispersion") - F.col("__median"))
-    mads = centred.groupBy(*keys).agg((F.median(F.abs("__dev")) / F.lit(0.6744897501960817)).alias("__mad"))
-    return centred.join(mads, keys).withColumn(
+    medians = group_quantiles(binned, "dispersion", {"__median": 0.5}, keys)
+    centred = join_groups(binned, medians, keys).withColumn("__dev", F.col("dispersion") - F.col("__median"))
+    mads = group_quantiles(centred.withColumn("__away", F.abs("__dev")), "__away", {"__mad": 0.5}, keys).withColumn(
+        "__mad", F.col("__mad") / F.lit(0.6744897501960817))
+    return join_groups(centred, mads, keys).withColumn(
         "dispersion_norm", ratio(F.col("__dev"), F.col("__mad"), None)).drop("__dev", "__median", "__mad")
 
 
@@ -291,7 +294,7 @@ def prepare_for_ranking(matrix: CellMatrix, gene_map: DataFrame | None, params:
     """
     matrix = matrix.with_(var=map_gene_ids(matrix.var, gene_map, gene_col))
     matrix = with_raw_counts(matrix, params)
-    matrix = add_qc(matrix.with_(counts=materialize(matrix.counts)))
+    matrix = add_qc(matrix)
     matrix = matrix.with_(obs=matrix.obs.withColumn("n_counts", F.col("total_counts")))  # before the filters
     matrix = filter_cells_then_genes(matrix, params.min_genes_per_cell, params.min_cells_per_gene)
     matched = F.col("ensembl_id").isNotNull()
@@ -312,8 +315,9 @@ def prepare_for_binning(matrix: CellMatrix, vocab: DataFrame, params: CellParams
     matrix = with_raw_counts(matrix.with_(var=var), params)
     matrix = matrix.with_(counts=restrict_genes(matrix.counts, matrix.var))
     matrix = filter_by_counts(matrix, params.min_counts_per_gene, params.min_counts_per_cell)
-    counts = materialize(normalize_log1p(matrix.counts, params.target_sum))
+    counts = normalize_log1p(matrix.counts, params.target_sum)
     if params.n_hvg >= 1:
+        counts = materialize(counts)  # read by the selection and by the result
         if params.hvg_flavor == "seurat_v3" or params.count_raw_data:
             if batch:
                 raise NotImplementedError("variance-stabilised selection per batch")
@@ -342,7 +346,7 @@ def binned_tokens(matrix: CellMatrix, vocab: DataFrame, layer: str = "X_binned",
     """Per cell its gene ids and bin values in gene order, <cls> (value 0) first.
 
     Unknown genes take the pad id. Cells longer than max_length keep <cls> and a
-    seeded sample of genes; with padding every row is filled to the longest row
+    seeded sample of genes, the others are left out (None keeps all); with padding every row is filled to the longest row
     (max_length at most) with the pad id and pad_value.
     """
     special = {r["gene"]: r["id"] for r in vocab.filter(F.col("gene").isin(cls_token, pad_token)).collect()}
@@ -350,17 +354,18 @@ def binned_tokens(matrix: CellMatrix, vocab: DataFrame, layer: str = "X_binned",
     ids = matrix.var.join(vocab.select(F.col("gene").alias(name), F.col("id").alias("__id")), name, "left").select(
         "gene", F.coalesce("__id", F.lit(special[pad_token])).cast("int").alias("gene_id"))
     entries = matrix.counts.select("cell_id", "gene", F.col(layer).cast("double").alias("v"))
-    if include_zero:
-        # every cell gets every gene: that dense output is what the option asks for
-        dense = matrix.obs.select("cell_id").join(F.broadcast(ids.select("gene")))
-        entries = dense.join(entries, ["cell_id", "gene"], "left").na.fill(0.0, ["v"])
-    else:
-        entries = entries.filter("v > 0")
-    tokens = entries.join(ids, "gene")
+    tokens = (entries if include_zero else entries.filter("v > 0")).join(ids, "gene")
     # a cell holds one row per gene at most, so its list has a fixed bound
     packed = tokens.groupBy("cell_id").agg(F.array_sort(F.collect_list(F.struct("gene", "gene_id", "v"))).alias("t"))
     cells = matrix.obs.select("cell_id").join(packed, "cell_id", "left").withColumn(
         "t", F.coalesce("t", F.array().cast(packed.schema["t"].dataType)))
+    if include_zero:
+        # the dense row of a cell comes from the one array of all genes, not from cells x genes rows
+        genes = ids.agg(F.array_sort(F.collect_list(F.struct("gene", "gene_id"))).alias("__genes"))
+        held = F.map_from_entries(F.transform("t", lambda s: F.struct(s["gene"], s["v"])))
+        cells = cells.join(F.broadcast(genes)).withColumn("__held", held).withColumn("t", F.transform(  # one row
+            "__genes", lambda g: F.struct(g["gene"].alias("gene"), g["gene_id"].alias("gene_id"), F.coalesce(
+                F.try_element_at("__held", g["gene"]), F.lit(0.0)).alias("v")))).drop("__genes", "__held")
     if max_length:
         cells = cells.withColumn("t", F.when(F.size("t") > max_length - 1, _sampled("t", max_length - 1, seed)).otherwise(
             F.col("t")))
@@ -370,10 +375,8 @@ def binned_tokens(matrix: CellMatrix, vocab: DataFrame, layer: str = "X_binned",
         F.concat(F.array(F.lit(0.0)), F.transform("t", lambda s: s["v"])).alias("values"))
     if not padding:
         return rows
-    # the longest row, from counts alone
-    longest = tokens.groupBy("cell_id").count().agg((1 + F.coalesce(F.max("count"), F.lit(0))).cast("int").alias("__w"))
-    if max_length:
-        longest = longest.select(F.least("__w", F.lit(max_length)).alias("__w"))
+    rows = materialize(rows)  # packed once: the width comes from the rows themselves
+    longest = rows.agg(F.coalesce(F.max(F.size("genes")), F.lit(1)).alias("__w"))
     fill = F.greatest(F.col("__w") - F.size("genes"), F.lit(0))
     return rows.join(F.broadcast(longest)).select(  # one row
         "cell_id",
@@ -398,7 +401,8 @@ def rank_tokens(matrix: CellMatrix, gene_tokens: DataFrame, model_input_size: in
     """Per cell the token ids of its genes, highest median-scaled expression first.
 
     `gene_tokens` has (gene_key, token, median); genes without a token are left out.
-    Equal scores order by token. Cells whose `filter_pass` is 0 are dropped.
+    Equal scores order by token; of a cell's genes the first `model_input_size` stay, the others are left out.
+    Cells whose `filter_pass` is 0 are dropped.
     """
     obs = matrix.obs.filter("filter_pass = 1") if "filter_pass" in matrix.obs.columns else matrix.obs
     missing = [c for c in keep if c not in obs.columns]
@@ -424,5 +428,11 @@ def cells_per_sample(obs: DataFrame) -> DataFrame:
 
 
 # What a named cell model needs: the preparation of the matrix and the tokens made of it.
-PREPARATIONS = {"rank": prepare_for_ranking, "bin": prepare_for_binning}
-TOKENIZERS = {"rank": rank_tokens, "bin": binned_tokens}
+RECIPES = {"rank": (prepare_for_ranking, rank_tokens), "bin": (prepare_for_binning, binned_tokens)}
+
+
+def recipe(name: str):
+    """(preparation, tokenizer) of a cell model by name."""
+    if name not in RECIPES:
+        raise KeyError(f"unknown cell recipe {name!r}; known: {sorted(RECIPES)}")
+    return RECIPES[name]

@@ -163,16 +163,18 @@ def exact_split(df: DataFrame, key: str, ratio: float, seed: int, column: str =
     """
     hashed = df.select(F.col(key).alias("k"), shuffle_key(key, seed).alias("h"))
     prefix = F.substring("h", 1, 4)
-    counts = hashed.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n"))  # 65536 prefixes at most
-    running = counts.withColumn("upto", F.sum("n").over(
-        Window.orderBy("p").rowsBetween(Window.unboundedPreceding, 0)))
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    # 65536 prefixes at most, counted in one scan
+    counts = sorted(hashed.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    total = sum(row["n"] for row in counts)
     wanted = min(math.ceil(ratio * total), total)
     test, train = F.lit(names[1]), F.lit(names[0])
     if wanted <= 0:
         return df.withColumn(column, train)
-    at = running.filter(F.col("upto") >= wanted).orderBy("p").first()
-    nth = wanted - (at["upto"] - at["n"])
+    nth, at = wanted, counts[0]
+    for at in counts:
+        if nth <= at["n"]:
+            break
+        nth -= at["n"]
     # `nth` rows of one prefix: 1/65536 of the keys, spread evenly by the hash
     inside = ordered_scan(hashed.filter(prefix == at["p"]), ["h", "k"], index="i")
     cut = inside.filter(F.col("i") == nth - 1).first()

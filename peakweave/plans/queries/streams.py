@@ -56,7 +56,7 @@ def stream_metrics(spark, sf):
     stream = jobs.read_parquet_stream(spark, sf, table(spark, sf, "lineitem").schema, "lineitem.parquet")
     pairs = stream.select(F.col("l_discount").alias("prediction"), F.col("l_tax").alias("reference"), F.col("l_returnflag").alias("grp"))
     run(jobs.accumulate_metrics(pairs, ["mse", "mae", get("pearsonr", p_value=False)], out, out + "-checkpoint", ["grp"]))
-    return rounded(spark.read.parquet(out))
+    return rounded(jobs.newest_metrics(spark, out))
 
 
 @query("SELECT 250 AS n, 250 AS n_known")

@@ -33,21 +33,21 @@ def write_json_shards(df: DataFrame, directory: str, num_shards: int = 500, inde
                       shard_mode: str = "strided", compression: str = "none", mode: str = "errorifexists") -> None:
     """JSON-lines export, one directory per split and shard of the contiguous `index`.
 
-    Shards hold equal row counts by construction, so hashing on (split, shard) gives
-    even tasks; a shard is written by one task as one file.
+    Rows are rebalanced on (split, shard): adaptive execution joins small shards into one
+    task and lets several tasks write a large one, each its own file.
     """
     sharded = with_shard(df, num_shards, index, shard_mode)
     keys = [c for c in ("split", "shard") if c in sharded.columns]
-    (sharded.repartition(num_shards, *keys).write.mode(mode).option("compression", compression)
+    (sharded.hint("rebalance", *keys).write.mode(mode).option("compression", compression)
      .partitionBy(*keys).json(directory))
 
 
 def write_parquet_shards(df: DataFrame, directory: str, num_shards: int, index: str = "record_id",
                          mode: str = "errorifexists") -> None:
-    """Per-shard output of wide rows, such as embeddings."""
+    """Per-shard output of wide rows, such as embeddings; rebalanced like the JSON shards."""
     sharded = with_shard(df, num_shards, index)
     keys = [c for c in ("split", "shard") if c in sharded.columns]
-    sharded.repartition(num_shards, *keys).write.mode(mode).partitionBy(*keys).parquet(directory)
+    sharded.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(directory)
 
 
 def write_csv(df: DataFrame, directory: str, mode: str = "errorifexists") -> None:

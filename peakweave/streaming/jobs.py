@@ -69,8 +69,9 @@ def accumulate_metrics(stream: DataFrame, metrics: Sequence[Metric | str], direc
                        group_by: Sequence[str] = ()) -> StreamingQuery:
     """Keep the sufficient statistics of fused metrics as streaming state, one row per group.
 
-    Every micro-batch replaces the table in `directory` by the finished metrics so far.
-    Writing it again after a failure gives the same table.
+    Every micro-batch writes the finished metrics so far as a folder of its own below
+    `directory`; `newest_metrics` reads the last complete one. Writing one again after a
+    failure gives the same table, and none is missing meanwhile.
     """
     metrics = [get(m) if isinstance(m, str) else m for m in metrics]
     unfit = [m.name for m in metrics if m.compute is not None]
@@ -82,8 +83,14 @@ def accumulate_metrics(stream: DataFrame, metrics: Sequence[Metric | str], direc
                 for m in metrics for name, expr in m.finish.items()]
     stats = stream.groupBy(*keys).agg(*partials)
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.select(*keys, *finished).write.mode("overwrite").parquet(directory)
+    def publish(batch: DataFrame, epoch: int) -> None:
+        batch.select(*keys, *finished).write.mode("overwrite").parquet(f"{directory}/epoch={epoch}")
 
     return (stats.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
             .foreachBatch(publish).trigger(availableNow=True).start())
+
+
+def newest_metrics(spark: SparkSession, directory: str) -> DataFrame:
+    """The metrics of the last epoch that was written whole."""
+    epochs = spark.read.parquet(directory)
+    return epochs.join(F.broadcast(epochs.agg(F.max("epoch").alias("epoch"))), "epoch").drop("epoch")  # one row

@@ -188,3 +188,10 @@ def test_variance_stabilized_genes(spark):
     x = np.minimum(counts, mean + sd * np.sqrt(60))
     norm = (60 * mean ** 2 + (x ** 2).sum(0) - 2 * mean * x.sum(0)) / (59 * sd ** 2)
     assert len(set(got) & set(np.argsort(-norm)[:12])) >= 9
+
+
+def test_recipes_by_name():
+    assert cl.recipe("rank") == (cl.prepare_for_ranking, cl.rank_tokens)
+    assert cl.recipe("bin") == (cl.prepare_for_binning, cl.binned_tokens)
+    with pytest.raises(KeyError, match="known"):
+        cl.recipe("other")

@@ -79,3 +79,17 @@ def test_group_join_keeps_nulls_on_both_sides(spark):
     full = {x.g: (x.a, x.b) for x in joins.join_groups(a, b, ["g"], "full").collect()}
     assert full == {None: (1, 3), "x": (2, None), "y": (None, 4)}
     assert joins.join_groups(a, b.select(F.max("b").alias("b")), []).count() == 2
+
+
+def test_corpus_metrics_by_name(spark):
+    texts = spark.createDataFrame([(1, "a small red kite flies", ["a small red kite flies"], "a kite")],
+                                  "id int, prediction string, references array<string>, source string")
+    for name, column in (("bleu", "bleu"), ("google_bleu", "google_bleu"), ("rouge", "rouge1")):
+        assert evaluate(texts, [name]).first()[column] == pytest.approx(1.0)
+    assert evaluate(texts, ["sacrebleu"]).first().score == pytest.approx(100)
+    answers = spark.createDataFrame([(1, "kite", ["a kite"])], "id int, prediction string, answers array<string>")
+    assert evaluate(answers, ["squad"]).first().exact_match == 100.0
+    run = spark.createDataFrame([(1, 5, 0.5, 1), (1, 6, 0.4, None)], "query int, docid int, score double, rel int")
+    assert evaluate(run, ["trec_eval"]).first()["P@5"] == pytest.approx(0.2)
+    with pytest.raises(ValueError, match="whole corpus"):
+        evaluate(texts, ["bleu"], ["source"])
