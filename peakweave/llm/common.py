@@ -79,15 +79,20 @@ def held_crc(doc_ids: list, divisor: int) -> list[int]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, learn: Column) -> list[tuple[str, int]]:
-    """At most `per_class` labelled texts of each class, chosen by a hash of their id among the rows `learn` admits.
+    """About `per_class` labelled texts of each class, or all of fewer, among the rows `learn` admits.
 
-    The bound keeps the sample on the driver of fixed size; an id labelled twice counts once, as the larger label.
+    A row is taken when the hash of its id falls below the share its class needs, so the sample is of fixed size on the
+    driver however many labels there are; an id labelled twice counts once, as the larger label.
     """
     known = labels.filter(learn).filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(label).cast("int").alias("label"))
-    parts = [known.filter(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)]
-    chosen = parts[0].unionByName(parts[1])
-    # at most two times `per_class` narrow rows
+    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}  # two rows
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
+    wanted = F.lit(False)
+    for value, size in sizes.items():
+        wanted = wanted | ((F.col("label") == value) & (place < min(1.0, per_class / size)))
+    chosen = known.filter(wanted)
+    # about two times `per_class` narrow rows
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect()
     return [(r["text"] or "", r["label"]) for r in sorted(rows, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))]
 

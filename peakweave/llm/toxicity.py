@@ -18,6 +18,7 @@ the other in the labels (0 or 1; 0 without labels); repeated rows get equal scor
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -40,11 +41,15 @@ REMEMBERED = 500_000
 
 
 def without_copies(texts: list[tuple[bytes, int]], shingle: int = 5, most: float = 0.5) -> list[tuple[bytes, int]]:
-    """The texts of a sample without those that share over `most` of their shingles with earlier ones."""
+    """The texts of a sample without those that share over `most` of their shingles with earlier ones.
+
+    Shingles are compared by a sketch: those whose hash is divisible by 16, and the smallest one.
+    """
     seen, kept = set(), []
     for text, label in texts:
         words = alnum_words(text)
-        own = {tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
+        hashes = [zlib.crc32(b" ".join(words[i : i + shingle])) for i in range(max(1, len(words) - shingle + 1))]
+        own = {h for h in hashes if h % 16 == 0} | {min(hashes)}
         if len(own & seen) <= most * len(own):
             kept.append((text, label))
         seen |= own
