@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from peakweave.llm import (
-    decontamination, licenses, packing, pii, quality_classifier, quality_rules, recurrent_lm, simhash, token_counts,
+    decontamination, licenses, oracles, packing, pii, quality_classifier, quality_rules, recurrent_lm, simhash, token_counts,
     toxicity)
 from peakweave.llm.common import crc_mod, table
 
@@ -66,4 +66,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_licenses": oracles.license_sql(), "op8_decontamination": oracles.decontamination_sql(),
+            "op9_quality_rules": oracles.quality_rules_sql()}
