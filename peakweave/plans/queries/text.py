@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from peakweave.functions import text as tx
@@ -139,9 +141,27 @@ def chrf(spark, sf):
     return rounded(tg.chrf(hypotheses(spark, sf), "id").select("score"))
 
 
-@query()
+def _marked_words(c: str) -> str:
+    """Words, with a punctuation mark at a word's end, else at its start, as a token of its own."""
+    mark = "[" + "".join("\\" + ch for ch in tx.PUNCTUATION).replace("'", "''") + "]"
+    return (f"flatten(list_transform({sql_words(c)}, lambda w: CASE WHEN length(w) = 1 THEN [w] WHEN regexp_matches(w, '{mark}$') THEN [w[:-2], w[-1:]] "
+            f"WHEN regexp_matches(w, '^{mark}') THEN [w[1:1], w[2:]] ELSE [w] END))")
+
+
+def _renamed(sql: str, prefix: str) -> str:
+    for name in ("toks", "grams", "cnt", "hits"):
+        sql = re.sub(rf"\b{name}\b", prefix + name, sql)
+    return sql
+
+
+SIDES_MARKED = f"SELECT id, -1 AS k, {_marked_words('prediction')} AS t FROM hyp UNION ALL SELECT id, 0, {_marked_words('reference')} FROM hyp UNION ALL SELECT id, 1, {_marked_words('reply')} FROM hyp"
+BOTH_KINDS_SQL = f"""{_renamed(grams_sql(6, SIDES_CHARS, ''), 'c_')}, {_renamed(grams_sql(2, SIDES_MARKED), 'w_')},
+cnt AS (SELECT id, k, n, c FROM c_cnt UNION ALL SELECT id, k, n + 6, c FROM w_cnt), hits AS (SELECT * FROM c_hits UNION ALL SELECT id, k, n + 6, m FROM w_hits)"""
+
+
+@query(f"WITH {HYP_SQL}, {BOTH_KINDS_SQL}, {CHRF_SQL} SELECT round(100 * 5 * p * q / (4 * p + q), 6) AS score, 6 AS char_order, 2 AS word_order, 2 AS beta FROM pr", ("text_pairs",))
 def chrf_plus_plus(spark, sf):
-    """chrF with word bigrams; checked against published values in the tests."""
+    """chrF with word bigrams."""
     return rounded(tg.chrf(hypotheses(spark, sf), "id", word_order=2))
 
 
@@ -182,10 +202,36 @@ def character_error_rate(spark, sf):
     return rounded(evaluate(single(spark, sf), ["cer"]))
 
 
-@query()
+def changed_items(spark, sf):
+    """Benchmark texts against themselves with words taken out and changed."""
+    changed = F.replace(F.replace("text", F.lit(" the "), F.lit(" ")), F.lit("on"), F.lit("an"))
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), changed.alias("prediction"), F.col("text").alias("reference"))
+
+
+# The table of the dynamic programme, one row per step of the recursion. What comes from the left in a row is a running
+# extreme: min over k <= j of (step[k] + j - k) for edits, max over k <= j of step[k] for the common subsequence.
+CHANGED_SQL = "changed AS (SELECT item_id AS id, replace(replace(text, ' the ', ' '), 'on', 'an') AS prediction, text AS reference FROM benchmark)"
+EDITS_SQL = """dp AS (SELECT id, 0 AS i, range(0, len(r) + 1) AS line FROM pairs UNION ALL
+SELECT id, i + 1, list_transform(range(0, len(r) + 1), lambda j: j + list_min(list_transform(range(0, j + 1), lambda k: CASE WHEN k = 0 THEN i + 1 ELSE least(line[k + 1] + 1, line[k] + (r[k] <> h[i + 1])::INT) - k END)))
+FROM dp JOIN pairs USING (id) WHERE i < len(h)), last AS (SELECT id, line[len(r) + 1] AS d, len(h) AS h, len(r) AS r FROM dp JOIN pairs USING (id) WHERE i = len(h))"""
+COMMON_SQL = """dp AS (SELECT id, 0 AS i, list_transform(range(0, len(r) + 1), lambda j: 0::BIGINT) AS line FROM pairs UNION ALL
+SELECT id, i + 1, list_transform(range(0, len(r) + 1), lambda j: list_max(list_transform(range(0, j + 1), lambda k: CASE WHEN k = 0 THEN 0::BIGINT ELSE greatest(line[k + 1], line[k] + (r[k] = h[i + 1])::BIGINT) END)))
+FROM dp JOIN pairs USING (id) WHERE i < len(h)), last AS (SELECT id, line[len(r) + 1] AS d, len(h) AS h, len(r) AS r FROM dp JOIN pairs USING (id) WHERE i = len(h))"""
+
+
+@query(f"""WITH RECURSIVE {CHANGED_SQL}, pairs AS (SELECT id, {sql_words('prediction')} AS h, {sql_words('reference')} AS r FROM changed), {EDITS_SQL}
+SELECT round(sum(d) / sum(r), 6) + 0.0 AS wer FROM last""")
 def word_error_rate(spark, sf):
-    """Word-level edit distance (too slow in SQL; brute force in the tests)."""
-    return rounded(evaluate(single(spark, sf), ["wer"]))
+    """Word-level edit distance."""
+    return rounded(evaluate(changed_items(spark, sf), ["wer"]))
+
+
+@query(f"""WITH RECURSIVE {CHANGED_SQL}, pairs AS (SELECT id, {_rouge('prediction')} AS h, {_rouge('reference')} AS r FROM changed), {COMMON_SQL}
+SELECT id, round(2 * d / (h + r), 6) + 0.0 AS "rougeL" FROM last""")
+def rouge_longest_sequence(spark, sf):
+    """F-measure of the longest common subsequence, per text."""
+    rows = tg.rouge_rows(changed_items(spark, sf), "id", ("rougeL",))
+    return rounded(rows.select("id", "rougeL"))
 
 
 @query(r"""SELECT round(avg((p = q)::INT), 6) + 0.0 AS exact_match FROM (SELECT translate(translate(lower(regexp_replace(event_type, 'c.', '', 'g')), '_-', ''), '0123456789', '') AS p,
