@@ -119,6 +119,21 @@ def with_record_id(df: DataFrame, order_by: Sequence[str | Column], column: str
     return out.withColumn(column, F.col(column) + F.lit(start)) if start else out
 
 
+def with_file_order_id(scan: DataFrame, column: str = "record_id", start: int = 0) -> DataFrame:
+    """Contiguous ids in the order the rows stand in their files, files by path; `scan` reads files directly.
+
+    Rows stay where they are read: each split counts its rows, and a row's id is its place in
+    its split plus the rows of all earlier splits, a table with one row per split.
+    """
+    place = {"__file": F.col("_metadata.file_path"), "__block": F.col("_metadata.file_block_start")}
+    tagged = scan.select("*", *[c.alias(n) for n, c in place.items()], F.monotonically_increasing_id().alias("__m"))
+    counts = tagged.groupBy(*place).agg(F.count(F.lit(1)).alias("__n"), F.min("__m").alias("__first"))
+    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*place, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + start).alias("__shift"))
+    return tagged.join(F.broadcast(offsets), [*place]).withColumn(column, F.col("__m") + F.col("__shift")).drop(
+        *place, "__m", "__shift")
+
+
 def with_record_id_by_split(df: DataFrame, order_by: Sequence[str | Column], split: str = "split",
                             splits: Sequence[str] = ("train", "test"), column: str = "record_id") -> DataFrame:
     """Ids run through the splits in turn: the second starts where the first ends."""

@@ -9,7 +9,7 @@ from peakweave.metrics import classification as c
 from peakweave.metrics import ranking as rk
 from peakweave.metrics import regression as rg
 from peakweave.metrics import tagging
-from peakweave.metrics.distances import aggregate_scores, coreference, mahalanobis
+from peakweave.metrics.distances import aggregate_scores, coreference, covariance, mahalanobis
 from peakweave.metrics.distribution import mauve
 from peakweave.metrics.qa import multirc
 from peakweave.metrics.reliability import offline_reliability, online_reliability
@@ -150,6 +150,23 @@ def metrics_record(spark, sf):
     return rounded(spark.read.schema("step int, mse double, mae double").json(path), 9)
 
 
+@query("""SELECT cast(i AS INTEGER) AS i, cast(j AS INTEGER) AS j, round(covar_samp(cast(embedding[i + 1] AS DOUBLE), cast(embedding[j + 1] AS DOUBLE)), 6) + 0.0 AS value
+FROM embeddings, range(64) a(i), range(64) b(j) GROUP BY 1, 2""")
+def covariance_entries(spark, sf):
+    """The covariance the distances stand on."""
+    flat = covariance(table(spark, sf, "embeddings"), "embedding").select(
+        "n", F.size("mu").alias("d"), F.posexplode("g").alias("at", "g"))
+    return flat.select(F.floor(F.col("at") / F.col("d")).cast("int").alias("i"), (F.col("at") % F.col("d")).cast("int").alias("j"),
+                       r(F.col("g") / (F.col("n") - 1)).alias("value"))
+
+
+@query("SELECT cast(64 * (count(*) - 1) AS DOUBLE) AS total FROM embeddings")
+def mahalanobis_total(spark, sf):
+    """Over the reference itself, squared distances from the mean vector add up to dimensions times (rows - 1)."""
+    cells = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return mahalanobis(cells, cells, per_dimension=True).agg(r(F.sum("mahalanobis"), 4).alias("total"))
+
+
 @query()
 def mahalanobis_distance(spark, sf):
     """Squared distances from the embedding distribution (a matrix inverse has no SQL form)."""

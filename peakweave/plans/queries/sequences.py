@@ -290,6 +290,13 @@ def positional_zip(spark, sf):
     return od.zip_by(orders.select("o_orderkey"), right, ["o_orderkey"], ["o_totalprice", "other"]).select("o_orderkey", "other")
 
 
+@query("SELECT l_orderkey, l_linenumber, row_number() OVER () - 1 AS record_id FROM lineitem")
+def record_ids_file_order(spark, sf):
+    """Ids as the rows stand in the file, without a shuffle of rows."""
+    return od.with_file_order_id(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "_metadata")).select(
+        "l_orderkey", "l_linenumber", "record_id")
+
+
 # --- joins -----------------------------------------------------------------------------------
 
 LOOKUP_SQL = """WITH probes AS (SELECT event_id, cast(user_id AS VARCHAR) AS sample, event_type AS pos FROM events

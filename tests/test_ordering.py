@@ -114,3 +114,16 @@ def test_copies_are_spread(spark):
         assert max(sizes) < 2000  # three quarters of the rows are copies of one
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_file_order_ids_over_splits(spark, tmp_path):
+    for name, first in (("a", 0), ("b", 500)):
+        (tmp_path / f"{name}.csv").write_text("".join(f"{i}\n" for i in range(first, first + 500)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        scan = spark.read.schema("v int").csv(str(tmp_path))
+        assert scan.rdd.getNumPartitions() > 4
+        ids = o.with_file_order_id(scan, start=7).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(ids) == 1000 and all(r.record_id == r.v + 7 for r in ids)
