@@ -1,7 +1,7 @@
 """Corpus metrics by name: `get("bleu")` and the like, evaluated over a whole DataFrame.
 
 Each takes one frame with `prediction` and the references in the columns its function asks for, and an `id` that is unique
-per text. Their score belongs to the corpus as a whole, so `group_by` is refused; filter the corpus instead.
+per text. Those of GROUPED give a row (or rows) per group of `group_by`; the others score the corpus as a whole and refuse it.
 """
 
 from __future__ import annotations
@@ -14,12 +14,15 @@ from peakweave.metrics import classification, qa, ranking, tagging, textgen
 from peakweave.metrics.core import Metric, register
 
 
+GROUPED = ("bleu", "squad", "record", "trec_eval", "seqeval")
+
+
 def _whole(name: str, score: Callable[..., DataFrame]) -> None:
     def factory(**options) -> Metric:
         def compute(df: DataFrame, keys) -> DataFrame:
-            if keys:
+            if keys and name not in GROUPED:
                 raise ValueError(f"{name} is a metric of the whole corpus and cannot be grouped")
-            return score(df, **options)
+            return score(df, **options, **({"by": keys} if keys else {}))
 
         return Metric(name, compute=compute)
 
@@ -32,16 +35,17 @@ def _keyed(score: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
 def _answers(score: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """One frame with id, prediction and answers as the two frames of the question-answering scores."""
-    def both(df: DataFrame, id="id", **options) -> DataFrame:
-        return score(df.drop("answers"), df.select(id, "answers"), id, **options)
+    def both(df: DataFrame, id="id", by=(), **options) -> DataFrame:
+        groups = {"by": by} if by else {}
+        return score(df.drop("answers", *by), df.select(*by, id, "answers"), id, **options, **groups)
 
     return both
 
 
-def _trec(df: DataFrame, **options) -> DataFrame:
+def _trec(df: DataFrame, by=(), **options) -> DataFrame:
     """One frame with query, docid, score (null: judged only) and rel (null: not judged)."""
-    return ranking.trec_eval(df.filter("score is not null").select("query", "docid", "score"),
-                             df.filter("rel is not null").select("query", "docid", "rel"), **options)
+    return ranking.trec_eval(df.filter("score is not null").select(*by, "query", "docid", "score"),
+                             df.filter("rel is not null").select("query", "docid", "rel"), by=by, **options)
 
 
 for _name, _score in {

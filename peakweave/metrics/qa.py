@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,21 +54,27 @@ def _answered(predictions: DataFrame, references: DataFrame, key: str, last_by:
     return references.join(one_answer_each(predictions, key, last_by), key, "inner")
 
 
-def _means(predictions: DataFrame, references: DataFrame, key: str, scale: float, last_by: str | None) -> DataFrame:
+def _means(predictions: DataFrame, references: DataFrame, key: str, scale: float, last_by: str | None,
+           by: Sequence[str] = ()) -> DataFrame:
     scores = answer_scores(_answered(predictions, references, key, last_by), key)
-    full = references.select(key).join(scores, key, "left")  # unanswered questions score 0 and count
-    return full.agg((scale * F.avg(F.coalesce("exact", F.lit(0.0)))).alias("exact_match"),
+    full = references.select(*by, key).join(scores, key, "left")  # unanswered questions score 0 and count
+    return full.groupBy(*by).agg((scale * F.avg(F.coalesce("exact", F.lit(0.0)))).alias("exact_match"),
                     (scale * F.avg(F.coalesce("f1", F.lit(0.0)))).alias("f1"))
 
 
-def squad(predictions: DataFrame, references: DataFrame, key: str = "id", last_by: str | None = None) -> DataFrame:
-    """exact_match and f1 in percent over all questions; of several predictions the last by `last_by` counts."""
-    return _means(predictions, references, key, 100.0, last_by)
+def squad(predictions: DataFrame, references: DataFrame, key: str = "id", last_by: str | None = None,
+          by: Sequence[str] = ()) -> DataFrame:
+    """exact_match and f1 in percent over all questions; of several predictions the last by `last_by` counts.
+
+    `by` names columns of the references to group by.
+    """
+    return _means(predictions, references, key, 100.0, last_by, by)
 
 
-def record(predictions: DataFrame, references: DataFrame, key: str = "id", last_by: str | None = None) -> DataFrame:
+def record(predictions: DataFrame, references: DataFrame, key: str = "id", last_by: str | None = None,
+           by: Sequence[str] = ()) -> DataFrame:
     """exact_match and f1 as fractions; of several predictions the last by `last_by` counts."""
-    return _means(predictions, references, key, 1.0, last_by)
+    return _means(predictions, references, key, 1.0, last_by, by)
 
 
 def _answerable_rows(predictions: DataFrame, references: DataFrame, key: str, extra: list[str]) -> DataFrame:

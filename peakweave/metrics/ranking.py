@@ -184,15 +184,18 @@ def trec_per_query(run: DataFrame, qrels: DataFrame, map_depth: int = 10_000, ra
         *[F.coalesce(F.coalesce(f"__d{k}", zero) / F.col(f"ideal_{k}"), zero).alias(f"NDCG@{k}") for k in CUTOFFS])
 
 
-def trec_eval(run: DataFrame, qrels: DataFrame, map_depth: int = 10_000, rank_depth: int = 1_000) -> DataFrame:
+def trec_eval(run: DataFrame, qrels: DataFrame, map_depth: int = 10_000, rank_depth: int = 1_000,
+              by: Sequence[str] = ()) -> DataFrame:
     """The report row: counts, then measures averaged over queries.
 
     By the report's definition, ranks beyond `map_depth` do not count for map, nor those beyond `rank_depth` for bpref,
-    Rprec and recip_rank; the defaults are the usual ones.
+    Rprec and recip_rank; the defaults are the usual ones. `by` names columns of the run, one value per query.
     """
     per = trec_per_query(run, qrels, map_depth, rank_depth)
+    if by:
+        per = per.join(run.select(*by, "query").distinct(), "query")
     averaged = ["bpref", "Rprec", "recip_rank", *[f"P@{k}" for k in CUTOFFS], *[f"NDCG@{k}" for k in CUTOFFS]]
-    return per.agg(
+    return per.groupBy(*by).agg(
         F.sum("num_ret").alias("num_ret"), F.sum("num_rel").alias("num_rel"),
         F.sum("num_rel_ret").alias("num_rel_ret"), F.count(F.lit(1)).alias("num_q"),
         F.avg("map").alias("map"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from peakweave.functions.arrays import let
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.classification import accuracy, class_counts, class_scores
 from peakweave.metrics.core import evaluate
+from peakweave.operators.joins import join_groups
 
 
 def _parts(tag: Column, suffix: bool) -> tuple[Column, Column]:
@@ -126,36 +129,39 @@ def strict_spans(tags: Column, scheme: str, suffix: bool = False) -> Column:
     return F.when(n > 0, found).otherwise(F.slice(found, 1, 0))
 
 
-def entity_counts(df: DataFrame, suffix: bool = False, scheme: str | None = None, weight: str | None = None) -> DataFrame:
+def entity_counts(df: DataFrame, suffix: bool = False, scheme: str | None = None, weight: str | None = None,
+                  by: Sequence[str] = ()) -> DataFrame:
     """Per type: tp, pred, true over all sequences (`prediction` and `reference` are ARRAY<STRING>)."""
     w = F.col(weight) if weight else F.lit(1.0)
-    spans = df.select(w.cast("double").alias("w"), entity_spans("prediction", suffix, scheme).alias("p"),
+    spans = df.select(*by, w.cast("double").alias("w"), entity_spans("prediction", suffix, scheme).alias("p"),
                       entity_spans("reference", suffix, scheme).alias("r"))
     spans = spans.withColumn("both", F.array_intersect("p", "r"))
 
     def tagged(column, name):
         return F.transform(column, lambda s: F.struct(s["type"].alias("type"), F.lit(name).alias("side")))
 
-    rows = spans.select("w", F.explode(F.concat(tagged("p", "pred"), tagged("r", "true"), tagged("both", "tp"))).alias("s"))
-    return rows.groupBy(F.col("s.type").alias("type")).agg(*[
+    rows = spans.select(*by, "w", F.explode(F.concat(tagged("p", "pred"), tagged("r", "true"), tagged("both", "tp"))).alias("s"))
+    return rows.groupBy(*by, F.col("s.type").alias("type")).agg(*[
         F.sum(F.when(F.col("s.side") == side, F.col("w")).otherwise(0.0)).alias(side) for side in ("tp", "pred", "true")])
 
 
 def seqeval(df: DataFrame, suffix: bool = False, scheme: str | None = None, mode: str | None = None,
-            weight: str | None = None, zero_division: float = 0.0) -> DataFrame:
+            weight: str | None = None, zero_division: float = 0.0, by: Sequence[str] = ()) -> DataFrame:
     """One row per entity type plus `overall` (micro): precision, recall, f1, number; overall has the tag accuracy.
 
     A scheme takes effect with mode='strict', as well-formedness is a strict-mode notion.
     """
-    counts = entity_counts(df, suffix, scheme if mode == "strict" else None, weight)
-    total = counts.agg(*[F.sum(c).alias(c) for c in ("tp", "pred", "true")]).select(
-        F.lit("overall").alias("type"), *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("tp", "pred", "true")])
+    counts = entity_counts(df, suffix, scheme if mode == "strict" else None, weight, by)
+    zipped = F.arrays_zip("prediction", "reference")
+    right = F.size(F.filter(zipped, lambda z: z["prediction"] == z["reference"]))
+    correct = df.groupBy(*by).agg(ratio(F.sum(right).cast("double"), F.sum(F.size(zipped)), None).alias("accuracy"))
+    sums = counts.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("tp", "pred", "true")])
+    total = join_groups(correct, sums, by, "left").select(  # a group without entities has its overall row too
+        *by, F.lit("overall").alias("type"), *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("tp", "pred", "true")])
     scores = class_scores(F.col("tp"), F.col("pred"), F.col("true"), zero_division)
-    tokens = df.select(F.explode(F.arrays_zip("prediction", "reference")).alias("z"))
-    correct = tokens.agg(F.avg((F.col("z.prediction") == F.col("z.reference")).cast("double")).alias("accuracy"))
-    rows = counts.unionByName(total).select("type", *[c.alias(n) for n, c in scores.items()],
+    rows = counts.unionByName(total).select(*by, "type", *[c.alias(n) for n, c in scores.items()],
                                             F.col("true").cast("long").alias("number"))
-    return rows.join(F.broadcast(correct)).withColumn(
+    return join_groups(rows, correct, by).withColumn(
         "accuracy", F.when(F.col("type") == "overall", F.col("accuracy")))
 
 

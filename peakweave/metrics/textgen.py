@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from peakweave.functions import text as tx
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.core import Metric, register
+from peakweave.operators.joins import join_groups
 
 
 # --- n-gram core -----------------------------------------------------------------------------
@@ -34,15 +35,15 @@ def spread_texts(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(key)
 
 
-def tokenized(df: DataFrame, key: str, tokenizer: tx.Tokenizer) -> DataFrame:
-    """(key, hyp, refs): token arrays of the prediction and of each reference."""
+def tokenized(df: DataFrame, key: str, tokenizer: tx.Tokenizer, by: Sequence[str] = ()) -> DataFrame:
+    """(by, key, hyp, refs): token arrays of the prediction and of each reference."""
     df = spread_texts(as_references(df), key)
-    return df.select(key, tokenizer(F.col("prediction")).alias("hyp"),
+    return df.select(*by, key, tokenizer(F.col("prediction")).alias("hyp"),
                      F.transform("references", tokenizer).alias("refs"))
 
 
-def gram_counts(tokens: DataFrame, key: str, max_order: int, separator: str = " ") -> DataFrame:
-    """(key, order, gram, k, c): how often an n-gram occurs in the prediction (k = -1) and in reference k."""
+def gram_counts(tokens: DataFrame, key: str, max_order: int, separator: str = " ", by: Sequence[str] = ()) -> DataFrame:
+    """(by, key, order, gram, k, c): how often an n-gram occurs in the prediction (k = -1) and in reference k."""
     def of_order(column, n):
         return F.transform(tx.ngrams(column, n, separator),
                            lambda g: F.struct(F.lit(n).alias("order"), g.alias("gram")))
@@ -50,12 +51,12 @@ def gram_counts(tokens: DataFrame, key: str, max_order: int, separator: str = "
     def grams(column):
         return F.concat(*[of_order(column, n) for n in range(1, max_order + 1)])
 
-    sides = tokens.select(key, F.explode(F.concat(
+    sides = tokens.select(*by, key, F.explode(F.concat(
         F.array(F.struct(F.lit(-1).alias("k"), F.col("hyp").alias("t"))),
         F.transform("refs", lambda t, k: F.struct(k.alias("k"), t.alias("t"))))).alias("s"))
-    rows = sides.select(key, F.col("s.k").alias("k"), F.explode(grams(F.col("s.t"))).alias("g")).select(
-        key, "k", "g.order", "g.gram")
-    return rows.groupBy(key, "order", "gram", "k").agg(F.count(F.lit(1)).alias("c"))
+    rows = sides.select(*by, key, F.col("s.k").alias("k"), F.explode(grams(F.col("s.t"))).alias("g")).select(
+        *by, key, "k", "g.order", "g.gram")
+    return rows.groupBy(*by, key, "order", "gram", "k").agg(F.count(F.lit(1)).alias("c"))
 
 
 def _count_where(cond: Column) -> Column:
@@ -69,17 +70,17 @@ def gram_table(tokens: DataFrame, key: str, max_order: int, separator: str = " "
         _count_where(F.col("k") == -1).alias("hyp"), per_ref.alias("refs"))
 
 
-def _corpus_sums(tokens: DataFrame, key: str, max_order: int, which: str) -> DataFrame:
-    """One row of corpus sums: matches m1… and possible n-grams p1… by order, sys_len, ref_len.
+def _corpus_sums(tokens: DataFrame, key: str, max_order: int, which: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row of corpus sums (per group): matches m1… and possible n-grams p1… by order, sys_len, ref_len.
 
     A row counts with its shortest or its closest reference (ties: the shorter).
     """
     orders = range(1, max_order + 1)
-    per_gram = gram_counts(tokens, key, max_order).groupBy(key, "order", "gram").agg(
+    per_gram = gram_counts(tokens, key, max_order, by=by).groupBy(*by, key, "order", "gram").agg(
         _count_where(F.col("k") == -1).alias("hyp"),
         F.max(F.when(F.col("k") >= 0, F.col("c")).otherwise(0)).alias("best"))
-    matches = per_gram.groupBy("order").agg(F.sum(F.least("hyp", "best")).alias("m"))
-    summed = matches.agg(*[F.sum(F.when(F.col("order") == n, F.col("m")).otherwise(0)).cast("double").alias(f"m{n}")
+    matches = per_gram.groupBy(*by, "order").agg(F.sum(F.least("hyp", "best")).alias("m"))
+    summed = matches.groupBy(*by).agg(*[F.sum(F.when(F.col("order") == n, F.col("m")).otherwise(0)).cast("double").alias(f"m{n}")
                            for n in orders])
     hyp = F.size("hyp")
     sizes = F.transform("refs", lambda t: F.size(t))
@@ -87,17 +88,17 @@ def _corpus_sums(tokens: DataFrame, key: str, max_order: int, which: str) -> Dat
         ref = F.array_min(sizes)
     else:
         ref = F.array_min(F.transform(sizes, lambda s: F.struct(F.abs(s - hyp).alias("gap"), s.alias("s"))))["s"]
-    lengths = tokens.agg(
+    lengths = tokens.groupBy(*by).agg(
         *[F.sum(F.greatest(hyp - (n - 1), F.lit(0))).cast("double").alias(f"p{n}") for n in orders],
         F.sum(hyp).cast("double").alias("sys_len"), F.sum(ref).cast("double").alias("ref_len"))
-    return summed.join(F.broadcast(lengths))  # one row each
+    return join_groups(lengths, summed, by, "left")
 
 
 def bleu(df: DataFrame, key: str, max_order: int = 4, smooth: bool = False,
-         tokenizer: tx.Tokenizer = tx.tokenize_13a) -> DataFrame:
+         tokenizer: tx.Tokenizer = tx.tokenize_13a, by: Sequence[str] = ()) -> DataFrame:
     """bleu, precisions, brevity_penalty, length_ratio, translation_length, reference_length."""
-    tokens = tokenized(df, key, tokenizer)
-    sums = _corpus_sums(tokens, key, max_order, "shortest")
+    tokens = tokenized(df, key, tokenizer, by)
+    sums = _corpus_sums(tokens, key, max_order, "shortest", by)
     orders = range(1, max_order + 1)
     m, p = {n: F.coalesce(f"m{n}", F.lit(0.0)) for n in orders}, {n: F.col(f"p{n}") for n in orders}
     precisions = [(m[n] + 1) / (p[n] + 1) if smooth else ratio(m[n], p[n]) for n in orders]
@@ -107,7 +108,7 @@ def bleu(df: DataFrame, key: str, max_order: int = 4, smooth: bool = False,
     rate = ratio(F.col("sys_len"), F.col("ref_len"))
     bp = F.when(rate > 1, 1.0).when(rate > 0, F.exp(1 - 1 / rate)).otherwise(0.0)
     return sums.select(
-        (mean * bp).alias("bleu"), arr.alias("precisions"), bp.alias("brevity_penalty"), rate.alias("length_ratio"),
+        *by, (mean * bp).alias("bleu"), arr.alias("precisions"), bp.alias("brevity_penalty"), rate.alias("length_ratio"),
         F.col("sys_len").cast("long").alias("translation_length"),
         F.col("ref_len").cast("long").alias("reference_length"))
 

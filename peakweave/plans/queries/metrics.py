@@ -420,6 +420,14 @@ def retrieval_report(spark, sf):
     return rounded(out.select(*[F.col(f"`{k}`") for k in keep]))
 
 
+@query(f"""WITH {TREC_SQL} SELECT query % 4 AS grp, count(*) AS num_q, round(avg(map), 6) AS map, round(avg(n10), 6) AS "NDCG@10" FROM per GROUP BY 1""", ("trec_run", "trec_qrels"))
+def retrieval_by_group(spark, sf):
+    """Found by name, averaged per group of queries; run and judgements in one frame."""
+    run, qrels = view(spark, sf, "trec_run"), view(spark, sf, "trec_qrels")
+    rows = run.join(qrels, ["query", "docid"], "full").withColumn("grp", F.col("query") % 4)
+    return rounded(evaluate(rows, ["trec_eval"], ["grp"]).select("grp", "num_q", "map", "`NDCG@10`"))
+
+
 @query(f"""WITH {TREC_SQL} SELECT query, num_ret, cast(num_rel AS BIGINT) AS num_rel, cast(num_rel_ret AS BIGINT) AS num_rel_ret, round(map, 6) AS map, round(bpref, 6) AS bpref, round(n10, 6) AS "NDCG@10" FROM per""",
        ("trec_run", "trec_qrels"))
 def retrieval_per_query(spark, sf):
@@ -489,19 +497,34 @@ def pass_at_k(spark, sf):
 TAG = {"click": "B-A", "view": "I-A", "error": "O", "signup": "I-B", "purchase": "B-B"}
 
 
-def tag_rows(spark, sf):
+def tag_rows(spark, sf, *more):
     names = F.create_map(*[x for k, v in TAG.items() for x in (F.lit(k), F.lit(v))])
     tag = names[F.col("event_type")]
     guess = F.when(F.col("value") < 5, "O").when(F.col("value") > 40, "I-A").otherwise(tag)
     rows = table(spark, sf, "events").select((F.col("event_id") / 64).cast("long").alias("sent"), "event_id", guess.alias("p"), tag.alias("t"))
     packed = rows.groupBy("sent").agg(F.array_sort(F.collect_list(F.struct("event_id", "p", "t"))).alias("x"))  # 64 entries
-    return packed.select(F.col("x.p").alias("prediction"), F.col("x.t").alias("reference"))
+    return packed.select(F.col("x.p").alias("prediction"), F.col("x.t").alias("reference"), (F.col("sent") % 3).alias("grp")).select(
+        "prediction", "reference", *more)
 
 
 TAG_SQL = """tags AS (SELECT event_id // 64 AS sent, event_id AS pos, CASE event_type WHEN 'click' THEN 'B-A' WHEN 'view' THEN 'I-A' WHEN 'error' THEN 'O' WHEN 'signup' THEN 'I-B' ELSE 'B-B' END AS t, value FROM events),
 both_ AS (SELECT 'true' AS side, sent, pos, t FROM tags UNION ALL SELECT 'pred', sent, pos, CASE WHEN value < 5 THEN 'O' WHEN value > 40 THEN 'I-A' ELSE t END FROM tags)"""
 
 
+@query(f"""WITH {TAG_SQL}, marks AS (SELECT *, t[1] AS m, CASE WHEN t = 'O' THEN '' ELSE t[3] END AS k FROM both_),
+near AS (SELECT *, lag(m, 1, 'O') OVER w AS pm, lag(k, 1, '') OVER w AS pk FROM marks WINDOW w AS (PARTITION BY side, sent ORDER BY pos)),
+starts AS (SELECT *, sum((m <> 'O' AND (m = 'B' OR pm = 'O' OR pk <> k))::INT) OVER (PARTITION BY side, sent ORDER BY pos) AS chunk FROM near),
+spans AS (SELECT side, sent, chunk, any_value(k) AS type, min(pos) AS a, max(pos) AS b FROM starts WHERE m <> 'O' GROUP BY side, sent, chunk),
+n AS (SELECT type, sent % 3 AS grp, count(*) FILTER (WHERE side = 'pred') AS np, count(*) FILTER (WHERE side = 'true') AS nt FROM spans GROUP BY type, grp),
+hit AS (SELECT p.type, p.sent % 3 AS grp, count(*) AS tp FROM spans p JOIN spans t ON p.side = 'pred' AND t.side = 'true' AND p.sent = t.sent AND p.type = t.type AND p.a = t.a AND p.b = t.b GROUP BY p.type, p.sent % 3),
+x AS (SELECT n.type, n.grp, tp, np, nt FROM n JOIN hit ON n.type = hit.type AND n.grp = hit.grp), y AS (SELECT * FROM x UNION ALL SELECT 'overall', grp, sum(tp), sum(np), sum(nt) FROM x GROUP BY grp),
+acc AS (SELECT a.sent % 3 AS grp, avg((a.t = b.t)::INT) AS acc FROM both_ a JOIN both_ b ON a.side = 'pred' AND b.side = 'true' AND a.pos = b.pos GROUP BY 1)
+SELECT y.grp, type, round(tp / np, 6) AS precision, round(tp / nt, 6) AS recall, round(2 * tp / (np + nt), 6) AS f1, cast(nt AS BIGINT) AS number, CASE WHEN type = 'overall' THEN (SELECT round(acc, 6) FROM acc WHERE acc.grp = y.grp) END AS accuracy FROM y""")
+def entity_report_by_group(spark, sf):
+    """Found by name, per type and overall in each group of sequences."""
+    return rounded(evaluate(tag_rows(spark, sf, "grp"), ["seqeval"], ["grp"]))
+
+
 @query(f"""WITH {TAG_SQL}, marks AS (SELECT *, t[1] AS m, CASE WHEN t = 'O' THEN '' ELSE t[3] END AS k FROM both_),
 near AS (SELECT *, lag(m, 1, 'O') OVER w AS pm, lag(k, 1, '') OVER w AS pk FROM marks WINDOW w AS (PARTITION BY side, sent ORDER BY pos)),
 starts AS (SELECT *, sum((m <> 'O' AND (m = 'B' OR pm = 'O' OR pk <> k))::INT) OVER (PARTITION BY side, sent ORDER BY pos) AS chunk FROM near),

@@ -104,6 +104,16 @@ def bleu(spark, sf):
                               joined(F.transform("precisions", lambda x: F.round(x * 1e6).cast("long"))).alias("precisions")))
 
 
+@query(f"""WITH {HYP_SQL}, {grams_sql(4, SIDES_MULTI)}, {CORPUS_SQL}, g AS (SELECT id, id // 1000 % 3 AS grp FROM hyp),
+gm AS (SELECT grp, n, sum(m) AS m FROM clip JOIN g USING (id) GROUP BY 1, 2), gp AS (SELECT grp, n, sum(c) AS p FROM cnt JOIN g USING (id) WHERE k = -1 GROUP BY 1, 2),
+gl AS (SELECT grp, sum(h) AS sys, sum(shortest) AS short FROM lens JOIN g USING (id) GROUP BY 1)
+SELECT grp, round(exp(avg(ln(m / p))) * any_value(CASE WHEN sys / short > 1 THEN 1.0 ELSE exp(1 - short / sys) END), 6) + 0.0 AS bleu FROM gm JOIN gp USING (grp, n) JOIN gl USING (grp) GROUP BY grp""", ("text_pairs",))
+def bleu_by_group(spark, sf):
+    """Found by name, one row per group of conversations."""
+    rows = hypotheses(spark, sf).withColumn("grp", F.floor(F.col("id") / 1000) % 3)
+    return rounded(evaluate(rows, ["bleu"], ["grp"]).select("grp", "bleu"))
+
+
 @query(f"""WITH {HYP_SQL}, {grams_sql(4, SIDES_SINGLE)}, {CORPUS_SQL}
 SELECT round(exp(avg(ln((m + 1) / (p + 1)))) * any_value(CASE WHEN sys / short > 1 THEN 1.0 ELSE exp(1 - short / sys) END), 6) AS bleu FROM ord, tot""", ("text_pairs",))
 def bleu_smoothed(spark, sf):
@@ -316,6 +326,15 @@ def answer_scores(spark, sf):
     return rounded(qa.squad(*questions(spark, sf)))
 
 
+@query(f"""WITH {HYP_SQL}, {QA_SQL} SELECT abs(q.id) // 1000 % 3 AS grp, round(100 * avg(coalesce(em, 0)), 6) + 0.0 AS exact_match, round(100 * avg(coalesce(f1, 0)), 6) + 0.0 AS f1
+FROM q LEFT JOIN f ON q.id = f.id GROUP BY 1""", ("text_pairs",))
+def answer_scores_by_group(spark, sf):
+    """Found by name, one row per group; answers and predictions in one frame."""
+    preds, refs = questions(spark, sf)
+    rows = refs.join(preds, "id", "left").withColumn("grp", F.floor(F.abs("id") / 1000) % 3)
+    return rounded(evaluate(rows, ["squad"], ["grp"]))
+
+
 @query(f"""WITH {HYP_SQL}, {QA_SQL} SELECT round(avg(coalesce(em, 0)), 6) + 0.0 AS exact_match, round(avg(coalesce(f1, 0)), 6) + 0.0 AS f1 FROM q LEFT JOIN f ON q.id = f.id""", ("text_pairs",))
 def answer_scores_fraction(spark, sf):
     return rounded(qa.record(*questions(spark, sf)))

@@ -92,4 +92,5 @@ def test_corpus_metrics_by_name(spark):
     run = spark.createDataFrame([(1, 5, 0.5, 1), (1, 6, 0.4, None)], "query int, docid int, score double, rel int")
     assert evaluate(run, ["trec_eval"]).first()["P@5"] == pytest.approx(0.2)
     with pytest.raises(ValueError, match="whole corpus"):
-        evaluate(texts, ["bleu"], ["source"])
+        evaluate(texts, ["chrf"], ["source"])
+    assert [tuple(x)[:2] for x in evaluate(texts, ["bleu"], ["source"]).collect()] == [("a kite", pytest.approx(1.0))]
