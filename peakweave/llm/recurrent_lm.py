@@ -338,8 +338,17 @@ def likelihoods(network: Network, texts: list[np.ndarray]) -> np.ndarray:
 
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
-    """The most frequent words, and totals by shape; both of fixed size."""
-    top = counts.orderBy(F.desc("c"), "word").limit(LOOKUP).collect()
+    """The most frequent words, at most LOOKUP of them, and totals by shape; both of fixed size."""
+    # words by sixteenths of octaves of their count; as many of the upper ones as the lookup holds
+    octave = F.floor(16 * F.log2("c"))
+    bins = sorted(((r["b"], r["count"]) for r in counts.groupBy(octave.alias("b")).count().collect()), reverse=True)
+    held, least = 0, None
+    for b, n in bins:
+        if held + n > LOOKUP:
+            break
+        held, least = held + n, b
+    top = counts.filter(octave >= least).collect() if held else []
+    top.sort(key=lambda r: (-r["c"], r["word"]))
     by_shape = counts.groupBy(shape_column().alias("shape")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     ends = counts.filter("word = ''").agg(F.sum("c")).first()[0]
     pairs = [("", ends or 0)] + [(r["word"], r["c"]) for r in top if r["word"]]
