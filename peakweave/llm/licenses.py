@@ -65,7 +65,7 @@ def words(text: str = "text"):
     `lower` also changes letters outside ASCII, which stay word characters; only the Kelvin sign would become an ASCII
     letter and is replaced before.
     """
-    plain = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("K"), F.lit("Å"))
+    plain = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("\u212a"), F.lit("\u212b"))
     return F.regexp_extract_all(F.lower(plain), F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1))
 
 
