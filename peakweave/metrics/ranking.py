@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakweave.functions.arrays import let
+from peakweave.functions.arrays import let, pool
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.core import Metric, register, weight_column
 from peakweave.operators.joins import batch_similarities, centered, join_groups
@@ -224,8 +224,20 @@ def retrieval_accuracy(left: DataFrame, right: DataFrame, batch: str = "batch")
     return one(left, right, "seq_acc").join(F.broadcast(one(right, left, "scrna_acc")))
 
 
-def clip_loss(left: DataFrame, right: DataFrame, temperature: float = 0.0, batch: str = "batch") -> DataFrame:
-    """Symmetric contrastive loss per batch: mean -log softmax of the own pair, over rows and columns."""
+def token_maximum(df: DataFrame, vector: str = "embedding") -> DataFrame:
+    """One vector per row from its token vectors: the largest value of each dimension."""
+    return df.withColumn(vector, pool(vector, "max")[0])
+
+
+def clip_loss(left: DataFrame, right: DataFrame, temperature: float = 0.0, batch: str = "batch",
+              tokens: bool = False) -> DataFrame:
+    """Symmetric contrastive loss per batch: mean -log softmax of the own pair, over rows and columns.
+
+    With `tokens` an embedding is an array of token vectors, of which the maximum is compared.
+    """
+    if tokens:
+        left, right = token_maximum(left), token_maximum(right)
+
     def one(a, b, name):
         rows = batch_similarities(a, b, batch).withColumn(
             "sims", F.transform("sims", lambda s: s * F.exp(F.lit(float(temperature)))))
@@ -239,11 +251,11 @@ def clip_loss(left: DataFrame, right: DataFrame, temperature: float = 0.0, batch
 
 
 def combined_loss(pairs: DataFrame, left: DataFrame, right: DataFrame, alpha: float, beta: float,
-                  temperature: float = 0.0, batch: str = "batch") -> DataFrame:
+                  temperature: float = 0.0, batch: str = "batch", tokens: bool = False) -> DataFrame:
     """alpha·mse + beta·contrastive loss per batch; `pairs` has batch, prediction, reference."""
     d = F.col("prediction").cast("double") - F.col("reference").cast("double")
     errors = pairs.groupBy(batch).agg(F.avg(d * d).alias("mse"))
-    return errors.join(clip_loss(left, right, temperature, batch), batch).select(
+    return errors.join(clip_loss(left, right, temperature, batch, tokens), batch).select(
         batch, (alpha * F.col("mse") + beta * F.col("clip_loss")).alias("loss"))
 
 

@@ -446,6 +446,15 @@ rr AS (SELECT id, list_transform(range(1, 65), lambda i: v[i] + v[65 - i] * 0.8)
 SIM_SQL = """sims AS (SELECT l.id // 72 AS batch, l.id AS i, rr.id AS j, list_dot_product(l.v, rr.v) AS s FROM l JOIN rr ON l.id // 72 = rr.id // 72)"""
 
 
+@query("""SELECT vec_id, cast(d - 1 AS INTEGER) AS d, round(cast(greatest(embedding[d], embedding[d + 16], embedding[d + 32], embedding[d + 48]) AS DOUBLE), 6) + 0.0 AS value
+FROM embeddings, range(1, 17) t(d)""")
+def token_maximum(spark, sf):
+    """Four token vectors of sixteen values each, compared value by value."""
+    blocks = F.array(*[F.slice("embedding", 16 * i + 1, 16) for i in range(4)])
+    rows = rk.token_maximum(table(spark, sf, "embeddings").select("vec_id", blocks.alias("embedding")))
+    return rows.select("vec_id", F.posexplode("embedding").alias("d", "value")).select("vec_id", "d", r("value").alias("value"))
+
+
 @query(f"""WITH {TWO_SQL}, {SIM_SQL}, a AS (SELECT i, max_by(j, s) AS best FROM sims GROUP BY i), b AS (SELECT j, max_by(i, s) AS best FROM sims GROUP BY j)
 SELECT round((SELECT avg((i = best)::INT) FROM a), 6) + 0.0 AS seq_acc, round((SELECT avg((j = best)::INT) FROM b), 6) + 0.0 AS scrna_acc""")
 def contrastive_accuracy(spark, sf):
