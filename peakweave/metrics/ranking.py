@@ -280,7 +280,7 @@ def precision_at_k(left: DataFrame, right: DataFrame, id_column: str = "id", vec
         centered(right.select(F.col(id_column).alias("id"), F.col(vector).alias("u")), "u"), "id")
     own = partner.select("id", F.aggregate(F.zip_with("v", "u", lambda x, y: x * y), F.lit(0.0),
                                            lambda acc, x: acc + x).alias("own"))
-    n_blocks = b.agg((F.max("b") + 1).alias("n")).first()["n"]
+    n_blocks = max(1, -(-right.count() // block_rows))  # from the rows' number, no block is built for it
     spread = a.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks).cast("long") - 1)))
     spread = spread.join(b, "b")
 
