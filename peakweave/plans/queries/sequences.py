@@ -423,8 +423,11 @@ def collate_batches(spark, sf):
                       r(F.aggregate("o_totalprice", F.lit(0.0), lambda a, x: a + x), 2).alias("total"))
 
 
-# embeddings as 8×8 blocks
-_BLOCK = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("embedding", i * 8 + 1, 8))
+def _block():
+    """An embedding as 8×8 values."""
+    return F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("embedding", i * 8 + 1, 8))
+
+
 _MODES = {"first": 3, "last": 3, "mean": 3, "adaptive": 3, "max": 1, "sum": 1}
 MODES_SQL = """WITH cells AS (SELECT vec_id, i, d, cast(embedding[i * 8 + d] AS DOUBLE) AS x FROM embeddings, range(8) a(i), range(1, 9) b(d)),
 run AS (SELECT *, avg(x) OVER (PARTITION BY vec_id, d ORDER BY i ROWS UNBOUNDED PRECEDING) AS m FROM cells)
@@ -439,7 +442,7 @@ UNION ALL SELECT vec_id, 'sum', 0, d, sum(x) FROM cells GROUP BY vec_id, d)"""
 
 @query(MODES_SQL)
 def pooling_modes(spark, sf):
-    blocks = table(spark, sf, "embeddings").select("vec_id", _BLOCK.alias("block"))
+    blocks = table(spark, sf, "embeddings").select("vec_id", _block().alias("block"))
     modes = F.array(*[F.struct(F.lit(m).alias("mode"), ar.pool("block", m, n).alias("rows")) for m, n in _MODES.items()])
     return blocks.select("vec_id", F.inline(modes)).select("vec_id", "mode", F.posexplode("rows").alias("i", "row")).select(
         "vec_id", "mode", "i", F.posexplode("row").alias("d", "value")).select("vec_id", "mode", "i", "d", r("value").alias("value"))
@@ -450,7 +453,7 @@ SELECT vec_id, cast(d - 1 AS INTEGER) AS d, round(avg(x), 6) + 0.0 AS value, rou
 def masked_mean(spark, sf):
     """Mean over the non-padding rows, and the cumulative-sum pooling of the same rows."""
     n = (1 + F.col("vec_id") % 8).cast("int")
-    blocks = table(spark, sf, "embeddings").select("vec_id", _BLOCK.alias("block"), n.alias("n"))
+    blocks = table(spark, sf, "embeddings").select("vec_id", _block().alias("block"), n.alias("n"))
     rows = blocks.select("vec_id", F.posexplode(F.arrays_zip(
         ar.masked_mean("block", "n").alias("m"), ar.sequence_pool("block", "sum", 1, "n")[0].alias("s"))).alias("d", "z"))
     return rows.select("vec_id", "d", r("z.m").alias("value"), r("z.s").alias("total"))
