@@ -1,14 +1,17 @@
 """A gated recurrent language model in numpy.
 
 Tokens are words `[^\\x20\\x09-\\x0D]+` with A-Z in lower case, and one end after each text. Their counts over all training
-texts make the vocabulary. The HEAD most frequent words have their own symbol; every other word's symbol is its shape
-(length and alphabet), so that the network is of fixed size. A gated recurrent unit reads the symbols; its output softmax
+texts make the vocabulary. The most frequent words have their own symbol: as many as hold COVERED of all tokens, between
+HEAD and HEAD_MOST, and the hidden state grows in step with them. Every other word's symbol is its shape (length and
+alphabet), so that the network is of bounded size. A gated recurrent unit reads the symbols; its output softmax
 is factored: first the class (head words fall into classes of equal size by frequency, a shape is a class of its own), then
 the word within the class, by a softmax over the class for head words, and by add-one smoothed counts of the whole corpus
 for the others, where a word never seen shares one place.
 
-Training is truncated backpropagation over windows of TRAIN_STEPS words, one pass over every training text. Each
-partition trains a copy from the same start, and the copies are averaged, weighted by their tokens. Scoring carries the
+Training is truncated backpropagation over windows of TRAIN_STEPS words, one pass over every training text, in ROUNDS
+rounds. The texts are dealt evenly into shards of about SHARD_TOKENS tokens, whatever files they come from, and every
+round takes an equal share of the shards: each trains a copy from the last round's network, and the copies are averaged,
+weighted by their tokens. A smaller shard has fewer lanes, so that it still makes LEAST_UPDATES. Scoring carries the
 state across windows, so a text's log-likelihood is that of the whole text; texts share the lanes of a batch and each
 starts from an empty state.
 
@@ -32,14 +35,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakweave.llm.common import crc_mod, lowered, space_words, written
+from peakweave.session import scratch_path
 
+#: Fewest and most words with a symbol of their own, and the share of the tokens they are to hold; multiples of CLASS_SIZE.
 HEAD = 512
+HEAD_MOST = 1024
+COVERED = 0.9
 CLASS_SIZE = 32
 #: Most frequent words whose counts each task holds.
 LOOKUP = 50_000
+#: Hidden units for HEAD words.
 HIDDEN = 8
 TRAIN_STEPS = 16
-TRAIN_LANES = 1024
+TRAIN_LANES = 512
+LEAST_LANES = 16
+LEAST_UPDATES = 64
+#: Rounds of training, each of an equal share of the shards, and the tokens a shard has at most on average.
+ROUNDS = 8
+SHARD_TOKENS = 2_000_000
 #: A longer text is trained in parts of so many words, each from an empty state.
 TRAIN_PART = 2048
 SCORE_STEPS = 32
@@ -109,8 +122,10 @@ class Vocabulary:
         self.tokens, self.distinct = totals
         self.index = {w: k for k, w in enumerate(words)}
         self.counts = np.array([counts.get(w, 0) for w in words], dtype=float)
-        head = min(HEAD, len(words))
-        self.symbol = np.array([k if k < head else HEAD + shape(w) for k, w in enumerate(words)], dtype=np.int16)
+        needed = int(np.searchsorted(np.cumsum(self.counts), COVERED * self.tokens)) + 1
+        self.head = min(max(HEAD, -(-min(needed, len(words)) // CLASS_SIZE) * CLASS_SIZE), HEAD_MOST)
+        head = min(self.head, len(words))
+        self.symbol = np.array([k if k < head else self.head + shape(w) for k, w in enumerate(words)], dtype=np.int16)
         # counts and different words of each shape, without the head
         held = np.array([shapes.get(k, (0, 0)) for k in range(SHAPES)], dtype=float).reshape(SHAPES, 2)
         for k in range(head):
@@ -127,17 +142,19 @@ class Vocabulary:
         symbols[:-1] = self.symbol[at]
         missing = np.flatnonzero(at < 0)
         rest = [words[i] for i in missing.tolist()]
-        symbols[missing] = HEAD + shapes_of(rest)
+        symbols[missing] = self.head + shapes_of(rest)
         return symbols, at, rest
 
 
 class Network:
     """Parameters as one flat vector, viewed as arrays."""
 
-    def __init__(self, vocabulary: Vocabulary | None = None, flat: np.ndarray | None = None):
-        h, classes, symbols = HIDDEN, HEAD // CLASS_SIZE + SHAPES, HEAD + SHAPES
+    def __init__(self, vocabulary: Vocabulary | None = None, flat: np.ndarray | None = None, head: int = HEAD):
+        head = self.head = vocabulary.head if vocabulary is not None else head
+        h = self.hidden = HIDDEN * head // HEAD
+        classes, symbols = head // CLASS_SIZE + SHAPES, head + SHAPES
         self.shapes = {"inputs": (symbols, 3 * h), "state": (h, 3 * h), "gates": (3 * h,), "to_class": (h, classes),
-                       "class_bias": (classes,), "to_word": (HEAD, h), "word_bias": (HEAD,)}
+                       "class_bias": (classes,), "to_word": (head, h), "word_bias": (head,)}
         sizes = {k: int(np.prod(v)) for k, v in self.shapes.items()}
         if flat is None:
             rng = np.random.default_rng(3)
@@ -150,17 +167,17 @@ class Network:
             at += size
         if vocabulary is not None:
             # start from the frequencies: an untrained network is the unigram model
-            head = np.full(HEAD, 0.1)
-            n = min(HEAD, len(vocabulary.counts))
-            head[:n] += vocabulary.counts[:n]
-            self.parts["word_bias"][:] = np.log(head)
-            grouped = np.concatenate([head.reshape(-1, CLASS_SIZE).sum(axis=1), vocabulary.shape_tokens + 1])
+            counts = np.full(head, 0.1)
+            n = min(head, len(vocabulary.counts))
+            counts[:n] += vocabulary.counts[:n]
+            self.parts["word_bias"][:] = np.log(counts)
+            grouped = np.concatenate([counts.reshape(-1, CLASS_SIZE).sum(axis=1), vocabulary.shape_tokens + 1])
             self.parts["class_bias"][:] = np.log(grouped / grouped.sum())
             self.parts["gates"][:] = 0
 
     def forward(self, x: np.ndarray, fresh: np.ndarray, state: np.ndarray, all_parts: bool = True) -> dict:
         """Run the unit over a window; x and fresh are (steps, lanes), `fresh` marks the first word of a text."""
-        p, h = self.parts, HIDDEN
+        p, h = self.parts, self.hidden
         steps, lanes = x.shape
         names = ("after", "before", "update", "reset", "new", "inner") if all_parts else ("after",)
         keep = {k: np.empty((steps, lanes, h), np.float32) for k in names}
@@ -191,17 +208,17 @@ class Network:
 
         Scores lie class by class, so that a softmax runs along long rows.
         """
-        p = self.parts
+        p, head = self.parts, self.head
         states = np.ascontiguousarray(states.T)
-        cls = np.where(y < HEAD, y // CLASS_SIZE, y - HEAD + HEAD // CLASS_SIZE).astype(np.int16)
+        cls = np.where(y < head, y // CLASS_SIZE, y - head + head // CLASS_SIZE).astype(np.int16)
         logp, error = self._softmax(p["to_class"].T @ states + p["class_bias"][:, None], cls, gradient)
         grads = {}
         if gradient:
             grads = {"to_class": states @ error.T, "class_bias": error.sum(axis=1), "to_word": np.zeros_like(p["to_word"]),
                      "word_bias": np.zeros_like(p["word_bias"]), "back": p["to_class"] @ error}
-        heads = np.flatnonzero(y < HEAD)
+        heads = np.flatnonzero(y < head)
         order = heads[np.argsort(cls[heads], kind="stable")]
-        bounds = np.searchsorted(cls[order], np.arange(HEAD // CLASS_SIZE + 1))
+        bounds = np.searchsorted(cls[order], np.arange(head // CLASS_SIZE + 1))
         for c in np.flatnonzero(np.diff(bounds)).tolist():
             at = order[bounds[c] : bounds[c + 1]]
             block = slice(c * CLASS_SIZE, (c + 1) * CLASS_SIZE)
@@ -232,7 +249,7 @@ class Network:
 
     def gradients(self, x: np.ndarray, fresh: np.ndarray, y: np.ndarray, state: np.ndarray) -> tuple[dict, np.ndarray, float]:
         """Gradients of the mean loss over a window, the state behind it, and the summed log-probability."""
-        p, h = self.parts, HIDDEN
+        p, h = self.parts, self.hidden
         kept = self.forward(x, fresh, state)
         steps, lanes = x.shape
         real = y >= 0
@@ -306,8 +323,9 @@ class Lanes:
 def train(network: Network, texts: list[np.ndarray], moments: dict) -> int:
     """One pass of truncated backpropagation over the texts; returns the tokens seen."""
     parts = [t[at : at + TRAIN_PART] for t in texts for at in range(0, len(t), TRAIN_PART)]
-    lanes, seen = Lanes(parts, TRAIN_LANES), 0
-    state = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
+    room = sum(map(len, parts)) // (TRAIN_STEPS * LEAST_UPDATES)
+    lanes, seen = Lanes(parts, min(max(room, LEAST_LANES), TRAIN_LANES)), 0
+    state = np.zeros((len(lanes.lengths), network.hidden), np.float32)
     for _, x, fresh, y in lanes.windows(TRAIN_STEPS):
         grads, state, _ = network.gradients(x, fresh, y, state[: x.shape[1]])
         step = moments["step"] = moments.get("step", 0) + 1
@@ -325,12 +343,12 @@ def likelihoods(network: Network, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihood of each text's symbols."""
     lanes = Lanes(texts, SCORE_LANES)
     logp = np.zeros(len(lanes.y))
-    state = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
+    state = np.zeros((len(lanes.lengths), network.hidden), np.float32)
     for places, x, fresh, y in lanes.windows(SCORE_STEPS):
         kept = network.forward(x, fresh, state[: x.shape[1]], False)
         state = kept["after"][-1]
         real = np.flatnonzero(y >= 0)
-        found, _ = network.read_out(kept["after"].reshape(-1, HIDDEN)[real], y.reshape(-1)[real], False)
+        found, _ = network.read_out(kept["after"].reshape(-1, network.hidden)[real], y.reshape(-1)[real], False)
         logp[places.reshape(-1)[real]] = found
     out = np.zeros(len(texts))
     out[lanes.texts] = np.add.reduceat(logp, lanes.starts_of_texts)
@@ -356,39 +374,66 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
                       {r["shape"]: (r["n"], r["v"]) for r in by_shape})
 
 
+def shards(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The texts' symbols, dealt evenly whatever partitions they stand in: a row per shard with its `round`, `symbols` and
+    the `lengths` of their parts."""
+
+    def cut(batches):
+        for batch in batches:
+            texts = [vocabulary.read(space_words(t))[0] for t in lowered(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([t[at : at + TRAIN_PART].tobytes() for t in texts for at in range(0, len(t), TRAIN_PART)],
+                          pa.binary())], names=["symbols"])
+
+    def gather(batches):
+        held = [x for batch in batches for x in batch.column("symbols").to_pylist()]
+        if held:
+            from pyspark import TaskContext
+
+            lengths = np.array([len(x) // 2 for x in held], dtype="<i4")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId() % ROUNDS], pa.int32()), pa.array([b"".join(held)], pa.binary()),
+                 pa.array([lengths.tobytes()], pa.binary())], names=["round", "symbols", "lengths"])
+
+    each = -(-vocabulary.tokens // (ROUNDS * SHARD_TOKENS))
+    dealt = training.select("text").mapInArrow(cut, "symbols binary").repartition(each * ROUNDS)
+    return dealt.mapInArrow(gather, "round int, symbols binary, lengths binary")
+
+
 def learn_network(training: DataFrame, vocabulary: Vocabulary) -> Network:
-    """Copies trained on each partition, averaged by their tokens."""
-    start = Network(vocabulary)
+    """ROUNDS times: copies trained on each shard of the round, averaged by their tokens."""
+    network = Network(vocabulary)
+    if not vocabulary.tokens:
+        return network
+    path = scratch_path(training.sparkSession, "lm-shards")
+    # a folder per round
+    shards(training, vocabulary).write.partitionBy("round").parquet(path)
+    stored = training.sparkSession.read.schema("symbols binary, lengths binary, round int").parquet(path)
+    for k in range(ROUNDS):
+        network = trained(stored.filter(F.col("round") == k), network)
+    return network
+
+
+def trained(part: DataFrame, start: Network) -> Network:
+    """The average of copies of `start`, each trained on a shard."""
+    flat, head = start.flat.copy(), start.head
 
     def run(batches):
-        network, moments, seen = Network(flat=start.flat.copy()), {}, 0
-        for texts, _ in chunks(batches, vocabulary):
-            seen += train(network, texts, moments)
-        if seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(network.flat), dtype=np.int32)), pa.array(network.flat.astype(float) * seen),
-                 pa.array(np.full(len(network.flat), float(seen)))], names=["at", "value", "weight"])
+        for batch in batches:
+            for symbols, lengths in zip(batch.column("symbols"), batch.column("lengths")):
+                network = Network(flat=flat.copy(), head=head)
+                ends = np.cumsum(np.frombuffer(lengths.as_py(), "<i4"))
+                seen = train(network, np.split(np.frombuffer(symbols.as_py(), np.int16), ends[:-1]), {})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(network.flat.astype(float) * seen),
+                     pa.array(np.full(len(flat), float(seen)))], names=["at", "value", "weight"])
 
-    summed = training.select("text").mapInArrow(run, "at int, value double, weight double").groupBy("at").agg(
+    summed = part.select("symbols", "lengths").mapInArrow(run, "at int, value double, weight double").groupBy("at").agg(
         (F.sum("value") / F.sum("weight")).alias("value"))
-    flat = start.flat.copy()
+    averaged = flat.copy()
     for row in summed.collect():
-        flat[row["at"]] = row["value"]
-    return Network(flat=flat)
-
-
-def chunks(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[tuple[list[np.ndarray], list]]:
-    """The texts' symbols in chunks of about CHUNK tokens."""
-    texts, size = [], 0
-    for batch in batches:
-        for text in lowered(batch.column("text")):
-            texts.append(vocabulary.read(space_words(text))[0])
-            size += len(texts[-1])
-            if size >= CHUNK:
-                yield texts, []
-                texts, size = [], 0
-    if texts:
-        yield texts, []
+        averaged[row["at"]] = row["value"]
+    return Network(flat=averaged, head=head)
 
 
 def score_rows(docs: DataFrame, vocabulary: Vocabulary, network: Network) -> DataFrame:
@@ -420,9 +465,9 @@ def score_rows(docs: DataFrame, vocabulary: Vocabulary, network: Network) -> Dat
                 known = int((vocabulary.counts[inside] > 0).sum()) + int(vocabulary.counts[0] > 0)
                 gain = float(vocabulary.gain[inside].sum() + vocabulary.gain[0])
                 # a head word's probability is the network's; others divide by their shape's counts
-                shapes = symbols[symbols >= HEAD] - HEAD
+                shapes = symbols[symbols >= vocabulary.head] - vocabulary.head
                 tail = np.bincount(shapes, minlength=SHAPES) @ vocabulary.shape_room
-                outside_head = float(vocabulary.gain[inside[vocabulary.symbol[inside] >= HEAD]].sum())
+                outside_head = float(vocabulary.gain[inside[vocabulary.symbol[inside] >= vocabulary.head]].sum())
                 held.append((row, doc_id, symbols, known, gain, float(tail) - outside_head))
                 size += len(symbols)
                 found = Counter(rest)

@@ -215,3 +215,41 @@ def test_binomial_tail_is_exact():
     for k, n, p in ((0, 10, 0.1), (3, 20, 0.2), (5, 5, 0.5), (40, 1000, 0.05)):
         assert abs(quality_rules.binomial_tail(k, n, p) - min(1, sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)))) < 1e-9
     assert not quality_rules.within_risk(0, 0, 0.1, 0.05)
+
+
+def chained(rng, n):
+    """A text in which each word leaves four choices for the next."""
+    at, out = rng.randrange(300), []
+    for _ in range(n):
+        out.append(f"w{at}")
+        at = (at * 7 + rng.choice((1, 2, 3, 5))) % 300
+    return " ".join(out)
+
+
+def test_language_model_learns_for_held_out_texts_whatever_the_files(spark, tmp_path):
+    rng = random.Random(12)
+    docs = frame(spark, [chained(rng, rng.randrange(50, 250)) for _ in range(1400)])
+    gain = []
+    for files in (1, 48):
+        docs.repartition(files).write.parquet(str(tmp_path / str(files)))
+        # a partition per file
+        read = spark.read.parquet(str(tmp_path / str(files))).repartition(files)
+        held = [r for r in recurrent_lm.score(read).collect() if r["held_out"]]
+        gain.append(sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held))
+    assert min(gain) > 0.3 and abs(gain[0] - gain[1]) < 0.1
+
+
+def test_symbols_follow_the_measured_vocabulary():
+    top = [("", 100), *((f"w{k}", 1000 - k) for k in range(900))]
+    shapes = {}
+    for w, c in top:
+        n, v = shapes.get(recurrent_lm.shape(w.encode()), (0, 0))
+        shapes[recurrent_lm.shape(w.encode())] = (n + c, v + 1)
+    vocabulary = recurrent_lm.Vocabulary(top, (sum(c for _, c in top), len(top)), shapes)
+    assert recurrent_lm.HEAD < vocabulary.head < recurrent_lm.HEAD_MOST and vocabulary.head % recurrent_lm.CLASS_SIZE == 0
+    assert vocabulary.counts[: vocabulary.head].sum() >= recurrent_lm.COVERED * vocabulary.tokens
+    network = recurrent_lm.Network(vocabulary)
+    assert network.hidden > recurrent_lm.HIDDEN
+    every = np.arange(vocabulary.head + recurrent_lm.SHAPES)
+    logp, _ = network.read_out(np.ones((len(every), network.hidden), np.float32), every, False)
+    assert abs(np.exp(logp).sum() - 1) < 1e-4
