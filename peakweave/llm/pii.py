@@ -2,8 +2,9 @@
 
 Kinds, in this order: `email`, `ip`, `card` (Luhn), `phone`, and two the method adds: `iban` (mod 97) and `ssn` (nine
 digits in the written form 3-2-4, kept only where a context word stands nearby). Matches of one kind are leftmost and do
-not overlap; a match that fails its check is dropped and the search goes on behind it. Spans count code points, the end
-is exclusive.
+not overlap; a match that fails its check is dropped and the search goes on behind it. An `iban` may be any run of whole
+groups of its match, the longest one from the earliest group on: words in capitals may stand before and behind it. Spans
+count code points, the end is exclusive.
 
 Every span has a score: a base value per kind, raised when one of the kind's context words stands within CONTEXT
 characters before it or behind it, lowered when a word that speaks against it does. Kinds with a base pattern are
@@ -82,6 +83,19 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", low)
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Confirmed matches of `IBAN`: the longest part that ends with a group; the search goes on behind it, and behind the
+    first four characters where there is none."""
+    m = IBAN.search(text)
+    while m:
+        start, end = m.span()
+        while end > start and not mod_97(text[start:end]):
+            end = text.rfind(" ", start, end)
+        if end > start:
+            yield start, end
+        m = IBAN.search(text, end if end > start else start + 4)
+
+
 def proposals(text: str) -> Iterator[tuple[str, int, int]]:
     """Confirmed spans, kind by kind."""
     for start, end in emails(text):
@@ -97,9 +111,8 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
         for m in PHONE.finditer(text):
             if 9 <= len(m[0].translate(NO_DIGITS)) <= 15:
                 yield "phone", *m.span()
-    for m in IBAN.finditer(text):
-        if mod_97(m[0]):
-            yield "iban", *m.span()
+    for start, end in ibans(text):
+        yield "iban", start, end
     for m in SSN.finditer(text):
         yield "ssn", *m.span()
 

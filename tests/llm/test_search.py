@@ -178,3 +178,17 @@ def test_longest_match_and_its_place(spark):
     matches = {r["doc_id"]: [tuple(m) for m in r["matches"]] for r in found.collect()}
     assert matches == {0: [("4", 0, 1, 25)], 1: [("4", 3, 0, 17)]}
     assert lower("AÉ") == "aÉ"
+
+
+def test_an_iban_ends_before_a_word_in_capitals():
+    ibans = ("BE68 5390 0754 7034", "BE68539007547034", "DE89 3704 0044 0532 0130 00", "AT61 1904 3002 3457 3201",
+             "NO93 8601 1117 947", "GB82 WEST 1234 5698 7654 32", "MT84 MALT 0110 0001 2345 MTLC AST0 01S")
+    for iban in ibans:
+        for behind in ("", " BIC GEBABEBB", " BANK", " BANK OF X", " A", " TRANSFER", " 2024 1234 ABC", f" {ibans[0]} END"):
+            for before in ("", "IBAN ", "XY12 3456 ABCD "):
+                text = f"{before}{iban}{behind}"
+                found = [text[a:b] for a, b, kind, _ in pii.find(text) if kind == "iban"]
+                assert found == [iban, *ibans[:1] * (ibans[0] in behind)], text
+    text = "BE68 5390 0754 7034 BIC GEBABEBB"
+    assert pii.redacted(text, pii.find(text)) == "<IBAN> BIC GEBABEBB"
+    assert not list(pii.ibans("BE68 5390 0754 7035 BIC"))
