@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from peakweave.session import scratch_path
 
+#: Bytes of text, as UTF-8, that a labelled sample has of each class at most.
+SAMPLE_BYTES = 32_000_000
+
 # Lower-cases A-Z and turns every byte that is not in a word `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` into a blank. Bytes of
 # 0x80 and above belong to characters outside ASCII, all of which are word characters.
 ALNUM_WORDS = bytes(
@@ -79,10 +82,12 @@ def held_crc(doc_ids: list, divisor: int) -> list[int]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, learn: Column) -> list[tuple[str, int]]:
-    """About `per_class` labelled texts of each class, or all of fewer, among the rows `learn` admits.
+    """At most `per_class` labelled texts of each class, or all of fewer, among the rows `learn` admits.
 
-    A row is taken when the hash of its id falls below the share its class needs, so the sample is of fixed size on the
-    driver however many labels there are; an id labelled twice counts once, as the larger label.
+    An id is taken when its hash falls below the share its class needs; an id labelled twice counts once, as the larger
+    label, and one with several rows counts once, with the least of its texts. The driver receives at most `per_class`
+    texts of a class, whole, and SAMPLE_BYTES of them: in the order of their ids' hashes, a text that doesn't fit in what
+    is left is passed over.
     """
     known = labels.filter(learn).filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(label).cast("int").alias("label"))
@@ -92,9 +97,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     for value, size in sizes.items():
         wanted = wanted | ((F.col("label") == value) & (place < min(1.0, per_class / size)))
     chosen = known.filter(wanted)
-    # about two times `per_class` narrow rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect()
-    return [(r["text"] or "", r["label"]) for r in sorted(rows, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))]
+    # a row per id before anything is collected; about two times `per_class` narrow rows on either side
+    found = written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.first("label").alias("label")), "labelled-sample")
+    narrow = found.select("doc_id", "label", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")).collect()
+    taken, room, left = [], dict.fromkeys(sizes, per_class), dict.fromkeys(sizes, SAMPLE_BYTES)
+    for r in sorted(narrow, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"])):
+        if room[r["label"]] and r["bytes"] <= left[r["label"]]:
+            room[r["label"]] -= 1
+            left[r["label"]] -= r["bytes"]
+            taken.append(r["doc_id"])
+    if len(taken) < len(narrow):
+        kept = docs.sparkSession.createDataFrame([(i,) for i in taken], found.select("doc_id").schema)
+        found = found.join(F.broadcast(kept), "doc_id")
+    texts = {r["doc_id"]: (r["text"] or "", r["label"]) for r in found.collect()}
+    return [texts[i] for i in taken]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:

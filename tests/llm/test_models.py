@@ -253,3 +253,20 @@ def test_symbols_follow_the_measured_vocabulary():
     every = np.arange(vocabulary.head + recurrent_lm.SHAPES)
     logp, _ = network.read_out(np.ones((len(every), network.hidden), np.float32), every, False)
     assert abs(np.exp(logp).sum() - 1) < 1e-4
+
+
+def test_labelled_sample_has_one_row_per_id_and_a_byte_bound(spark, monkeypatch):
+    from peakweave.llm import common
+
+    rows = [(k, f"text {k}") for k in range(40)] + [(3, "copy")] * 500 + [(4, None)] * 9
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id bigint, toxic int")
+    sample = common.labelled_sample(docs, labels, "toxic", 3000, F.lit(True))
+    assert sorted(sample) == sorted(("copy" if k == 3 else f"text {k}", k % 2) for k in range(40))
+    for per_class in (5, 12, 19):
+        few = Counter(label for _, label in common.labelled_sample(docs, labels, "toxic", per_class, F.lit(True)))
+        assert max(few.values()) <= per_class
+    monkeypatch.setattr(common, "SAMPLE_BYTES", 50)
+    bounded = common.labelled_sample(docs, labels, "toxic", 3000, F.lit(True))
+    assert set(bounded) <= set(sample)
+    assert all(36 <= sum(len(t) for t, y in bounded if y == label) <= 50 for label in (0, 1))
