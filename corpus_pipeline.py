@@ -47,7 +47,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences, with ids and their checksum."""
     prepare(spark)
-    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+    return packing.pack(docs, encode_special_tokens=False).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -76,14 +76,15 @@ def curve_keys(vectors: np.ndarray) -> np.ndarray:
     return hilbert_key(cells.astype(np.int64))
 
 
-def encoded(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: str = VOCABULARY, encode_special_tokens: bool = True) -> DataFrame:
     """`row`, `doc_id`, `key`, `n_tokens` with the end token, and `ids`, little-endian unsigned 16- or 32-bit numbers."""
 
     def run(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for at in range(0, len(texts), STEP):
-                ids = [np.append(x, np.int32(END)) for x in encode_batch(texts[at : at + STEP], pieces(vocabulary))]
+                encoder = pieces(vocabulary, encode_special_tokens)
+                ids = [np.append(x, np.int32(END)) for x in encode_batch(texts[at : at + STEP], encoder)]
                 vectors = np.array([np.bincount(bucket(x), minlength=BUCKETS) for x in ids], dtype=float)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("row")[at : at + STEP], batch.column("doc_id")[at : at + STEP],
@@ -117,10 +118,10 @@ def along_curve(lengths: DataFrame) -> DataFrame:
     return summed.join(F.broadcast(earlier), "part").select("row", (F.col("earlier") + F.col("inside")).alias("before"))
 
 
-def pack(docs: DataFrame, size: int = SIZE, vocabulary: str = VOCABULARY) -> DataFrame:
+def pack(docs: DataFrame, size: int = SIZE, vocabulary: str = VOCABULARY, encode_special_tokens: bool = True) -> DataFrame:
     """One row per piece: `doc_id`, `start` in its document, `length`, `ids` (32-bit little-endian), `doc_tokens`,
     `sequence_id` and `offset` in the sequence."""
-    tokens = written(encoded(docs, vocabulary), "packing-tokens")
+    tokens = written(encoded(docs, vocabulary, encode_special_tokens), "packing-tokens")
     wide = tokens.drop("key").join(along_curve(tokens).hint("shuffle_hash"), "row")
 
     def run(batches):

@@ -25,7 +25,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), encode_special_tokens=False))
 
 
 def op4_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.sections(table(spark, sf_dir, "documents"))
+    return token_counts.sections(table(spark, sf_dir, "documents"), encode_special_tokens=False)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,8 @@ def attribute_tokens(starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -
     return section, crossing
 
 
-def sections(docs: DataFrame, fields: tuple[str, ...] = ("text",), vocabulary: str = VOCABULARY) -> DataFrame:
+def sections(docs: DataFrame, fields: tuple[str, ...] = ("text",), vocabulary: str = VOCABULARY,
+             encode_special_tokens: bool = True) -> DataFrame:
     """One row per line of each field: its place, its tokens, those that cross its borders, and the document's tokens."""
 
     def run(batches):
@@ -50,7 +51,8 @@ def sections(docs: DataFrame, fields: tuple[str, ...] = ("text",), vocabulary: s
             lines.append([line for _, line in parts])
         texts = ["\n".join(x) for x in lines]
         owner, name, number, start, end, tokens, crossed, total = ([] for _ in range(8))
-        for k, (text, (ids, a, b)) in enumerate(zip(texts, encode_spans(texts, pieces(vocabulary)))):
+        encoder = pieces(vocabulary, encode_special_tokens)
+        for k, (text, (ids, a, b)) in enumerate(zip(texts, encode_spans(texts, encoder))):
             widths = np.array([len(x) + 1 for x in lines[k]])
             bounds = np.concatenate([[0], np.cumsum(widths)])
             bounds[-1] -= 1

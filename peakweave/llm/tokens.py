@@ -2,7 +2,9 @@
 
 The `tokenizers` model splits a text into pieces (words with their blank) and encodes each on its own, so a piece met
 before needs no second encoding. Pieces are found with `re` where a text has only characters whose class is known here,
-and with the vocabulary's own pattern otherwise. Ids equal those of `Tokenizer.encode`.
+and with the vocabulary's own pattern otherwise. The vocabulary's added tokens, such as `<|endoftext|>`, are cut out of a
+text first and have one id each, unless `encode_special_tokens` is set: then they are text like any other. Ids equal those
+of `Tokenizer.encode(text, add_special_tokens=False)` with the same setting, whose own default is False.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ def byte_alphabet() -> dict[int, int]:
 class Pieces(dict):
     """Piece -> number of its entry; ids and character spans of all entries lie in flat arrays."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, encode_special_tokens: bool = True):
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
@@ -42,6 +44,15 @@ class Pieces(dict):
         self.tokenize = tokenizer.model.tokenize
         self.general = regex.compile(public_tokenizers.PATTERN)
         self.alphabet = byte_alphabet()
+        self.added: dict[str, int] = {}
+        for number, token in tokenizer.get_added_tokens_decoder().items():
+            if not (encode_special_tokens and token.special):
+                if token.single_word or token.lstrip or token.rstrip:
+                    raise ValueError(f"added token {token.content!r} is not matched literally")
+                self.added[token.content] = number
+        # the longest of those that start at one place
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.forget()
 
     def forget(self) -> None:
@@ -50,6 +61,14 @@ class Pieces(dict):
         self.arrays = None
 
     def __missing__(self, piece: str) -> int:
+        if piece in self.added:
+            # no other piece is equal to one: all places where it stands are cut out
+            self.ids.append(self.added[piece])
+            self.starts.append(0)
+            self.ends.append(len(piece))
+            self.at.append(len(self.ids))
+            entry = self[piece] = len(self.at) - 2
+            return entry
         data = piece.encode()
         tokens = self.tokenize(data.decode("latin-1").translate(self.alphabet))
         self.ids.extend([t.id for t in tokens])
@@ -65,6 +84,13 @@ class Pieces(dict):
         return entry
 
     def split(self, text: str) -> list[str]:
+        if not any(token in text for token in self.added):
+            return self.ordinary(text)
+        # every second part is an added token
+        parts = self.cut.split(text)
+        return [piece for n, part in enumerate(parts) for piece in ([part] if n % 2 else self.ordinary(part))]
+
+    def ordinary(self, text: str) -> list[str]:
         return (self.general if _OTHER.search(text) else _PIECES).findall(text)
 
     def entries(self, pieces: list[str]) -> np.ndarray:
@@ -82,18 +108,20 @@ class Pieces(dict):
         return np.array(getattr(self, name), dtype=np.int32)
 
 
-_LOADED: dict[str, Pieces] = {}
+_LOADED: dict[tuple[str, bool], Pieces] = {}
 
 
-def pieces(vocabulary: str = VOCABULARY) -> Pieces:
+def pieces(vocabulary: str = VOCABULARY, encode_special_tokens: bool = True) -> Pieces:
     """The worker's encoder; the vocabulary is a file of the public tokenizers or a path."""
-    if vocabulary not in _LOADED:
+    key = (vocabulary, encode_special_tokens)
+    if key not in _LOADED:
         import os
 
         import public_tokenizers
 
-        _LOADED[vocabulary] = Pieces(vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary))
-    found = _LOADED[vocabulary]
+        _LOADED[key] = Pieces(
+            vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary), encode_special_tokens)
+    found = _LOADED[key]
     if len(found) > REMEMBERED:
         found.forget()
     return found

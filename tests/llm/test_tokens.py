@@ -93,3 +93,27 @@ def test_hilbert_key_steps_to_a_neighbour_cell():
     keys = packing.hilbert_key(cells, 3)
     assert sorted(keys.tolist()) == list(range(512))
     assert (np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(axis=1) == 1).all()
+
+
+def test_added_tokens_have_one_id_in_the_queries_setting(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from peakweave.llm import queries
+
+    default = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))
+    end = "<|endoftext|>"
+    all_ = [*TEXTS, end, f"a {end}", f"{end}{end}  b\n", f"日本 \n {end} \n ½ <|endoftext|", f"x{end}y 's"]
+    plain = [t or "" for t in all_]
+    expected = default.encode_batch(plain, add_special_tokens=False)
+    encoder = tokens.pieces(encode_special_tokens=False)
+    assert [x.tolist() for x in tokens.encode_batch(plain, encoder)] == [e.ids for e in expected]
+    for (ids, a, b), e in zip(tokens.encode_spans(plain, encoder), expected):
+        assert list(zip(a.tolist(), b.tolist())) == e.offsets
+    encoder.forget()
+    assert tokens.encode_batch([end], encoder)[0].tolist() == [50256]
+    frame(spark, all_).write.parquet(str(tmp_path / "documents.parquet"))
+    packed = queries.op3_packing(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["doc_tokens"]) for r in packed} == {(k, len(e.ids) + 1) for k, e in enumerate(expected)}
+    counted = queries.op7_token_counts(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["doc_tokens"]) for r in counted} == {(k, len(e.ids)) for k, e in enumerate(expected)}
