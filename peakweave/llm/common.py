@@ -16,6 +16,9 @@ from peakweave.session import scratch_path
 #: Bytes of text, as UTF-8, that a labelled sample has of each class at most.
 SAMPLE_BYTES = 32_000_000
 
+#: A key is hot when it has more than one row in this many.
+HOT = 1000
+
 # Lower-cases A-Z and turns every byte that is not in a word `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` into a blank. Bytes of
 # 0x80 and above belong to characters outside ASCII, all of which are word characters.
 ALNUM_WORDS = bytes(
@@ -33,6 +36,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def attach(rows: DataFrame, groups: DataFrame, keys: list[str], copies: str = "copies") -> DataFrame:
+    """`rows` with what `groups` has for their keys; `copies` says how many rows have the key. Both are stored tables or cheap.
+
+    A key with more than one row in HOT is sent to the rows by broadcast, fewer than HOT of them whatever the size of the
+    table; the other keys are joined by a shuffle in which no key has more than that share. Keys must not be null.
+    """
+    groups = written(groups, "groups")
+    total = groups.agg(F.coalesce(F.sum(copies), F.lit(0)).alias("n")).first()["n"]
+    hot = F.col(copies) * HOT > total
+    largest, others = F.broadcast(groups.filter(hot).drop(copies)), groups.filter(~hot).drop(copies)
+    return rows.join(largest, keys).unionByName(
+        rows.join(largest.select(*keys), keys, "left_anti").join(others.hint("merge"), keys))
+
+
 def crc_mod(column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo `divisor`; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from peakweave.llm import decontamination, licenses, quality_rules
+from peakweave.llm import decontamination, embedding_dedup, fill_in_middle, licenses, quality_rules, vector_codes
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -76,3 +76,62 @@ chosen AS (SELECT stratum, rule, min_by(cut, -step) AS cut FROM open_ WHERE fail
 verdict AS (SELECT doc_id, string_agg(rule, ',' ORDER BY place) AS failed FROM v JOIN chosen USING (stratum, rule) WHERE value > cut GROUP BY doc_id)
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, cast(stratum AS INTEGER) AS stratum,
 coalesce(failed, '') AS failed_rules, NOT base_failed AND failed IS NULL AS kept FROM m LEFT JOIN verdict ON verdict.doc_id = m.doc_id"""
+
+
+def vector_codes_sql() -> str:
+    """Each round's codebooks as a table; all distances of parts to entries, the least with the lower index."""
+    parts, entries, scale = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.SCALE
+
+    def near(r: int) -> str:
+        return f"""near{r} AS MATERIALIZED (SELECT row, part, min(struct_pack(d := list_sum([(v[k] - e[k]) * (v[k] - e[k]) FOR k IN range(1, len(v) + 1)]), entry := entry)) AS best
+FROM part JOIN book{r} USING (part) GROUP BY row, part)"""
+
+    def book(r: int) -> str:
+        return f"""book{r} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM book{r - 1} b LEFT JOIN (
+SELECT part, entry, list(mean ORDER BY k) AS e FROM (SELECT part, best.entry AS entry, k, cast(floor(sum(v[k]) / count(*)) AS BIGINT) AS mean
+FROM near{r - 1} JOIN part USING (row, part), unnest(range(1, len(v) + 1)) u(k) GROUP BY ALL) GROUP BY part, entry) m USING (part, entry))"""
+
+    rounds = ",\n".join(f"{near(r)},\n{book(r + 1)}" for r in range(vector_codes.ROUNDS))
+    return f"""WITH x AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, label, [cast(floor(cast(c AS DOUBLE) * {scale}) AS BIGINT) FOR c IN embedding] AS x FROM embeddings
+WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+part AS MATERIALIZED (SELECT row, vec_id, p AS part, x[p * len(x) // {parts} + 1:(p + 1) * len(x) // {parts}] AS v FROM x, unnest(range({parts})) u(p)),
+book0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v AS e FROM part
+WHERE vec_id IN (SELECT vec_id FROM x ORDER BY vec_id LIMIT {entries})),
+{rounds},
+{near(vector_codes.ROUNDS)},
+code AS (SELECT row, string_agg(lpad(lower(to_hex(best.entry)), 2, '0'), '' ORDER BY part) AS code, cast(sum(best.d) AS BIGINT) AS error FROM near{vector_codes.ROUNDS} GROUP BY row),
+sha AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{vector_codes.ROUNDS})
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM x JOIN code USING (row), sha"""
+
+
+def embedding_dedup_sql() -> str:
+    """All pairs of a label, and what links reach."""
+    return f"""WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS MATERIALIZED (SELECT row, label, e, sqrt(list_sum([c * c FOR c IN e])) AS size FROM v WHERE label IS NOT NULL AND e IS NOT NULL
+AND len(list_filter(e, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(e, lambda c: c <> 0)) > 0),
+link AS MATERIALIZED (SELECT a.row AS a, b.row AS b FROM ok a JOIN ok b ON a.label = b.label AND a.row <> b.row
+WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= {embedding_dedup.LIMIT}),
+reach AS (SELECT row AS a, row AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a AS row, min(vec_id) AS component_id FROM reach JOIN v ON v.row = reach.b GROUP BY a),
+n AS (SELECT a AS row, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN least USING (row) LEFT JOIN n USING (row)"""
+
+
+def fill_in_middle_sql() -> str:
+    """Lines as a list, cut where the hash of the id says."""
+    salt, rate, share = fill_in_middle.SALT, fill_in_middle.RATE, fill_in_middle.SPM_SHARE
+
+    def lines(a: str, b: str) -> str:
+        """Lines a + 1 to b with their ends; the last has none when all are taken and the text ends without one."""
+        return f"CASE WHEN {b} > {a} THEN array_to_string(l[{a} + 1:{b}], chr(10)) || CASE WHEN {b} < len(l) THEN chr(10) ELSE '' END ELSE '' END"
+
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('{salt}:' || coalesce(cast(doc_id AS VARCHAR), '')) AS x FROM documents),
+s AS (SELECT *, string_split(text, chr(10)) AS l, CASE WHEN text = '' THEN 0 ELSE len(text) - len(replace(text, chr(10), '')) + (right(text, 1) <> chr(10))::INT END AS n,
+[cast('0x' || substr(x, 8 * k + 1, 8) AS BIGINT) FOR k IN range(4)] AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b FROM s),
+p AS (SELECT *, {lines("0", "a")} AS prefix, {lines("a", "b")} AS middle, {lines("b", "n")} AS suffix,
+CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= {rate} THEN 'plain'
+WHEN h[4] % 100 < {share} THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, cast(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN len(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN len(middle) END AS middle_chars,
+sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""

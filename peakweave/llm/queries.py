@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from peakweave.llm import (
-    decontamination, licenses, oracles, packing, pii, quality_classifier, quality_rules, recurrent_lm, simhash, token_counts,
-    toxicity)
+    decontamination, embedding_dedup, fill_in_middle, licenses, oracles, packing, pii, quality_classifier, quality_rules,
+    recurrent_lm, simhash, token_counts, toxicity, vector_codes)
 from peakweave.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,12 +59,26 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, quality_classifier.fit(docs, labels, crc_mod("doc_id", divisor) != held))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.group(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_licenses, op2_toxicity, op3_packing, op4_recurrent_lm, op5_simhash, op6_pii, op7_token_counts,
-        op8_decontamination, op9_quality_rules, op10_quality_classifier)}
+        op8_decontamination, op9_quality_rules, op10_quality_classifier, op11_vector_codes, op12_embedding_dedup,
+        op13_fill_in_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_licenses": oracles.license_sql(), "op8_decontamination": oracles.decontamination_sql(),
-            "op9_quality_rules": oracles.quality_rules_sql()}
+            "op9_quality_rules": oracles.quality_rules_sql(), "op11_vector_codes": oracles.vector_codes_sql(),
+            "op12_embedding_dedup": oracles.embedding_dedup_sql(), "op13_fill_in_middle": oracles.fill_in_middle_sql()}
