@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from peakweave.functions.arrays import center, dot, l2_normalize
 from peakweave.functions.numeric import float32, log1p_float32
 from peakweave.functions.sequences import variant_offset
+from peakweave.operators.checks import require
 from peakweave.operators.pooling import pool_rows
 
 
@@ -52,12 +53,6 @@ def unique_by(df: DataFrame, keys: Sequence[str], message: str) -> DataFrame:
     return require(grouped, F.col("__rows") == 1, message).select(*keys, "__r.*")
 
 
-def require(df: DataFrame, condition, message: str) -> DataFrame:
-    """Pass rows through, failing the job on the first one that breaks the condition."""
-    passes = F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
-    return df.filter(passes)
-
-
 def matrix_lookup(sequences: DataFrame, matrix: DataFrame, strict: bool = True, value: str = "value") -> DataFrame:
     """Add norm_peak_value and log1p_norm_peak_value (both float32) looked up by (sample, pos).
 

@@ -11,11 +11,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from peakweave.session import materialize
+from peakweave.operators.checks import require
+from peakweave.session import materialize, store
 
-_PID, _SEQ = "__pid", "__seq"
+_PID, _SEQ, _ROW = "__pid", "__seq", "__row"
 
 
 def _columns(keys: Sequence[str | Column]) -> list[Column]:
@@ -29,7 +29,7 @@ def ordered_scan(
     index: str | None = None,
     sums: Mapping[str, str | Column] | None = None,
     maxima: Mapping[str, str | Column] | None = None,
-    split_copies: bool = False,
+    once: bool = False,
 ) -> DataFrame:
     """Add a 0-based `index` and inclusive running `sums` / `maxima` per group.
 
@@ -40,21 +40,29 @@ def ordered_scan(
     per partition, so that carry table has fewer rows than there are partitions and
     is safe to broadcast.
 
-    Rows equal in all sort keys stay in one partition. `split_copies` numbers them
-    within their input partition first, so that copies of one row can be spread too.
-    The numbers follow a local sort on all columns: a task that is run again gives
-    the same ones.
+    A range sort looks at its input twice, once for the bounds. With `once` the input is
+    computed a single time and written with a number per row; only the groups, the keys, the
+    summed values and that number are sorted, and the rows find their results by the number.
+    The number also comes last in the order, so that copies of one row are spread too;
+    without it rows equal in all sort keys stay in one partition.
     """
     sums = dict(sums or {})
     maxima = dict(maxima or {})
     groups = list(partition_by)
     order = [*[F.col(g) for g in groups], *_columns(order_by)]
-    if split_copies:
-        rest = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-        numbered = df.sortWithinPartitions(*order, *rest).withColumn(_SEQ, F.monotonically_increasing_id())
-        placed = materialize(numbered.orderBy(*order, _SEQ).drop(_SEQ))
-    else:
-        placed = materialize(df.orderBy(*order))
+    if not once:
+        return _running(materialize(df.orderBy(*order)), groups, index, sums, maxima)
+    stored = store(df.withColumn(_ROW, F.monotonically_increasing_id()), "ordered-rows")
+    names = [*([index] if index else []), *sums, *maxima]
+    values = {n: (F.col(c) if isinstance(c, str) else c) for n, c in {**sums, **maxima}.items()}
+    narrow = stored.select("*", *[c.alias(f"__in_{n}") for n, c in values.items()]).orderBy(*order, _ROW).select(
+        *groups, *[f"__in_{n}" for n in values], _ROW)
+    placed = _running(materialize(narrow), groups, index, {n: f"__in_{n}" for n in sums}, {n: f"__in_{n}" for n in maxima})
+    return stored.drop(*names).join(placed.select(_ROW, *names), _ROW).select(*[c for c in df.columns if c not in names], *names)
+
+
+def _running(placed: DataFrame, groups: list[str], index: str | None, sums: Mapping, maxima: Mapping) -> DataFrame:
+    """The running values over rows that stand in order in their partitions."""
     tagged = placed.withColumns({_PID: F.spark_partition_id(), _SEQ: F.monotonically_increasing_id()})
     if not sums and not maxima and not groups:
         return _with_offsets(tagged, index)
@@ -95,7 +103,7 @@ def ordered_scan(
         out[n] = F.coalesce(F.col(n) + F.col(f"__c_{n}"), F.col(n), F.col(f"__c_{n}"))
     for n in maxima:
         out[n] = F.greatest(n, f"__c_{n}")
-    return joined.withColumns(out).select(*df.columns, *out)
+    return joined.withColumns(out).select(*placed.columns, *out)
 
 
 def _with_offsets(tagged: DataFrame, index: str) -> DataFrame:
@@ -115,7 +123,7 @@ def _with_offsets(tagged: DataFrame, index: str) -> DataFrame:
 def with_record_id(df: DataFrame, order_by: Sequence[str | Column], column: str = "record_id",
                    start: int = 0) -> DataFrame:
     """Contiguous ids `start`, `start`+1, … in the given order."""
-    out = ordered_scan(df, order_by, index=column, split_copies=True)
+    out = ordered_scan(df, order_by, index=column, once=True)
     return out.withColumn(column, F.col(column) + F.lit(start)) if start else out
 
 
@@ -123,29 +131,30 @@ def with_file_order_id(scan: DataFrame, column: str = "record_id", start: int =
     """Contiguous ids in the order the rows stand in their files, files by path; `scan` reads files directly.
 
     Rows stay where they are read: each split counts its rows, and a row's id is its place in
-    its split plus the rows of all earlier splits, a table with one row per split.
+    its split plus the rows of all earlier splits, a table with one row per split. Should the
+    files be split another way when they are read again, the job fails.
     """
     place = {"__file": F.col("_metadata.file_path"), "__block": F.col("_metadata.file_block_start")}
     tagged = scan.select("*", *[c.alias(n) for n, c in place.items()], F.monotonically_increasing_id().alias("__m"))
     counts = tagged.groupBy(*place).agg(F.count(F.lit(1)).alias("__n"), F.min("__m").alias("__first"))
     before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*place, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + start).alias("__shift"))
-    return tagged.join(F.broadcast(offsets), [*place]).withColumn(column, F.col("__m") + F.col("__shift")).drop(
-        *place, "__m", "__shift")
+    found = require(tagged.join(offsets, [*place], "left"), F.col("__shift").isNotNull(), "the files were split another way")
+    return found.withColumn(column, F.col("__m") + F.col("__shift")).drop(*place, "__m", "__shift")
 
 
 def with_record_id_by_split(df: DataFrame, order_by: Sequence[str | Column], split: str = "split",
                             splits: Sequence[str] = ("train", "test"), column: str = "record_id") -> DataFrame:
-    """Ids run through the splits in turn: the second starts where the first ends."""
+    """Ids run through the splits in turn: the second starts where the first ends. A row of another split fails the job."""
     rank = F.array_position(F.array(*[F.lit(s) for s in splits]), F.col(split))
-    keyed = df.withColumn("__split_rank", rank)
-    return ordered_scan(keyed, ["__split_rank", *order_by], index=column, split_copies=True).drop("__split_rank")
+    known = require(df, F.col(split).isin(*splits), "a row belongs to none of the splits")
+    return ordered_scan(known, [rank, *order_by], index=column, once=True)
 
 
 def zip_by(left: DataFrame, right: DataFrame, left_order: Sequence, right_order: Sequence) -> DataFrame:
     """Pair two frames by position in their own orders; unequal lengths are an error."""
-    a = ordered_scan(left, left_order, index="__i")
-    b = ordered_scan(right, right_order, index="__j")
+    a = ordered_scan(left, left_order, index="__i", once=True)
+    b = ordered_scan(right, right_order, index="__j", once=True)
     joined = a.join(b, F.col("__i") == F.col("__j"), "full")
     both = F.col("__i").isNotNull() & F.col("__j").isNotNull()
     checked = F.when(both, F.lit(True)).otherwise(
@@ -238,7 +247,7 @@ def lag_difference(df: DataFrame, value: str, order_by: Sequence[str | Column],
     Rows meet their predecessor by (group, position), which spreads one long series
     over the cluster where a window would hold it in a single task.
     """
-    placed = ordered_scan(df, order_by, partition_by, index="__i").withColumn("__i", F.col("__i").cast("long"))
+    placed = ordered_scan(df, order_by, partition_by, index="__i", once=True).withColumn("__i", F.col("__i").cast("long"))
     past = placed.select(*[F.col(g).alias(f"__g_{g}") for g in partition_by],
                          (F.col("__i") + period).alias("__at"), F.col(value).alias("__past"))
     match = F.col("__i") == F.col("__at")

@@ -71,3 +71,10 @@ def materialize(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the shared folder."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """`df` as a Parquet table in the shared folder: computed once, read by column as often as needed."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

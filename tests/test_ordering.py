@@ -127,3 +127,33 @@ def test_file_order_ids_over_splits(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert len(ids) == 1000 and all(r.record_id == r.v + 7 for r in ids)
+
+
+def test_the_input_is_computed_once(spark):
+    """A thousand rows are made a thousand times, and wide columns take no part in the sort."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def made(frames):
+        for frame in frames:
+            calls.add(len(frame))
+            yield frame.assign(text="x" * 50)
+
+    df = spark.range(1000).repartition(5).mapInPandas(made, "id long, text string")
+    ids = o.with_record_id(df, [F.col("id").desc()])
+    assert sorted((r.id, r.record_id, r.text) for r in ids.collect()) == [(i, 999 - i, "x" * 50) for i in range(1000)]
+    assert calls.value == 1000
+
+
+def test_running_values_with_one_pass(spark, rows):
+    got = o.ordered_scan(frame(spark, rows), ["t"], ["g"], "i", {"s": "v"}, {"m": "v"}, once=True)
+    assert got.columns == ["g", "t", "v", "i", "s", "m"]
+    assert {(r.g, r.t, r.i, r.s, r.m) for r in got.collect()} == scan(rows)
+    named_again = o.ordered_scan(frame(spark, rows), ["t"], index="v", once=True)
+    assert sorted(r.v for r in named_again.collect()) == list(range(700))
+
+
+@pytest.mark.parametrize("odd", ["other", None])
+def test_rows_of_no_split_fail(spark, odd):
+    df = spark.createDataFrame([("train", 1), (odd, 2)], "split string, k int")
+    with pytest.raises(Exception, match="none of the splits"):
+        o.with_record_id_by_split(df, ["k"]).collect()
