@@ -126,15 +126,16 @@ def spearmanr(p_value: bool = True) -> Metric:
     return Metric("spearmanr", compute=compute)
 
 
-def rank_correlation(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def rank_correlation(df: DataFrame, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Spearman correlation from average ranks, per group; returns spearmanr and n.
 
-    Rows are first collapsed to distinct (prediction, reference) pairs with counts,
+    `weight` names a column that says how many rows a row stands for. Rows are first collapsed to distinct (prediction, reference) pairs with counts,
     and ranks are computed once per distinct value. Ranks are centred on their known
     mean before squaring, which keeps the sums exact enough at any row count.
     """
     keys = list(keys)
-    pairs = materialize(df.groupBy(*keys, _p().alias("x"), _r().alias("y")).agg(F.count(F.lit(1)).alias("c")))
+    copies = F.sum(weight) if weight else F.count(F.lit(1))
+    pairs = materialize(df.groupBy(*keys, _p().alias("x"), _r().alias("y")).agg(copies.alias("c")))
     ranked = pairs
     for value, rank in (("x", "rx"), ("y", "ry")):
         table = average_ranks(pairs, value, rank, keys, weight="c").drop("n")

@@ -7,6 +7,7 @@ in bounded micro-batches, and a later run continues from the checkpoint.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,16 @@ def worker_slice(stream: DataFrame, worker: int, workers: int, index: str = "rec
     return stream.filter(F.pmod(F.col(index), F.lit(workers)) == worker)
 
 
+def deal_to_workers(stream: DataFrame, workers: int, directory: str, checkpoint: str, index: str = "record_id") -> StreamingQuery:
+    """Write every worker's slice as a folder worker=… below `directory`, reading each file of the stream once.
+
+    Rows are dealt by the contiguous row index, as in `worker_slice`; a worker reads (or
+    streams) its own folder only.
+    """
+    dealt = stream.withColumn("worker", F.pmod(F.col(index), F.lit(workers)).cast("int"))
+    return write_parquet_stream(dealt, directory, checkpoint, ["worker"])
+
+
 def attach_pooled_cells(stream: DataFrame, pooled: DataFrame, label: str = "peak_value", seq_max_len: int = 501,
                         pad_id: int = PAD) -> DataFrame:
     """Tokenised stream rows with the pooled cells of their sample (a static table).
@@ -91,6 +102,7 @@ def accumulate_metrics(stream: DataFrame, metrics: Sequence[Metric | str], direc
 
 
 def newest_metrics(spark: SparkSession, directory: str) -> DataFrame:
-    """The metrics of the last epoch that was written whole."""
-    epochs = spark.read.parquet(directory)
-    return epochs.join(F.broadcast(epochs.agg(F.max("epoch").alias("epoch"))), "epoch").drop("epoch")  # one row
+    """The metrics of the last epoch that was written whole; earlier ones are listed, not read."""
+    files = spark.read.parquet(directory).inputFiles()
+    newest = max(int(found.group(1)) for found in (re.search(r"/epoch=(\d+)/", f) for f in files) if found)
+    return spark.read.parquet(f"{directory}/epoch={newest}")
