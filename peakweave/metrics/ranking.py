@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from peakweave.functions.arrays import let, pool
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.core import Metric, register, weight_column
 from peakweave.operators.joins import batch_similarities, centered, join_groups
-from peakweave.operators.ordering import ordered_scan, with_record_id
+from peakweave.operators.neighbours import STRIPE, nearest
+from peakweave.operators.ordering import ordered_scan
 
 # --- ROC AUC ---------------------------------------------------------------------------------
 
@@ -138,7 +136,7 @@ def ranked_run(run: DataFrame, qrels: DataFrame) -> DataFrame:
     hit = (F.col("rel") > 0).cast("long")
     miss = (F.col("judged") & (F.col("rel") <= 0)).cast("long")
     scanned = ordered_scan(joined, [F.col("score").desc(), F.col("docid").desc()], ["query"], "__i",
-                           {"hits": hit, "misses": miss})
+                           {"hits": hit, "misses": miss}, once=True)
     return scanned.withColumn("rank", F.col("__i") + 1).drop("__i")
 
 
@@ -262,51 +260,15 @@ def combined_loss(pairs: DataFrame, left: DataFrame, right: DataFrame, alpha: fl
 # --- cross-lingual retrieval -----------------------------------------------------------------
 
 def precision_at_k(left: DataFrame, right: DataFrame, id_column: str = "id", vector: str = "embedding", k: int = 10,
-                   block_rows: int = 2048) -> DataFrame:
+                   stripe: int = STRIPE) -> DataFrame:
     """Share of left rows whose own partner is among their k nearest right rows by centred cosine distance.
 
-    Both sides are cut into blocks of at most `block_rows` vectors; each pair of blocks
-    is one matrix product in a task that returns, per left row, how many right rows
-    are nearer than its partner. Pairs never become rows. Equal distances order by id.
+    Rows without a partner do not count. Equal distances order by id.
     """
-    def blocks(df, name):
-        unit = centered(df.select(F.col(id_column).alias("id"), F.col(vector).alias("v")), "v")
-        placed = with_record_id(unit, ["id"], "__i")
-        return placed.groupBy(F.floor(F.col("__i") / block_rows).alias(name)).agg(
-            F.collect_list("id").alias(f"{name}_ids"), F.collect_list("v").alias(f"{name}_v"))
-
-    a, b = blocks(left, "a"), blocks(right, "b")
-    partner = centered(left.select(F.col(id_column).alias("id"), F.col(vector).alias("v")), "v").join(
-        centered(right.select(F.col(id_column).alias("id"), F.col(vector).alias("u")), "u"), "id")
-    own = partner.select("id", F.aggregate(F.zip_with("v", "u", lambda x, y: x * y), F.lit(0.0),
-                                           lambda acc, x: acc + x).alias("own"))
-    n_blocks = max(1, -(-right.count() // block_rows))  # from the rows' number, no block is built for it
-    spread = a.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks).cast("long") - 1)))
-    spread = spread.join(b, "b")
-
-    def nearer(batches):
-        for pdf in batches:
-            for row in pdf.itertuples():
-                x, y = np.stack(row.a_v), np.stack(row.b_v)
-                ids, others = np.asarray(row.a_ids), np.asarray(row.b_ids)
-                place = {i: j for j, i in enumerate(others)}
-                sims = x @ y.T
-                # the partner's own similarity travels with the left block
-                mine = np.asarray(row.a_own)[:, None]
-                tied = np.abs(sims - mine) <= 1e-12
-                closer = ((sims > mine) & ~tied) | (tied & (others[None, :] < ids[:, None]))
-                for i, j in enumerate([place.get(i) for i in ids]):
-                    if j is not None:
-                        closer[i, j] = False
-                yield pd.DataFrame({"id": ids, "n": closer.sum(axis=1).astype("int64")})
-
-    owned = a.select("a", F.posexplode("a_ids").alias("p", "id")).join(own, "id").groupBy("a").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("p", "own"))), lambda s: s["own"]).alias("a_own"))
-    id_type = left.schema[id_column].dataType
-    schema = T.StructType([T.StructField("id", id_type), T.StructField("n", T.LongType())])
-    counts = spread.join(owned, "a").mapInPandas(nearer, schema)
-    ranks = counts.groupBy("id").agg(F.sum("n").alias("nearer"))
-    return ranks.agg(F.avg((F.col("nearer") < k).cast("double")).alias(f"precision@{k}"))
+    a, b = (centered(df.select(F.col(id_column).alias("id"), F.col(vector).alias("embedding"))) for df in (left, right))
+    found = nearest(a, b, k, stripe=stripe).join(b.select("id"), "id", "left_semi")
+    hit = F.exists("near", lambda n: n["id"] == F.col("id"))
+    return found.agg(F.avg(hit.cast("double")).alias(f"precision@{k}"))
 
 
 # --- functional correctness ------------------------------------------------------------------

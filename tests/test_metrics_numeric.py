@@ -272,7 +272,7 @@ def test_precision_at_k(spark, block):
     x, y = a - a.mean(0), b - b.mean(0)
     sims = (x / np.linalg.norm(x, axis=1)[:, None]) @ (y / np.linalg.norm(y, axis=1)[:, None]).T
     want = np.mean([i in np.argsort(-s)[:3] for i, s in enumerate(sims)])
-    assert rk.precision_at_k(left, right, k=3, block_rows=block).first()["precision@3"] == pytest.approx(want)
+    assert rk.precision_at_k(left, right, k=3, stripe=block).first()["precision@3"] == pytest.approx(want)
 
 
 def test_pass_at_k(spark):
