@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peakweave.functions.numeric import ratio
-from peakweave.operators.joins import join_groups, require
+from peakweave.operators.checks import require
+from peakweave.operators.joins import join_groups
 from peakweave.operators.ordering import ordered_scan
-from peakweave.operators.quantiles import group_quantiles
 from peakweave.operators.smoothing import local_regression
 from peakweave.session import materialize
 from peakweave.sources.matrix import CellMatrix
@@ -185,7 +185,7 @@ def gene_moments(counts: DataFrame, obs: DataFrame, value: str, batch: str | Non
     data = counts.join(obs.select("cell_id", batch), "cell_id") if batch else counts
     sums = data.groupBy(*keys).agg(F.sum(x).alias("__s"), F.sum(x * x).alias("__q"))
     cells = obs.groupBy(*([batch] if batch else [])).agg(F.count(F.lit(1)).alias("__n"))
-    joined = sums.join(cells, batch) if batch else sums.join(F.broadcast(cells))
+    joined = join_groups(sums, cells, [batch] if batch else [])
     n = F.col("__n")
     mean = F.col("__s") / n
     return joined.select(*keys, mean.alias("mean"),
@@ -200,17 +200,17 @@ def normalized_dispersion(moments: DataFrame, batch: Sequence[str] = ()) -> Data
     normal's deviation) divided out. The input has one row per gene.
     """
     disp = moments.withColumn("dispersion", F.col("variance") / F.when(F.col("mean") == 0, 1e-12).otherwise(F.col("mean")))
-    disp = materialize(disp)  # one row per gene and batch, read by three quantile sorts
-    cuts = {f"__e{p}": p / 100 for p in range(10, 105, 5)}
-    edges = group_quantiles(disp, "mean", cuts, batch).select(*batch, F.array(*cuts).alias("__edges"))
+    disp = materialize(disp)  # one row per gene and batch, read three times
+    # a group has one value per gene at most, which bounds what an exact percentile holds
+    cuts = [F.lit(p / 100) for p in range(10, 105, 5)]
+    edges = disp.groupBy(*batch).agg(F.percentile("mean", F.array(*cuts)).alias("__edges"))
     # right-closed bins: a mean equal to an edge belongs to the bin below it
     binned = join_groups(disp, edges, batch).withColumn(
         "mean_bin", F.size(F.filter("__edges", lambda e: e < F.col("mean")))).drop("__edges")
     keys = [*batch, "mean_bin"]
-    medians = group_quantiles(binned, "dispersion", {"__median": 0.5}, keys)
+    medians = binned.groupBy(*keys).agg(F.median("dispersion").alias("__median"))
     centred = join_groups(binned, medians, keys).withColumn("__dev", F.col("dispersion") - F.col("__median"))
-    mads = group_quantiles(centred.withColumn("__away", F.abs("__dev")), "__away", {"__mad": 0.5}, keys).withColumn(
-        "__mad", F.col("__mad") / F.lit(0.6744897501960817))
+    mads = centred.groupBy(*keys).agg((F.median(F.abs("__dev")) / F.lit(0.6744897501960817)).alias("__mad"))
     return join_groups(centred, mads, keys).withColumn(
         "dispersion_norm", ratio(F.col("__dev"), F.col("__mad"), None)).drop("__dev", "__median", "__mad")
 
@@ -239,29 +239,54 @@ def highly_variable_genes(counts: DataFrame, obs: DataFrame, n_top: int, value:
         F.col("n_batches").desc(), F.round("dispersion_norm", 9).desc(), "gene").limit(n_top)
 
 
-def variance_stabilized_genes(counts: DataFrame, obs: DataFrame, n_top: int, value: str = "value",
-                              span: float = 0.3) -> DataFrame:
-    """The n_top genes by the variance of their clipped, standardised counts (flavor seurat_v3), ties by gene.
+def stabilized_variance(counts: DataFrame, obs: DataFrame, value: str = "value", span: float = 0.3,
+                        batch: str | None = None) -> DataFrame:
+    """Per gene (and batch): mean, variance and the variance of the clipped, standardised counts.
 
-    The expected variance comes from a local regression of log variance on log mean;
-    counts are clipped at the square root of the number of cells in its units.
+    The expected variance comes from a local regression of log variance on log mean, one
+    per batch; counts are clipped at the square root of the number of cells in its units.
     """
-    moments = gene_moments(counts, obs, value)
+    by = [batch] if batch else []
+    moments = materialize(gene_moments(counts, obs, value, batch))
     logged = moments.filter("variance > 0").select(
-        "gene", F.log10("mean").alias("__lm"), F.log10("variance").alias("__lv"))
-    fitted = local_regression(logged, "__lm", "__lv", ["gene"], span, column="__fit").select("gene", "__fit")
-    cells = obs.agg(F.count(F.lit(1)).cast("double").alias("__n"))
-    scale = moments.join(fitted, "gene", "left").join(F.broadcast(cells)).select(  # one row
-        "gene", "mean", "variance", "__n", F.sqrt(F.pow(F.lit(10.0), F.coalesce("__fit", F.lit(0.0)))).alias("__sd"))
+        *by, "gene", F.log10("mean").alias("__lm"), F.log10("variance").alias("__lv"))
+    fitted = local_regression(logged, "__lm", "__lv", ["gene"], span, column="__fit", by=by).select(*by, "gene", "__fit")
+    cells = obs.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("__n"))
+    scale = join_groups(join_groups(moments, fitted, [*by, "gene"], "left"), cells, by).select(
+        *by, "gene", "mean", "variance", "__n", F.sqrt(F.pow(F.lit(10.0), F.coalesce("__fit", F.lit(0.0)))).alias("__sd"))
     ceiling = F.col("mean") + F.col("__sd") * F.sqrt("__n")
     x = F.least(F.col(value).cast("double"), ceiling)
-    sums = counts.join(scale, "gene").groupBy("gene").agg(
+    data = counts.join(obs.select("cell_id", batch), "cell_id") if batch else counts
+    sums = join_groups(data, scale, [*by, "gene"]).groupBy(*by, "gene").agg(
         F.sum(x).alias("__s"), F.sum(x * x).alias("__q"), F.first("mean").alias("mean"),
         F.first("variance").alias("variance"), F.first("__n").alias("__n"), F.first("__sd").alias("__sd"))
     n, mean = F.col("__n"), F.col("mean")
     norm = (n * mean * mean + F.col("__q") - 2 * mean * F.col("__s")) / ((n - 1) * F.col("__sd") * F.col("__sd"))
-    return sums.select("gene", "mean", "variance", norm.alias("variance_norm")).orderBy(
-        F.round("variance_norm", 9).desc(), "gene").limit(n_top)
+    return sums.select(*by, "gene", "mean", "variance", norm.alias("variance_norm"))
+
+
+def variance_stabilized_genes(counts: DataFrame, obs: DataFrame, n_top: int, value: str = "value",
+                              span: float = 0.3, batch: str | None = None) -> DataFrame:
+    """The n_top genes by the variance of their clipped, standardised counts (flavor seurat_v3), ties by gene.
+
+    With a batch column each batch has its own expected variances and ranks its genes; a
+    gene's rank is the median of its ranks below n_top, ties go to the gene more batches
+    put there, and `variance_norm` is the mean over all batches. A batch does not rank
+    genes it has no counts of.
+    """
+    scored = stabilized_variance(counts, obs, value, span, batch)
+    order = [F.round("variance_norm", 9).desc(), F.col("gene")]
+    if batch is None:
+        return scored.orderBy(*order).limit(n_top)
+    ranked = ordered_scan(scored, order, [batch], index="__i")
+    chosen = F.when(F.col("__i") < n_top, F.col("__i"))
+    # a gene has one rank per batch
+    merged = ranked.groupBy("gene").agg(F.median(chosen).alias("median_rank"), F.count(chosen).alias("n_batches"),
+                                        F.sum("variance_norm").alias("__sum"))
+    batches = obs.select(batch).distinct().agg(F.count(F.lit(1)).alias("__b"))
+    return merged.join(F.broadcast(batches)).select(  # one row
+        "gene", "n_batches", "median_rank", (F.col("__sum") / F.col("__b")).alias("variance_norm")).orderBy(
+        F.col("median_rank").asc_nulls_last(), F.col("n_batches").desc(), "gene").limit(n_top)
 
 
 def bin_expression(counts: DataFrame, value: str = "X_log1p", n_bins: int = 51, column: str = "X_binned") -> DataFrame:
@@ -319,9 +344,7 @@ def prepare_for_binning(matrix: CellMatrix, vocab: DataFrame, params: CellParams
     if params.n_hvg >= 1:
         counts = materialize(counts)  # read by the selection and by the result
         if params.hvg_flavor == "seurat_v3" or params.count_raw_data:
-            if batch:
-                raise NotImplementedError("variance-stabilised selection per batch")
-            kept = variance_stabilized_genes(counts, matrix.obs, params.n_hvg).select("gene")
+            kept = variance_stabilized_genes(counts, matrix.obs, params.n_hvg, batch=batch).select("gene")
         else:
             kept = highly_variable_genes(counts, matrix.obs, params.n_hvg, batch=batch).select("gene")
         matrix = matrix.with_(var=matrix.var.join(kept, "gene", "left_semi"))

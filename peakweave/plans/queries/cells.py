@@ -33,15 +33,15 @@ def vocabulary(spark, sf):
 
 # --- scan and shape --------------------------------------------------------------------------
 
-@query("""SELECT (SELECT count(*) FROM obs) AS n_cells, (SELECT count(*) FROM var_genes) AS n_genes, count(*) AS n_values, sum(value) AS total FROM counts""",
+@query("""SELECT cell_id, sample, cell_type, gene, gene_name, value FROM obs LEFT JOIN counts USING (cell_id) LEFT JOIN var_genes USING (gene)""",
        ("obs", "var_genes", "counts"))
 def cell_matrix_scan(spark, sf):
-    """obs / var / counts written as parquet triplets and read back."""
+    """obs / var / counts written as parquet triplets and read back, every value with its cell and gene."""
     path = scratch_path(spark, "cell-matrix")
     mx.write_cell_matrix(cell_matrix(spark, sf), path)
     back = mx.read_cell_matrix(spark, path)
-    totals = back.counts.agg(F.count(F.lit(1)).alias("n_values"), F.sum("value").alias("total"))
-    return back.shape().join(F.broadcast(totals))
+    rows = back.obs.join(back.counts, "cell_id", "left").join(back.var.select("gene", "gene_name"), "gene", "left")
+    return rows.select("cell_id", "sample", "cell_type", "gene", "gene_name", "value")
 
 
 @query("SELECT sample, count(*) AS n_cells FROM obs GROUP BY sample", ("obs",))
@@ -161,13 +161,47 @@ def highly_variable_genes_by_batch(spark, sf):
     return out.select("gene", "n_batches", r("dispersion_norm").alias("dispersion_norm"))
 
 
-@query()
+# Loess in SQL: cuts of the tree by recursion, reach and moments per vertex, the 3x3 system by Cramer's rule. {b} is the group.
+STABLE_SQL = """WITH RECURSIVE cell AS (SELECT cell_id, {b} AS b FROM obs), size AS (SELECT b, count(*)::DOUBLE AS cells FROM cell GROUP BY b),
+c AS (SELECT cell_id, gene, value, b FROM counts JOIN cell USING (cell_id)),
+mo AS (SELECT b, gene, sum(value) / cells AS mean, (sum(value * value) / cells - pow(sum(value) / cells, 2)) * cells / (cells - 1) AS variance FROM c JOIN size USING (b) GROUP BY b, gene, cells),
+x AS (SELECT *, log10(mean) AS x, log10(variance) AS y, row_number() OVER (PARTITION BY b ORDER BY log10(mean), gene) - 1 AS i, count(*) OVER (PARTITION BY b) AS n FROM mo WHERE variance > 0),
+g AS (SELECT b, n, least(n, floor(n * 0.3 + 1e-5))::BIGINT AS q, greatest(1, floor(n * 0.3 * 0.2))::BIGINT AS leaf, min(x) AS lo, max(x) AS hi FROM x GROUP BY b, n),
+seg AS (SELECT b, 0::BIGINT AS a, n - 1 AS z, leaf FROM g UNION ALL
+SELECT b, CASE WHEN h = 0 THEN a ELSE (a + z) // 2 + 1 END, CASE WHEN h = 0 THEN (a + z) // 2 ELSE z END, leaf FROM seg, (VALUES (0), (1)) t(h) WHERE z - a + 1 > leaf),
+pt AS (SELECT DISTINCT b, v FROM (SELECT b, unnest([lo - m, hi + m]) AS v FROM (SELECT *, 0.005 * greatest(hi - lo, 1e-3 * greatest(abs(lo), abs(hi)) + 1e-30) AS m FROM g)
+UNION ALL SELECT seg.b, sum(x.x) / 2 FROM seg JOIN x ON x.b = seg.b AND x.i IN ((a + z) // 2, (a + z) // 2 + 1) WHERE z - a + 1 > leaf GROUP BY seg.b, (a + z) // 2)),
+win AS (SELECT x.b, x.x, e.x AS e FROM x JOIN g USING (b) JOIN x e ON e.b = x.b AND e.i = x.i + q - 1),
+sp AS (SELECT pt.b, v, min(greatest(v - x, e - v)) AS h FROM pt JOIN win USING (b) GROUP BY ALL),
+nr AS (SELECT sp.b, v, h, (x - v) / h AS u, y FROM sp JOIN x USING (b) WHERE abs((x - v) / h) < 0.999),
+wt AS (SELECT *, CASE WHEN abs(u) > 0.001 THEN pow(1 - pow(abs(u), 3), 3) ELSE 1 END AS w FROM nr),
+su AS (SELECT b, v, h, sum(w) AS s0, sum(w * u) AS s1, sum(w * u * u) AS s2, sum(w * pow(u, 3)) AS s3, sum(w * pow(u, 4)) AS s4, sum(w * y) AS t0, sum(w * y * u) AS t1, sum(w * y * u * u) AS t2 FROM wt GROUP BY ALL),
+f AS (SELECT b, v, (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / d AS f, (s0 * (t1 * s4 - t2 * s3) - t0 * (s1 * s4 - s2 * s3) + s2 * (s1 * t2 - s2 * t1)) / d / h AS s
+FROM (SELECT *, s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3) + s2 * (s1 * s3 - s2 * s2) AS d FROM su)),
+p AS (SELECT *, lead(v) OVER o AS v1, lead(f) OVER o AS f1, lead(s) OVER o AS s1 FROM f WINDOW o AS (PARTITION BY b ORDER BY v)),
+fit AS (SELECT x.b, gene, (1 - h) * (1 - h) * (1 + 2 * h) * f + h * h * (3 - 2 * h) * f1 + (v1 - v) * (h * (1 - h) * (1 - h) * s - h * h * (1 - h) * s1) AS fit
+FROM x JOIN p ON p.b = x.b AND x.x > v AND x.x <= v1, (SELECT 1) one, LATERAL (SELECT (x.x - v) / (v1 - v) AS h) l),
+sc AS (SELECT mo.b, mo.gene, mean, cells, sqrt(pow(10, coalesce(fit, 0))) AS sd FROM mo JOIN size USING (b) LEFT JOIN fit ON fit.b = mo.b AND fit.gene = mo.gene),
+nv AS (SELECT b, gene, (cells * mean * mean + sum(pow(least(value, mean + sd * sqrt(cells)), 2)) - 2 * mean * sum(least(value, mean + sd * sqrt(cells)))) / ((cells - 1) * sd * sd) AS norm
+FROM c JOIN sc USING (b, gene) GROUP BY b, gene, cells, mean, sd)"""
+
+
+@query(STABLE_SQL.format(b="0") + " SELECT gene, round(norm, 4) + 0.0 AS variance_norm FROM nv ORDER BY round(norm, 9) DESC, gene LIMIT 300", ("obs", "counts"))
 def variance_stabilized_genes(spark, sf):
-    """Top genes by clipped standardised variance; the local regression has no SQL form."""
+    """Top genes by clipped standardised variance."""
     return cl.variance_stabilized_genes(view(spark, sf, "counts"), view(spark, sf, "obs"), 300).select(
         "gene", r("variance_norm", 4).alias("variance_norm"))
 
 
+@query(STABLE_SQL.format(b="cell_type") + """, k AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY round(norm, 9) DESC, gene) - 1 AS i FROM nv),
+m AS (SELECT gene, count(*) FILTER (WHERE i < 300) AS n_batches, median(i) FILTER (WHERE i < 300) AS median_rank, sum(norm) / (SELECT count(*) FROM size) AS norm FROM k GROUP BY gene)
+SELECT gene, n_batches, cast(median_rank AS DOUBLE) AS median_rank, round(norm, 4) + 0.0 AS variance_norm FROM m ORDER BY median_rank NULLS LAST, n_batches DESC, gene LIMIT 300""", ("obs", "counts"))
+def variance_stabilized_genes_by_batch(spark, sf):
+    """The same with an expected variance per batch, merged by median rank."""
+    out = cl.variance_stabilized_genes(view(spark, sf, "counts"), view(spark, sf, "obs"), 300, batch="cell_type")
+    return out.select("gene", "n_batches", "median_rank", r("variance_norm", 4).alias("variance_norm"))
+
+
 BIN_SQL = """placed AS (SELECT *, count(*) OVER (PARTITION BY cell_id ORDER BY {v} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS k,
   count(*) OVER (PARTITION BY cell_id) AS m FROM {t}),
 binned AS (SELECT *, cast(len(list_filter(range(50), lambda j: j * (m - 1) <= 49 * k)) AS INTEGER) AS bin FROM placed)"""
@@ -285,10 +319,10 @@ def rank_tokens(spark, sf):
     return cl.rank_tokens(matrix, tokens).withColumn("input_ids", joined("input_ids"))
 
 
-@query("""SELECT cast(label AS VARCHAR) AS sample, count(*) AS n_cells, cast(64 AS INTEGER) AS width FROM embeddings GROUP BY label""")
+@query("""SELECT cast(label AS VARCHAR) AS sample, array_to_string([cast(floor(cast(c AS DOUBLE) * 1000000) AS BIGINT) FOR c IN embedding], ',') AS millionths FROM embeddings""")
 def cell_embedding_dataset(spark, sf):
-    """The embedding table as (sample, embedding) rows."""
+    """The embedding table as (sample, embedding) rows, value by value."""
     path = scratch_path(spark, "cell-embedding")
     datasets.write_dataset(view(spark, sf, "cell_embedding").select("sample", "embedding"), path, ("sample",))
     back = spark.read.schema("embedding array<float>, sample string").parquet(path)
-    return back.groupBy("sample").agg(F.count(F.lit(1)).alias("n_cells"), F.max(F.size("embedding")).alias("width"))
+    return back.select("sample", joined(F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000000))).alias("millionths"))

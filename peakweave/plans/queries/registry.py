@@ -37,8 +37,9 @@ def with_views(sql: str, views: tuple[str, ...]) -> str:
     body = sql.strip()
     if not ctes:
         return body
-    if body[:5].lower() == "with ":
-        return f"WITH {ctes},\n{body[5:]}"
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(opening):
+            return f"{opening}{ctes},\n{body[len(opening):]}"
     return f"WITH {ctes}\n{body}"
 
 

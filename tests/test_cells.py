@@ -195,3 +195,44 @@ def test_recipes_by_name():
     assert cl.recipe("bin") == (cl.prepare_for_binning, cl.binned_tokens)
     with pytest.raises(KeyError, match="known"):
         cl.recipe("other")
+
+
+def test_stabilized_genes_by_batch(spark):
+    """Each batch has the values it has alone; genes are merged by median rank, then by the number of batches."""
+    rng = np.random.default_rng(8)
+    sizes, rows, cells = (40, 55, 30), [], []
+    for b, n in enumerate(sizes):
+        name = [None, "b1", "b2"][b]
+        counts = rng.poisson(rng.gamma(2, 2 + b, size=(1, 70)), size=(n, 70))
+        counts[:, 5] = 0 if b else counts[:, 5]  # a gene two batches have no counts of
+        cells += [(100 * b + i, name) for i in range(n)]
+        rows += [(100 * b + i, j, float(v)) for i, r in enumerate(counts) for j, v in enumerate(r) if v]
+    df = spark.createDataFrame(rows, "cell_id int, gene int, value double").repartition(3)
+    obs = spark.createDataFrame(cells, "cell_id int, batch string")
+    together = {(r.batch, r.gene): r.variance_norm for r in cl.stabilized_variance(df, obs, batch="batch").collect()}
+    ranks = {}
+    for name in (None, "b1", "b2"):
+        own = obs.filter(F.col("batch").eqNullSafe(F.lit(name)))
+        alone = {r.gene: r.variance_norm for r in cl.stabilized_variance(df.join(own, "cell_id", "left_semi"), own).collect()}
+        assert {g: v for (b, g), v in together.items() if b == name} == pytest.approx(alone)
+        for i, g in enumerate(sorted(alone, key=lambda g: (-round(alone[g], 9), g))):
+            if i < 20:
+                ranks.setdefault(g, []).append(i)
+    want = sorted(ranks, key=lambda g: (np.median(ranks[g]), -len(ranks[g]), g))[:20]
+    got = cl.variance_stabilized_genes(df, obs, 20, batch="batch").collect()
+    assert [r.gene for r in got] == want
+    assert [(r.n_batches, r.median_rank) for r in got] == [(len(ranks[g]), np.median(ranks[g])) for g in want]
+    assert got[0].variance_norm == pytest.approx(sum(v for (_, g), v in together.items() if g == want[0]) / 3)
+
+
+def test_binning_recipe_selects_per_batch(spark):
+    rng = np.random.default_rng(4)
+    counts = rng.poisson(rng.gamma(2, 2, size=(1, 60)), size=(50, 60))
+    rows = [(i, j, float(v)) for i, r in enumerate(counts) for j, v in enumerate(r) if v]
+    obs = spark.createDataFrame([(i, i % 2) for i in range(50)], "cell_id int, batch int")
+    var = spark.createDataFrame([(j, f"N{j}") for j in range(60)], "gene int, gene_name string")
+    vocab = spark.createDataFrame([(f"N{j}",) for j in range(60)], "gene string")
+    matrix = CellMatrix(obs, var, spark.createDataFrame(rows, "cell_id int, gene int, value double"))
+    params = cl.CellParams(n_hvg=12, hvg_flavor="seurat_v3", min_matched_fraction=0.5)
+    out = cl.prepare_for_binning(matrix, vocab, params, batch="batch")
+    assert out.counts.select("gene").distinct().count() == 12
