@@ -1,20 +1,17 @@
-"""Reliability of training curves (run, t, value): dispersion and risk over time and across runs.
-
-Not covered: the two parts that need a Fourier transform of a whole curve, namely
-high-frequency energy and the low-pass filter in front of the across-run metrics.
-"""
+"""Reliability of training curves (run, t, value): dispersion and risk over time and across runs."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakweave.functions.numeric import ratio
 from peakweave.operators.joins import join_groups
 from peakweave.operators.ordering import lag_difference, ordered_scan
 from peakweave.operators.quantiles import group_quantiles
+from peakweave.operators.spectral import fourier, high_frequency_share, low_pass
 from peakweave.session import materialize
 
 # 20 evaluation points, every 100 000 steps from 50 000 on.
@@ -55,31 +52,50 @@ def _windows(df: DataFrame, eval_points: Sequence[int], size: int) -> DataFrame:
 
 
 def online_reliability(df: DataFrame, eval_points: Sequence[int] = EVAL_POINTS, window_size: int = 100_000,
-                       window_size_trimmed: int = 99_000, alpha: float = 0.05) -> DataFrame:
-    """One row of metrics over training curves, scaled by each run's curve range."""
+                       window_size_trimmed: int = 99_000, alpha: float = 0.05,
+                       freq_thresh: float | None = 0.01) -> DataFrame:
+    """One row of metrics over training curves, scaled by each run's curve range.
+
+    `high_freq_energy_within_runs` is the mean share of a curve's energy around its mean above
+    `freq_thresh` cycles per point, and the metrics across runs see the curves without that
+    part. None leaves both out.
+    """
     df = materialize(df.select("run", "t", F.col("value").cast("double").alias("value")))
     base = materialize(curve_range(df))
     diffs = materialize(lag_difference(df, "value", ["t"], 1, ["run"], "d").select("run", "t", "d"))
-    drawdown = ordered_scan(df, ["t"], ["run"], index="i", maxima={"peak": "value"}).select(
-        "run", (F.col("peak") - F.col("value")).alias("x"))
+    placed = materialize(ordered_scan(df, ["t"], ["run"], index="i", maxima={"peak": "value"}))
 
     def scaled(frame, names):
         """Means over all runs (and windows) of the named columns in units of the run's range."""
         return join_groups(frame, base, ["run"]).agg(*[
-            F.avg(ratio(F.col(c), F.col("baseline"), None)).alias(name) for c, name in names.items()])
+            F.avg(ratio(c if isinstance(c, Column) else F.col(c), F.col("baseline"), None)).alias(name) for name, c in names.items()])
 
     within = spread(_windows(diffs, eval_points, window_size_trimmed), "d", ["run", "eval"], alpha)
-    parts = [scaled(within, {c: f"{c}_within_runs" for c in ("iqr", "mad", "stddev")})]
-    for frame, column, name in ((diffs, "d", "diffs"), (drawdown, "x", "drawdown"), (df, "value", "raw")):
-        tails = spread(frame, column, ["run"], alpha)
-        parts.append(scaled(tails, {c: f"{c}_on_{name}" for c in ("lower_cvar", "upper_cvar")}))
-    parts.append(drawdown.groupBy("run").agg(F.max("x").alias("m")).agg(F.avg("m").alias("max_drawdown")))
+    parts = [scaled(within, {f"{c}_within_runs": c for c in ("iqr", "mad", "stddev")})]
+    # changes, falls from the peak and values share one sort
+    kinds = {"diffs": diffs.select("run", F.col("d").alias("x")), "drawdown": placed.select("run", (F.col("peak") - F.col("value")).alias("x")),
+             "raw": df.select("run", F.col("value").alias("x"))}
+    tagged = None
+    for kind, frame in kinds.items():
+        frame = frame.withColumn("kind", F.lit(kind))
+        tagged = frame if tagged is None else tagged.unionByName(frame)
+    parts.append(scaled(spread(tagged, "x", ["run", "kind"], alpha), {
+        f"{c}_on_{kind}": F.when(F.col("kind") == kind, F.col(c)) for kind in kinds for c in ("lower_cvar", "upper_cvar")}))
+    parts.append(placed.groupBy("run").agg(F.max(F.col("peak") - F.col("value")).alias("m")).agg(F.avg("m").alias("max_drawdown")))
+    smooth = df
+    if freq_thresh is not None:
+        spectrum = materialize(fourier(placed.select("run", "i", F.col("value").alias("re"), F.lit(0.0).alias("im")), ["run"]))
+        share = high_frequency_share(spectrum, ["run"], freq_thresh)
+        parts.append(share.agg(F.avg("share").alias("high_freq_energy_within_runs")))
+        smooth = join_groups(placed.select("run", "t", "i"), low_pass(spectrum, ["run"], freq_thresh), ["run", "i"]).select("run", "t", "value")
     # every run's median in the window stands for the run at that point
-    medians = materialize(group_quantiles(_windows(df, eval_points, window_size), "value", {"m": 0.5}, ["run", "eval"]))
+    medians = materialize(group_quantiles(_windows(smooth, eval_points, window_size), "value", {"m": 0.5}, ["run", "eval"]))
     across = spread(medians, "m", ["eval"], alpha).join(F.broadcast(base.agg(F.avg("baseline").alias("__b"))))
     names = {"iqr": "iqr_across_runs", "mad": "mad_across_runs", "stddev": "stddev_across_runs",
              "lower_cvar": "lower_cvar_on_across", "upper_cvar": "upper_cvar_on_across"}
     parts.append(across.agg(*[F.avg(ratio(F.col(c), F.col("__b"), None)).alias(n) for c, n in names.items()]))
+    if freq_thresh is not None:
+        medians = group_quantiles(_windows(df, eval_points, window_size), "value", {"m": 0.5}, ["run", "eval"])
     parts.append(medians.agg(F.avg("m").alias("median_perf_during_training")))
     out = parts[0]
     for part in parts[1:]:

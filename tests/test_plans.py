@@ -84,7 +84,7 @@ def test_reliability(spark):
     rng = np.random.default_rng(8)
     runs = {r: rng.normal(size=200).cumsum() + 50 for r in range(3)}
     df = spark.createDataFrame([(r, t, float(v)) for r, vs in runs.items() for t, v in enumerate(vs)], "run int, t int, value double")
-    row = online_reliability(df, (99, 199), 100, 90).first()
+    row = online_reliability(df, (99, 199), 100, 90, freq_thresh=None).first()
     base = {r: np.quantile(v, 0.95) - v[0] for r, v in runs.items()}
     assert row.max_drawdown == pytest.approx(np.mean([(np.maximum.accumulate(v) - v).max() for v in runs.values()]))
     low = [np.diff(v)[np.diff(v) <= np.quantile(np.diff(v), 0.05)].mean() / base[r] for r, v in runs.items()]
