@@ -19,12 +19,18 @@ from peakweave.operators.joins import join_groups
 
 @dataclass(frozen=True)
 class Metric:
-    """`partials` and `finish` for fused metrics, `compute` for the others."""
+    """`partials` and `finish` for fused metrics, `compute` for the others.
+
+    Of the computed ones, those with the same `shared` pass, a function and its options, are finished
+    from one run of it by their `columns`.
+    """
 
     name: str
     partials: dict[str, Column] = field(default_factory=dict)
     finish: dict[str, Column] = field(default_factory=dict)
     compute: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None
+    shared: tuple | None = None
+    columns: tuple[Column, ...] = ()
 
 
 _FACTORIES: dict[str, Callable[..., Metric]] = {}
@@ -65,7 +71,8 @@ def evaluate(df: DataFrame, metrics: Sequence[Metric | str], group_by: Sequence[
              cast_float32: bool = False) -> DataFrame:
     """All metrics in one row (per group).
 
-    `cast_float32` rounds scalar predictions and references to float32 first.
+    `cast_float32` rounds scalar predictions and references to float32 first. A column that
+    two computed metrics give has the later metric's name in front in its second place.
     """
     metrics = [get(m) if isinstance(m, str) else m for m in metrics]
     keys = list(group_by)
@@ -82,11 +89,31 @@ def evaluate(df: DataFrame, metrics: Sequence[Metric | str], group_by: Sequence[
             own = {k: F.col(f"__{m.name}_{k}") for k in m.partials}
             finished += [expr(own).alias(k) for k, expr in m.finish.items()]
         result = stats.select(*keys, *finished)
+    passes: dict[tuple, list[Metric]] = {}
+    for m in metrics:
+        if m.shared:
+            passes.setdefault(m.shared, []).append(m)
+    taken = set(result.columns if result is not None else keys)
     for m in metrics:
-        if m.compute is not None:
+        if m.compute is None or (m.shared and m is not passes[m.shared][0]):
+            continue
+        if m.shared:
+            part = _finished(m.shared, passes[m.shared], df, keys, taken)
+        else:
             part = m.compute(df, keys)
-            if result is None:
-                result = part
-            else:
-                result = join_groups(result, part, keys, "full")
+            part = part.withColumnsRenamed({c: f"{m.name}_{c}" for c in part.columns if c not in keys and c in taken})
+        taken |= set(part.columns)
+        result = part if result is None else join_groups(result, part, keys, "full")
     return result
+
+
+def _finished(shared: tuple, members: Sequence[Metric], df: DataFrame, keys: list[str], taken: set[str]) -> DataFrame:
+    """The columns of all metrics of one pass."""
+    run, options = shared
+    sums = run(df, by=keys, **dict(options))
+    columns, taken = [], set(taken)
+    for m in members:
+        names = sums.select(*m.columns).columns
+        columns += [c.alias(f"{m.name}_{n}" if n in taken else n) for c, n in zip(m.columns, names)]
+        taken |= set(names)
+    return sums.select(*keys, *columns)

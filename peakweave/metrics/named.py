@@ -1,7 +1,7 @@
 """Corpus metrics by name: `get("bleu")` and the like, evaluated over a whole DataFrame.
 
-Each takes one frame with `prediction` and the references in the columns its function asks for, and an `id` that is unique
-per text. Those of GROUPED give a row (or rows) per group of `group_by`; the others score the corpus as a whole and refuse it.
+Each takes one frame with `prediction` and the references in the columns its function asks for, and an `id`. BLEU, sacreBLEU
+and GLEU are finished from one pass over the n-grams when they are asked for together. Those of GROUPED give a row (or rows) per group of `group_by`; the others score the corpus as a whole and refuse it.
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from peakweave.metrics import classification, qa, ranking, tagging, textgen
+from peakweave.metrics import benchmarks, classification, distances, distribution, qa, ranking, regression, reliability, tagging, textgen
 from peakweave.metrics.core import Metric, register
 
 
-GROUPED = ("bleu", "squad", "record", "trec_eval", "seqeval")
+GROUPED = ("bleu", "sacrebleu", "google_bleu", "chrf", "rouge", "sari", "nist_mt", "wiki_split", "squad", "record", "trec_eval",
+           "seqeval", "mase")
 
 
 def _whole(name: str, score: Callable[..., DataFrame]) -> None:
@@ -48,9 +49,23 @@ def _trec(df: DataFrame, by=(), **options) -> DataFrame:
                              df.filter("rel is not null").select("query", "docid", "rel"), by=by, **options)
 
 
+def _from_sums(name: str, score: Callable[..., DataFrame], columns: Callable[..., list]) -> None:
+    """A metric of the shared n-gram sums; other orders or tokens than usual need a pass of their own."""
+    def factory(id: str = "id", **options) -> Metric:
+        alone = {k: v for k, v in options.items() if k in ("tokenizer", "max_order", "min_len", "max_len", "lowercase")}
+        return Metric(name, compute=lambda df, keys: score(df, id, by=keys, **options),
+                      shared=None if alone else (textgen.corpus_sums, (("key", id),)),
+                      columns=() if alone else tuple(columns(**options)))
+
+    register(name)(factory)
+
+
+_from_sums("bleu", textgen.bleu, textgen.bleu_columns)
+_from_sums("sacrebleu", textgen.sacrebleu, textgen.sacrebleu_columns)
+_from_sums("google_bleu", textgen.google_bleu, textgen.google_bleu_columns)
 for _name, _score in {
-    "bleu": textgen.bleu, "sacrebleu": textgen.sacrebleu, "google_bleu": textgen.google_bleu, "chrf": textgen.chrf,
-    "rouge": textgen.rouge, "sari": textgen.sari, "nist_mt": textgen.nist, "wiki_split": textgen.wiki_split,
+    "chrf": textgen.chrf, "rouge": textgen.rouge, "sari": textgen.sari, "nist_mt": textgen.nist,
+    "wiki_split": textgen.wiki_split,
 }.items():
     _whole(_name, _keyed(_score))
 for _name, _score in {"squad": qa.squad, "record": qa.record, "squad_v2": qa.squad_v2, "cuad": qa.cuad}.items():
@@ -60,3 +75,15 @@ _whole("seqeval", tagging.seqeval)
 _whole("poseval", tagging.poseval)
 _whole("mean_iou", classification.mean_iou)
 _whole("pass_at_k", ranking.pass_at_k)
+# those that compare with a second frame take it as an option
+_whole("mase", lambda df, training, order_by, by=(), **options: regression.mase(df, training, order_by, by, **options))
+_whole("mahalanobis", lambda df, reference, **options: distances.mahalanobis(df, reference, **options).select("mahalanobis"))
+_whole("mauve", lambda df, reference, **options: distribution.mauve(df, reference, **options))
+_whole("coval", lambda df, system, **options: distances.coreference(df, system, **options))
+_whole("rl_reliability", lambda df, config="online", **options: {
+    "online": reliability.online_reliability, "offline": reliability.offline_reliability}[config](df, **options))
+for _name, _score in {
+    "glue": benchmarks.glue, "super_glue": benchmarks.super_glue, "xnli": benchmarks.xnli,
+    "indic_glue": benchmarks.indic_glue, "xtreme_s": benchmarks.xtreme_s,
+}.items():
+    _whole(_name, _score)

@@ -9,38 +9,39 @@ from pyspark.sql import functions as F
 
 from peakweave.functions import text as tx
 from peakweave.functions.numeric import ratio
-from peakweave.metrics.textgen import gram_table, spread_texts
-from peakweave.operators.joins import last_per_key, unique_by
+from peakweave.metrics.textgen import TEXT, gram_table, reference_sums, spread_texts
+from peakweave.operators.joins import join_groups, last_per_key, unique_by
 from peakweave.operators.ordering import ordered_scan
 from peakweave.session import materialize
 
 
-def answer_scores(df: DataFrame, key: str, f1_if_empty: bool = False) -> DataFrame:
-    """Per question `exact` and `f1`, the best over its gold answers.
+def answer_scores(df: DataFrame, key: str, f1_if_empty: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """Per row the key, the columns to `carry`, `exact` and `f1`, the best over its gold answers.
 
     `df` has prediction STRING and answers ARRAY<STRING>. Token overlap is a multiset
     intersection. With `f1_if_empty` two empty token lists agree (F1 1); otherwise no
-    overlap is F1 0.
+    overlap is F1 0. Rows are questions of their own, also where ids repeat.
     """
+    keep = list(dict.fromkeys([key, *carry]))
     exact = F.exists("answers", lambda a: tx.normalize_answer(a) == tx.normalize_answer(F.col("prediction")))
 
     def tokens(c):
         return tx.words(tx.normalize_answer(c))
 
-    tokenized = spread_texts(df, key).select(key, exact.cast("double").alias("exact"), tokens(F.col("prediction")).alias("hyp"),
-                          F.transform("answers", tokens).alias("refs"))
-    table = gram_table(tokenized.select(key, "hyp", "refs"), key, 1)
-    hits = table.select(key, "hyp", F.explode("refs").alias("r")).groupBy(key, F.col("r.k").alias("k")).agg(
-        F.sum(F.least(F.col("hyp"), F.col("r.c"))).alias("same"))
-    flat = tokenized.select(key, "exact", F.size("hyp").alias("h"), F.posexplode_outer("refs").alias("k", "t"))
-    same = F.coalesce("same", F.lit(0))
-    p, r = ratio(same, F.col("h")), ratio(same, F.size("t"))
-    f1 = ratio(2 * p * r, p + r)
+    tokenized = spread_texts(df.select(*keep, "prediction", "answers")).select(
+        *keep, *TEXT, exact.cast("double").alias("exact"), tokens(F.col("prediction")).alias("hyp"),
+        F.transform("answers", tokens).alias("refs"))
+    keep = [*keep, "exact"]
+    per_answer = reference_sums(gram_table(tokenized, 1, by=keep), [1], keep)
+    h, r, same = F.col("h"), F.col("r"), F.col("m1")
+    p, q = ratio(same, h), ratio(same, r)
+    f1 = ratio(2 * p * q, p + q)
     if f1_if_empty:
-        none = (F.col("h") == 0) | (F.size("t") == 0)
-        f1 = F.when(none, ((F.col("h") == 0) & (F.size("t") == 0)).cast("double")).otherwise(f1)
-    scored = flat.join(hits, [key, "k"], "left").withColumn("f1", F.coalesce(f1, F.lit(0.0)))
-    return scored.groupBy(key).agg(F.coalesce(F.first("exact"), F.lit(0.0)).alias("exact"), F.max("f1").alias("f1"))
+        none = (h == 0) | (r == 0)
+        f1 = F.when(none, ((h == 0) & (r == 0)).cast("double")).otherwise(f1)
+    best = F.max(F.when(F.col("k") >= 0, F.coalesce(f1, F.lit(0.0))))
+    return per_answer.groupBy(*keep, *TEXT).agg(F.coalesce(best, F.lit(0.0)).alias("f1")).withColumn(
+        "exact", F.coalesce("exact", F.lit(0.0))).drop(*TEXT)
 
 
 def one_answer_each(predictions: DataFrame, key: str, last_by: str | None = None) -> DataFrame:
@@ -50,16 +51,20 @@ def one_answer_each(predictions: DataFrame, key: str, last_by: str | None = None
     return unique_by(predictions, [key], "a question has two predictions and no order is given")
 
 
-def _answered(predictions: DataFrame, references: DataFrame, key: str, last_by: str | None) -> DataFrame:
-    return references.join(one_answer_each(predictions, key, last_by), key, "inner")
-
-
 def _means(predictions: DataFrame, references: DataFrame, key: str, scale: float, last_by: str | None,
            by: Sequence[str] = ()) -> DataFrame:
-    scores = answer_scores(_answered(predictions, references, key, last_by), key)
-    full = references.select(*by, key).join(scores, key, "left")  # unanswered questions score 0 and count
-    return full.groupBy(*by).agg((scale * F.avg(F.coalesce("exact", F.lit(0.0)))).alias("exact_match"),
-                    (scale * F.avg(F.coalesce("f1", F.lit(0.0)))).alias("f1"))
+    """Means over all questions; those without a prediction score 0 and count, and so does each of several with one id."""
+    questions = references.select(*dict.fromkeys([*by, key]), "answers")
+    answered = questions.join(one_answer_each(predictions.select(*_needed(key, last_by), "prediction"), key, last_by), key)
+    sums = answer_scores(answered, key, carry=by).groupBy(*by).agg(F.sum("exact").alias("__e"), F.sum("f1").alias("__f"))
+    totals = references.groupBy(*by).agg(F.count(F.lit(1)).alias("__total"))
+    return join_groups(totals, sums, by, "left").select(*by, *[
+        ratio(scale * F.coalesce(c, F.lit(0.0)), F.col("__total"), None).alias(name)
+        for c, name in (("__e", "exact_match"), ("__f", "f1"))])
+
+
+def _needed(key: str, last_by: str | None) -> list[str]:
+    return list(dict.fromkeys([key, *([last_by] if last_by else [])]))
 
 
 def squad(predictions: DataFrame, references: DataFrame, key: str = "id", last_by: str | None = None,
@@ -78,14 +83,19 @@ def record(predictions: DataFrame, references: DataFrame, key: str = "id", last_
 
 
 def _answerable_rows(predictions: DataFrame, references: DataFrame, key: str, extra: list[str]) -> DataFrame:
-    """Per question: has_ans, na (no-answer probability), prediction, exact, f1; null where unanswered."""
+    """Per question: has_ans, na (no-answer probability), whether it has a text, exact, f1; null where unanswered."""
     usable = F.filter("answers", lambda a: tx.normalize_answer(a) != "")
     gold = references.select(
         key, (F.size("answers") > 0).alias("has_ans"),
         F.when(F.size(usable) > 0, usable).otherwise(F.array(F.lit(""))).alias("answers"))
-    raw = answer_scores(gold.join(predictions, key, "inner"), key, f1_if_empty=True)
-    given = predictions.select(key, *extra, F.col("no_answer_probability").alias("na"), "prediction")
-    return gold.select(key, "has_ans").join(given, key, "left").join(raw, key, "left")
+    given = predictions.select(key, *extra, F.col("no_answer_probability").alias("na"), "prediction",
+                               (F.length("prediction") > 0).alias("has_text"), F.lit(True).alias("__given"))
+    joined = gold.join(given, key, "left")
+    about = [*extra, "has_ans", "na", "has_text"]
+    scored = answer_scores(joined.filter("__given"), key, f1_if_empty=True, carry=about)
+    none = joined.filter("__given IS NULL").withColumns({c: F.lit(None).cast("double") for c in ("exact", "f1")})
+    columns = [key, *about, "exact", "f1"]
+    return scored.select(*columns).unionByName(none.select(*columns))
 
 
 def squad_v2(predictions: DataFrame, references: DataFrame, key: str = "id", threshold: float = 1.0,
@@ -121,7 +131,7 @@ def squad_v2(predictions: DataFrame, references: DataFrame, key: str = "id", thr
 
 def _best_threshold(rows: DataFrame, score: str, name: str, tie: list[str]) -> DataFrame:
     """The first threshold on the no-answer probability with the highest running score."""
-    step = F.when(F.col("has_ans"), F.col(score)).when(F.length("prediction") > 0, -1.0).otherwise(0.0)
+    step = F.when(F.col("has_ans"), F.col(score)).when(F.col("has_text"), -1.0).otherwise(0.0)
     known = rows.filter(F.col("na").isNotNull()).withColumn("d", step)
     swept = ordered_scan(known.select("na", *tie, "d"), ["na", *tie], index="i", sums={"run": "d"})
     best = swept.agg(F.max_by(F.struct("run", "na"), F.struct("run", -F.col("i"))).alias("b"),
@@ -181,13 +191,13 @@ def span_scores(df: DataFrame, key: str) -> DataFrame:
                      ratio(tp.cast("double"), tp + fn, None).alias("recall"), hit.cast("double").alias("exact"))
 
 
-def cuad(predictions: DataFrame, references: DataFrame, key: str = "id") -> DataFrame:
-    """exact_match, f1, aupr, precision at recall 0.8 and 0.9.
+def cuad(predictions: DataFrame, references: DataFrame, key: str = "id", last_by: str | None = None) -> DataFrame:
+    """exact_match, f1, aupr, precision at recall 0.8 and 0.9; of several predictions the last by `last_by` counts.
 
     A question without gold spans has no recall and makes the summed f1 (and the area,
     reported as 0) undefined.
     """
-    answered = references.join(predictions, key, "inner")
+    answered = references.join(one_answer_each(predictions, key, last_by), key, "inner")
     rows = span_scores(answered, key)
     total = references.agg(F.count(F.lit(1)).alias("total"))
     p, r = F.col("precision"), F.col("recall")

@@ -1,17 +1,19 @@
 """Text-generation metrics as corpus aggregates over `prediction` and `references`.
 
 The shared core is a table with one row per (text, n-gram): how often the n-gram
-occurs in the prediction and in each reference. Whole texts are placed by their key
-first, so a text's n-grams are exploded and combined in one task and need no further
-shuffle; texts of a corpus spread evenly over the tasks.
+occurs in the prediction and in each reference. Whole texts are placed by an identity of
+their own first, so a text's n-grams are exploded and combined in one task and need no
+further shuffle; texts of a corpus spread evenly over the tasks. A row is a text, whatever
+its id: ids may repeat or be null. `by` names columns to score groups by.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peakweave.functions import text as tx
 from peakweave.functions.numeric import ratio
@@ -21,116 +23,150 @@ from peakweave.operators.joins import join_groups
 
 # --- n-gram core -----------------------------------------------------------------------------
 
+#: What tells one text from another: a hash of the row and a number among rows with that hash.
+TEXT = ["__h", "__n"]
+
+
 def as_references(df: DataFrame) -> DataFrame:
     """Give every row `references`, wrapping a single `reference`."""
     return df if "references" in df.columns else df.withColumn("references", F.array("reference"))
 
 
-def spread_texts(df: DataFrame, key: str) -> DataFrame:
-    """Place whole texts by their unique key, before they are tokenised.
+def spread_texts(df: DataFrame) -> DataFrame:
+    """Give every row an identity of its own (TEXT) and place it by that, before it is tokenised.
 
-    All n-gram counts of a text are grouped by the key and more, so this one shuffle of
-    the raw text is the only large one: the exploded n-grams stay where they are.
+    The identity follows from the whole row, so it is the same whenever the rows are read, and
+    rows that share an id are texts of their own. All n-gram counts of a text are grouped by it
+    and more, so this one shuffle of the raw text is the only large one. Its number of
+    partitions is fixed: by the size of the raw text it would become too few for the n-grams.
     """
-    return df.repartition(key)
+    columns = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.withColumn("__h", F.xxhash64(*columns)).repartition(partitions, "__h")
+    same = Window.partitionBy("__h").orderBy(*columns)
+    return placed.withColumn("__n", F.row_number().over(same))
 
 
 def tokenized(df: DataFrame, key: str, tokenizer: tx.Tokenizer, by: Sequence[str] = ()) -> DataFrame:
-    """(by, key, hyp, refs): token arrays of the prediction and of each reference."""
-    df = spread_texts(as_references(df), key)
-    return df.select(*by, key, tokenizer(F.col("prediction")).alias("hyp"),
+    """(by, key, TEXT, hyp, refs): token arrays of the prediction and of each reference."""
+    keep = list(dict.fromkeys([*by, key]))
+    df = spread_texts(as_references(df).select(*keep, "prediction", "references"))
+    return df.select(*keep, *TEXT, tokenizer(F.col("prediction")).alias("hyp"),
                      F.transform("references", tokenizer).alias("refs"))
 
 
-def gram_counts(tokens: DataFrame, key: str, max_order: int, separator: str = " ", by: Sequence[str] = ()) -> DataFrame:
-    """(by, key, order, gram, k, c): how often an n-gram occurs in the prediction (k = -1) and in reference k."""
+def gram_counts(tokens: DataFrame, max_order: int, separator: str = " ", by: Sequence[str] = ()) -> DataFrame:
+    """(by, TEXT, order, gram, k, c): how often an n-gram occurs in the prediction (k = -1) and in reference k.
+
+    Order 0 has one row per side, whose count is the side's number of tokens.
+    """
     def of_order(column, n):
         return F.transform(tx.ngrams(column, n, separator),
-                           lambda g: F.struct(F.lit(n).alias("order"), g.alias("gram")))
+                           lambda g: F.struct(F.lit(n).alias("order"), g.alias("gram"), F.lit(1).alias("w")))
 
     def grams(column):
-        return F.concat(*[of_order(column, n) for n in range(1, max_order + 1)])
+        size = F.struct(F.lit(0).alias("order"), F.lit("").alias("gram"), F.greatest(F.size(column), F.lit(0)).alias("w"))
+        empty = F.array().cast("array<struct<order:int,gram:string,w:int>>")
+        return F.concat(F.array(size), *[F.coalesce(of_order(column, n), empty) for n in range(1, max_order + 1)])
 
-    sides = tokens.select(*by, key, F.explode(F.concat(
+    sides = tokens.select(*by, *TEXT, F.explode(F.concat(
         F.array(F.struct(F.lit(-1).alias("k"), F.col("hyp").alias("t"))),
         F.transform("refs", lambda t, k: F.struct(k.alias("k"), t.alias("t"))))).alias("s"))
-    rows = sides.select(*by, key, F.col("s.k").alias("k"), F.explode(grams(F.col("s.t"))).alias("g")).select(
-        *by, key, "k", "g.order", "g.gram")
-    return rows.groupBy(*by, key, "order", "gram", "k").agg(F.count(F.lit(1)).alias("c"))
+    rows = sides.select(*by, *TEXT, F.col("s.k").alias("k"), F.explode(grams(F.col("s.t"))).alias("g")).select(
+        *by, *TEXT, "k", "g.order", "g.gram", "g.w")
+    return rows.groupBy(*by, *TEXT, "order", "gram", "k").agg(F.sum("w").alias("c"))
 
 
 def _count_where(cond: Column) -> Column:
     return F.sum(F.when(cond, F.col("c")).otherwise(0))
 
 
-def gram_table(tokens: DataFrame, key: str, max_order: int, separator: str = " ") -> DataFrame:
-    """(key, order, gram, hyp, refs): the n-gram's count in the prediction and, per reference k, in refs."""
+def gram_table(tokens: DataFrame, max_order: int, separator: str = " ", by: Sequence[str] = ()) -> DataFrame:
+    """(by, TEXT, order, gram, hyp, refs): the n-gram's count in the prediction and, per reference k, in refs.
+
+    Rows of order 0 hold the sizes of the sides.
+    """
     per_ref = F.collect_list(F.when(F.col("k") >= 0, F.struct("k", "c")))  # one entry per reference
-    return gram_counts(tokens, key, max_order, separator).groupBy(key, "order", "gram").agg(
+    return gram_counts(tokens, max_order, separator, by).groupBy(*by, *TEXT, "order", "gram").agg(
         _count_where(F.col("k") == -1).alias("hyp"), per_ref.alias("refs"))
 
 
-def _corpus_sums(tokens: DataFrame, key: str, max_order: int, which: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row of corpus sums (per group): matches m1… and possible n-grams p1… by order, sys_len, ref_len.
+def reference_sums(table: DataFrame, orders: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
+    """(by, TEXT, k, h, r, m1 …): per reference the sizes of both sides and the n-grams they share, by order.
 
-    A row counts with its shortest or its closest reference (ties: the shorter).
+    k = -1 stands for all references at once: there an n-gram counts as often as in the
+    reference that has it most often.
     """
-    orders = range(1, max_order + 1)
-    per_gram = gram_counts(tokens, key, max_order, by=by).groupBy(*by, key, "order", "gram").agg(
-        _count_where(F.col("k") == -1).alias("hyp"),
-        F.max(F.when(F.col("k") >= 0, F.col("c")).otherwise(0)).alias("best"))
-    matches = per_gram.groupBy(*by, "order").agg(F.sum(F.least("hyp", "best")).alias("m"))
-    summed = matches.groupBy(*by).agg(*[F.sum(F.when(F.col("order") == n, F.col("m")).otherwise(0)).cast("double").alias(f"m{n}")
-                           for n in orders])
-    hyp = F.size("hyp")
-    sizes = F.transform("refs", lambda t: F.size(t))
-    if which == "shortest":
-        ref = F.array_min(sizes)
-    else:
-        ref = F.array_min(F.transform(sizes, lambda s: F.struct(F.abs(s - hyp).alias("gap"), s.alias("s"))))["s"]
-    lengths = tokens.groupBy(*by).agg(
-        *[F.sum(F.greatest(hyp - (n - 1), F.lit(0))).cast("double").alias(f"p{n}") for n in orders],
-        F.sum(hyp).cast("double").alias("sys_len"), F.sum(ref).cast("double").alias("ref_len"))
-    return join_groups(lengths, summed, by, "left")
+    most = F.struct(F.lit(-1).alias("k"), F.coalesce(F.array_max(F.transform("refs", lambda x: x["c"])), F.lit(0)).alias("c"))
+    sides = table.select(*by, *TEXT, "order", "hyp", F.inline(F.array_append("refs", most)))
+    size = F.col("order") == 0
+    return sides.groupBy(*by, *TEXT, "k").agg(
+        F.max(F.when(size, F.col("hyp"))).alias("h"), F.max(F.when(size, F.col("c"))).alias("r"),
+        *[F.sum(F.when(F.col("order") == n, F.least("hyp", "c")).otherwise(0)).alias(f"m{n}") for n in orders])
 
 
-def bleu(df: DataFrame, key: str, max_order: int = 4, smooth: bool = False,
-         tokenizer: tx.Tokenizer = tx.tokenize_13a, by: Sequence[str] = ()) -> DataFrame:
-    """bleu, precisions, brevity_penalty, length_ratio, translation_length, reference_length."""
-    tokens = tokenized(df, key, tokenizer, by)
-    sums = _corpus_sums(tokens, key, max_order, "shortest", by)
+def _possible(size: Column, n: int) -> Column:
+    """The n-grams of so many tokens."""
+    return F.greatest(size - (n - 1), F.lit(0))
+
+
+def corpus_sums(df: DataFrame, key: str, max_order: int = 4, tokenizer: tx.Tokenizer = tx.tokenize_13a,
+                by: Sequence[str] = (), min_order: int = 1) -> DataFrame:
+    """One row (per group) of what BLEU, sacreBLEU and GLEU are made of, from one pass over the n-grams.
+
+    Matches m1… and possible n-grams p1… by order, sys_len, the lengths of the shortest and of the
+    closest references (ties: the shorter), the least and the largest number of references, and for
+    GLEU the matches and the larger total of each row's best reference, orders from `min_order` on.
+    """
+    orders = range(1, max_order + 1)
+    per_ref = reference_sums(gram_table(tokenized(df, key, tokenizer, by), max_order, by=by), orders, by)
+    own, k = F.col("k") >= 0, F.col("k")
+    hit = sum((F.col(f"m{n}") for n in orders if n >= min_order), F.lit(0))
+    total = lambda size: sum((_possible(size, n) for n in orders if n >= min_order), F.lit(0))
+    scored = per_ref.withColumns({"__tp": hit, "__all": F.greatest(total(F.col("h")), total(F.col("r")))})
+    # best ratio, then the earliest reference; a row without n-grams on either side has none
+    best = F.max_by(F.struct("__tp", "__all"), F.when(own & (F.col("__all") > 0), F.struct(
+        ratio(F.col("__tp"), F.col("__all")), -k)))
+    close = F.min(F.when(own, F.struct(F.abs(F.col("r") - F.col("h")).alias("gap"), F.col("r").alias("r"))))
+    per_text = scored.groupBy(*by, *TEXT).agg(
+        *[F.max(F.when(~own, F.col(f"m{n}"))).alias(f"m{n}") for n in orders], F.max("h").alias("h"),
+        F.min(F.when(own, F.col("r"))).alias("short"), close.alias("close"), best.alias("best"),
+        F.count_if(own).alias("n_refs"))
+    d = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("double")
+    return per_text.groupBy(*by).agg(
+        *[d(f"m{n}").alias(f"m{n}") for n in orders], *[d(_possible(F.col("h"), n)).alias(f"p{n}") for n in orders],
+        d("h").alias("sys_len"), d("short").alias("short_len"), d("close.r").alias("close_len"),
+        F.min("n_refs").alias("least_refs"), F.max("n_refs").alias("most_refs"),
+        d("best.__tp").alias("best_hits"), d("best.__all").alias("best_all"))
+
+
+def bleu_columns(max_order: int = 4, smooth: bool = False) -> list[Column]:
     orders = range(1, max_order + 1)
-    m, p = {n: F.coalesce(f"m{n}", F.lit(0.0)) for n in orders}, {n: F.col(f"p{n}") for n in orders}
+    m, p = {n: F.col(f"m{n}") for n in orders}, {n: F.col(f"p{n}") for n in orders}
     precisions = [(m[n] + 1) / (p[n] + 1) if smooth else ratio(m[n], p[n]) for n in orders]
     arr = F.array(*precisions)
     logs = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + F.log(x))
     mean = F.when(F.array_min(arr) > 0, F.exp(logs / max_order)).otherwise(0.0)
-    rate = ratio(F.col("sys_len"), F.col("ref_len"))
+    rate = ratio(F.col("sys_len"), F.col("short_len"))
     bp = F.when(rate > 1, 1.0).when(rate > 0, F.exp(1 - 1 / rate)).otherwise(0.0)
-    return sums.select(
-        *by, (mean * bp).alias("bleu"), arr.alias("precisions"), bp.alias("brevity_penalty"), rate.alias("length_ratio"),
-        F.col("sys_len").cast("long").alias("translation_length"),
-        F.col("ref_len").cast("long").alias("reference_length"))
+    return [(mean * bp).alias("bleu"), arr.alias("precisions"), bp.alias("brevity_penalty"), rate.alias("length_ratio"),
+            F.col("sys_len").cast("long").alias("translation_length"), F.col("short_len").cast("long").alias("reference_length")]
 
 
-def sacrebleu(df: DataFrame, key: str, smooth_method: str = "exp", smooth_value: float | None = None,
-              lowercase: bool = False, use_effective_order: bool = False,
-              tokenizer: tx.Tokenizer = tx.tokenize_13a, max_order: int = 4) -> DataFrame:
-    """score, counts, totals, precisions (percent), bp, sys_len, ref_len.
+def bleu(df: DataFrame, key: str, max_order: int = 4, smooth: bool = False,
+         tokenizer: tx.Tokenizer = tx.tokenize_13a, by: Sequence[str] = ()) -> DataFrame:
+    """bleu, precisions, brevity_penalty, length_ratio, translation_length, reference_length."""
+    return corpus_sums(df, key, max_order, tokenizer, by).select(*by, *bleu_columns(max_order, smooth))
 
-    All rows must have the same number of references.
-    """
-    df = as_references(df)
-    if lowercase:
-        df = df.withColumns({"prediction": F.lower("prediction"), "references": F.transform("references", F.lower)})
-    spread = df.agg(F.min(F.size("references")).alias("lo"), F.max(F.size("references")).alias("hi"))
-    tokens = tokenized(df, key, tokenizer)
-    sums = _corpus_sums(tokens, key, max_order, "closest")
-    sums = sums.join(F.broadcast(spread)).filter(
-        F.when(F.col("lo") == F.col("hi"), F.lit(True)).otherwise(
-            F.raise_error(F.lit("all rows need the same number of references")).cast("boolean")))
+
+def lowered(df: DataFrame) -> DataFrame:
+    return as_references(df).withColumns({"prediction": F.lower("prediction"), "references": F.transform("references", F.lower)})
+
+
+def sacrebleu_columns(smooth_method: str = "exp", smooth_value: float | None = None, use_effective_order: bool = False,
+                       max_order: int = 4) -> list[Column]:
     orders = range(1, max_order + 1)
-    m, p = {n: F.coalesce(f"m{n}", F.lit(0.0)) for n in orders}, {n: F.col(f"p{n}") for n in orders}
+    m, p = {n: F.col(f"m{n}") for n in orders}, {n: F.col(f"p{n}") for n in orders}
     percent, zeros = [], F.lit(0)
     for n in orders:
         empty = m[n] == 0
@@ -146,42 +182,45 @@ def sacrebleu(df: DataFrame, key: str, smooth_method: str = "exp", smooth_value:
             k = 1.0 if smooth_value is None else smooth_value
             value = 100.0 * (m[n] + k) / (p[n] + k)
         percent.append(F.when(p[n] > 0, value).otherwise(0.0))
-    bp = F.when(F.col("sys_len") >= F.col("ref_len"), 1.0).when(F.col("sys_len") > 0, F.exp(
-        1 - F.col("ref_len") / F.col("sys_len"))).otherwise(0.0)
+    sys_len, ref_len = F.col("sys_len"), F.col("close_len")
+    bp = F.when(sys_len >= ref_len, 1.0).when(sys_len > 0, F.exp(1 - ref_len / sys_len)).otherwise(0.0)
     arr = F.array(*percent)
     used = F.size(F.filter(F.array(*[p[n] for n in orders]), lambda x: x > 0)) if use_effective_order else F.lit(max_order)
     chosen = F.slice(arr, F.lit(1), F.greatest(used, F.lit(1)))
     logs = F.aggregate(chosen, F.lit(0.0), lambda acc, x: acc + F.log(x))
     any_match = F.greatest(*[m[n] for n in orders]) > 0
     score = F.when(any_match & (F.array_min(chosen) > 0), bp * F.exp(logs / used)).otherwise(0.0)
-    return sums.select(
-        score.alias("score"), F.array(*[m[n].cast("long") for n in orders]).alias("counts"),
-        F.array(*[p[n].cast("long") for n in orders]).alias("totals"), arr.alias("precisions"), bp.alias("bp"),
-        F.col("sys_len").cast("long").alias("sys_len"), F.col("ref_len").cast("long").alias("ref_len"))
+    alike = F.col("least_refs") == F.col("most_refs")
+    checked = F.when(F.coalesce(alike, F.lit(True)), score).otherwise(
+        F.raise_error(F.lit("all rows need the same number of references")).cast("double"))
+    return [checked.alias("score"), F.array(*[m[n].cast("long") for n in orders]).alias("counts"),
+            F.array(*[p[n].cast("long") for n in orders]).alias("totals"), arr.alias("precisions"), bp.alias("bp"),
+            sys_len.cast("long").alias("sys_len"), ref_len.cast("long").alias("ref_len")]
 
 
-def google_bleu(df: DataFrame, key: str, min_len: int = 1, max_len: int = 4,
-                tokenizer: tx.Tokenizer = tx.tokenize_13a) -> DataFrame:
-    """Corpus GLEU: matched over the larger n-gram total, each row against its best reference."""
-    tokens = tokenized(df, key, tokenizer)
-    table = gram_table(tokens, key, max_len).filter(F.col("order") >= min_len)
-    hits = table.select(key, "hyp", F.explode("refs").alias("r")).groupBy(key, F.col("r.k").alias("k")).agg(
-        F.sum(F.least(F.col("hyp"), F.col("r.c"))).alias("tp"))
+def sacrebleu(df: DataFrame, key: str, smooth_method: str = "exp", smooth_value: float | None = None,
+              lowercase: bool = False, use_effective_order: bool = False,
+              tokenizer: tx.Tokenizer = tx.tokenize_13a, max_order: int = 4, by: Sequence[str] = ()) -> DataFrame:
+    """score, counts, totals, precisions (percent), bp, sys_len, ref_len.
+
+    All rows (of a group) must have the same number of references.
+    """
+    sums = corpus_sums(lowered(df) if lowercase else df, key, max_order, tokenizer, by)
+    return sums.select(*by, *sacrebleu_columns(smooth_method, smooth_value, use_effective_order, max_order))
 
-    def total(size):
-        return sum((F.greatest(size - (n - 1), F.lit(0)) for n in range(min_len, max_len + 1)), F.lit(0))
 
-    sizes = tokens.select(key, total(F.size("hyp")).alias("h"), F.posexplode("refs").alias("k", "r")).select(
-        key, "k", F.greatest(F.col("h"), total(F.size("r"))).alias("all"))
-    scored = sizes.join(hits, [key, "k"], "left").withColumn("tp", F.coalesce("tp", F.lit(0)))
-    # best ratio, then the earliest reference
-    best = F.max_by(F.struct("tp", "all"), F.struct(ratio(F.col("tp"), F.col("all")), -F.col("k")))
-    per = scored.filter(F.col("all") > 0).groupBy(key).agg(best.alias("b"))
-    return per.agg(F.coalesce(ratio(F.sum("b.tp").cast("double"), F.sum("b.all")), F.lit(0.0)).alias("google_bleu"))
+def google_bleu_columns() -> list[Column]:
+    return [F.coalesce(ratio(F.col("best_hits"), F.col("best_all")), F.lit(0.0)).alias("google_bleu")]
+
+
+def google_bleu(df: DataFrame, key: str, min_len: int = 1, max_len: int = 4,
+                tokenizer: tx.Tokenizer = tx.tokenize_13a, by: Sequence[str] = ()) -> DataFrame:
+    """Corpus GLEU: matched over the larger n-gram total, each row against its best reference."""
+    return corpus_sums(df, key, max_len, tokenizer, by, min_len).select(*by, *google_bleu_columns())
 
 
 def chrf(df: DataFrame, key: str, char_order: int = 6, word_order: int = 0, beta: int = 2, lowercase: bool = False,
-         eps_smoothing: bool = False, whitespace: bool = False) -> DataFrame:
+         eps_smoothing: bool = False, whitespace: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Corpus chrF (chrF++ with word_order=2), each row against its best reference."""
     df = as_references(df)
     lower = F.lower if lowercase else (lambda c: c)
@@ -206,19 +245,15 @@ def chrf(df: DataFrame, key: str, char_order: int = 6, word_order: int = 0, beta
     kinds = [("c", chars, char_order, "")] + ([("w", word_tokens, word_order, " ")] if word_order else [])
     stats = None
     for name, tokenizer, order, separator in kinds:
-        tokens = tokenized(df, key, tokenizer)
-        table = gram_table(tokens, key, order, separator)
-        hits = table.select(key, "order", "hyp", F.explode("refs").alias("r")).groupBy(
-            key, F.col("r.k").alias("k"), "order").agg(F.sum(F.least(F.col("hyp"), F.col("r.c"))).alias("m"))
-        sizes = tokens.select(key, F.size("hyp").alias("h"), F.posexplode("refs").alias("k", "t")).select(
-            key, "k", "h", F.size("t").alias("r"), F.explode(F.sequence(F.lit(1), F.lit(order))).alias("order"))
-        n = F.col("order") - 1
-        part = sizes.join(hits, [key, "k", "order"], "left").select(
-            key, "k", F.concat(F.lit(name), F.col("order").cast("string")).alias("order"),
-            F.coalesce("m", F.lit(0)).cast("double").alias("m"),
+        orders = range(1, order + 1)
+        table = gram_table(tokenized(df, key, tokenizer, by), order, separator, by)
+        entries = F.explode(F.array(*[F.struct(
+            F.lit(f"{name}{n}").alias("order"), F.col(f"m{n}").cast("double").alias("m"),
             # without reference n-grams of this order the prediction's do not count either
-            F.when(F.col("r") - n > 0, F.greatest(F.col("h") - n, F.lit(0))).otherwise(0).cast("double").alias("h"),
-            F.greatest(F.col("r") - n, F.lit(0)).cast("double").alias("r"))
+            F.when(F.col("r") >= n, _possible(F.col("h"), n)).otherwise(0).cast("double").alias("h"),
+            _possible(F.col("r"), n).cast("double").alias("r")) for n in orders]))
+        part = reference_sums(table, orders, by).filter("k >= 0").select(*by, *TEXT, "k", entries.alias("e")).select(
+            *by, *TEXT, "k", "e.*")
         stats = part if stats is None else stats.unionByName(part)
     orders = [f"{name}{i}" for name, _, order, _ in kinds for i in range(1, order + 1)]
     factor = beta ** 2
@@ -244,11 +279,12 @@ def chrf(df: DataFrame, key: str, char_order: int = 6, word_order: int = 0, beta
 
     score = smoothed if eps_smoothing else effective
     entry = F.collect_list(F.struct("order", "m", "h", "r"))  # one entry per n-gram order
-    per_ref = stats.groupBy(key, "k").agg(entry.alias("e")).withColumn("s", score(F.col("e")))
-    best = per_ref.groupBy(key).agg(F.max_by("e", F.struct("s", -F.col("k"))).alias("e"))
-    corpus = best.select(F.inline("e")).groupBy("order").agg(*[F.sum(c).alias(c) for c in "mhr"])
-    return corpus.agg(entry.alias("e")).select(score(F.col("e")).alias("score"), F.lit(char_order).alias("char_order"),
-                                               F.lit(word_order).alias("word_order"), F.lit(beta).alias("beta"))
+    per_ref = stats.groupBy(*by, *TEXT, "k").agg(entry.alias("e")).withColumn("s", score(F.col("e")))
+    best = per_ref.groupBy(*by, *TEXT).agg(F.max_by("e", F.struct("s", -F.col("k"))).alias("e"))
+    corpus = best.select(*by, F.inline("e")).groupBy(*by, "order").agg(*[F.sum(c).alias(c) for c in "mhr"])
+    return corpus.groupBy(*by).agg(entry.alias("e")).select(
+        *by, score(F.col("e")).alias("score"), F.lit(char_order).alias("char_order"),
+        F.lit(word_order).alias("word_order"), F.lit(beta).alias("beta"))
 
 
 # --- rouge -----------------------------------------------------------------------------------
@@ -259,45 +295,43 @@ def _f_measure(hits: Column, hyp: Column, ref: Column) -> Column:
 
 
 def rouge_rows(df: DataFrame, key: str, types: Sequence[str] = ("rouge1", "rouge2", "rougeL", "rougeLsum"),
-               tokenizer: tx.Tokenizer = tx.rouge_tokens) -> DataFrame:
-    """Per row the F-measure of each type, against the best reference."""
-    df = spread_texts(as_references(df), key)
-    tokens = df.select(key, tokenizer(F.col("prediction")).alias("hyp"),
+               tokenizer: tx.Tokenizer = tx.rouge_tokens, by: Sequence[str] = ()) -> DataFrame:
+    """Per row (by, key) the F-measure of each type, against the best reference."""
+    keep = list(dict.fromkeys([*by, key]))
+    df = spread_texts(as_references(df).select(*keep, "prediction", "references"))
+    tokens = df.select(*keep, *TEXT, tokenizer(F.col("prediction")).alias("hyp"),
                        F.transform("references", tokenizer).alias("refs"))
     orders = sorted(int(t[5:]) for t in types if t[5:].isdigit())
-    flat = tokens.select(key, F.col("hyp"), F.posexplode("refs").alias("k", "ref"))
-    scores = flat.select(key, "k", F.size("hyp").alias("h"), F.size("ref").alias("r"),
-                         *([tx.lcs_length("hyp", "ref").alias("lcs")] if "rougeL" in types else []))
+    scores = None
     if orders:
-        table = gram_table(tokens, key, max(orders)).filter(F.col("order").isin(orders))
-        hits = table.select(key, "order", "hyp", F.explode("refs").alias("g")).groupBy(
-            key, F.col("g.k").alias("k")).agg(*[
-                F.sum(F.when(F.col("order") == n, F.least(F.col("hyp"), F.col("g.c"))).otherwise(0)).alias(f"m{n}")
-                for n in orders])
-        scores = scores.join(hits, [key, "k"], "left")
+        scores = reference_sums(gram_table(tokens, max(orders), by=keep), orders, keep).filter("k >= 0")
+    if "rougeL" in types or not orders:
+        flat = tokens.select(*keep, *TEXT, F.col("hyp"), F.posexplode("refs").alias("k", "ref"))
+        lcs = flat.select(*keep, *TEXT, "k", F.size("hyp").alias("h"), F.size("ref").alias("r"),
+                          *([tx.lcs_length("hyp", "ref").alias("lcs")] if "rougeL" in types else []))
+        scores = lcs if scores is None else scores.join(lcs.drop(*keep, "h", "r"), [*TEXT, "k"])
     if "rougeLsum" in types:
         def sentences(c):
             return F.transform(F.filter(F.split(c, "\n"), lambda s: s != ""), tokenizer)
 
-        summed = df.select(key, sentences(F.col("prediction")).alias("hs"),
+        summed = df.select(*TEXT, sentences(F.col("prediction")).alias("hs"),
                            F.posexplode("references").alias("k", "ref"))
-        summed = summed.select(key, "k", tx.summary_lcs_hits(sentences(F.col("ref")), "hs").alias("lsum"))
-        scores = scores.join(summed, [key, "k"])
+        summed = summed.select(*TEXT, "k", tx.summary_lcs_hits(sentences(F.col("ref")), "hs").alias("lsum"))
+        scores = scores.join(summed, [*TEXT, "k"])
     f = {}
     for t in types:
         if t[5:].isdigit():
             n = int(t[5:])
-            f[t] = _f_measure(F.coalesce(f"m{n}", F.lit(0)), F.greatest(F.col("h") - (n - 1), F.lit(0)),
-                              F.greatest(F.col("r") - (n - 1), F.lit(0)))
+            f[t] = _f_measure(F.col(f"m{n}"), _possible(F.col("h"), n), _possible(F.col("r"), n))
         else:
             f[t] = _f_measure(F.col("lcs" if t == "rougeL" else "lsum"), F.col("h"), F.col("r"))
-    return scores.withColumns(f).groupBy(key).agg(*[F.max(t).alias(t) for t in types])
+    return scores.withColumns(f).groupBy(*keep, *TEXT).agg(*[F.max(t).alias(t) for t in types]).drop(*TEXT)
 
 
 def rouge(df: DataFrame, key: str, types: Sequence[str] = ("rouge1", "rouge2", "rougeL", "rougeLsum"),
-          tokenizer: tx.Tokenizer = tx.rouge_tokens) -> DataFrame:
+          tokenizer: tx.Tokenizer = tx.rouge_tokens, by: Sequence[str] = ()) -> DataFrame:
     """Mean F-measure of each type (the plain mean, not a bootstrap's middle)."""
-    return rouge_rows(df, key, types, tokenizer).agg(*[F.avg(t).alias(t) for t in types])
+    return rouge_rows(df, key, types, tokenizer, by).groupBy(*by).agg(*[F.avg(t).alias(t) for t in types])
 
 
 # --- error rates and exact match -------------------------------------------------------------
@@ -345,24 +379,25 @@ def simplification_tokens(lowercase: bool = True) -> tx.Tokenizer:
     return tokens
 
 
-def sari_rows(df: DataFrame, key: str, tokenizer: tx.Tokenizer | None = None) -> DataFrame:
-    """Per row: keep (F1), delete (precision) and add (F1), averaged over n-gram orders 1 to 4, and sari."""
+def sari_rows(df: DataFrame, key: str, tokenizer: tx.Tokenizer | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Per row (by, key): keep (F1), delete (precision) and add (F1), averaged over n-gram orders 1 to 4, and sari."""
     tokenizer = tokenizer or simplification_tokens()
-    df = spread_texts(as_references(df), key)
-    # the source travels as reference 0, the true references follow
-    tokens = df.select(key, tokenizer(F.col("prediction")).alias("hyp"), F.transform(
+    keep = list(dict.fromkeys([*by, key]))
+    df = spread_texts(as_references(df).select(*keep, "source", "prediction", "references"))
+    # the source travels as reference 0, the true references follow; their number stays with the n-grams
+    tokens = df.select(*keep, *TEXT, F.size("references").alias("n"), tokenizer(F.col("prediction")).alias("hyp"), F.transform(
         F.concat(F.array("source"), F.col("references")), tokenizer).alias("refs"))
-    n_refs = df.select(key, F.size("references").alias("n"))
+    ids = [*keep, *TEXT]
     k, n = F.col("k"), F.col("n")
-    counts = gram_counts(tokens, key, 4).groupBy(key, "order", "gram").agg(
-        _count_where(k == 0).alias("s"), _count_where(k == -1).alias("c"), _count_where(k > 0).alias("r"))
-    counts = counts.join(n_refs, key).select(key, "order", (F.col("s") * n).alias("s"), (F.col("c") * n).alias("c"), "r")
+    counts = gram_counts(tokens, 4, by=[*keep, "n"]).filter("order > 0").groupBy(*ids, "n", "order", "gram").agg(
+        _count_where(k == 0).alias("s"), _count_where(k == -1).alias("c"), _count_where(k > 0).alias("r")).select(
+        *ids, "order", (F.col("s") * n).alias("s"), (F.col("c") * n).alias("c"), "r")
     s, c, r = F.col("s"), F.col("c"), F.col("r")
-    keep, dele = F.least(s, c), F.greatest(s - c, F.lit(0))
+    kept, dele = F.least(s, c), F.greatest(s - c, F.lit(0))
     new = (c > 0) & (s == 0)
-    sums = counts.groupBy(key, "order").agg(
-        F.sum(F.when(keep > 0, F.least(keep, r) / keep)).alias("kp"), F.count_if(keep > 0).alias("kn"),
-        F.sum(F.least(keep, r)).alias("kg"), F.sum(F.least(s, r)).alias("ka"),
+    sums = counts.groupBy(*ids, "order").agg(
+        F.sum(F.when(kept > 0, F.least(kept, r) / kept)).alias("kp"), F.count_if(kept > 0).alias("kn"),
+        F.sum(F.least(kept, r)).alias("kg"), F.sum(F.least(s, r)).alias("ka"),
         F.sum(F.when(dele > 0, F.greatest(dele - r, F.lit(0)) / dele)).alias("dp"), F.count_if(dele > 0).alias("dn"),
         F.count_if(new & (r > 0)).alias("ag"), F.count_if(new).alias("an"),
         F.count_if((r > 0) & (s == 0)).alias("aa"))
@@ -374,62 +409,57 @@ def sari_rows(df: DataFrame, key: str, tokenizer: tx.Tokenizer | None = None) ->
         return ratio(2 * p * q, p + q)
 
     scored = sums.select(
-        key, f1(share(F.col("kp"), F.col("kn")), share(F.col("kg"), F.col("ka"))).alias("keep"),
+        *ids, f1(share(F.col("kp"), F.col("kn")), share(F.col("kg"), F.col("ka"))).alias("keep"),
         share(F.col("dp"), F.col("dn")).alias("del"),
         f1(share(F.col("ag"), F.col("an")), share(F.col("ag"), F.col("aa"))).alias("add"))
     # an order no text is long enough for has only empty ratios: 1 each
     parts = [((F.sum(x) + (4 - F.count(x))) / 4).alias(x) for x in ("keep", "del", "add")]
-    return scored.groupBy(key).agg(*parts).withColumn("sari", (F.col("keep") + F.col("del") + F.col("add")) / 3)
+    return scored.groupBy(*ids).agg(*parts).withColumn("sari", (F.col("keep") + F.col("del") + F.col("add")) / 3).drop(*TEXT)
 
 
-def sari(df: DataFrame, key: str) -> DataFrame:
-    return sari_rows(df, key).agg((100 * F.avg("sari")).alias("sari"))
+def sari(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
+    return sari_rows(df, key, by=by).groupBy(*by).agg((100 * F.avg("sari")).alias("sari"))
 
 
-def wiki_split(df: DataFrame, key: str) -> DataFrame:
+def wiki_split(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
     """sari, sacrebleu and the share (percent) of predictions equal to some reference after normalising."""
     refs = as_references(df)
     hit = F.exists("references", lambda x: tx.normalize_answer(x) == tx.normalize_answer(F.col("prediction")))
-    exact = refs.agg((100 * F.avg(hit.cast("double"))).alias("exact"))
-    bleu_row = sacrebleu(refs, key).select(F.col("score").alias("sacrebleu"))
-    return sari(refs, key).join(F.broadcast(bleu_row)).join(F.broadcast(exact))
+    exact = refs.groupBy(*by).agg((100 * F.avg(hit.cast("double"))).alias("exact"))
+    bleu_row = sacrebleu(refs, key, by=by).select(*by, F.col("score").alias("sacrebleu"))
+    return join_groups(join_groups(sari(refs, key, by), bleu_row, by), exact, by)
 
 
 # --- NIST ------------------------------------------------------------------------------------
 
-def nist(df: DataFrame, key: str, n: int = 5, tokenizer: tx.Tokenizer = tx.tokenize_13a) -> DataFrame:
+def nist(df: DataFrame, key: str, n: int = 5, tokenizer: tx.Tokenizer = tx.tokenize_13a, by: Sequence[str] = ()) -> DataFrame:
     """Information-weighted n-gram precision with the NIST length penalty.
 
     Information is log2(count of the n-gram's prefix / count of the n-gram) over all
-    references; both tables are keyed by n-gram, so the lookups are plain hash joins.
+    references (of a group); both tables are keyed by n-gram, so the lookups are plain hash joins.
     """
-    tokens = tokenized(df, key, tokenizer)
-    table = gram_table(tokens, key, n)
+    by = list(by)
+    table = gram_table(tokenized(df, key, tokenizer, by), n, by=by)
     in_refs = F.aggregate("refs", F.lit(0).cast("long"), lambda acc, r: acc + r["c"])
-    corpus = table.groupBy("order", "gram").agg(F.sum(in_refs).alias("count")).filter("count > 0")
-    ref_words = tokens.agg(F.sum(F.aggregate("refs", F.lit(0).cast("long"), lambda a, t: a + F.size(t))).alias("words"))
-    prefix = F.when(F.col("order") > 1, F.expr("substring(gram, 1, length(gram) - length(substring_index(gram, ' ', -1)) - 1)"))
-    shorter = corpus.select((F.col("order") + 1).alias("order"), F.col("gram").alias("prefix"),
-                            F.col("count").alias("before"))
-    info = corpus.withColumn("prefix", prefix).join(shorter, ["order", "prefix"], "left").join(
-        F.broadcast(ref_words)).select(
-        "order", "gram", F.log2(F.coalesce("before", "words") / F.col("count")).alias("info"))
-    hits = table.filter("hyp > 0").select(key, "order", "gram", "hyp", F.explode("refs").alias("r")).join(
-        info, ["order", "gram"])
-    per_ref = hits.groupBy(key, F.col("r.k").alias("k"), "order").agg(
-        F.sum(F.col("info") * F.least(F.col("hyp"), F.col("r.c"))).alias("gain"))
-    hyp_len = F.greatest(F.size("hyp") - (F.col("order") - 1), F.lit(0))
-    sizes = tokens.select(key, "hyp", F.posexplode("refs").alias("k", "t")).select(
-        key, "k", "hyp", F.size("t").alias("ref_len"), F.explode(F.sequence(F.lit(1), F.lit(n))).alias("order"))
-    scored = sizes.join(per_ref, [key, "k", "order"], "left").select(
-        key, "order", "k", F.size("hyp").alias("hyp_len"), "ref_len", hyp_len.alias("den"),
-        F.coalesce("gain", F.lit(0.0)).alias("gain"))
-    best = scored.groupBy(key, "order").agg(F.max_by(
+    # the row of order 0 is the number of words, which stands in for the prefix of a single word
+    corpus = table.groupBy(*by, "order", "gram").agg(F.sum(in_refs).alias("count")).filter("count > 0")
+    last = F.when(F.col("order") > 1, F.expr("substring(gram, 1, length(gram) - length(substring_index(gram, ' ', -1)) - 1)")).otherwise("")
+    shorter = corpus.select(*by, (F.col("order") + 1).alias("order"), F.col("gram").alias("__prefix"), F.col("count").alias("before"))
+    info = join_groups(corpus.filter("order > 0").withColumn("__prefix", last), shorter, [*by, "order", "__prefix"]).select(
+        *by, "order", "gram", F.log2(F.col("before") / F.col("count")).alias("info"))
+    sides = table.select(*by, *TEXT, "order", "gram", "hyp", F.inline("refs"))
+    sizes = sides.filter("order = 0").select(*by, *TEXT, "k", F.col("hyp").alias("hyp_len"), F.col("c").alias("ref_len"))
+    hits = join_groups(sides.filter("order > 0 AND hyp > 0"), info, [*by, "order", "gram"])
+    per_ref = hits.groupBy(*TEXT, "k", "order").agg(F.sum(F.col("info") * F.least("hyp", "c")).alias("gain"))
+    scored = sizes.withColumn("order", F.explode(F.sequence(F.lit(1), F.lit(n)))).join(per_ref, [*TEXT, "k", "order"], "left").select(
+        *by, *TEXT, "order", "k", "hyp_len", "ref_len",
+        F.greatest(F.col("hyp_len") - (F.col("order") - 1), F.lit(0)).alias("den"), F.coalesce("gain", F.lit(0.0)).alias("gain"))
+    best = scored.groupBy(*by, *TEXT, "order").agg(F.max_by(
         F.struct("gain", "den", "hyp_len", "ref_len"),
         F.struct(ratio(F.col("gain"), F.col("den")), "gain", "den", "ref_len")).alias("b"))
-    sums = best.groupBy("order").agg(F.sum("b.gain").alias("gain"), F.sum("b.den").alias("den"),
-                                     F.sum("b.hyp_len").alias("h"), F.sum("b.ref_len").alias("r"))
+    sums = best.groupBy(*by, "order").agg(F.sum("b.gain").alias("gain"), F.sum("b.den").alias("den"),
+                                          F.sum("b.hyp_len").alias("h"), F.sum("b.ref_len").alias("r"))
     log_ratio = F.log(F.sum("h") / F.sum("r"))
     beta = F.log(F.lit(0.5)) / F.pow(F.log(F.lit(1.5)), F.lit(2))
     penalty = F.when(log_ratio < 0, F.exp(beta * log_ratio * log_ratio)).otherwise(1.0)
-    return sums.agg((F.sum(ratio(F.col("gain"), F.col("den"))) * penalty).alias("nist_mt"))
+    return sums.groupBy(*by).agg((F.sum(ratio(F.col("gain"), F.col("den"))) * penalty).alias("nist_mt"))

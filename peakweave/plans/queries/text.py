@@ -27,10 +27,12 @@ def single(spark, sf):
 
 
 HYP_SQL = """hyp AS (SELECT id, replace(reference, 'on', 'an') || ' ' || prediction AS prediction, reference, prediction AS reply FROM text_pairs)"""
-_13A = r"""replace(replace(replace(replace(replace(replace(replace({0}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' '), '&quot;', '"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')"""
-_13A = "(' ' || " + _13A + " || ' ')"
-for _p, _r in ((r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "), (r"([\.,])([^0-9])", r" \1 \2"), (r"([0-9])(-)", r"\1 \2 ")):
-    _13A = f"regexp_replace({_13A}, '{_p.replace('{', '{{').replace('}', '}}')}', '{_r}', 'g')"
+_13A = "replace(replace(replace({0}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
+for _old, _new in tx.ENTITIES_13A:
+    _13A = f"replace({_13A}, '{_old}', '{_new}')"
+_13A = f"(' ' || {_13A} || ' ')"
+for _p, _r in tx.RULES_13A:
+    _13A = f"regexp_replace({_13A}, '{_p.replace('{', '{{').replace('}', '}}')}', '{_r.replace('$', chr(92))}', 'g')"
 _WORDS = "list_filter(regexp_split_to_array({0}, '\\s+'), lambda w: w <> '')"
 
 
@@ -114,6 +116,43 @@ def bleu_by_group(spark, sf):
     return rounded(evaluate(rows, ["bleu"], ["grp"]).select("grp", "bleu"))
 
 
+GROUPS_SQL = f"""{HYP_SQL}, {grams_sql(5, SIDES_MULTI)}, {CORPUS_SQL}, g AS (SELECT id, id // 1000 % 3 AS grp FROM hyp),
+gm AS (SELECT grp, n, sum(m) AS m FROM clip JOIN g USING (id) WHERE n < 5 GROUP BY 1, 2), gp AS (SELECT grp, n, sum(c) AS p FROM cnt JOIN g USING (id) WHERE k = -1 AND n < 5 GROUP BY 1, 2),
+gl AS (SELECT grp, sum(h) AS sys, sum(shortest) AS short, sum(closest) AS close FROM lens JOIN g USING (id) GROUP BY 1),
+bl AS (SELECT grp, exp(avg(ln(m / p))) * any_value(CASE WHEN sys / short > 1 THEN 1.0 ELSE exp(1 - short / sys) END) AS bleu,
+100 * exp(avg(ln(m / p))) * any_value(CASE WHEN sys >= close THEN 1.0 ELSE exp(1 - close / sys) END) AS score FROM gm JOIN gp USING (grp, n) JOIN gl USING (grp) GROUP BY grp),
+ga AS (SELECT id, k, sum(c) AS a FROM cnt WHERE n < 5 GROUP BY 1, 2), gt AS (SELECT id, k, sum(m) AS tp FROM hits WHERE n < 5 GROUP BY 1, 2),
+gr AS (SELECT r.id, r.k, coalesce(tp, 0) AS tp, greatest(h.a, r.a) AS a FROM ga h JOIN ga r ON h.id = r.id AND h.k = -1 AND r.k >= 0 LEFT JOIN gt ON gt.id = r.id AND gt.k = r.k),
+gb AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY tp / a DESC, k) AS rk FROM gr), gg AS (SELECT grp, sum(tp) / sum(a) AS google_bleu FROM gb JOIN g USING (id) WHERE rk = 1 GROUP BY grp),
+nc AS (SELECT grp, n, gram, sum(c) AS c FROM cnt JOIN g USING (id) WHERE k >= 0 GROUP BY 1, 2, 3), nw AS (SELECT grp, sum(len(t)) AS w FROM toks JOIN g USING (id) WHERE k >= 0 GROUP BY 1),
+ni AS (SELECT a.grp, a.n, a.gram, log2(coalesce(b.c, w) / a.c) AS i FROM nc a JOIN nw USING (grp) LEFT JOIN nc b ON b.grp = a.grp AND b.n = a.n - 1 AND a.n > 1 AND b.gram = array_to_string(string_split(a.gram, ' ')[1:a.n - 1], ' ')),
+nh AS (SELECT r.id, r.k, r.n, sum(i * least(h.c, r.c)) AS gain FROM cnt h JOIN cnt r ON h.k = -1 AND r.k >= 0 AND h.id = r.id AND h.n = r.n AND h.gram = r.gram JOIN g ON g.id = r.id JOIN ni f ON f.grp = g.grp AND f.n = h.n AND f.gram = h.gram GROUP BY 1, 2, 3),
+ns AS (SELECT r.id, r.k, n, len(h.t) AS h, len(r.t) AS r, greatest(len(h.t) - n + 1, 0) AS den FROM toks r JOIN toks h ON h.k = -1 AND r.k >= 0 AND h.id = r.id, range(1, 6) a(n)),
+nb AS (SELECT ns.id, ns.n, h, r, den, coalesce(gain, 0) AS gain, row_number() OVER (PARTITION BY ns.id, ns.n ORDER BY CASE WHEN den > 0 THEN coalesce(gain, 0) / den ELSE 0 END DESC, coalesce(gain, 0) DESC, den DESC, r DESC) AS rk FROM ns LEFT JOIN nh ON nh.id = ns.id AND nh.k = ns.k AND nh.n = ns.n),
+no AS (SELECT grp, n, sum(gain) AS gain, sum(den) AS den, sum(h) AS h, sum(r) AS r FROM nb JOIN g USING (id) WHERE rk = 1 GROUP BY 1, 2),
+nx AS (SELECT grp, sum(CASE WHEN den > 0 THEN gain / den ELSE 0 END) * CASE WHEN sum(h) < sum(r) THEN exp(ln(0.5) / pow(ln(1.5), 2) * pow(ln(sum(h) / sum(r)), 2)) ELSE 1 END AS nist_mt FROM no GROUP BY grp)"""
+
+
+@query(f"WITH {GROUPS_SQL} SELECT grp, round(bleu, 6) + 0.0 AS bleu, round(score, 6) + 0.0 AS score, round(google_bleu, 6) + 0.0 AS google_bleu, round(nist_mt, 6) + 0.0 AS nist_mt FROM bl JOIN gg USING (grp) JOIN nx USING (grp)", ("text_pairs",))
+def ngram_report(spark, sf):
+    """Four corpus metrics by name and group, read once."""
+    rows = hypotheses(spark, sf).withColumn("grp", F.floor(F.col("id") / 1000) % 3)
+    return rounded(evaluate(rows, ["bleu", "sacrebleu", "google_bleu", "nist_mt"], ["grp"]).select(
+        "grp", "bleu", "score", "google_bleu", "nist_mt"))
+
+
+REPEATED_SQL = f"""rep AS (SELECT id // 2000 AS key, prediction, reference FROM hyp), hyp2 AS (SELECT row_number() OVER () AS id, prediction, reference FROM rep)"""
+
+
+@query(f"""WITH {HYP_SQL}, {REPEATED_SQL}, {grams_sql(4, SIDES_SINGLE.replace('hyp', 'hyp2'))}, tot AS (SELECT id, k, sum(c) AS a FROM cnt GROUP BY 1, 2), tp AS (SELECT id, sum(m) AS tp FROM hits GROUP BY 1),
+per AS (SELECT r.id, coalesce(tp, 0) AS tp, greatest(h.a, r.a) AS a FROM tot h JOIN tot r ON h.id = r.id AND h.k = -1 AND r.k = 0 LEFT JOIN tp ON tp.id = r.id)
+SELECT round(sum(tp) / sum(a), 6) AS google_bleu FROM per""", ("text_pairs",))
+def google_bleu_repeated_ids(spark, sf):
+    """Several texts share an id; each is scored for itself."""
+    rows = single(spark, sf).withColumn("id", F.floor(F.col("id") / 2000))
+    return rounded(tg.google_bleu(rows, "id"))
+
+
 @query(f"""WITH {HYP_SQL}, {grams_sql(4, SIDES_SINGLE)}, {CORPUS_SQL}
 SELECT round(exp(avg(ln((m + 1) / (p + 1)))) * any_value(CASE WHEN sys / short > 1 THEN 1.0 ELSE exp(1 - short / sys) END), 6) AS bleu FROM ord, tot""", ("text_pairs",))
 def bleu_smoothed(spark, sf):
@@ -236,6 +275,12 @@ def word_error_rate(spark, sf):
     return rounded(evaluate(changed_items(spark, sf), ["wer"]))
 
 
+@query()
+def word_error_rate_conversations(spark, sf):
+    """Word-level edit distance over all conversations (too slow in SQL; brute force in the tests)."""
+    return rounded(evaluate(single(spark, sf), ["wer"]))
+
+
 @query(f"""WITH RECURSIVE {CHANGED_SQL}, pairs AS (SELECT id, {_rouge('prediction')} AS h, {_rouge('reference')} AS r FROM changed), {COMMON_SQL}
 SELECT id, round(2 * d / (h + r), 6) + 0.0 AS "rougeL" FROM last""")
 def rouge_longest_sequence(spark, sf):
@@ -326,6 +371,13 @@ def answer_scores(spark, sf):
     return rounded(qa.squad(*questions(spark, sf)))
 
 
+@query(f"""WITH {HYP_SQL}, {QA_SQL} SELECT round(100 * avg(coalesce(em, 0)), 6) + 0.0 AS exact_match, round(100 * avg(coalesce(f1, 0)), 6) + 0.0 AS f1 FROM q LEFT JOIN f ON q.id = f.id""", ("text_pairs",))
+def answer_scores_repeated_questions(spark, sf):
+    """Every question twice under its id: each counts, and the scores stay what they are."""
+    preds, refs = questions(spark, sf)
+    return rounded(qa.squad(preds, refs.unionByName(refs)))
+
+
 @query(f"""WITH {HYP_SQL}, {QA_SQL} SELECT abs(q.id) // 1000 % 3 AS grp, round(100 * avg(coalesce(em, 0)), 6) + 0.0 AS exact_match, round(100 * avg(coalesce(f1, 0)), 6) + 0.0 AS f1
 FROM q LEFT JOIN f ON q.id = f.id GROUP BY 1""", ("text_pairs",))
 def answer_scores_by_group(spark, sf):
