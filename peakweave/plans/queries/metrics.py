@@ -13,6 +13,7 @@ from peakweave.metrics.distances import aggregate_scores, coreference, covarianc
 from peakweave.metrics.distribution import mauve
 from peakweave.metrics.qa import multirc
 from peakweave.metrics.reliability import offline_reliability, online_reliability
+from peakweave.operators.neighbours import nearest
 from peakweave.operators.quantiles import group_quantiles
 from peakweave.plans.queries.registry import query, r
 from peakweave.plans.queries.views import table, view
@@ -51,7 +52,9 @@ def regression_report(spark, sf):
 round(sum(l_quantity * abs(l_extendedprice - l_extendedprice) / 1) / sum(l_quantity), 6) + 0.0 AS zero FROM lineitem""")
 def weighted_errors(spark, sf):
     out = evaluate(view(spark, sf, "reg_pairs"), [get("mse", weight="weight"), get("mae", weight="weight")])
-    return rounded(out.withColumn("zero", F.lit(0.0)))
+    same = table(spark, sf, "lineitem").select(F.col("l_extendedprice").alias("prediction"), F.col("l_extendedprice").alias("reference"), "l_quantity")
+    none = evaluate(same, [get("mae", weight="l_quantity")]).select(F.col("mae").alias("zero"))
+    return rounded(out.join(F.broadcast(none)))  # one row each
 
 
 @query(f"""SELECT round(avg(abs(value - (value * 0.9 + 1)) / greatest(abs(value * 0.9 + 1), {EPS})), 6) + 0.0 AS mape FROM events""")
@@ -488,9 +491,22 @@ s AS (SELECT a.id AS i, b.id AS j, list_cosine_similarity(a.v, b.v) AS s FROM a,
 n AS (SELECT s.i, count(*) FILTER (WHERE s.j <> s.i AND s.s > own.s + 1e-12) AS nearer FROM s JOIN own ON own.i = s.i GROUP BY s.i)
 SELECT round(avg((nearer < 10)::INT), 6) + 0.0 AS "precision@10" FROM n""")
 def nearest_partner_precision(spark, sf):
-    """Partner among the ten nearest by centred cosine, in block products."""
+    """Partner among the ten nearest by centred cosine."""
     left, right = two_views(spark, sf)
-    return rounded(rk.precision_at_k(left, right, block_rows=128))
+    return rounded(rk.precision_at_k(left, right))
+
+
+@query("""WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT id, e, sqrt(list_dot_product(e, e)) AS size FROM v),
+d AS (SELECT a.id, b.id AS neighbour, round(1 - list_dot_product(a.e, b.e) / (a.size * b.size), 12) AS distance FROM u a JOIN u b ON a.id <> b.id),
+k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) AS place FROM d)
+SELECT id, cast(place AS INTEGER) AS place, neighbour, round(distance, 6) + 0.0 AS distance FROM k WHERE place <= 10""")
+def nearest_neighbours(spark, sf):
+    """The ten nearest other vectors of each vector, with their cosine distances."""
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    found = nearest(rows, rows, 10, skip_self=True)
+    return found.select("id", F.posexplode("near").alias("place", "n")).select(
+        "id", (F.col("place") + 1).alias("place"), F.col("n.id").alias("neighbour"), r("n.distance").alias("distance"))
 
 
 @query("""WITH per AS (SELECT task_id, count(*) AS n, count(*) FILTER (WHERE passed) AS c FROM pass_rows GROUP BY task_id)
@@ -635,11 +651,27 @@ round(avg(a1 / nullif(base, 0)), 5) + 0.0 AS lower_cvar_on_diffs, round(avg(a2 /
 (SELECT round(avg(iqr) / (SELECT avg(base) FROM b), 5) FROM acr) + 0.0 AS iqr_across_runs, (SELECT round(avg(sd) / (SELECT avg(base) FROM b), 5) FROM acr) + 0.0 AS stddev_across_runs, (SELECT round(avg(m), 5) FROM med) + 0.0 AS median_perf_during_training FROM tails JOIN b ON tails.run = b.run""")
 def reliability_online(spark, sf):
     """Windowed dispersion, tail risks of changes and drawdown, and dispersion across runs."""
-    out = online_reliability(curves(spark, sf), (2500, 5000, 7500, 10000), 2500, 2400)
+    out = online_reliability(curves(spark, sf), (2500, 5000, 7500, 10000), 2500, 2400, freq_thresh=None)
     return rounded(out.select("iqr_within_runs", "stddev_within_runs", "lower_cvar_on_diffs", "upper_cvar_on_diffs", "lower_cvar_on_drawdown",
                               "upper_cvar_on_drawdown", "max_drawdown", "iqr_across_runs", "stddev_across_runs", "median_perf_during_training"), 5)
 
 
+@query("""WITH c AS (SELECT user_id AS run, event_id AS t, value AS x, row_number() OVER w - 1 AS j, count(*) OVER (PARTITION BY user_id) AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+f AS (SELECT run, n, k, sum(x * cos(2 * pi() * (j * k % n) / n)) AS re, -sum(x * sin(2 * pi() * (j * k % n) / n)) AS im FROM c, unnest(range(n)) u(k) GROUP BY run, n, k),
+e AS (SELECT run, sum(re * re + im * im) FILTER (WHERE least(k, n - k) / n > 0.1) / sum(re * re + im * im) FILTER (WHERE k > 0) AS share FROM f GROUP BY run),
+s AS (SELECT c.run, t, sum(re * cos(2 * pi() * (j * k % c.n) / c.n) - im * sin(2 * pi() * (j * k % c.n) / c.n)) / any_value(c.n) AS x FROM c JOIN f ON f.run = c.run AND least(k, c.n - k) / c.n <= 0.1 GROUP BY c.run, t),
+b AS (SELECT avg(base) AS base FROM (SELECT quantile_cont(x, 0.95::DOUBLE) - min_by(x, t) AS base FROM c GROUP BY run)),
+m AS (SELECT run, e, median(x) AS m FROM s, unnest([2500, 5000, 7500, 10000]) u(e) WHERE t <= e AND t > e - 2500 GROUP BY run, e),
+a AS (SELECT e, quantile_cont(m, 0.75::DOUBLE) - quantile_cont(m, 0.25::DOUBLE) AS iqr, stddev_pop(m) AS sd FROM m GROUP BY e)
+SELECT (SELECT round(avg(share), 6) FROM e) + 0.0 AS high_freq_energy_within_runs, (SELECT round(avg(iqr) / any_value(base), 5) FROM a, b) + 0.0 AS iqr_across_runs,
+(SELECT round(avg(sd) / any_value(base), 5) FROM a, b) + 0.0 AS stddev_across_runs""")
+def reliability_frequencies(spark, sf):
+    """High-frequency energy of the curves, and dispersion across runs behind a low-pass filter."""
+    out = online_reliability(curves(spark, sf), (2500, 5000, 7500, 10000), 2500, 2400, freq_thresh=0.1)
+    return out.select(r("high_freq_energy_within_runs").alias("high_freq_energy_within_runs"),
+                      *[r(c, 5).alias(c) for c in ("iqr_across_runs", "stddev_across_runs")])
+
+
 @query()
 def distribution_gap(spark, sf):
     """Divergence-frontier area between two halves of the embeddings (clustered, so no SQL form)."""

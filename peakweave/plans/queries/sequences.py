@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from peakweave.functions import arrays as ar
@@ -9,7 +11,7 @@ from peakweave.functions import sequences as sq
 from peakweave.operators import joins
 from peakweave.operators import ordering as od
 from peakweave.operators.pooling import masked_mean_rows
-from peakweave.plans import features, sequence_dataset, snp_effect as snp_plan
+from peakweave.plans import features, sequence_dataset, snp_effect as snp_plan, stored_features
 from peakweave.plans.queries.registry import joined, query, r
 from peakweave.plans.queries.views import table, view
 from peakweave.session import scratch_path
@@ -103,13 +105,14 @@ def json_shard_export(spark, sf):
     return back.select("record_id", "o_orderpriority", "shard", "row_index")
 
 
-@query("""SELECT cast(vec_id % 5 AS INTEGER) AS shard, count(*) AS n, cast(sum(len(embedding)) AS BIGINT) AS n_values FROM embeddings GROUP BY 1""")
+@query("""SELECT vec_id AS record_id, cast(vec_id % 5 AS INTEGER) AS shard, array_to_string([cast(floor(cast(c AS DOUBLE) * 1000000) AS BIGINT) FOR c IN embedding], ',') AS millionths FROM embeddings""")
 def embedding_shards(spark, sf):
-    """Embeddings written as parquet shards and read back."""
+    """Embeddings written as parquet shards and read back, value by value."""
     path = scratch_path(spark, "embedding-shards")
     rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("record_id"), "embedding")
     datasets.write_parquet_shards(rows, path, 5)
-    return spark.read.parquet(path).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("embedding")).alias("n_values"))
+    return spark.read.parquet(path).select("record_id", "shard", joined(
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000000))).alias("millionths"))
 
 
 @query("""SELECT page_id, string_split(string_split(string_split(url, '://')[2], '/')[-1], '.')[1] AS base FROM pages""")
@@ -172,26 +175,26 @@ def special_tokens(spark, sf):
         joined(sq.special_tokens_mask(a, b)).alias("special_mask"), joined(sq.token_type_ids(a, b)).alias("type_ids"))
 
 
-@query(f"""WITH t AS (SELECT item_id, {TOKENS_SQL.format("text")} AS ids FROM benchmark)
-SELECT item_id, array_to_string(CASE WHEN len(ids) > 250 THEN ids[len(ids) - 249:] ELSE
+@query(f"""WITH t AS (SELECT doc_id, {TOKENS_SQL.format("text")} AS ids FROM documents)
+SELECT doc_id, array_to_string(CASE WHEN len(ids) > 250 THEN ids[len(ids) - 249:] ELSE
   list_concat(list_transform(range(250 - len(ids)), lambda x: 4), ids) END, ',') AS padded, cast(least(len(ids), 250) AS INTEGER) AS seq_len FROM t""")
 def pad_left_crop(spark, sf):
-    """Whole texts, the shorter ones padded and the longer ones cropped on the left."""
-    rows = table(spark, sf, "benchmark").withColumn("ids", sq.encode("text"))
-    return rows.select("item_id", joined(sq.pad_left("ids", 250)).alias("padded"), sq.cropped_length("ids", 250).alias("seq_len"))
+    """Whole documents, the shorter ones padded and the longer ones cropped on the left."""
+    rows = table(spark, sf, "documents").withColumn("ids", sq.encode("text"))
+    return rows.select("doc_id", joined(sq.pad_left("ids", 250)).alias("padded"), sq.cropped_length("ids", 250).alias("seq_len"))
 
 
-@query("""WITH t AS (SELECT item_id AS id, row_number() OVER (ORDER BY item_id) - 1 AS i, list_transform(string_split(text, ''), lambda c: unicode(c)) AS s FROM benchmark),
+@query("""WITH t AS (SELECT conv_id * 1000 + turn AS id, row_number() OVER (ORDER BY conv_id * 1000 + turn) - 1 AS i, list_transform(string_split(text, ''), lambda c: unicode(c)) AS s FROM conversations),
 w AS (SELECT i // 16 AS batch, max(len(s)) AS width FROM t GROUP BY 1)
-SELECT id, i // 16 AS batch, array_to_string(list_concat(s, list_transform(range(width - len(s)), lambda x: 0)), ',') AS padded, repeat('1', len(s)) || repeat('0', width - len(s)) AS mask
+SELECT id, i // 16 AS batch, md5(array_to_string(list_concat(s, list_transform(range(width - len(s)), lambda x: 0)), ',')) AS padded, repeat('1', len(s)) || repeat('0', width - len(s)) AS mask
 FROM t JOIN w ON t.i // 16 = w.batch""")
 def pad_right_batch(spark, sf):
     """Right padding to the longest row of each batch, with the mask; tokens are code points."""
-    rows = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), F.transform(F.split("text", ""), F.ascii).alias("t"))
+    rows = table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.transform(F.split("text", ""), F.ascii).alias("t"))
     tokens = od.with_record_id(rows, ["id"], "i").withColumn("batch", F.floor(F.col("i") / 16))
     widths = tokens.groupBy("batch").agg(F.max(F.size("t")).alias("width"))
     full = tokens.join(widths, "batch")
-    return full.select("id", "batch", joined(sq.pad_right("t", "width", 0)).alias("padded"),
+    return full.select("id", "batch", F.md5(joined(sq.pad_right("t", "width", 0))).alias("padded"),
                        F.array_join(sq.pad_mask("t", "width"), "").alias("mask"))
 
 
@@ -412,15 +415,27 @@ def model_features(spark, sf):
                       r(total, 4).alias("block_sum"), r(F.col("cell_embedding")[0][0]).alias("first_value"))
 
 
+@query(FEATURES_SQL.replace("round(total, 4)", "round(total, 2)").replace("round(first_value, 6)", "round(first_value, 4)"), ("raw_seq", "cell_embedding"))
+def stored_model_features(spark, sf):
+    """The same from sequences and blocks stored apart in float32, joined by bucket when batches are read."""
+    rows = sequence_dataset.tokenize(od.with_record_id(view(spark, sf, "raw_seq"), KEYS))
+    name, place = f"features_{uuid.uuid4().hex}", scratch_path(spark, "features")
+    stored_features.store_features(rows, view(spark, sf, "cell_embedding"), name, place, "peak_value", 40, 4, buckets=8)
+    out = stored_features.single_rows(stored_features.read_batches(spark, name))
+    total = F.aggregate(F.flatten("cell_embedding"), F.lit(0.0), lambda acc, x: acc + x)
+    return out.select("sample_record_id", joined("seq_input_ids").alias("seq_input_ids"), "seq_len",
+                      F.col("peak_value").cast("double").alias("peak_value"),
+                      r(total, 2).alias("block_sum"), r(F.col("cell_embedding")[0][0], 4).alias("first_value"))
+
+
 @query("""WITH i AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders)
-SELECT i // 72 AS batch, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, round(sum(o_totalprice), 2) AS total FROM i GROUP BY 1""")
+SELECT i // 72 AS batch, count(*) AS n, string_agg(cast(o_orderkey AS VARCHAR), ',' ORDER BY i) AS keys, string_agg(cast(cast(floor(o_totalprice * 100 + 0.5) AS BIGINT) AS VARCHAR), ',' ORDER BY i) AS cents FROM i GROUP BY 1""")
 def collate_batches(spark, sf):
     """Column-wise batches of 72 rows; text columns are left out."""
     rows = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     out = features.collate(rows, 72, "o_orderkey")
-    return out.select("batch", F.size("o_orderkey").cast("long").alias("n"), F.col("o_orderkey")[0].alias("first_key"),
-                      F.element_at("o_orderkey", -1).alias("last_key"),
-                      r(F.aggregate("o_totalprice", F.lit(0.0), lambda a, x: a + x), 2).alias("total"))
+    return out.select("batch", F.size("o_orderkey").cast("long").alias("n"), joined("o_orderkey").alias("keys"),
+                      joined(F.transform("o_totalprice", lambda x: F.floor(x * 100 + 0.5))).alias("cents"))
 
 
 def _block():

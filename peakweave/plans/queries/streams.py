@@ -13,7 +13,7 @@ from peakweave.plans.queries.sequences import FEATURES_SQL, KEYS, TOKENS_SQL
 from peakweave.plans.queries.views import derive, table, view
 from peakweave.session import scratch_path
 from peakweave.sources.datasets import write_json_shards
-from peakweave.streaming import jobs
+from peakweave.streaming import jobs, ranks
 
 
 def run(query) -> None:
@@ -59,6 +59,39 @@ def stream_metrics(spark, sf):
     return rounded(jobs.newest_metrics(spark, out))
 
 
+STREAM_RANKS_SQL = """WITH x AS (SELECT l_returnflag AS grp, l_discount AS p, l_quantity AS q, l_linestatus = 'F' AS hit FROM lineitem),
+k AS (SELECT grp, rank() OVER (PARTITION BY grp ORDER BY p) + (count(*) OVER (PARTITION BY grp, p) - 1) / 2.0::DOUBLE AS rp,
+rank() OVER (PARTITION BY grp ORDER BY q) + (count(*) OVER (PARTITION BY grp, q) - 1) / 2.0::DOUBLE AS rq FROM x)
+SELECT grp, round(corr(rp, rq), 6) + 0.0 AS spearmanr, count(*) AS n FROM k GROUP BY grp"""
+
+
+@query(STREAM_RANKS_SQL)
+def stream_rank_correlation(spark, sf):
+    """Spearman of a stream of eight files in three micro-batches, its pair counts kept as keyed state."""
+    source, out = scratch_path(spark, "stream-pairs"), scratch_path(spark, "stream-ranks")
+    rows = table(spark, sf, "lineitem").select(F.col("l_discount").alias("prediction"), F.col("l_quantity").alias("reference"),
+                                               F.col("l_returnflag").alias("grp"))
+    rows.repartition(8).write.parquet(source)
+    stream = jobs.read_parquet_stream(spark, source, rows.schema, files_per_batch=3)
+    run(ranks.accumulate_pairs(stream, out, out + "-checkpoint", ["grp"]))
+    return rounded(ranks.rank_metrics(spark, out, ["spearmanr"], ["grp"]))
+
+
+@query("""WITH s AS (SELECT l_extendedprice AS x, (l_linestatus = 'F')::INT AS y FROM lineitem),
+k AS (SELECT *, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0::DOUBLE AS rx FROM s)
+SELECT round((sum(rx) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * sum(1 - y)), 6) + 0.0 AS roc_auc FROM k""")
+def stream_roc_auc(spark, sf):
+    """AUC of a stream by line status; after the first files it starts again from its checkpoint, when more have come."""
+    source, out = scratch_path(spark, "stream-pairs"), scratch_path(spark, "stream-auc")
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_extendedprice").alias("prediction"), (F.col("l_linestatus") == "F").cast("int").alias("reference"), "l_linenumber")
+    for arriving in ("l_linenumber <= 2", "l_linenumber > 2"):
+        rows.filter(arriving).drop("l_linenumber").repartition(3).write.mode("append").parquet(source)
+        stream = jobs.read_parquet_stream(spark, source, "prediction double, reference int", files_per_batch=2)
+        run(ranks.accumulate_pairs(stream, out, out + "-checkpoint", slots=4))
+    return rounded(ranks.rank_metrics(spark, out, ["roc_auc"]))
+
+
 @query("SELECT 250 AS n, 250 AS n_known")
 def stream_take(spark, sf):
     """The first 250 rows of a stream; which ones is up to arrival, so they are counted and looked up."""
@@ -74,11 +107,12 @@ def stream_take(spark, sf):
 
 @query("SELECT event_id, cast(event_id % 4 AS INTEGER) AS worker FROM events")
 def stream_worker_slices(spark, sf):
-    """Four workers' slices of one stream cover it without overlap."""
-    schema = table(spark, sf, "events").schema
+    """Four workers' slices of one stream, dealt in one reading, cover it without overlap."""
     sink = scratch_path(spark, "stream-workers")
-    for worker in range(4):
-        stream = jobs.read_parquet_stream(spark, sf, schema, "events.parquet")
-        part = jobs.worker_slice(stream, worker, 4, "event_id").select("event_id", F.lit(worker).alias("worker"))
-        run(jobs.write_parquet_stream(part, f"{sink}/{worker}", f"{sink}-checkpoint-{worker}"))
-    return spark.read.parquet(*[f"{sink}/{w}" for w in range(4)])
+    stream = jobs.read_parquet_stream(spark, sf, table(spark, sf, "events").schema, "events.parquet")
+    run(jobs.deal_to_workers(stream.select("event_id"), 4, sink, sink + "-checkpoint", "event_id"))
+    slices = [spark.read.parquet(f"{sink}/worker={w}").withColumn("worker", F.lit(w)) for w in range(4)]
+    out = slices[0]
+    for part in slices[1:]:
+        out = out.unionByName(part)
+    return out
