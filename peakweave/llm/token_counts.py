@@ -51,7 +51,7 @@ def sections(docs: DataFrame, fields: tuple[str, ...] = ("text",), vocabulary: s
             lines.append([line for _, line in parts])
         texts = ["\n".join(x) for x in lines]
         owner, name, number, start, end, tokens, crossed, total = ([] for _ in range(8))
-        encoder = pieces(vocabulary, encode_special_tokens)
+        encoder = pieces(vocabulary, encode_special_tokens, spans=True)
         for k, (text, (ids, a, b)) in enumerate(zip(texts, encode_spans(texts, encoder))):
             widths = np.array([len(x) + 1 for x in lines[k]])
             bounds = np.concatenate([[0], np.cumsum(widths)])

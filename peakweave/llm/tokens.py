@@ -32,7 +32,9 @@ def byte_alphabet() -> dict[int, int]:
 
 
 class Pieces(dict):
-    """Piece -> number of its entry; ids and character spans of all entries lie in flat arrays."""
+    """Piece -> number of its entry; the ids of all entries lie in a flat array."""
+
+    columns = ("ids",)
 
     def __init__(self, path: str, encode_special_tokens: bool = True):
         import public_tokenizers
@@ -57,32 +59,27 @@ class Pieces(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.ids, self.starts, self.ends, self.at = array("i"), array("i"), array("i"), array("q", [0])
-        self.arrays = None
+        for name in self.columns:
+            setattr(self, name, array("i"))
+        self.at = array("q", [0])
 
     def __missing__(self, piece: str) -> int:
         if piece in self.added:
             # no other piece is equal to one: all places where it stands are cut out
             self.ids.append(self.added[piece])
-            self.starts.append(0)
-            self.ends.append(len(piece))
-            self.at.append(len(self.ids))
-            entry = self[piece] = len(self.at) - 2
-            return entry
-        data = piece.encode()
-        tokens = self.tokenize(data.decode("latin-1").translate(self.alphabet))
-        self.ids.extend([t.id for t in tokens])
-        # a token's value has one character per byte; a character cut by a token boundary belongs to both sides
-        char = range(len(data)) if len(data) == len(piece) else [n for n, c in enumerate(piece) for _ in c.encode()]
-        byte = 0
-        for t in tokens:
-            self.starts.append(char[byte])
-            byte += len(t.value)
-            self.ends.append(char[byte - 1] + 1)
+            self.place(piece)
+        else:
+            data = piece.encode()
+            tokens = self.tokenize(data.decode("latin-1").translate(self.alphabet))
+            self.ids.extend([t.id for t in tokens])
+            self.place(piece, data, tokens)
         self.at.append(len(self.ids))
         entry = self[piece] = len(self.at) - 2
         return entry
 
+    def place(self, piece: str, data: bytes = b"", tokens: list | None = None) -> None:
+        """Note where the tokens of a piece stand; without `tokens` it is one token."""
+
     def split(self, text: str) -> list[str]:
         if not any(token in text for token in self.added):
             return self.ordinary(text)
@@ -108,18 +105,37 @@ class Pieces(dict):
         return np.array(getattr(self, name), dtype=np.int32)
 
 
-_LOADED: dict[tuple[str, bool], Pieces] = {}
+class PlacedPieces(Pieces):
+    """Pieces with the first characters and ends of their tokens."""
+
+    columns = ("ids", "starts", "ends")
+
+    def place(self, piece: str, data: bytes = b"", tokens: list | None = None) -> None:
+        if tokens is None:
+            self.starts.append(0)
+            self.ends.append(len(piece))
+            return
+        # a token's value has one character per byte; a character cut by a token boundary belongs to both sides
+        char = range(len(data)) if len(data) == len(piece) else [n for n, c in enumerate(piece) for _ in c.encode()]
+        byte = 0
+        for t in tokens:
+            self.starts.append(char[byte])
+            byte += len(t.value)
+            self.ends.append(char[byte - 1] + 1)
+
+
+_LOADED: dict[tuple[str, bool, bool], Pieces] = {}
 
 
-def pieces(vocabulary: str = VOCABULARY, encode_special_tokens: bool = True) -> Pieces:
-    """The worker's encoder; the vocabulary is a file of the public tokenizers or a path."""
-    key = (vocabulary, encode_special_tokens)
+def pieces(vocabulary: str = VOCABULARY, encode_special_tokens: bool = True, spans: bool = False) -> Pieces:
+    """The worker's encoder; the vocabulary is a file of the public tokenizers or a path. Spans are kept where asked for."""
+    key = (vocabulary, encode_special_tokens, spans)
     if key not in _LOADED:
         import os
 
         import public_tokenizers
 
-        _LOADED[key] = Pieces(
+        _LOADED[key] = (PlacedPieces if spans else Pieces)(
             vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary), encode_special_tokens)
     found = _LOADED[key]
     if len(found) > REMEMBERED:
@@ -134,7 +150,7 @@ def encode_batch(texts: list[str], encoder: Pieces) -> list[np.ndarray]:
     return [ids[encoder.gather(e)[0]] for e in entries]
 
 
-def encode_spans(texts: list[str], encoder: Pieces) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def encode_spans(texts: list[str], encoder: PlacedPieces) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Ids, first characters and ends of each text's tokens."""
     split = [encoder.split(t) for t in texts]
     entries = [encoder.entries(p) for p in split]

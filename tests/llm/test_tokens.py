@@ -30,8 +30,9 @@ def texts():
 def test_ids_and_spans_equal_the_tokenizers(tokenizer):
     plain = [t or "" for t in texts()]
     expected = tokenizer.encode_batch(plain, add_special_tokens=False)
-    encoder = tokens.pieces()
-    assert [x.tolist() for x in tokens.encode_batch(plain, encoder)] == [e.ids for e in expected]
+    encoder = tokens.pieces(spans=True)
+    for each in (encoder, tokens.pieces()):
+        assert [x.tolist() for x in tokens.encode_batch(plain, each)] == [e.ids for e in expected]
     for (ids, a, b), e in zip(tokens.encode_spans(plain, encoder), expected):
         assert list(zip(a.tolist(), b.tolist())) == e.offsets
 
@@ -106,8 +107,9 @@ def test_added_tokens_have_one_id_in_the_queries_setting(spark, tmp_path):
     all_ = [*TEXTS, end, f"a {end}", f"{end}{end}  b\n", f"日本 \n {end} \n ½ <|endoftext|", f"x{end}y 's"]
     plain = [t or "" for t in all_]
     expected = default.encode_batch(plain, add_special_tokens=False)
-    encoder = tokens.pieces(encode_special_tokens=False)
-    assert [x.tolist() for x in tokens.encode_batch(plain, encoder)] == [e.ids for e in expected]
+    encoder = tokens.pieces(encode_special_tokens=False, spans=True)
+    for each in (encoder, tokens.pieces(encode_special_tokens=False)):
+        assert [x.tolist() for x in tokens.encode_batch(plain, each)] == [e.ids for e in expected]
     for (ids, a, b), e in zip(tokens.encode_spans(plain, encoder), expected):
         assert list(zip(a.tolist(), b.tolist())) == e.offsets
     encoder.forget()
