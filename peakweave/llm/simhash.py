@@ -55,14 +55,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """`row` (the place in `docs`), `doc_id` and `fp`, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, row: str | None = None) -> DataFrame:
+    """`row` (the column with that number in `docs`, or a number given here), `doc_id` and `fp`, the fingerprint as a signed long."""
 
     def run(batch: pa.RecordBatch) -> dict:
         return {"row": batch.column("row"), "doc_id": batch.column("doc_id"),
                 "fp": [fingerprint(t, shingle) for t in lowered(batch.column("text"))]}
 
-    numbered = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    numbered = docs.select("doc_id", "text", (F.col(row) if row else F.monotonically_increasing_id()).alias("row"))
     return map_texts(numbered, ["row", "doc_id", "text"],
                      f"row bigint, doc_id {dict(docs.dtypes)['doc_id']}, fp bigint", run)
 
@@ -139,9 +139,9 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+def group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, row: str | None = None) -> DataFrame:
     """One row per document: `row`, `doc_id`, `fp`, `root` (the class) and `component_id`, the smallest id links reach."""
-    prints = written(fingerprints(docs, shingle), "simhash-fingerprints")
+    prints = written(fingerprints(docs, shingle, row), "simhash-fingerprints")
     points = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-points")
     stars = components(links(points.select("fp"), max_bits))
     # an unlinked point is its own class; the classes' smallest ids come from the points, not from the documents
@@ -160,9 +160,13 @@ def digest(grouped: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The documents with one of each class: the one of the smallest id, and of rows that share it the first.
 
-    `docs` must be a table scan, which gives the same row numbers on each read.
+    Rows are numbered once and stored with their number, by which the chosen ones are found again: another split of the
+    files, as after a change of executors, cannot move it.
     """
-    first = group(docs, shingle, max_bits).groupBy("root").agg(
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-documents")
+    first = group(numbered, shingle, max_bits, row).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("kept"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(
-        first.select(F.col("kept.row").alias("__row")), "__row", "left_semi").drop("__row")
+    return numbered.join(first.select(F.col("kept.row").alias(row)), row, "left_semi").select(*docs.columns)

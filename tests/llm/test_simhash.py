@@ -91,6 +91,27 @@ def test_repeated_rows_null_ids_and_no_rows(spark, tmp_path):
     assert simhash.keep_one(stored(frame(spark, []), tmp_path / "b")).count() == 0
 
 
+def test_another_split_between_two_reads_loses_nothing(spark, tmp_path, monkeypatch):
+    """Half of the texts are copies; the number of splits changes once the fingerprints stand."""
+    rng = random.Random(31)
+    texts = [prose(rng, 30, 100_000) for _ in range(2000)] * 2
+    docs = stored(frame(spark, texts), tmp_path / "docs")
+    plain_group = simhash.group
+
+    def group(*args, **kw):
+        grouped = plain_group(*args, **kw)
+        spark.conf.set("spark.sql.files.minPartitionNum", "2")
+        return grouped
+
+    monkeypatch.setattr(simhash, "group", group)
+    spark.conf.set("spark.sql.files.minPartitionNum", "4")
+    try:
+        kept = [r["text"] for r in simhash.keep_one(docs).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(kept) == 2000 and set(kept) == set(texts)
+
+
 def test_pipeline_stages_in_turn(spark, tmp_path):
     rng = random.Random(12)
     item = prose(rng, 20, 5000)
