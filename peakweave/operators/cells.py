@@ -119,10 +119,25 @@ def gene_qc(counts: DataFrame, obs: DataFrame) -> DataFrame:
         "total_counts")
 
 
-def add_qc(matrix: CellMatrix) -> CellMatrix:
-    obs = matrix.obs.join(cell_qc(matrix.counts), "cell_id", "left").na.fill(
-        0, ["n_genes_by_counts", "total_counts"])
-    genes = gene_qc(matrix.counts, matrix.obs)
+def count_statistics(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What `cell_qc` and the sums of `gene_qc` are made of, from one scan: (cell_id, n, total) and (gene, n, total).
+
+    Both are written once, a row per cell and a row per gene, and are not computed again by what reads them.
+    """
+    both = materialize(counts.groupingSets([["cell_id"], ["gene"]], "cell_id", "gene").agg(
+        F.grouping("gene").alias("__of_cell"), F.count_if(F.col("value") > 0).alias("n"), F.sum("value").alias("total")))
+    per_cell = both.filter("__of_cell = 1").select("cell_id", "n", "total")
+    return per_cell, both.filter("__of_cell = 0").select("gene", "n", "total")
+
+
+def add_qc(matrix: CellMatrix, statistics: tuple[DataFrame, DataFrame] | None = None) -> CellMatrix:
+    per_cell, per_gene = statistics or count_statistics(matrix.counts)
+    obs = matrix.obs.join(per_cell.select("cell_id", F.col("n").alias("n_genes_by_counts"), F.col("total").alias("total_counts")),
+                          "cell_id", "left").na.fill(0, ["n_genes_by_counts", "total_counts"])
+    cells = matrix.obs.agg(F.count(F.lit(1)).alias("__cells"))
+    genes = per_gene.join(F.broadcast(cells)).select(  # one row
+        "gene", F.col("n").alias("n_cells_by_counts"), (F.col("total") / F.col("__cells")).alias("mean_counts"),
+        ((1 - F.col("n") / F.col("__cells")) * 100).alias("pct_dropout_by_counts"), F.col("total").alias("total_counts"))
     var = matrix.var.join(genes, "gene", "left").na.fill(
         {"n_cells_by_counts": 0, "mean_counts": 0.0, "pct_dropout_by_counts": 100.0, "total_counts": 0.0})
     return matrix.with_(obs=obs, var=var)
@@ -140,11 +155,14 @@ def genes_with_cells(counts: DataFrame, minimum: int) -> DataFrame:
     return n.filter(F.col("n_cells") >= minimum)
 
 
-def filter_cells_then_genes(matrix: CellMatrix, min_genes: int, min_cells: int) -> CellMatrix:
-    """Drop cells with few genes, then genes found in few of the remaining cells."""
-    cells = cells_with_genes(matrix.counts, min_genes)
+def filter_cells_then_genes(matrix: CellMatrix, min_genes: int, min_cells: int, per_cell: DataFrame | None = None) -> CellMatrix:
+    """Drop cells with few genes, then genes found in few of the remaining cells; `per_cell` is from `count_statistics`."""
+    if per_cell is None:
+        cells = cells_with_genes(matrix.counts, min_genes)
+    else:
+        cells = per_cell.filter(F.col("n") >= min_genes).select("cell_id", F.col("n").alias("n_genes"))
     counts = matrix.counts.join(cells.select("cell_id"), "cell_id", "left_semi")
-    genes = genes_with_cells(counts, min_cells)
+    genes = materialize(genes_with_cells(counts, min_cells))  # a row per gene, read by var and by the counts
     return matrix.with_(
         obs=matrix.obs.join(cells, "cell_id"),
         var=matrix.var.join(genes, "gene"),
@@ -319,12 +337,14 @@ def prepare_for_ranking(matrix: CellMatrix, gene_map: DataFrame | None, params:
     """
     matrix = matrix.with_(var=map_gene_ids(matrix.var, gene_map, gene_col))
     matrix = with_raw_counts(matrix, params)
-    matrix = add_qc(matrix)
+    statistics = count_statistics(matrix.counts)
+    matrix = add_qc(matrix, statistics)
     matrix = matrix.with_(obs=matrix.obs.withColumn("n_counts", F.col("total_counts")))  # before the filters
-    matrix = filter_cells_then_genes(matrix, params.min_genes_per_cell, params.min_cells_per_gene)
+    matrix = filter_cells_then_genes(matrix, params.min_genes_per_cell, params.min_cells_per_gene, statistics[0])
     matched = F.col("ensembl_id").isNotNull()
-    var = require_matched_fraction(matrix.var.withColumn("has_ensembl_match", matched), matched,
-                                   params.min_matched_fraction)
+    # a row per gene, read by the gate, by the counts and by the caller
+    var = materialize(require_matched_fraction(matrix.var.withColumn("has_ensembl_match", matched), matched,
+                                               params.min_matched_fraction))
     kept = var.filter(matched)
     return matrix.with_(
         obs=matrix.obs.withColumn("adata_order", F.col("cell_id")), var=kept,

@@ -190,6 +190,21 @@ def test_variance_stabilized_genes(spark):
     assert len(set(got) & set(np.argsort(-norm)[:12])) >= 9
 
 
+def test_rank_tokens_read_the_counts_once_more_after_the_statistics(spark, matrix, tmp_path):
+    write_cell_matrix(matrix, str(tmp_path / "m"))
+    stored = read_cell_matrix(spark, str(tmp_path / "m"))
+    ids = spark.createDataFrame([(f"N{j}", f"E{j}") for j in range(25)], "key string, value string")
+    tokens = spark.createDataFrame([(f"E{j}", 3 * j, 1.0 + j) for j in range(25)], "ensembl_id string, token int, median double")
+    prepared, _ = cl.prepare_for_ranking(stored, ids, cl.CellParams(min_genes_per_cell=5, min_cells_per_gene=5))
+    out = cl.rank_tokens(prepared, tokens, keep=("cell_type", "sample", "adata_order"))
+    found = {r.cell_id: r.input_ids for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") <= 4 and plan.count("/counts") <= 2, plan
+    i = 1
+    want = sorted((j for j in range(25) if DENSE[i, j] and (DENSE[:, j] > 0).sum() >= 5), key=lambda j: (-DENSE[i, j] / (1.0 + j), 3 * j))
+    assert found["c01"] == [3 * j for j in want]
+
+
 def test_recipes_by_name():
     assert cl.recipe("rank") == (cl.prepare_for_ranking, cl.rank_tokens)
     assert cl.recipe("bin") == (cl.prepare_for_binning, cl.binned_tokens)
