@@ -1,9 +1,10 @@
 """A gated recurrent language model in numpy.
 
 Tokens are words `[^\\x20\\x09-\\x0D]+` with A-Z in lower case, and one end after each text. Their counts over all training
-texts make the vocabulary. The most frequent words have their own symbol: as many as hold COVERED of all tokens, between
-HEAD and HEAD_MOST, and the hidden state grows in step with them. Every other word's symbol is its shape (length and
-alphabet), so that the network is of bounded size. A gated recurrent unit reads the symbols; its output softmax
+texts make the vocabulary. The most frequent words have their own symbol: as many as hold COVERED of all tokens, but HEAD at
+least and HEAD_MOST at most, and the hidden state grows in step with them. HEAD_MOST bounds the work per token: in corpora of
+many rare words it holds less than COVERED (46 % of the tokens of check_s, where COVERED takes 131 000 words, whose softmax
+would cost some ten times as much). Every other word's symbol is its shape (length and alphabet). A gated recurrent unit reads the symbols; its output softmax
 is factored: first the class (head words fall into classes of equal size by frequency, a shape is a class of its own), then
 the word within the class, by a softmax over the class for head words, and by add-one smoothed counts of the whole corpus
 for the others, where a word never seen shares one place.
@@ -15,8 +16,10 @@ weighted by their tokens. A smaller shard has fewer lanes, so that it still make
 state across windows, so a text's log-likelihood is that of the whole text; texts share the lanes of a batch and each
 starts from an empty state.
 
-Rows move twice: counts per word, and each text's words outside the LOOKUP most frequent, which meet their counts in one
-join by word. No table of all words is ever held by a task or the driver.
+After the counts every text is read once more and its symbols are stored, from which the network is trained and texts are
+scored. Rows move three times: counts per word, the symbols of the training texts into shards, and each text's words outside
+the LOOKUP most frequent, which meet their counts in one join by word. No table of all words is ever held by a task or the
+driver. Copies are averaged in the order of their shards, so that scores don't depend on which task ends first.
 
 Defined cases: a null or empty text is the end alone; without training texts all counts are zero and the network stays at
 its start; repeated rows are counted and scored each; other columns are ignored.
@@ -31,19 +34,20 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakweave.llm.common import crc_mod, lowered, space_words, written
 from peakweave.session import scratch_path
 
-#: Fewest and most words with a symbol of their own, and the share of the tokens they are to hold; multiples of CLASS_SIZE.
+#: Fewest and most words with a symbol of their own, multiples of CLASS_SIZE, and the share of the tokens they are to hold.
 HEAD = 512
 HEAD_MOST = 1024
 COVERED = 0.9
 CLASS_SIZE = 32
 #: Most frequent words whose counts each task holds.
-LOOKUP = 50_000
+LOOKUP = 200_000
 #: Hidden units for HEAD words.
 HIDDEN = 8
 TRAIN_STEPS = 16
@@ -53,6 +57,9 @@ LEAST_UPDATES = 64
 #: Rounds of training, each of an equal share of the shards, and the tokens a shard has at most on average.
 ROUNDS = 8
 SHARD_TOKENS = 2_000_000
+#: Pieces of the parameters that are averaged apart, and shards that are added up by one task.
+PIECES = 16
+BUNDLE = 256
 #: A longer text is trained in parts of so many words, each from an empty state.
 TRAIN_PART = 2048
 SCORE_STEPS = 32
@@ -60,6 +67,8 @@ SCORE_LANES = 1024
 RATE = 0.01
 #: Tokens put into lanes together.
 CHUNK = 4_000_000
+#: Words looked up together.
+READ_WORDS = 200_000
 #: Words counted by a task before it hands on what it has.
 COUNTED = 400_000
 LENGTHS = (3, 5, 7, 9, 12, 16)
@@ -216,20 +225,25 @@ class Network:
         if gradient:
             grads = {"to_class": states @ error.T, "class_bias": error.sum(axis=1), "to_word": np.zeros_like(p["to_word"]),
                      "word_bias": np.zeros_like(p["word_bias"]), "back": p["to_class"] @ error}
+        # head words class by class: sorted once, so that a class is a slice
         heads = np.flatnonzero(y < head)
         order = heads[np.argsort(cls[heads], kind="stable")]
         bounds = np.searchsorted(cls[order], np.arange(head // CLASS_SIZE + 1))
+        sorted_states, sorted_words = states[:, order], y[order] % CLASS_SIZE
+        within = np.empty(len(order), logp.dtype)
+        back = np.empty_like(sorted_states) if gradient else None
         for c in np.flatnonzero(np.diff(bounds)).tolist():
-            at = order[bounds[c] : bounds[c + 1]]
+            at = slice(bounds[c], bounds[c + 1])
             block = slice(c * CLASS_SIZE, (c + 1) * CLASS_SIZE)
-            own = states[:, at]
-            found, error = self._softmax(p["to_word"][block] @ own + p["word_bias"][block][:, None],
-                                         y[at] - c * CLASS_SIZE, gradient)
-            logp[at] += found
+            own = sorted_states[:, at]
+            within[at], error = self._softmax(p["to_word"][block] @ own + p["word_bias"][block][:, None], sorted_words[at], gradient)
             if gradient:
                 grads["to_word"][block] = error @ own.T
                 grads["word_bias"][block] = error.sum(axis=1)
-                grads["back"][:, at] += p["to_word"][block].T @ error
+                back[:, at] = p["to_word"][block].T @ error
+        logp[order] += within
+        if gradient:
+            grads["back"][:, order] += back
         if gradient:
             grads["back"] = grads["back"].T
         return logp, grads
@@ -260,18 +274,26 @@ class Network:
         from_output = from_output.reshape(steps, lanes, h)
         to_gates = np.empty((steps, lanes, 3 * h), np.float32)
         to_state = np.empty((steps, lanes, 3 * h), np.float32)
+        before, update, reset, new, inner = (kept[k] for k in ("before", "update", "reset", "new", "inner"))
+        # what a state's gradient is multiplied by on its way to the gates, for all steps at once
+        into_new = (1 - update) * (1 - new * new)
+        into_update = (before - new) * update * (1 - update)
+        into_reset = inner * reset * (1 - reset)
+        back_to_state, any_fresh = p["state"].T.copy(), fresh.any(axis=1).tolist()
         later = np.zeros((lanes, h), np.float32)
         for t in range(steps - 1, -1, -1):
-            before, update, reset, new, inner = (kept[k][t] for k in ("before", "update", "reset", "new", "inner"))
-            d = from_output[t] + later
-            d_new = d * (1 - update) * (1 - new * new)
-            to_gates[t, :, :h] = d * (before - new) * update * (1 - update)
-            to_gates[t, :, h : 2 * h] = d_new * inner * reset * (1 - reset)
-            to_gates[t, :, 2 * h :] = d_new
-            to_state[t, :, : 2 * h] = to_gates[t, :, : 2 * h]
-            to_state[t, :, 2 * h :] = d_new * reset
-            later = d * update + to_state[t] @ p["state"].T
-            if fresh[t].any():
+            d = from_output[t]
+            d += later
+            gate, state_side = to_gates[t], to_state[t]
+            np.multiply(d, into_update[t], out=gate[:, :h])
+            d_new = d * into_new[t]
+            np.multiply(d_new, into_reset[t], out=gate[:, h : 2 * h])
+            gate[:, 2 * h :] = d_new
+            state_side[:, : 2 * h] = gate[:, : 2 * h]
+            np.multiply(d_new, reset[t], out=state_side[:, 2 * h :])
+            later = state_side @ back_to_state
+            later += d * update[t]
+            if any_fresh[t]:
                 later = np.where(fresh[t][:, None], np.float32(0), later)
         wide = to_gates.reshape(-1, 3 * h)
         grads["state"] = kept["before"].reshape(-1, h).T @ to_state.reshape(-1, 3 * h)
@@ -374,41 +396,93 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
                       {r["shape"]: (r["n"], r["v"]) for r in by_shape})
 
 
-def shards(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """The texts' symbols, dealt evenly whatever partitions they stand in: a row per shard with its `round`, `symbols` and
-    the `lengths` of their parts."""
+def read_texts(docs: DataFrame, vocabulary: Vocabulary, training: Column) -> DataFrame:
+    """All texts, read once: a row per text with its `symbols` and what its task knows of the words in the lookup, and a
+    row per text and place of a word outside the lookup."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    schema = (f"row bigint, training boolean, doc_id {dict(docs.dtypes)['doc_id']}, symbols binary, n_known bigint, gain double, "
+              "room double, word string")
+    target = to_arrow_schema(_parse_datatype_string(schema))
+
+    def filled(n: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in target], schema=target)
+
+    def run(batches):
+        for batch in batches:
+            held, size, first = [], 0, 0
+            texts = lowered(batch.column("text"))
+            for n, text in enumerate(texts):
+                held.append(space_words(text))
+                size += len(held[-1])
+                if size >= READ_WORDS or n == len(texts) - 1:
+                    yield from read(batch.slice(first, len(held)), held)
+                    held, size, first = [], 0, n + 1
+
+    def read(batch: pa.RecordBatch, texts: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
+        """The rows of some texts, given as words."""
+        n, sizes = len(texts), np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        symbols, at, rest = vocabulary.read([w for words in texts for w in words])
+        owner = np.repeat(np.arange(n), sizes)
+        ends = np.cumsum(sizes + 1)
+        placed = np.zeros(len(owner) + n, dtype=np.int16)  # every text ends with symbol 0, the end
+        placed[np.arange(len(owner)) + owner] = symbols[:-1]
+        known = at >= 0
+        inside, of = at[known], owner[known]
+        total = lambda values, rows: np.bincount(rows, weights=values, minlength=n)
+        # a head word's probability is the network's; others divide by their shape's counts
+        shaped, tail = symbols[:-1] >= vocabulary.head, vocabulary.symbol[inside] >= vocabulary.head
+        room = total(vocabulary.shape_room[symbols[:-1][shaped] - vocabulary.head], owner[shaped]) - total(
+            vocabulary.gain[inside[tail]], of[tail])
+        yield filled(n, row=batch.column("row"), training=batch.column("training"), doc_id=batch.column("doc_id"),
+                     symbols=pa.array([x.tobytes() for x in np.split(placed, ends[:-1])], pa.binary()),
+                     n_known=pa.array((total(vocabulary.counts[inside] > 0, of) + (vocabulary.counts[0] > 0)).astype(np.int64)),
+                     gain=pa.array(total(vocabulary.gain[inside], of) + vocabulary.gain[0]), room=pa.array(room))
+        if rest:
+            rows = batch.column("row").take(pa.array(owner[~known]))
+            yield filled(len(rest), row=rows, word=pa.array(rest, pa.binary()).cast(pa.string()))
+
+    numbered = docs.select("doc_id", "text", training.alias("training")).withColumn("row", F.monotonically_increasing_id())
+    return numbered.mapInArrow(run, schema)
+
+
+def shards(training: DataFrame, tokens: int) -> DataFrame:
+    """The texts' symbols, dealt evenly whatever partitions they stand in: a row per shard with its `round`, `shard`,
+    `symbols` and the `lengths` of their parts."""
 
     def cut(batches):
         for batch in batches:
-            texts = [vocabulary.read(space_words(t))[0] for t in lowered(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([t[at : at + TRAIN_PART].tobytes() for t in texts for at in range(0, len(t), TRAIN_PART)],
-                          pa.binary())], names=["symbols"])
+                [pa.array([x[at : at + 2 * TRAIN_PART] for x in batch.column("symbols").to_pylist()
+                           for at in range(0, len(x), 2 * TRAIN_PART)], pa.binary())], names=["symbols"])
 
     def gather(batches):
         held = [x for batch in batches for x in batch.column("symbols").to_pylist()]
         if held:
             from pyspark import TaskContext
 
+            place = TaskContext.get().partitionId()
             lengths = np.array([len(x) // 2 for x in held], dtype="<i4")
             yield pa.RecordBatch.from_arrays(
-                [pa.array([TaskContext.get().partitionId() % ROUNDS], pa.int32()), pa.array([b"".join(held)], pa.binary()),
-                 pa.array([lengths.tobytes()], pa.binary())], names=["round", "symbols", "lengths"])
+                [pa.array([place % ROUNDS], pa.int32()), pa.array([place // ROUNDS], pa.int64()),
+                 pa.array([b"".join(held)], pa.binary()), pa.array([lengths.tobytes()], pa.binary())],
+                names=["round", "shard", "symbols", "lengths"])
 
-    each = -(-vocabulary.tokens // (ROUNDS * SHARD_TOKENS))
-    dealt = training.select("text").mapInArrow(cut, "symbols binary").repartition(each * ROUNDS)
-    return dealt.mapInArrow(gather, "round int, symbols binary, lengths binary")
+    each = -(-tokens // (ROUNDS * SHARD_TOKENS))
+    dealt = training.select("symbols").mapInArrow(cut, "symbols binary").repartition(each * ROUNDS)
+    return dealt.mapInArrow(gather, "round int, shard bigint, symbols binary, lengths binary")
 
 
 def learn_network(training: DataFrame, vocabulary: Vocabulary) -> Network:
-    """ROUNDS times: copies trained on each shard of the round, averaged by their tokens."""
+    """ROUNDS times: copies trained on each shard of the round, averaged by their tokens. `training` has the texts' symbols."""
     network = Network(vocabulary)
     if not vocabulary.tokens:
         return network
     path = scratch_path(training.sparkSession, "lm-shards")
     # a folder per round
-    shards(training, vocabulary).write.partitionBy("round").parquet(path)
-    stored = training.sparkSession.read.schema("symbols binary, lengths binary, round int").parquet(path)
+    shards(training, vocabulary.tokens).write.partitionBy("round").parquet(path)
+    stored = training.sparkSession.read.schema("shard bigint, symbols binary, lengths binary, round int").parquet(path)
     for k in range(ROUNDS):
         network = trained(stored.filter(F.col("round") == k), network)
     return network
@@ -420,89 +494,79 @@ def trained(part: DataFrame, start: Network) -> Network:
 
     def run(batches):
         for batch in batches:
-            for symbols, lengths in zip(batch.column("symbols"), batch.column("lengths")):
+            for shard, symbols, lengths in zip(batch.column("shard"), batch.column("symbols"), batch.column("lengths")):
                 network = Network(flat=flat.copy(), head=head)
                 ends = np.cumsum(np.frombuffer(lengths.as_py(), "<i4"))
                 seen = train(network, np.split(np.frombuffer(symbols.as_py(), np.int16), ends[:-1]), {})
+                weighted = np.array_split(network.flat.astype("<f8") * seen, PIECES)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(network.flat.astype(float) * seen),
-                     pa.array(np.full(len(flat), float(seen)))], names=["at", "value", "weight"])
-
-    summed = part.select("symbols", "lengths").mapInArrow(run, "at int, value double, weight double").groupBy("at").agg(
-        (F.sum("value") / F.sum("weight")).alias("value"))
-    averaged = flat.copy()
-    for row in summed.collect():
-        averaged[row["at"]] = row["value"]
-    return Network(flat=averaged, head=head)
-
-
-def score_rows(docs: DataFrame, vocabulary: Vocabulary, network: Network) -> DataFrame:
-    """A row per text with what its task knows (`word` is a blank and the row's number, which no word can be), and a row
-    per text and word outside the lookup with its number of places."""
-    doc_type = dict(docs.dtypes)["doc_id"]
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    names = "row bigint, word string, times bigint, doc_id {}, n_tokens bigint, n_known bigint, gain double, score double"
-    target = to_arrow_schema(_parse_datatype_string(names.format(doc_type)))
-
-    def finish(held: list[tuple]) -> pa.RecordBatch:
-        rows, ids, texts, known, gain, room = zip(*held)
-        score = likelihoods(network, list(texts)) / np.log(10) - np.array(room)
-        return pa.RecordBatch.from_arrays([
-            pa.array(rows, pa.int64()), pa.array([f" {r}" for r in rows]), pa.array([0] * len(rows), pa.int64()),
-            pa.array(ids, target.field("doc_id").type), pa.array([len(t) for t in texts], pa.int64()),
-            pa.array(known, pa.int64()), pa.array(gain, pa.float64()), pa.array(score)], schema=target)
+                    [pa.array(np.arange(PIECES)), pa.array(np.full(PIECES, shard.as_py() // BUNDLE)),
+                     pa.array(np.full(PIECES, shard.as_py())), pa.array([x.tobytes() for x in weighted], pa.binary()),
+                     pa.array(np.full(PIECES, seen))], names=["piece", "bundle", "place", "value", "weight"])
+
+    schema = "piece bigint, bundle bigint, place bigint, value binary, weight bigint"
+    pieces = part.select("shard", "symbols", "lengths").mapInArrow(run, schema)
+    # bundle by bundle, then the bundles: always in the order of the shards, so that sums don't depend on what came first
+    bundles = pieces.groupBy("piece", "bundle").applyInArrow(_added, schema)
+    summed = bundles.withColumn("place", F.col("bundle")).groupBy("piece").applyInArrow(_added, schema)
+    rows = sorted(summed.select("piece", "value", "weight").collect())  # PIECES rows
+    averaged = np.concatenate([np.frombuffer(r["value"], "<f8") for r in rows]) / rows[0]["weight"]
+    return Network(flat=averaged.astype(np.float32), head=head)
+
+
+def _added(group: pa.Table) -> pa.Table:
+    """One row with the sums of the values and weights, added in the order of `place`."""
+    group = group.sort_by("place")
+    total = np.sum([np.frombuffer(v, "<f8") for v in group.column("value").to_pylist()], axis=0)
+    return group.slice(0, 1).set_column(3, "value", pa.array([total.tobytes()], pa.binary())).set_column(
+        4, "weight", pa.array([sum(group.column("weight").to_pylist())], pa.int64()))
+
+
+def score_texts(texts: DataFrame, network: Network) -> DataFrame:
+    """Per text what its task knew and the network's part of its score."""
+    doc_type = dict(texts.dtypes)["doc_id"]
+
+    def finish(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        symbols = [np.frombuffer(x, np.int16) for x in table.column("symbols").to_pylist()]
+        score = likelihoods(network, symbols) / np.log(10) - table.column("room").to_numpy()
+        return pa.RecordBatch.from_arrays(
+            [table.column(c).combine_chunks() for c in ("row", "doc_id")] + [pa.array([len(x) for x in symbols], pa.int64())]
+            + [table.column(c).combine_chunks() for c in ("n_known", "gain")] + [pa.array(score)],
+            names=["row", "doc_id", "n_tokens", "n_known", "gain", "score"])
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            owner, words, times = [], [], []
-            for row, doc_id, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(),
-                                         lowered(batch.column("text"))):
-                symbols, at, rest = vocabulary.read(space_words(text))
-                inside = at[at >= 0]
-                known = int((vocabulary.counts[inside] > 0).sum()) + int(vocabulary.counts[0] > 0)
-                gain = float(vocabulary.gain[inside].sum() + vocabulary.gain[0])
-                # a head word's probability is the network's; others divide by their shape's counts
-                shapes = symbols[symbols >= vocabulary.head] - vocabulary.head
-                tail = np.bincount(shapes, minlength=SHAPES) @ vocabulary.shape_room
-                outside_head = float(vocabulary.gain[inside[vocabulary.symbol[inside] >= vocabulary.head]].sum())
-                held.append((row, doc_id, symbols, known, gain, float(tail) - outside_head))
-                size += len(symbols)
-                found = Counter(rest)
-                owner += [row] * len(found)
-                words += found
-                times += found.values()
-            if words:
-                empty = lambda f: pa.nulls(len(words), f.type)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(owner, pa.int64()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(times, pa.int64()),
-                     *[empty(f) for f in list(target)[3:]]], schema=target)
+            held.append(batch)
+            size += pc.sum(pc.binary_length(batch.column("symbols"))).as_py() // 2
             if size >= CHUNK:
                 yield finish(held)
                 held, size = [], 0
         if held:
             yield finish(held)
 
-    numbered = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    return numbered.mapInArrow(run, names.format(doc_type))
+    return texts.select("row", "doc_id", "symbols", "n_known", "gain", "room").mapInArrow(
+        run, f"row bigint, doc_id {doc_type}, n_tokens bigint, n_known bigint, gain double, score double")
 
 
 def score(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT) -> DataFrame:
     """One row per text: `n_tokens`, `n_known`, `train_tokens`, `base_score` (add-one unigrams) and `score`, the model's."""
     held = crc_mod("doc_id", held_out[0]) == held_out[1]
-    training = docs.filter(~held)
-    counts = written(count_words(training), "lm-counts")
+    counts = written(count_words(docs.filter(~held)), "lm-counts")
     vocabulary = learn_vocabulary(counts)
-    network = learn_network(training, vocabulary)
-    rows = score_rows(docs, vocabulary, network).join(counts.hint("shuffle_hash"), "word", "left")
+    stored = written(read_texts(docs, vocabulary, ~held), "lm-texts")
+    texts = stored.filter("symbols is not null")
+    network = learn_network(texts.filter("training"), vocabulary)
+    rest = stored.filter("word is not null").select("row", "word").join(counts.hint("shuffle_hash"), "word", "left")
     c = F.coalesce("c", F.lit(0))
-    gain = F.col("times") * F.log10(c + 1)
-    summed = rows.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("n_known") + F.sum(F.when(c > 0, F.col("times")).otherwise(0))).alias("n_known"),
-        (F.max("gain") + F.sum(gain)).alias("gain"), (F.max("score") + F.sum(gain)).alias("score"))
+    gain = F.log10(c + 1)
+    scored = score_texts(texts, network)
+    outside = rest.select("row", F.lit(None).cast(dict(docs.dtypes)["doc_id"]).alias("doc_id"), F.lit(None).cast("bigint").alias("n_tokens"),
+                          (c > 0).cast("bigint").alias("n_known"), gain.alias("gain"), gain.alias("score"))
+    summed = scored.unionByName(outside).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
+        F.sum("gain").alias("gain"), F.sum("score").alias("score"))
     room = float(np.log10(vocabulary.tokens + vocabulary.distinct + 1))
     return summed.select(
         "doc_id", (crc_mod("doc_id", held_out[0]) == held_out[1]).alias("held_out"), "n_tokens", "n_known",
