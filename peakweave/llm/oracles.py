@@ -67,8 +67,9 @@ len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_rep
 len(list_filter(w, lambda x: strlen(x) > 15)) AS n_long_words, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper FROM s LEFT JOIN r ON r.doc_id = s.doc_id),
 m AS (SELECT *, {stratum} AS stratum, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM c),
 v AS ({rule_rows}), cuts AS (SELECT * FROM (VALUES {cuts}) AS t(rule, step, cut)),
-seen AS (SELECT stratum, rule, step, cut, count(*) AS n, count(*) FILTER (WHERE value > cut) AS k FROM v JOIN labels USING (doc_id) JOIN cuts USING (rule)
-WHERE quality = 1 AND NOT base_failed GROUP BY ALL),
+trial AS (SELECT min(s.doc_id) AS doc_id FROM s JOIN labels USING (doc_id) WHERE quality IN (0, 1) GROUP BY s.text HAVING min(quality) = 1),
+seen AS (SELECT stratum, rule, step, cut, count(*) AS n, count(*) FILTER (WHERE value > cut) AS k FROM v JOIN trial USING (doc_id) JOIN cuts USING (rule)
+WHERE NOT base_failed GROUP BY ALL),
 test AS (SELECT stratum, rule, step, cut, CASE WHEN k >= n THEN 1 ELSE (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({limit}) + (n - i) * ln(1 - {limit})))
 FROM unnest(range(k + 1)) u(i)) END > {error} AS fails FROM seen),
 open_ AS (SELECT *, sum(fails::INT) OVER (PARTITION BY stratum, rule ORDER BY step) AS failures FROM test),

@@ -8,11 +8,12 @@ failure (fixed-sequence testing) needs no further correction inside. The stricte
 without enough labels to prove any cutoff rejects nothing by that rule. The risk of all rules together is LIMIT at most
 since each rule gets LIMIT / rules.
 
-The labelled rows meet the values in one join, and what reaches the driver is a count per stratum, rule and grid step:
-a table of fixed size.
+A trial is a distinct text: rows that repeat an id, a label or a text prove nothing more. The labelled rows meet the values
+in one join, and what reaches the driver is a count per stratum, rule and grid step: a table of fixed size.
 
-Defined cases: a null text has no words and fails the base rule; `kept` is never null; a labelled id that stands several
-times counts each time; null labels do not count; repeated document rows give repeated results; other columns are
+Defined cases: a null text has no words and fails the base rule; `kept` is never null; an id that stands with several texts
+is one trial, of the text with the least hash; an id or text with labels that contradict each other is none, and null labels
+do not count; texts whose 64-bit hashes agree count as one; repeated document rows give repeated results; other columns are
 ignored by `apply`.
 """
 
@@ -23,6 +24,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,15 +72,17 @@ def counts(text: bytes) -> tuple[int, ...]:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """`doc_id` and the counts of every document."""
+    """`doc_id`, the counts of every document and `twin`, a hash of its text."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        rows = [counts(t) for t in utf8(batch.column("text"))]
-        values = np.array(rows, dtype=np.int64).reshape(-1, len(COUNTS))
-        return {"doc_id": batch.column("doc_id")} | {c: pa.array(values[:, i]) for i, c in enumerate(COUNTS)}
+        texts = utf8(batch.column("text"))
+        values = np.array([counts(t) for t in texts], dtype=np.int64).reshape(-1, len(COUNTS))
+        twins = np.array([xxhash.xxh64_intdigest(t) for t in texts], dtype=np.uint64).view(np.int64)
+        return {"doc_id": batch.column("doc_id"), "twin": pa.array(twins)} | {
+            c: pa.array(values[:, i]) for i, c in enumerate(COUNTS)}
 
-    return map_texts(docs, ["doc_id", "text"],
-                     f"doc_id {dict(docs.dtypes)['doc_id']}, " + ", ".join(f"{c} bigint" for c in COUNTS), run)
+    return map_texts(docs, ["doc_id", "text"], f"doc_id {dict(docs.dtypes)['doc_id']}, twin bigint, " + ", ".join(
+        f"{c} bigint" for c in COUNTS), run)
 
 
 def rules() -> dict[str, Column]:
@@ -99,12 +103,19 @@ def base_failed() -> Column:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X <= k) for X binomial(n, p)."""
+    """P(X <= k) for X binomial(n, p), summed from the place of k outwards by the ratio of neighbouring terms."""
     if k >= n:
         return 1.0
-    i = np.arange(k + 1)
-    logs = np.array([math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) for j in i])
-    return float(min(1.0, np.exp(logs + i * math.log(p) + (n - i) * math.log1p(-p)).sum()))
+    lower = k < n * p
+    at = k if lower else k + 1
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(at + 1) - math.lgamma(n - at + 1) + at * math.log(p) + (n - at) * math.log1p(-p))
+    total, odds = 0.0, p / (1 - p)
+    # terms fall from the place of k on, away from the mean
+    while 0 <= at <= n and term > 1e-18 * total:
+        total += term
+        term *= at / ((n - at + 1) * odds) if lower else (n - at) / (at + 1) * odds
+        at += -1 if lower else 1
+    return min(1.0, total if lower else max(0.0, 1 - total))
 
 
 def within_risk(rejected: int, n: int, limit: float, error: float) -> bool:
@@ -114,8 +125,12 @@ def within_risk(rejected: int, n: int, limit: float, error: float) -> bool:
 
 def thresholds(measured: DataFrame, labels: DataFrame, limit: float = LIMIT, delta: float = DELTA) -> dict:
     """(stratum, rule): the strictest cutoff whose false rejections are proven to be within the risk."""
-    good = labels.filter("quality = 1").select("doc_id")
-    held = measured.join(good, "doc_id").filter(~base_failed()).select(stratum().alias("stratum"), *[
+    known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min("quality").alias("least"), F.max("quality").alias("most"))
+    one_text = measured.join(known, "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct("twin", *COUNTS)).alias("text"), F.first("least").alias("least"), F.first("most").alias("most"))
+    trials = one_text.groupBy("text").agg(F.min("least").alias("least"), F.max("most").alias("most")).filter("least = 1")
+    held = trials.select("text.*").filter(~base_failed()).select(stratum().alias("stratum"), *[
         v.alias(n) for n, v in rules().items()])
     counted = held.groupBy("stratum").agg(F.count("*").alias("n"), *[
         F.sum((F.col(rule) > cut).cast("long")).alias(f"{rule}_{i}") for rule, cuts in GRID.items()

@@ -211,8 +211,50 @@ def test_cutoffs_reject_few_good_texts_and_catch_bad_ones(spark, monkeypatch):
     assert quality_rules.judge(frame(spark, []), known).count() == 0
 
 
+def test_repeated_rows_prove_nothing_about_good_texts(spark):
+    """One clean text many times, by row, by id and by label, beside eight good ones that a strict cutoff would reject."""
+    rng = random.Random(16)
+    words = lambda tail: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(500)}{tail}" for _ in range(120))
+    clean, odd = words(""), [words("***") for _ in range(8)]
+    texts = [clean] * 9000 + odd
+    docs = frame(spark, texts)
+    docs = docs.unionByName(docs.filter("doc_id = 5").crossJoin(spark.range(3000).select()))
+    labels = spark.createDataFrame([(k, 1) for k in range(len(texts))], "doc_id bigint, quality int")
+    labels = labels.unionByName(labels.filter("doc_id = 5").crossJoin(spark.range(3000).select()))
+    rows = quality_rules.judge(docs, labels)
+    assert rows.count() == len(texts) + 3000 and rows.filter("kept").count() == len(texts) + 3000
+
+
+def test_contradicting_labels_are_no_trials(spark):
+    rng = random.Random(17)
+    texts = [" ".join(f"{rng.choice('abc')}{rng.randrange(500)}" for _ in range(60)) for _ in range(3)]
+    docs = frame(spark, [*texts, texts[2]])
+    labels = spark.createDataFrame([(0, 1), (1, 1), (1, 0), (2, 1), (3, 0), (0, None), (None, 1)], "doc_id bigint, quality int")
+    seen = []
+    plain = quality_rules.within_risk
+    quality_rules.within_risk = lambda rejected, n, *rest: bool(seen.append(n)) or plain(rejected, n, *rest)
+    try:
+        quality_rules.thresholds(quality_rules.measure(docs), labels)
+    finally:
+        quality_rules.within_risk = plain
+    assert set(seen) == {1}  # of the first text alone
+
+
+def test_copies_are_dropped_within_a_class_only():
+    rng = random.Random(18)
+    ordinary = [" ".join(f"w{rng.randrange(5000)}" for _ in range(12)) for _ in range(60)]
+    toxic = [t + " vileface grubtoe" for t in ordinary]
+    sample = [(t.encode(), k) for pair in zip(ordinary, toxic) for k, t in enumerate(pair)]
+    assert toxicity.without_copies(sample) == sample
+    assert toxicity.without_copies(sample * 2) == sample
+    long = [(" ".join(f"w{rng.randrange(5000)}" for _ in range(900)).encode(), 1)]
+    assert toxicity.without_copies(long * 3 + [(b"", 1), (b"", 1), (b"one", 1)]) == [*long, (b"", 1), (b"one", 1)]
+
+
 def test_binomial_tail_is_exact():
-    for k, n, p in ((0, 10, 0.1), (3, 20, 0.2), (5, 5, 0.5), (40, 1000, 0.05)):
+    assert quality_rules.binomial_tail(10**7, 10**9, 0.0101) < 1e-20
+    assert quality_rules.binomial_tail(10**7, 10**9, 0.0099) > 1 - 1e-9
+    for k, n, p in ((0, 10, 0.1), (3, 20, 0.2), (5, 5, 0.5), (40, 1000, 0.05), (60, 1000, 0.05), (999, 1000, 0.9), (4, 40, 0.3)):
         assert abs(quality_rules.binomial_tail(k, n, p) - min(1, sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)))) < 1e-9
     assert not quality_rules.within_risk(0, 0, 0.1, 0.05)
 
