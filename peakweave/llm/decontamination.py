@@ -2,13 +2,19 @@
 
 Documents are read in shards of about `SHARD_WORDS` words. A shard's words become ids of the benchmark's vocabulary (0
 for any other word); no match can run over a 0, so the suffix array holds the suffixes that start in a run of benchmark
-words at least as long as the shortest window. Every benchmark suffix is then binary-searched in the shard's array; the
-range it opens holds all places where its window stands verbatim, and neighbouring places on one diagonal make the
-longest match. Nothing is shuffled: a shard lives inside one task.
+words at least as long as the shortest window. Every different window of the benchmark's suffixes is then binary-searched
+in the shard's array, once however many items have it; the range it opens holds all places where it stands verbatim. Words
+hit are the union of these places. A longest match is a stretch of a document that stands verbatim in one item and in no
+longer such stretch; it is found by following the places of its windows through the items, so their number grows with the
+document's words, not with words times items. Nothing is shuffled: a shard lives inside one task.
+
+The benchmark is cut into blocks of about BLOCK_BYTES of text. The driver indexes one block at a time and broadcasts it;
+a task holds one at a time too and searches its shard in each.
 
 Defined cases: a null or empty text has no words and no hits; a null benchmark text has no windows; a null `item_id` is
 written as the empty id; equal items are found side by side; an item shorter than the window is one window of its own
-length; repeated document rows each give their row; extra columns are ignored by `find_matches` and kept by `clean`.
+length; of several places of a longest match the first of the least item is named; repeated document rows each give their
+row; extra columns are ignored by `find_matches` and kept by `clean`.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,36 +32,84 @@ from peakweave.llm.common import alnum_words, utf8
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
-#: Bytes of benchmark text sent to the tasks at once; more text is searched block by block.
+#: Bytes of benchmark text that are indexed together.
 BLOCK_BYTES = 32_000_000
 
 MATCH = "array<struct<item_id:string,item_start:bigint,start:bigint,length:bigint>>"
 
 
+def paired(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A number for each pair of numbers, the same for equal pairs."""
+    return np.unique(first.astype(np.int64) * (int(second.max(initial=0)) + 1) + second, return_inverse=True)[1]
+
+
 class Benchmark:
-    """The windows of one block of benchmark items."""
+    """The windows of one block of benchmark items.
+
+    Different texts lie one behind the other in `flat`, a 0 after each. A window is a number; `pattern` and `length` have
+    its words, `window_at` the full window that starts at each place of `flat` or -1, and `places` of a window where it
+    starts.
+    """
 
     def __init__(self, rows: list[tuple], window: int):
         self.window, self.vocabulary = window, {}
-        self.items, texts = [], []
+        texts: dict[bytes, set[str]] = {}
         for item_id, text in rows:
             words = alnum_words((text or "").encode())
             if words:
-                self.items.append("" if item_id is None else str(item_id))
-                texts.append([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words])
-        lengths = [min(window, len(t)) for t in texts]
-        self.shortest = min(lengths, default=window)
-        self.depth = max(lengths, default=1)
-        places = [(k, i) for k, t in enumerate(texts) for i in range(len(t) - lengths[k] + 1)]
-        self.item = np.array([k for k, _ in places], dtype=np.int64)
-        self.start = np.array([i for _, i in places], dtype=np.int64)
-        self.length = np.array([lengths[k] for k, _ in places], dtype=np.int64)
-        self.pattern = np.zeros((len(places), self.depth), dtype=np.int32)
-        for row, (k, i) in enumerate(places):
-            self.pattern[row, : lengths[k]] = texts[k][i : i + lengths[k]]
-
-    def ids(self, text: bytes) -> np.ndarray:
-        return np.fromiter(map(self.vocabulary.get, alnum_words(text), repeat(0)), dtype=np.int32)
+                ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], dtype=np.int32)
+                texts.setdefault(ids.tobytes(), set()).add("" if item_id is None else str(item_id))
+        # texts in the order of their least id
+        ordered = sorted(texts, key=lambda t: (min(texts[t]), t))
+        self.items = [sorted(texts[t]) for t in ordered]
+        arrays = [np.frombuffer(t, dtype=np.int32) for t in ordered]
+        size = np.array([len(a) for a in arrays], dtype=np.int64)
+        self.first = np.cumsum(size + 1) - size - 1  # of each text in `flat`
+        self.flat = np.zeros(int(size.sum() + len(size)) + window, dtype=np.int32)
+        owner = np.full(len(self.flat), -1, dtype=np.int64)
+        for k, a in enumerate(arrays):
+            self.flat[self.first[k] : self.first[k] + len(a)] = a
+            owner[self.first[k] : self.first[k] + len(a)] = k
+        full = np.zeros(len(self.flat), dtype=bool)
+        for k in np.flatnonzero(size >= window).tolist():
+            full[self.first[k] : self.first[k] + size[k] - window + 1] = True
+        starts = np.flatnonzero(full)
+        _, first, number = np.unique(self._names(window)[starts], return_index=True, return_inverse=True)
+        self.window_at = np.full(len(self.flat) + 1, -1, dtype=np.int64)
+        self.window_at[starts] = number
+        short = np.flatnonzero(size < window)
+        # every short text is a window of its own
+        begins = np.concatenate([starts[first], self.first[short]]).astype(np.int64)
+        self.n_full = len(first)
+        self.length = np.concatenate([np.full(len(first), window), size[short]]).astype(np.int64)
+        self.shortest = int(self.length.min(initial=window))
+        self.depth = int(self.length.max(initial=1))
+        columns = np.arange(self.depth)
+        self.pattern = np.where(columns < self.length[:, None], self.flat[np.minimum(begins[:, None] + columns, len(self.flat) - 1)], 0)
+        every = np.concatenate([starts, self.first[short]]).astype(np.int64)
+        window_of = np.concatenate([number, len(first) + np.arange(len(short))]).astype(np.int64)
+        self.place = every[np.argsort(window_of, kind="stable")]
+        self.bounds = np.concatenate([[0], np.cumsum(np.bincount(window_of, minlength=len(self.length)))])
+        self.owner = owner
+
+    def _names(self, n: int) -> np.ndarray:
+        """A number for the n words from each place on, by doubling; places near the end of a text are not used."""
+        names, span, built, done = self.flat.astype(np.int64), 1, None, 0
+        while True:
+            if n & span:
+                built = names if built is None else paired(built, np.concatenate([names[done:], np.zeros(done, np.int64)]))
+                done += span
+            span *= 2
+            if span > n:
+                return built if built is not None else names
+            half = span // 2
+            names = paired(names, np.concatenate([names[half:], np.zeros(half, np.int64)]))
+
+    def places(self, window: int) -> np.ndarray:
+        return self.place[self.bounds[window] : self.bounds[window + 1]]
+
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), dtype=np.int32, count=len(words))
 
 
 def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
@@ -75,13 +130,13 @@ def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
 
 
 def search(words: np.ndarray, order: np.ndarray, benchmark: Benchmark) -> tuple[np.ndarray, np.ndarray]:
-    """For every benchmark window the first and the last-plus-one row of `order` whose suffix starts with it."""
+    """For every different window the first and the last-plus-one row of `order` whose suffix starts with it."""
     padded = np.concatenate([words, np.zeros(benchmark.depth, dtype=words.dtype)])
     columns = np.arange(benchmark.depth)
     inside = columns[None, :] < benchmark.length[:, None]
 
     def bound(after_equal: bool) -> np.ndarray:
-        low, high = np.zeros(len(benchmark.item), dtype=np.int64), np.full(len(benchmark.item), len(order), dtype=np.int64)
+        low, high = np.zeros(len(benchmark.length), dtype=np.int64), np.full(len(benchmark.length), len(order), dtype=np.int64)
         while (open_ := np.flatnonzero(low < high)).size:
             middle = (low[open_] + high[open_]) // 2
             found = padded[order[middle][:, None] + columns[None, :]]
@@ -111,9 +166,9 @@ def in_long_runs(words: np.ndarray, least: int) -> np.ndarray:
 
 
 def occurrences(words: np.ndarray, benchmark: Benchmark) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (position in `words`, benchmark window) of all verbatim windows."""
+    """Pairs (position in `words`, window) of all verbatim windows; a position has at most one of each length."""
     none = np.zeros(0, dtype=np.int64)
-    if not len(benchmark.item) or not len(words):
+    if not len(benchmark.length) or not len(words):
         return none, none
     kept = in_long_runs(words, benchmark.shortest)
     if not len(kept):
@@ -133,121 +188,140 @@ def occurrences(words: np.ndarray, benchmark: Benchmark) -> tuple[np.ndarray, np
     return back[order[row]], window
 
 
-def shard_matches(words: np.ndarray, benchmark: Benchmark) -> tuple[np.ndarray, ...]:
-    """Longest matches as (item, start in the item, start in `words`, length): windows chained along their diagonal."""
-    position, window = occurrences(words, benchmark)
-    item, inner = benchmark.item[window], benchmark.start[window]
-    order = np.lexsort((inner, position - inner, item))
-    item, inner, position, span = item[order], inner[order], position[order], benchmark.length[window][order]
-    first = np.ones(len(item), dtype=bool)
-    first[1:] = (np.diff(item) != 0) | (np.diff(position - inner) != 0) | (np.diff(inner) != 1)
-    starts = np.flatnonzero(first)
-    runs = np.diff(np.append(starts, len(item)))
-    return item[starts], inner[starts], position[starts], runs - 1 + span[starts]
+def longest_matches(at: int, windows: np.ndarray, benchmark: Benchmark) -> Iterator[tuple[int, int, int]]:
+    """(start, length, place in the benchmark) of the longest matches in a run of full windows, which start at `at`,
+    `at` + 1, … None of them lies inside another."""
+    k, n = 0, len(windows)
+    while k < n:
+        # to the left as far as some item has it, from all places of the window at k
+        here, start = benchmark.places(int(windows[k])), k
+        while start and len(before := here[benchmark.window_at[here - 1] == windows[start - 1]]):
+            here, start = before - 1, start - 1
+        # then to the right
+        there, end = here + (k - start), k + 1
+        while end < n and len(after := there[benchmark.window_at[there + 1] == windows[end]]):
+            there, end = after + 1, end + 1
+        yield at + start, end - start - 1 + benchmark.window, int(there[0]) - (end - 1 - start)
+        k = end
+
+
+def search_shard(words: list[list[bytes]], blocks: list[Benchmark | Broadcast]) -> list[dict]:
+    """For each document of a shard its number of words, the merged intervals hit, the items and the longest matches."""
+    lengths = np.array([len(w) for w in words])
+    starts = np.concatenate([[0], np.cumsum(lengths + 1)])
+    change = np.zeros(starts[-1] + 1, dtype=np.int64)
+    rows = [{"n_words": int(n), "hits": [], "items": set(), "matches": []} for n in lengths]
+    for block in blocks:
+        benchmark = block.value if isinstance(block, Broadcast) else block
+        flat = np.zeros(starts[-1], dtype=np.int32)
+        for w, at in zip(words, starts):
+            flat[at : at + len(w)] = benchmark.ids(w)
+        position, window = occurrences(flat, benchmark)
+        np.add.at(change, position, 1)
+        np.add.at(change, position + benchmark.length[window], -1)
+        owner = np.searchsorted(starts, position, side="right") - 1
+        _note_items(rows, owner, window, benchmark)
+        _note_matches(rows, owner, position, window, starts, benchmark)
+        if isinstance(block, Broadcast) and len(blocks) > 1:
+            block.__dict__.pop("_value", None)  # one block in memory at a time; it is read again from the worker's disk
+    hit = np.concatenate([[0], (np.cumsum(change[:-1]) > 0).astype(np.int8), [0]])
+    edges = np.flatnonzero(np.diff(hit))
+    for begin, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        doc = int(np.searchsorted(starts, begin, side="right")) - 1
+        rows[doc]["hits"].append({"start": begin - int(starts[doc]), "end": end - int(starts[doc])})
+    for row in rows:
+        row["items"] = sorted(row["items"])
+        row["matches"].sort(key=lambda m: (m["start"], m["item_id"]))
+    return rows
+
+
+def _note_items(rows: list[dict], owner: np.ndarray, window: np.ndarray, benchmark: Benchmark) -> None:
+    """The items of each different window a document has."""
+    for key in np.unique(owner * len(benchmark.length) + window).tolist():
+        doc, w = divmod(key, len(benchmark.length))
+        for text in np.unique(benchmark.owner[benchmark.places(w)]).tolist():
+            rows[doc]["items"].update(benchmark.items[text])
+
+
+def _note_matches(rows: list[dict], owner: np.ndarray, position: np.ndarray, window: np.ndarray, starts: np.ndarray,
+                  benchmark: Benchmark) -> None:
+    def note(doc: int, start: int, length: int, place: int) -> None:
+        text = int(benchmark.owner[place])
+        rows[doc]["matches"].append({
+            "item_id": benchmark.items[text][0], "item_start": place - int(benchmark.first[text]),
+            "start": start - int(starts[doc]), "length": length})
+
+    full = window < benchmark.n_full
+    for doc, at, w in zip(owner[~full].tolist(), position[~full].tolist(), window[~full].tolist()):
+        note(doc, at, int(benchmark.length[w]), int(benchmark.places(w)[0]))
+    order = np.argsort(position[full], kind="stable")
+    at, found, doc = position[full][order], window[full][order], owner[full][order]
+    for run in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) != 1) + 1):
+        if len(run):
+            for start, length, place in longest_matches(int(at[run[0]]), found[run], benchmark):
+                note(int(doc[run[0]]), start, length, place)
 
 
-def search_batches(batches: Iterator[pa.RecordBatch], benchmark: Benchmark) -> Iterator[tuple[pa.RecordBatch, list[dict]]]:
-    """Each batch with one result per row: words, matches and the merged intervals they cover."""
+def search_batches(batches: Iterator[pa.RecordBatch], blocks: list) -> Iterator[tuple[pa.RecordBatch, list[dict]]]:
+    """Each batch with one result per row."""
     for batch in batches:
         texts, rows, shard, size = utf8(batch.column("text")), [], [], 0
         for n, text in enumerate(texts):
-            ids = benchmark.ids(text)
-            shard.append(ids)
-            size += len(ids) + 1
+            shard.append(alnum_words(text))
+            size += len(shard[-1]) + 1
             if size >= SHARD_WORDS or n == len(texts) - 1:
-                rows += shard_rows(shard, benchmark)
+                rows += search_shard(shard, blocks)
                 shard, size = [], 0
         yield batch, rows
 
 
-def shard_rows(shard: list[np.ndarray], benchmark: Benchmark) -> list[dict]:
-    lengths = np.array([len(x) for x in shard])
-    starts = np.concatenate([[0], np.cumsum(lengths + 1)])
-    words = np.zeros(starts[-1], dtype=np.int32)
-    for ids, at in zip(shard, starts):
-        words[at : at + len(ids)] = ids
-    item, inner, position, length = shard_matches(words, benchmark)
-    owner = np.searchsorted(starts, position, side="right") - 1
-    rows = [{"n_words": int(n), "matches": [], "hits": []} for n in lengths]
-    for k in np.lexsort((inner, position, owner)).tolist():
-        row, at = rows[owner[k]], int(position[k] - starts[owner[k]])
-        end = at + int(length[k])
-        row["matches"].append({"item_id": benchmark.items[item[k]], "item_start": int(inner[k]), "start": at,
-                               "length": int(length[k])})
-        if row["hits"] and at <= row["hits"][-1]["end"]:
-            row["hits"][-1]["end"] = max(end, row["hits"][-1]["end"])
-        else:
-            row["hits"].append({"start": at, "end": end})
-    return rows
-
-
-def benchmark_blocks(benchmark: DataFrame, window: int) -> list[Benchmark]:
-    """The items in blocks of about BLOCK_BYTES text each; the number of blocks follows the benchmark's size."""
+def benchmark_blocks(benchmark: DataFrame, window: int) -> list[Broadcast]:
+    """The items in blocks of about BLOCK_BYTES text each, indexed and broadcast one after the other."""
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-size // BLOCK_BYTES))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    if n_blocks == 1:
-        return [Benchmark([tuple(r) for r in items.collect()], window)]
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    return [Benchmark([tuple(r) for r in items.filter(block == b).collect()], window) for b in range(n_blocks)]
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast(Benchmark([tuple(r) for r in items.filter(block == b).collect()], window)) for b in range(n_blocks)]
 
 
-def _search(docs: DataFrame, block: Benchmark) -> DataFrame:
+def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """One row per document: `n_words`, the longest `matches` (item, places, length), `hits`, the covered intervals, and the
+    ids of all `items` with a window in it."""
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
 
     hits = "array<struct<start:bigint,end:bigint>>"
-    types = [to_arrow_type(_parse_datatype_string(t)) for t in (MATCH, hits)]
+    types = {"matches": MATCH, "hits": hits, "items": "array<string>"}
+    arrow = {c: to_arrow_type(_parse_datatype_string(t)) for c, t in types.items()}
+    blocks = benchmark_blocks(benchmark, window)
 
     def run(batches):
-        for batch, rows in search_batches(batches, block):
+        for batch, rows in search_batches(batches, blocks):
             yield pa.RecordBatch.from_arrays([
-                batch.column("row"), batch.column("doc_id"), pa.array([r["n_words"] for r in rows], pa.int64()),
-                pa.array([r["matches"] for r in rows], types[0]), pa.array([r["hits"] for r in rows], types[1])],
-                names=["row", "doc_id", "n_words", "matches", "hits"])
+                batch.column("doc_id"), pa.array([r["n_words"] for r in rows], pa.int64()),
+                *[pa.array([r[c] for r in rows], arrow[c]) for c in types]], names=["doc_id", "n_words", *types])
 
-    narrow = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    doc_type = dict(docs.dtypes)["doc_id"]
-    return narrow.mapInArrow(run, f"row bigint, doc_id {doc_type}, n_words bigint, matches {MATCH}, hits {hits}")
-
-
-def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per document: `n_words`, the longest `matches` (item, places, length) and `hits`, the covered intervals."""
-    blocks = [_search(docs, b) for b in benchmark_blocks(benchmark, window)]
-    if len(blocks) == 1:
-        return blocks[0].drop("row")
-    found = blocks[0]
-    for b in blocks[1:]:
-        found = found.unionByName(b)
-    merged = F.aggregate(
-        F.array_sort(F.flatten(F.collect_list("hits"))), F.array().cast("array<struct<start:bigint,end:bigint>>"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (x["start"] <= F.element_at(done, -1)["end"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-                F.element_at(done, -1)["start"].alias("start"),
-                F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end")))),
-        ).otherwise(F.concat(done, F.array(x))))
-    return found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-                                    F.flatten(F.collect_list("matches")).alias("matches"), merged.alias("hits")).drop("row")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words bigint, " + ", ".join(f"{c} {t}" for c, t in types.items()))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without a verbatim window of the benchmark, all columns kept; each block filters what the last left."""
-    for block in benchmark_blocks(benchmark, window):
-        def run(batches, block=block):
-            for batch, rows in search_batches(batches, block):
-                yield batch.filter(pa.array([not r["hits"] for r in rows], pa.bool_()))
+    """The documents without a verbatim window of the benchmark, all columns kept."""
+    blocks = benchmark_blocks(benchmark, window)
+
+    def run(batches):
+        for batch, rows in search_batches(batches, blocks):
+            yield batch.filter(pa.array([not r["hits"] for r in rows], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)
 
 
 def digest(found: DataFrame) -> DataFrame:
     """The matches as the counts and the digest the query returns."""
-    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda total, h: total + h["end"] - h["start"])
     longest = F.coalesce(F.array_max(F.transform("matches", lambda m: m["length"])), F.lit(0).cast("bigint"))
     return found.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
-        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"), longest.alias("longest_match"))

@@ -153,16 +153,47 @@ def test_hits_equal_a_plain_window_scan(spark, monkeypatch):
 @given(st.lists(st.integers(0, 3), max_size=60), st.lists(st.lists(st.sampled_from("abc"), max_size=9), max_size=4))
 def test_occurrences_of_small_alphabets(ids, items):
     bench = decontamination.Benchmark([(k, " ".join(x)) for k, x in enumerate(items)], 4)
-    text = " ".join("abcx"[i] for i in ids)
-    position, window = decontamination.occurrences(bench.ids(text.encode()), bench)
-    found = set(zip(position.tolist(), bench.item[window].tolist(), bench.start[window].tolist()))
-    ws = text.split()
-    kept = [x for x in items if x]
-    expected = {(p, k, s) for k, x in enumerate(kept) for n in [min(4, len(x))] for s in range(len(x) - n + 1)
+    ws = ["abcx"[i] for i in ids]
+    position, window = decontamination.occurrences(bench.ids([w.encode() for w in ws]), bench)
+    assert len(position) == len(set(zip(position.tolist(), bench.length[window].tolist())))
+    found = {(p, item, int(at - bench.first[bench.owner[at]])) for p, w in zip(position.tolist(), window.tolist())
+             for at in bench.places(w) for item in bench.items[bench.owner[at]]}
+    expected = {(p, str(k), s) for k, x in enumerate(items) if x for n in [min(4, len(x))] for s in range(len(x) - n + 1)
                 for p in range(len(ws) - n + 1) if ws[p : p + n] == x[s : s + n]}
     assert found == expected
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=70), st.lists(st.lists(st.sampled_from("ab"), max_size=14), max_size=5))
+def test_longest_matches_of_small_alphabets(ids, items):
+    """Stretches of a document that stand in an item and in no longer such stretch."""
+    rows = [(k, " ".join(x)) for k, x in enumerate(items)]
+    ws = ["abx"[i] for i in ids]
+    bench = decontamination.Benchmark(rows, 3)
+    found = decontamination.search_shard([[w.encode() for w in ws], [], [w.encode() for w in ws]], [bench])
+    assert found[0] == found[2] and found[1] == {"n_words": 0, "hits": [], "items": [], "matches": []}
+    long = [x for x in items if len(x) >= 3]
+    reach = [max((n for x in long for n in range(3, len(x) + 1) if len(ws) >= p + n
+                  and any(x[s : s + n] == ws[p : p + n] for s in range(len(x) - n + 1))), default=0) for p in range(len(ws))]
+    stretches = {(p, n) for p, n in enumerate(reach) if n}
+    stretches = {(p, n) for p, n in stretches if not any((q, m) != (p, n) and q <= p and q + m >= p + n for q, m in stretches)}
+    full = [m for m in found[0]["matches"] if m["length"] >= 3]
+    assert sorted((m["start"], m["length"]) for m in full) == sorted(stretches)
+    for m in found[0]["matches"]:
+        words_ = items[int(m["item_id"])]
+        assert words_[m["item_start"] : m["item_start"] + m["length"]] == ws[m["start"] : m["start"] + m["length"]]
+
+
+def test_matches_grow_with_words_not_with_items(spark):
+    text = "same " * 4000
+    for n in (50, 200):
+        bench = spark.createDataFrame([(k, "same") for k in range(n)] + [(n, "same " * 300)], "item_id bigint, text string")
+        row = decontamination.find_matches(frame(spark, [text]), bench).first()
+        assert len(row["items"]) == n + 1 and [tuple(h) for h in row["hits"]] == [(0, 4000)]
+        assert len([m for m in row["matches"] if m["length"] == 1]) == 4000
+        assert 4000 // 300 <= len([m for m in row["matches"] if m["length"] > 1]) <= 4000
+
+
 def test_suffix_array_orders_suffixes():
     a = np.array([2, 1, 2, 1, 0, 3, 2, 1, 1, 0], dtype=np.int32)
     order = decontamination.suffix_array(a, 16)
