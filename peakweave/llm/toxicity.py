@@ -31,6 +31,8 @@ PER_CLASS = 3000
 #: Characters of an n-gram; five bytes and their key fit a long.
 ORDER = 5
 DISCOUNT = 0.75
+#: Hashes that a sketch of a text's shingles has at least.
+SKETCHED = 8
 #: Words of the most suspicious stretch.
 STRETCH = 8
 FOLDS = 3
@@ -41,18 +43,22 @@ REMEMBERED = 500_000
 
 
 def without_copies(texts: list[tuple[bytes, int]], shingle: int = 5, most: float = 0.5) -> list[tuple[bytes, int]]:
-    """The texts of a sample without those that share over `most` of their shingles with earlier ones.
+    """The texts of a sample without those that share over `most` of their shingles with earlier ones of their class.
 
-    Shingles are compared by a sketch: those whose hash is divisible by 16, and the smallest one.
+    Shingles are compared by a sketch, those whose hash is divisible by 16. A text of which fewer than SKETCHED are meets
+    the others of that kind with all its shingles.
     """
-    seen, kept = set(), []
+    seen: dict[tuple[int, bool], set[int]] = {}
+    kept = []
     for text, label in texts:
         words = alnum_words(text)
-        hashes = [zlib.crc32(b" ".join(words[i : i + shingle])) for i in range(max(1, len(words) - shingle + 1))]
-        own = {h for h in hashes if h % 16 == 0} | {min(hashes)}
-        if len(own & seen) <= most * len(own):
+        own = {zlib.crc32(b" ".join(words[i : i + shingle])) for i in range(max(1, len(words) - shingle + 1))}
+        sketch = {h for h in own if h % 16 == 0}
+        short = len(sketch) < SKETCHED
+        own, earlier = own if short else sketch, seen.setdefault((label, short), set())
+        if len(own & earlier) <= most * len(own):
             kept.append((text, label))
-        seen |= own
+        earlier |= own
     return kept
 
 
