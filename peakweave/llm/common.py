@@ -98,13 +98,14 @@ def held_crc(doc_ids: list, divisor: int) -> list[int]:
     return [zlib.crc32(b"" if i is None else str(i).encode()) % divisor for i in doc_ids]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, learn: Column) -> list[tuple[str, int]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, learn: Column,
+                    sample_bytes: int | None = None) -> list[tuple[str, int]]:
     """At most `per_class` labelled texts of each class, or all of fewer, among the rows `learn` admits.
 
     An id is taken when its hash falls below the share its class needs; an id labelled twice counts once, as the larger
     label, and one with several rows counts once, with the least of its texts. The driver receives at most `per_class`
-    texts of a class, whole, and SAMPLE_BYTES of them: in the order of their ids' hashes, a text that doesn't fit in what
-    is left is passed over.
+    texts of a class, whole, and `sample_bytes` of them (SAMPLE_BYTES by default): in the order of their ids' hashes, a text
+    that doesn't fit in what is left is passed over, so that under a tight bound the sample has shorter texts.
     """
     known = labels.filter(learn).filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(label).cast("int").alias("label"))
@@ -118,7 +119,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     found = written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
         F.min("text").alias("text"), F.first("label").alias("label")), "labelled-sample")
     narrow = found.select("doc_id", "label", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")).collect()
-    taken, room, left = [], dict.fromkeys(sizes, per_class), dict.fromkeys(sizes, SAMPLE_BYTES)
+    taken, room, left = [], dict.fromkeys(sizes, per_class), dict.fromkeys(sizes, sample_bytes or SAMPLE_BYTES)
     for r in sorted(narrow, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"])):
         if room[r["label"]] and r["bytes"] <= left[r["label"]]:
             room[r["label"]] -= 1

@@ -144,8 +144,8 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.network.logit(x) / self.temperature, -500, 500)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_CLASS) -> Scorer:
-    return Scorer(labelled_sample(docs, labels, "quality", per_class, learn))
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_CLASS, sample_bytes: int | None = None) -> Scorer:
+    return Scorer(labelled_sample(docs, labels, "quality", per_class, learn, sample_bytes))
 
 
 def score(docs: DataFrame, scorer: Scorer, held_out: tuple[int, int] = HELD_OUT, threshold: float = THRESHOLD) -> DataFrame:
