@@ -22,7 +22,7 @@ class Metric:
     """`partials` and `finish` for fused metrics, `compute` for the others.
 
     Of the computed ones, those with the same `shared` pass, a function and its options, are finished
-    from one run of it by their `columns`.
+    from one run of it by their `columns`; `more` are options of the pass that a metric needs besides.
     """
 
     name: str
@@ -31,6 +31,7 @@ class Metric:
     compute: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None
     shared: tuple | None = None
     columns: tuple[Column, ...] = ()
+    more: tuple = ()
 
 
 _FACTORIES: dict[str, Callable[..., Metric]] = {}
@@ -110,7 +111,7 @@ def evaluate(df: DataFrame, metrics: Sequence[Metric | str], group_by: Sequence[
 def _finished(shared: tuple, members: Sequence[Metric], df: DataFrame, keys: list[str], taken: set[str]) -> DataFrame:
     """The columns of all metrics of one pass."""
     run, options = shared
-    sums = run(df, by=keys, **dict(options))
+    sums = run(df, by=keys, **dict(options), **dict(x for m in members for x in m.more))
     columns, taken = [], set(taken)
     for m in members:
         names = sums.select(*m.columns).columns

@@ -49,20 +49,20 @@ def _trec(df: DataFrame, by=(), **options) -> DataFrame:
                              df.filter("rel is not null").select("query", "docid", "rel"), by=by, **options)
 
 
-def _from_sums(name: str, score: Callable[..., DataFrame], columns: Callable[..., list]) -> None:
+def _from_sums(name: str, score: Callable[..., DataFrame], columns: Callable[..., list], **more) -> None:
     """A metric of the shared n-gram sums; other orders or tokens than usual need a pass of their own."""
     def factory(id: str = "id", **options) -> Metric:
         alone = {k: v for k, v in options.items() if k in ("tokenizer", "max_order", "min_len", "max_len", "lowercase")}
         return Metric(name, compute=lambda df, keys: score(df, id, by=keys, **options),
                       shared=None if alone else (textgen.corpus_sums, (("key", id),)),
-                      columns=() if alone else tuple(columns(**options)))
+                      columns=() if alone else tuple(columns(**options)), more=tuple(more.items()))
 
     register(name)(factory)
 
 
 _from_sums("bleu", textgen.bleu, textgen.bleu_columns)
 _from_sums("sacrebleu", textgen.sacrebleu, textgen.sacrebleu_columns)
-_from_sums("google_bleu", textgen.google_bleu, textgen.google_bleu_columns)
+_from_sums("google_bleu", textgen.google_bleu, textgen.google_bleu_columns, best=True)
 for _name, _score in {
     "chrf": textgen.chrf, "rouge": textgen.rouge, "sari": textgen.sari, "nist_mt": textgen.nist,
     "wiki_split": textgen.wiki_split,

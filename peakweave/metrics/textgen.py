@@ -111,33 +111,45 @@ def _possible(size: Column, n: int) -> Column:
 
 
 def corpus_sums(df: DataFrame, key: str, max_order: int = 4, tokenizer: tx.Tokenizer = tx.tokenize_13a,
-                by: Sequence[str] = (), min_order: int = 1) -> DataFrame:
+                by: Sequence[str] = (), min_order: int = 1, best: bool = False) -> DataFrame:
     """One row (per group) of what BLEU, sacreBLEU and GLEU are made of, from one pass over the n-grams.
 
     Matches m1… and possible n-grams p1… by order, sys_len, the lengths of the shortest and of the
-    closest references (ties: the shorter), the least and the largest number of references, and for
-    GLEU the matches and the larger total of each row's best reference, orders from `min_order` on.
+    closest references (ties: the shorter), the least and the largest number of references. With `best`
+    also what GLEU needs, the matches and the larger total of each row's best reference, orders from
+    `min_order` on; without it n-grams need no list of references.
     """
     orders = range(1, max_order + 1)
-    per_ref = reference_sums(gram_table(tokenized(df, key, tokenizer, by), max_order, by=by), orders, by)
-    own, k = F.col("k") >= 0, F.col("k")
-    hit = sum((F.col(f"m{n}") for n in orders if n >= min_order), F.lit(0))
-    total = lambda size: sum((_possible(size, n) for n in orders if n >= min_order), F.lit(0))
-    scored = per_ref.withColumns({"__tp": hit, "__all": F.greatest(total(F.col("h")), total(F.col("r")))})
-    # best ratio, then the earliest reference; a row without n-grams on either side has none
-    best = F.max_by(F.struct("__tp", "__all"), F.when(own & (F.col("__all") > 0), F.struct(
-        ratio(F.col("__tp"), F.col("__all")), -k)))
-    close = F.min(F.when(own, F.struct(F.abs(F.col("r") - F.col("h")).alias("gap"), F.col("r").alias("r"))))
-    per_text = scored.groupBy(*by, *TEXT).agg(
-        *[F.max(F.when(~own, F.col(f"m{n}"))).alias(f"m{n}") for n in orders], F.max("h").alias("h"),
-        F.min(F.when(own, F.col("r"))).alias("short"), close.alias("close"), best.alias("best"),
-        F.count_if(own).alias("n_refs"))
+    tokens = tokenized(df, key, tokenizer, by)
+    size = lambda c: F.greatest(F.size(c), F.lit(0))
+    sizes = F.transform("refs", size)
+    closest = F.array_min(F.transform(sizes, lambda s: F.struct(F.abs(s - size("hyp")).alias("gap"), s.alias("s"))))["s"]
+    about = {"h": size("hyp"), "short": F.array_min(sizes), "close": closest, "n_refs": F.size("refs")}
+    keep = [*by, *about]
+    tokens = tokens.withColumns(about)
+    if best:
+        per_ref = reference_sums(gram_table(tokens, max_order, by=keep).withColumnRenamed("h", "__size"), orders, [
+            *by, "__size", *list(about)[1:]]).drop("h").withColumnRenamed("__size", "h")
+        k, own = F.col("k"), F.col("k") >= 0
+        hit = sum((F.col(f"m{n}") for n in orders if n >= min_order), F.lit(0))
+        total = lambda c: sum((_possible(F.col(c), n) for n in orders if n >= min_order), F.lit(0))
+        scored = per_ref.withColumns({"__tp": hit, "__all": F.greatest(total("h"), total("r"))})
+        # best ratio, then the earliest reference; a row without n-grams on either side has none
+        choice = F.max_by(F.struct("__tp", "__all"), F.when(own & (F.col("__all") > 0), F.struct(
+            ratio(F.col("__tp"), F.col("__all")), -k)))
+        per_text = scored.groupBy(*keep, *TEXT).agg(
+            *[F.max(F.when(~own, F.col(f"m{n}"))).alias(f"m{n}") for n in orders], choice.alias("best"))
+    else:
+        per_gram = gram_counts(tokens, max_order, by=keep).groupBy(*keep, *TEXT, "order", "gram").agg(
+            _count_where(F.col("k") == -1).alias("hyp"), F.max(F.when(F.col("k") >= 0, F.col("c")).otherwise(0)).alias("most"))
+        per_text = per_gram.groupBy(*keep, *TEXT).agg(*[
+            F.sum(F.when(F.col("order") == n, F.least("hyp", "most")).otherwise(0)).alias(f"m{n}") for n in orders])
     d = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("double")
     return per_text.groupBy(*by).agg(
         *[d(f"m{n}").alias(f"m{n}") for n in orders], *[d(_possible(F.col("h"), n)).alias(f"p{n}") for n in orders],
-        d("h").alias("sys_len"), d("short").alias("short_len"), d("close.r").alias("close_len"),
+        d("h").alias("sys_len"), d("short").alias("short_len"), d("close").alias("close_len"),
         F.min("n_refs").alias("least_refs"), F.max("n_refs").alias("most_refs"),
-        d("best.__tp").alias("best_hits"), d("best.__all").alias("best_all"))
+        *([d("best.__tp").alias("best_hits"), d("best.__all").alias("best_all")] if best else []))
 
 
 def bleu_columns(max_order: int = 4, smooth: bool = False) -> list[Column]:
@@ -216,7 +228,7 @@ def google_bleu_columns() -> list[Column]:
 def google_bleu(df: DataFrame, key: str, min_len: int = 1, max_len: int = 4,
                 tokenizer: tx.Tokenizer = tx.tokenize_13a, by: Sequence[str] = ()) -> DataFrame:
     """Corpus GLEU: matched over the larger n-gram total, each row against its best reference."""
-    return corpus_sums(df, key, max_len, tokenizer, by, min_len).select(*by, *google_bleu_columns())
+    return corpus_sums(df, key, max_len, tokenizer, by, min_len, best=True).select(*by, *google_bleu_columns())
 
 
 def chrf(df: DataFrame, key: str, char_order: int = 6, word_order: int = 0, beta: int = 2, lowercase: bool = False,
