@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import functions as F
 
 from peakweave.operators import cells as cl
@@ -69,6 +71,16 @@ def vocabulary_membership(spark, sf):
     return cl.vocabulary_ids(view(spark, sf, "var_genes"), vocabulary(spark, sf)).select("gene", "id_in_vocab")
 
 
+@query("SELECT gene, cast(CASE WHEN ensembl_id IS NULL THEN -1 ELSE gene + 7 END AS INTEGER) AS id_in_vocab FROM var_genes", ("var_genes",))
+def gene_key_fallback(spark, sf):
+    """Without a column of gene names the gene key itself is looked up."""
+    var = view(spark, sf, "var_genes")
+    vocab = var.filter("ensembl_id is not null").select("gene", (F.col("gene") + 7).cast("int").alias("id"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return cl.vocabulary_ids(var.drop("gene_name"), vocab).select("gene", "id_in_vocab")
+
+
 @query("SELECT count(*) AS n_genes, count(ensembl_id) AS n_matched, count(ensembl_id) / count(*) AS fraction FROM var_genes", ("var_genes",))
 def matched_gene_fraction(spark, sf):
     var = view(spark, sf, "var_genes")
@@ -306,11 +318,14 @@ def binned_tokens_sampled(spark, sf):
     return out.select("cell_id", F.array_join(F.slice("genes", F.lit(2), F.size("genes") - 1), ",").alias("genes"))
 
 
-@query(f"""WITH {RANK_PREP_SQL}, scored AS (SELECT cell_id, gene * 3 AS token, value / n_counts * 10000 / gene_median AS x FROM prepared),
+RANK_SQL = f"""WITH {RANK_PREP_SQL}, scored AS (SELECT cell_id, gene * 3 AS token, value / n_counts * 10000 / gene_median AS x FROM prepared),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY x DESC, token) AS place FROM scored),
 packed AS (SELECT cell_id, string_agg(cast(token AS VARCHAR), ',' ORDER BY place) AS ids, count(*) AS n FROM ranked WHERE place <= 2048 GROUP BY cell_id)
 SELECT o.cell_id, o.cell_type, o.sample, o.cell_id AS adata_order, coalesce(ids, '') AS input_ids, cast(coalesce(n, 0) AS INTEGER) AS length
-FROM obs o JOIN kept_cells k ON k.cell_id = o.cell_id LEFT JOIN packed p ON p.cell_id = o.cell_id""", ("counts", "var_genes", "obs"))
+FROM obs o JOIN kept_cells k ON k.cell_id = o.cell_id LEFT JOIN packed p ON p.cell_id = o.cell_id"""
+
+
+@query(RANK_SQL, ("counts", "var_genes", "obs"))
 def rank_tokens(spark, sf):
     """Gene tokens of each cell by median-scaled expression, highest first."""
     matrix, _ = ranked_matrix(spark, sf)
@@ -319,6 +334,17 @@ def rank_tokens(spark, sf):
     return cl.rank_tokens(matrix, tokens).withColumn("input_ids", joined("input_ids"))
 
 
+@query(RANK_SQL, ("counts", "var_genes", "obs"))
+def recipe_by_name(spark, sf):
+    """Preparation and tokens of a cell model found by its name."""
+    prepare, tokens_of = cl.recipe("rank")
+    matrix = cell_matrix(spark, sf)
+    prepared, _ = prepare(matrix.with_(var=matrix.var.drop("ensembl_id")), gene_map(spark, sf), RANK_PARAMS)
+    tokens = view(spark, sf, "var_genes").filter("ensembl_id is not null").select(
+        "ensembl_id", (F.col("gene") * 3).alias("token"), F.col("gene_median").alias("median"))
+    return tokens_of(prepared, tokens).withColumn("input_ids", joined("input_ids"))
+
+
 @query("""SELECT cast(label AS VARCHAR) AS sample, array_to_string([cast(floor(cast(c AS DOUBLE) * 1000000) AS BIGINT) FOR c IN embedding], ',') AS millionths FROM embeddings""")
 def cell_embedding_dataset(spark, sf):
     """The embedding table as (sample, embedding) rows, value by value."""

@@ -145,6 +145,14 @@ def token_perplexity(spark, sf):
     return rounded(rg.text_perplexity(tokens, "user_id", mask="mask"))
 
 
+@query("""SELECT round(avg(p), 6) AS mean_perplexity FROM (SELECT exp(sum(value / 50 * (event_type <> 'error')::INT) / sum((event_type <> 'error')::INT)) AS p FROM events GROUP BY user_id)""")
+def corpus_perplexity(spark, sf):
+    """The mean over texts."""
+    tokens = table(spark, sf, "events").select("user_id", (F.col("value") / 50).alias("nll"),
+                                               (F.col("event_type") != "error").cast("int").alias("mask"))
+    return rounded(rg.corpus_perplexity(tokens, "user_id", mask="mask"))
+
+
 @query("""SELECT cast(1 AS INTEGER) AS step, round(avg(pow(l_discount - l_tax, 2)), 9) + 0.0 AS mse, round(avg(abs(l_discount - l_tax)), 9) + 0.0 AS mae FROM lineitem""")
 def metrics_record(spark, sf):
     """One evaluation appended to a metrics table and read back."""
@@ -311,6 +319,22 @@ def roc_auc_one_vs_rest(spark, sf):
     return rounded(rk.roc_auc(probabilities(spark, sf), "multiclass"))
 
 
+MULTI_SQL = "multi AS (SELECT l_discount AS s0, l_quantity / 100 AS s1, l_returnflag = 'R' AS y0, l_linestatus = 'F' AS y1 FROM lineitem)"
+
+
+@query(f"WITH {MULTI_SQL}, rows_ AS (SELECT 0 AS label, s0 AS s, y0 AS y FROM multi UNION ALL SELECT 1, s1, y1 FROM multi), per AS ("
+       + AUC_SQL.format(k="label,", p="PARTITION BY label", g="GROUP BY label") + "), micro AS (" + AUC_SQL.format(k="", p="", g="")
+       + """), n AS (SELECT label, count(*) FILTER (WHERE y) AS n FROM rows_ GROUP BY label)
+SELECT (SELECT round(avg(a), 6) FROM per) AS macro, (SELECT round(sum(a * n) / sum(n), 6) FROM per JOIN n USING (label)) AS weighted, (SELECT round(a, 6) FROM micro) AS micro""")
+def roc_auc_multilabel(spark, sf):
+    """Two labels per row: averaged, weighted by their positives, and all decisions together."""
+    rows = table(spark, sf, "lineitem").select(
+        F.array(F.col("l_discount"), F.col("l_quantity") / 100).alias("prediction"),
+        F.array((F.col("l_returnflag") == "R").cast("int"), (F.col("l_linestatus") == "F").cast("int")).alias("reference"))
+    parts = [rk.roc_auc(rows, "multilabel", average).select(F.col("roc_auc").alias(average)) for average in ("macro", "weighted", "micro")]
+    return rounded(parts[0].join(F.broadcast(parts[1])).join(F.broadcast(parts[2])))  # one row each
+
+
 @query(f"""WITH {PROB_SQL}, dirs AS (SELECT * FROM (VALUES (0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1)) t(a_, b_)),
 rows_ AS (SELECT a_, b_, CASE a_ WHEN 0 THEN s0 WHEN 1 THEN s1 ELSE s2 END AS s, ref = a_ AS y FROM probs, dirs WHERE ref IN (a_, b_)), per AS ("""
        + AUC_SQL.format(k="a_, b_,", p="PARTITION BY a_, b_", g="GROUP BY a_, b_") + ") SELECT round(avg(a), 6) AS roc_auc FROM per")

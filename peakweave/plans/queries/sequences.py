@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from peakweave.functions import arrays as ar
@@ -141,8 +142,50 @@ def dictionary_scan(spark, sf):
     return datasets.read_dictionary(spark, path, whole_file=False)
 
 
+@query("SELECT gene_name AS key, ensembl_id AS value FROM var_genes WHERE ensembl_id IS NOT NULL", ("var_genes",))
+def dictionary_whole_file(spark, sf):
+    """The same from files of one object each, a dictionary in pieces."""
+    path = scratch_path(spark, "dictionary") + ".json"
+    genes = view(spark, sf, "var_genes").filter("ensembl_id is not null")
+    pieces = genes.groupBy(F.floor(F.col("gene") / 500).alias("piece")).agg(
+        F.map_from_entries(F.collect_list(F.struct("gene_name", "ensembl_id"))).alias("m"))  # 500 entries
+    pieces.select("piece", F.to_json("m").alias("value")).write.partitionBy("piece").text(path)
+    return datasets.read_dictionary(spark, path)
+
+
+@query("SELECT o_orderkey AS seed, i FROM orders, unnest(range(o_orderkey % 4)) u(i)")
+def generated_rows(spark, sf):
+    """Rows made by a generator from seed rows."""
+    def generate(frame):
+        made = frame.loc[frame.index.repeat(frame["seed"] % 4)]
+        yield pd.DataFrame({"seed": made["seed"], "i": made.groupby("seed").cumcount()})
+
+    seeds = table(spark, sf, "orders").select(F.col("o_orderkey").alias("seed"))
+    return datasets.from_generator(seeds, generate, "seed long, i long")
+
+
 # --- tokens ----------------------------------------------------------------------------------
 
+@query(f"""SELECT l_orderkey, l_linenumber, array_to_string({TOKENS_SQL.format('seq')}, ',') AS from_right, array_to_string({TOKENS_SQL.format('seq')}, ',') AS from_left FROM raw_seq""", ("raw_seq",))
+def trim_padded(spark, sf):
+    """Padded rows cut back to their true length, whichever side was padded."""
+    rows = view(spark, sf, "raw_seq").withColumn("ids", sq.encode("seq"))
+    padded = rows.withColumns({"right": sq.pad_right("ids", 50), "left": sq.pad_left("ids", 50), "n": F.size("ids")})
+    return padded.select("l_orderkey", "l_linenumber", joined(sq.trim_right_padded("right", "n")).alias("from_right"),
+                         joined(sq.trim_left_padded("left", "n")).alias("from_left"))
+
+
+@query("""SELECT e.event_id, e.sample, e.pos, cast(cast(m.value AS FLOAT) AS DOUBLE) AS norm_peak_value, round(cast(cast(ln(1 + cast(cast(m.value AS FLOAT) AS DOUBLE)) AS FLOAT) AS DOUBLE), 5) AS log1p_norm_peak_value,
+length(e.seq) AS n_ids FROM (SELECT event_id, cast(user_id AS VARCHAR) AS sample, event_type AS pos, event_type AS seq FROM events) e JOIN matrix m ON m.sample = e.sample AND m.pos = e.pos""", ("matrix",))
+def normalized_peaks(spark, sf):
+    """Tokenised rows with their normalised values; the text and the mask are dropped, a missing pair would fail."""
+    rows = table(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("sample"), F.col("event_type").alias("pos"),
+                                             F.col("event_type").alias("seq"))
+    out = sequence_dataset.add_norm_peak(sequence_dataset.tokenize(rows), view(spark, sf, "matrix"))
+    return out.select("*", F.size("input_ids").cast("long").alias("n_ids")).drop("input_ids").withColumns(
+        {"norm_peak_value": F.col("norm_peak_value").cast("double"), "log1p_norm_peak_value": r("log1p_norm_peak_value", 5)})
+
+
 @query(f"""SELECT {KEY_SQL}, array_to_string({TOKENS_SQL.format('seq')}, ',') AS input_ids,
 cast(length(seq) AS INTEGER) AS mask_sum FROM raw_seq""", ("raw_seq",))
 def tokenize_sequences(spark, sf):

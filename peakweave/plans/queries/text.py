@@ -116,6 +116,16 @@ def bleu_by_group(spark, sf):
     return rounded(evaluate(rows, ["bleu"], ["grp"]).select("grp", "bleu"))
 
 
+SIDES_WORDS = f"SELECT id, -1 AS k, {sql_words('prediction')} AS t FROM hyp UNION ALL SELECT id, 0, {sql_words('reference')} FROM hyp UNION ALL SELECT id, 1, {sql_words('reply')} FROM hyp"
+
+
+@query(f"""WITH {HYP_SQL}, {grams_sql(4, SIDES_WORDS)}, {CORPUS_SQL}
+SELECT round(exp(avg(ln(m / p))) * any_value(CASE WHEN sys / short > 1 THEN 1.0 ELSE exp(1 - short / sys) END), 6) AS bleu, cast(any_value(sys) AS BIGINT) AS translation_length FROM ord, tot""", ("text_pairs",))
+def bleu_words(spark, sf):
+    """With a tokenizer of the caller's choice."""
+    return rounded(tg.bleu(hypotheses(spark, sf), "id", tokenizer=tx.words).select("bleu", "translation_length"))
+
+
 GROUPS_SQL = f"""{HYP_SQL}, {grams_sql(5, SIDES_MULTI)}, {CORPUS_SQL}, g AS (SELECT id, id // 1000 % 3 AS grp FROM hyp),
 gm AS (SELECT grp, n, sum(m) AS m FROM clip JOIN g USING (id) WHERE n < 5 GROUP BY 1, 2), gp AS (SELECT grp, n, sum(c) AS p FROM cnt JOIN g USING (id) WHERE k = -1 AND n < 5 GROUP BY 1, 2),
 gl AS (SELECT grp, sum(h) AS sys, sum(shortest) AS short, sum(closest) AS close FROM lens JOIN g USING (id) GROUP BY 1),
