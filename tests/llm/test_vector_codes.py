@@ -122,3 +122,12 @@ def test_decoding_gives_the_entries(spark, tmp_path):
     vectors = {i: [math.floor(1024 * v) for v in x] for i, x, _ in rows}
     for r in coded.collect():
         assert sum((a - b) ** 2 for a, b in zip(vectors[r["vec_id"]], vector_codes.decoded(r["code"], books))) == r["error"]
+
+
+def test_vectors_without_components(spark, tmp_path):
+    """Nothing tells them apart: all have the first entry's code and no error."""
+    rows = [(k, [], k % 2) for k in range(5)]
+    found = vector_codes.digest(stored(frame(spark, rows), tmp_path / "a")).collect()
+    assert [(r["code"], r["error"], r["label_error"]) for r in found] == [("00000000", 0, 0)] * 5
+    odd = [(k, [1.0, 2.0], 1) for k in range(3)]
+    assert [r["code"] for r in vector_codes.digest(stored(frame(spark, odd), tmp_path / "b")).collect()] == [None] * 3
