@@ -9,7 +9,8 @@ inequality), and what survives is verified bit by bit.
 Hot keys: copies collapse to one fingerprint first. A key that holds more than DENSE fingerprints is not paired; its
 members meet at the centres of their radius-1 balls instead (two points within two bits share a centre), each linked to
 the centre's smallest member. That keeps every connection with a linear number of links. Links become components by
-large-star and small-star rounds, each written to shared storage.
+large-star and small-star rounds, each written to shared storage. Fingerprints and components that hold more than a
+thousandth of the rows find their documents by broadcast, fewer than a thousand of them; the others by a shuffle.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; a null id is never the smallest
 of its group unless all are null; repeated rows are copies; other columns are ignored, and kept by `keep_one`.
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peakweave.llm.common import lowered, map_texts, space_words, written
+from peakweave.llm.common import attach, lowered, map_texts, space_words, written
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -142,14 +143,14 @@ def components(edges: DataFrame) -> DataFrame:
 def group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, row: str | None = None) -> DataFrame:
     """One row per document: `row`, `doc_id`, `fp`, `root` (the class) and `component_id`, the smallest id links reach."""
     prints = written(fingerprints(docs, shingle, row), "simhash-fingerprints")
-    points = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-points")
+    points = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "simhash-points")
     stars = components(links(points.select("fp"), max_bits))
     # an unlinked point is its own class; the classes' smallest ids come from the points, not from the documents
-    roots = points.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(smallest, "root").select("fp", "root", "component_id")
-    return prints.join(named, "fp").select("row", "doc_id", "fp", "root", "component_id")
+    roots = written(points.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", "copies", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
+    named = attach(roots, smallest, ["root"], "members").select("fp", "root", "component_id", "copies")
+    return attach(prints, named, ["fp"]).select("row", "doc_id", "fp", "root", "component_id")
 
 
 def digest(grouped: DataFrame) -> DataFrame:
