@@ -87,7 +87,7 @@ def accumulate_metrics(stream: DataFrame, metrics: Sequence[Metric | str], direc
     metrics = [get(m) if isinstance(m, str) else m for m in metrics]
     unfit = [m.name for m in metrics if m.compute is not None]
     if unfit:
-        raise ValueError(f"{unfit} need the whole data and cannot be accumulated")
+        raise ValueError(f"{unfit} need the whole data; `streaming.ranks` accumulates spearmanr and roc_auc")
     keys = list(group_by)
     partials = [c.alias(f"__{m.name}_{k}") for m in metrics for k, c in m.partials.items()]
     finished = [expr({k: F.col(f"__{m.name}_{k}") for k in m.partials}).alias(name)

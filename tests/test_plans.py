@@ -123,3 +123,22 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["phenotype_id", "variant_id", "slope", "A1", "A2", "sample_id", "sequence", "snp_relative_pos"]
     assert df.count() > 0
+
+
+def test_slices_are_dealt_in_one_reading(spark, tmp_path):
+    source, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(200).withColumnRenamed("id", "record_id").repartition(5).write.parquet(source)
+    query = jobs.deal_to_workers(jobs.read_parquet_stream(spark, source, "record_id long", files_per_batch=2), 3, sink, sink + "-c")
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 200
+    for worker in range(3):
+        own = [r.record_id for r in spark.read.parquet(f"{sink}/worker={worker}").collect()]
+        assert sorted(own) == list(range(worker, 200, 3))
+
+
+def test_the_newest_metrics_are_read_alone(spark, tmp_path):
+    for epoch, value in ((2, 1.0), (10, 3.0), (9, 2.0)):
+        spark.createDataFrame([(value,)], "mse double").write.parquet(str(tmp_path / "m" / f"epoch={epoch}"))
+    newest = jobs.newest_metrics(spark, str(tmp_path / "m"))
+    assert [tuple(r) for r in newest.collect()] == [(3.0,)]
+    assert all("epoch=10" in f for f in newest.inputFiles())
