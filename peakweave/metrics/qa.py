@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from peakweave.functions import text as tx
 from peakweave.functions.numeric import ratio
-from peakweave.metrics.textgen import TEXT, gram_table, reference_sums, spread_texts
+from peakweave.functions.ngrams import shared_grams
+from peakweave.metrics.textgen import dealt, size_of
 from peakweave.operators.joins import join_groups, last_per_key, unique_by
 from peakweave.operators.ordering import ordered_scan
 from peakweave.session import materialize
@@ -28,20 +29,22 @@ def answer_scores(df: DataFrame, key: str, f1_if_empty: bool = False, carry: Seq
     def tokens(c):
         return tx.words(tx.normalize_answer(c))
 
-    tokenized = spread_texts(df.select(*keep, "prediction", "answers")).select(
-        *keep, *TEXT, exact.cast("double").alias("exact"), tokens(F.col("prediction")).alias("hyp"),
-        F.transform("answers", tokens).alias("refs"))
-    keep = [*keep, "exact"]
-    per_answer = reference_sums(gram_table(tokenized, 1, by=keep), [1], keep)
-    h, r, same = F.col("h"), F.col("r"), F.col("m1")
-    p, q = ratio(same, h), ratio(same, r)
-    f1 = ratio(2 * p * q, p + q)
-    if f1_if_empty:
-        none = (h == 0) | (r == 0)
-        f1 = F.when(none, ((h == 0) & (r == 0)).cast("double")).otherwise(f1)
-    best = F.max(F.when(F.col("k") >= 0, F.coalesce(f1, F.lit(0.0))))
-    return per_answer.groupBy(*keep, *TEXT).agg(F.coalesce(best, F.lit(0.0)).alias("f1")).withColumn(
-        "exact", F.coalesce("exact", F.lit(0.0))).drop(*TEXT)
+    known = df.select(*keep, "prediction", "answers").filter("answers is not null")
+    tokenized = dealt(known).select(
+        *keep, exact.cast("double").alias("exact"), tokens(F.col("prediction")).alias("hyp"), F.transform("answers", tokens).alias("refs"))
+    counted = tokenized.select(*keep, "exact", size_of(F.col("hyp")).alias("h"), F.transform("refs", size_of).alias("sizes"),
+                               shared_grams(F.col("hyp"), F.col("refs"), 1).alias("shared"))
+
+    def f1(m, k):
+        h, r, same = F.col("h"), F.get("sizes", k), m[0]
+        p, q = ratio(same, h), ratio(same, r)
+        value = ratio(2 * p * q, p + q)
+        if f1_if_empty:
+            value = F.when((h == 0) | (r == 0), ((h == 0) & (r == 0)).cast("double")).otherwise(value)
+        return F.coalesce(value, F.lit(0.0))
+
+    return counted.select(*keep, F.coalesce("exact", F.lit(0.0)).alias("exact"),
+                          F.coalesce(F.array_max(F.transform("shared.each", f1)), F.lit(0.0)).alias("f1"))
 
 
 def one_answer_each(predictions: DataFrame, key: str, last_by: str | None = None) -> DataFrame:

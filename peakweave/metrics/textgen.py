@@ -1,10 +1,9 @@
 """Text-generation metrics as corpus aggregates over `prediction` and `references`.
 
-The shared core is a table with one row per (text, n-gram): how often the n-gram
-occurs in the prediction and in each reference. Whole texts are placed by an identity of
-their own first, so a text's n-grams are exploded and combined in one task and need no
-further shuffle; texts of a corpus spread evenly over the tasks. A row is a text, whatever
-its id: ids may repeat or be null. `by` names columns to score groups by.
+A row is a text, whatever its id: ids may repeat or be null. The n-grams a prediction shares
+with its references are counted inside the row, on whole batches of rows, so only the raw
+texts are dealt out and only sums per group are shuffled. Where n-grams of all texts are needed
+(NIST) those of the references are rows keyed by the n-gram. `by` names columns to score groups by.
 """
 
 from __future__ import annotations
@@ -16,9 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakweave.functions import text as tx
+from peakweave.functions.ngrams import reference_grams, shared_grams
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.core import Metric, register
 from peakweave.operators.joins import join_groups
+from peakweave.session import materialize
 
 
 # --- n-gram core -----------------------------------------------------------------------------
@@ -32,27 +33,36 @@ def as_references(df: DataFrame) -> DataFrame:
     return df if "references" in df.columns else df.withColumn("references", F.array("reference"))
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows placed by a hash (`__h`) of the whole row, before they are tokenised.
+
+    The number of partitions is fixed: by the size of the raw text it would become too few for the n-grams.
+    """
+    columns = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn("__h", F.xxhash64(*columns)).repartition(partitions, "__h")
+
+
 def spread_texts(df: DataFrame) -> DataFrame:
     """Give every row an identity of its own (TEXT) and place it by that, before it is tokenised.
 
     The identity follows from the whole row, so it is the same whenever the rows are read, and
-    rows that share an id are texts of their own. All n-gram counts of a text are grouped by it
-    and more, so this one shuffle of the raw text is the only large one. Its number of
-    partitions is fixed: by the size of the raw text it would become too few for the n-grams.
+    rows that share an id are texts of their own. What is counted per text is grouped by it
+    and more, so it needs no further shuffle of the texts.
     """
     columns = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.withColumn("__h", F.xxhash64(*columns)).repartition(partitions, "__h")
     same = Window.partitionBy("__h").orderBy(*columns)
-    return placed.withColumn("__n", F.row_number().over(same))
+    return dealt(df).withColumn("__n", F.row_number().over(same))
 
 
-def tokenized(df: DataFrame, key: str, tokenizer: tx.Tokenizer, by: Sequence[str] = ()) -> DataFrame:
-    """(by, key, TEXT, hyp, refs): token arrays of the prediction and of each reference."""
-    keep = list(dict.fromkeys([*by, key]))
-    df = spread_texts(as_references(df).select(*keep, "prediction", "references"))
-    return df.select(*keep, *TEXT, tokenizer(F.col("prediction")).alias("hyp"),
-                     F.transform("references", tokenizer).alias("refs"))
+def sided(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, prediction, references); a row without a list of references is no text."""
+    return as_references(df).select(*by, "prediction", "references").filter("references is not null")
+
+
+def size_of(tokens: Column) -> Column:
+    """Number of tokens, 0 for a null side."""
+    return F.greatest(F.size(tokens), F.lit(0))
 
 
 def gram_counts(tokens: DataFrame, max_order: int, separator: str = " ", by: Sequence[str] = ()) -> DataFrame:
@@ -81,30 +91,6 @@ def _count_where(cond: Column) -> Column:
     return F.sum(F.when(cond, F.col("c")).otherwise(0))
 
 
-def gram_table(tokens: DataFrame, max_order: int, separator: str = " ", by: Sequence[str] = ()) -> DataFrame:
-    """(by, TEXT, order, gram, hyp, refs): the n-gram's count in the prediction and, per reference k, in refs.
-
-    Rows of order 0 hold the sizes of the sides.
-    """
-    per_ref = F.collect_list(F.when(F.col("k") >= 0, F.struct("k", "c")))  # one entry per reference
-    return gram_counts(tokens, max_order, separator, by).groupBy(*by, *TEXT, "order", "gram").agg(
-        _count_where(F.col("k") == -1).alias("hyp"), per_ref.alias("refs"))
-
-
-def reference_sums(table: DataFrame, orders: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
-    """(by, TEXT, k, h, r, m1 …): per reference the sizes of both sides and the n-grams they share, by order.
-
-    k = -1 stands for all references at once: there an n-gram counts as often as in the
-    reference that has it most often.
-    """
-    most = F.struct(F.lit(-1).alias("k"), F.coalesce(F.array_max(F.transform("refs", lambda x: x["c"])), F.lit(0)).alias("c"))
-    sides = table.select(*by, *TEXT, "order", "hyp", F.inline(F.array_append("refs", most)))
-    size = F.col("order") == 0
-    return sides.groupBy(*by, *TEXT, "k").agg(
-        F.max(F.when(size, F.col("hyp"))).alias("h"), F.max(F.when(size, F.col("c"))).alias("r"),
-        *[F.sum(F.when(F.col("order") == n, F.least("hyp", "c")).otherwise(0)).alias(f"m{n}") for n in orders])
-
-
 def _possible(size: Column, n: int) -> Column:
     """The n-grams of so many tokens."""
     return F.greatest(size - (n - 1), F.lit(0))
@@ -112,38 +98,32 @@ def _possible(size: Column, n: int) -> Column:
 
 def corpus_sums(df: DataFrame, key: str, max_order: int = 4, tokenizer: tx.Tokenizer = tx.tokenize_13a,
                 by: Sequence[str] = (), min_order: int = 1, best: bool = False) -> DataFrame:
-    """One row (per group) of what BLEU, sacreBLEU and GLEU are made of, from one pass over the n-grams.
+    """One row (per group) of what BLEU, sacreBLEU and GLEU are made of, from one pass over the texts.
 
     Matches m1… and possible n-grams p1… by order, sys_len, the lengths of the shortest and of the
     closest references (ties: the shorter), the least and the largest number of references. With `best`
     also what GLEU needs, the matches and the larger total of each row's best reference, orders from
-    `min_order` on; without it n-grams need no list of references.
+    `min_order` on.
     """
     orders = range(1, max_order + 1)
-    tokens = tokenized(df, key, tokenizer, by)
-    size = lambda c: F.greatest(F.size(c), F.lit(0))
-    sizes = F.transform("refs", size)
-    closest = F.array_min(F.transform(sizes, lambda s: F.struct(F.abs(s - size("hyp")).alias("gap"), s.alias("s"))))["s"]
-    about = {"h": size("hyp"), "short": F.array_min(sizes), "close": closest, "n_refs": F.size("refs")}
-    keep = [*by, *about]
-    tokens = tokens.withColumns(about)
+    tokens = dealt(sided(df, by)).select(*by, tokenizer(F.col("prediction")).alias("hyp"), F.transform("references", tokenizer).alias("refs"))
+    sizes = F.transform("refs", size_of)
+    closest = F.array_min(F.transform(sizes, lambda s: F.struct(F.abs(s - size_of(F.col("hyp"))).alias("gap"), s.alias("s"))))["s"]
+    per_text = tokens.select(
+        *by, size_of(F.col("hyp")).alias("h"), sizes.alias("sizes"), F.array_min(sizes).alias("short"), closest.alias("close"),
+        F.size("refs").alias("n_refs"), shared_grams(F.col("hyp"), F.col("refs"), max_order).alias("shared"))
+    per_text = per_text.withColumns({f"m{n}": F.col("shared.most")[n - 1] for n in orders})
     if best:
-        per_ref = reference_sums(gram_table(tokens, max_order, by=keep).withColumnRenamed("h", "__size"), orders, [
-            *by, "__size", *list(about)[1:]]).drop("h").withColumnRenamed("__size", "h")
-        k, own = F.col("k"), F.col("k") >= 0
-        hit = sum((F.col(f"m{n}") for n in orders if n >= min_order), F.lit(0))
-        total = lambda c: sum((_possible(F.col(c), n) for n in orders if n >= min_order), F.lit(0))
-        scored = per_ref.withColumns({"__tp": hit, "__all": F.greatest(total("h"), total("r"))})
+        used = [n for n in orders if n >= min_order]
+        total = lambda size: sum((_possible(size, n) for n in used), F.lit(0))
+
+        def scored(m, k):
+            hit, most = sum((m[n - 1] for n in used), F.lit(0)), F.greatest(total(F.col("h")), total(F.get("sizes", k)))
+            return F.struct(ratio(hit, most).alias("ratio"), (-k).alias("k"), hit.alias("__tp"), most.alias("__all"))
+
         # best ratio, then the earliest reference; a row without n-grams on either side has none
-        choice = F.max_by(F.struct("__tp", "__all"), F.when(own & (F.col("__all") > 0), F.struct(
-            ratio(F.col("__tp"), F.col("__all")), -k)))
-        per_text = scored.groupBy(*keep, *TEXT).agg(
-            *[F.max(F.when(~own, F.col(f"m{n}"))).alias(f"m{n}") for n in orders], choice.alias("best"))
-    else:
-        per_gram = gram_counts(tokens, max_order, by=keep).groupBy(*keep, *TEXT, "order", "gram").agg(
-            _count_where(F.col("k") == -1).alias("hyp"), F.max(F.when(F.col("k") >= 0, F.col("c")).otherwise(0)).alias("most"))
-        per_text = per_gram.groupBy(*keep, *TEXT).agg(*[
-            F.sum(F.when(F.col("order") == n, F.least("hyp", "most")).otherwise(0)).alias(f"m{n}") for n in orders])
+        options = F.filter(F.transform("shared.each", scored), lambda x: x["__all"] > 0)
+        per_text = per_text.withColumn("best", F.array_max(options))
     d = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("double")
     return per_text.groupBy(*by).agg(
         *[d(f"m{n}").alias(f"m{n}") for n in orders], *[d(_possible(F.col("h"), n)).alias(f"p{n}") for n in orders],
@@ -234,12 +214,10 @@ def google_bleu(df: DataFrame, key: str, min_len: int = 1, max_len: int = 4,
 def chrf(df: DataFrame, key: str, char_order: int = 6, word_order: int = 0, beta: int = 2, lowercase: bool = False,
          eps_smoothing: bool = False, whitespace: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Corpus chrF (chrF++ with word_order=2), each row against its best reference."""
-    df = as_references(df)
     lower = F.lower if lowercase else (lambda c: c)
 
     def chars(c):
-        c = lower(c)
-        return F.filter(F.split(c, ""), lambda x: x != "") if whitespace else tx.characters(c)
+        return lower(c) if whitespace else F.regexp_replace(lower(c), tx.SPACES, "")
 
     def word_tokens(c):
         # a punctuation mark at a word's end, else at its start, is a token of its own
@@ -254,20 +232,27 @@ def chrf(df: DataFrame, key: str, char_order: int = 6, word_order: int = 0, beta
 
         return F.flatten(F.transform(tx.words(lower(c)), parts))
 
-    kinds = [("c", chars, char_order, "")] + ([("w", word_tokens, word_order, " ")] if word_order else [])
-    stats = None
-    for name, tokenizer, order, separator in kinds:
-        orders = range(1, order + 1)
-        table = gram_table(tokenized(df, key, tokenizer, by), order, separator, by)
-        entries = F.explode(F.array(*[F.struct(
-            F.lit(f"{name}{n}").alias("order"), F.col(f"m{n}").cast("double").alias("m"),
+    kinds = [("c", chars, char_order, F.length)] + ([("w", word_tokens, word_order, F.size)] if word_order else [])
+    # a text without references has no best one
+    texts = dealt(sided(df, by).filter("size(references) > 0")).select(*by, *[c for name, tokens, _, _ in kinds for c in (
+        tokens(F.col("prediction")).alias(f"{name}_hyp"), F.transform("references", tokens).alias(f"{name}_refs"))])
+
+    def count(size):
+        return lambda c: F.greatest(F.coalesce(size(c), F.lit(0)), F.lit(0))
+
+    texts = texts.select(*by, *[c for name, _, order, size in kinds for c in (
+        count(size)(F.col(f"{name}_hyp")).alias(f"{name}_h"), F.transform(f"{name}_refs", count(size)).alias(f"{name}_r"),
+        shared_grams(F.col(f"{name}_hyp"), F.col(f"{name}_refs"), order, name == "c").alias(f"{name}_shared"))])
+
+    def entries(k):
+        """Shared, predicted and reference n-grams against reference k, by order."""
+        return F.array(*[F.struct(
+            F.get(f"{name}_shared.each", k)[n - 1].cast("double").alias("m"),
             # without reference n-grams of this order the prediction's do not count either
-            F.when(F.col("r") >= n, _possible(F.col("h"), n)).otherwise(0).cast("double").alias("h"),
-            _possible(F.col("r"), n).cast("double").alias("r")) for n in orders]))
-        part = reference_sums(table, orders, by).filter("k >= 0").select(*by, *TEXT, "k", entries.alias("e")).select(
-            *by, *TEXT, "k", "e.*")
-        stats = part if stats is None else stats.unionByName(part)
-    orders = [f"{name}{i}" for name, _, order, _ in kinds for i in range(1, order + 1)]
+            F.when(F.get(f"{name}_r", k) >= n, _possible(F.col(f"{name}_h"), n)).otherwise(0).cast("double").alias("h"),
+            _possible(F.get(f"{name}_r", k), n).cast("double").alias("r")) for name, _, order, _ in kinds for n in range(1, order + 1)])
+
+    orders = range(sum(order for _, _, order, _ in kinds))
     factor = beta ** 2
 
     def smoothed(entries):
@@ -290,11 +275,12 @@ def chrf(df: DataFrame, key: str, char_order: int = 6, word_order: int = 0, beta
         return F.when(p + r > 0, 100 * (1 + factor) * p * r / (factor * p + r)).otherwise(0.0)
 
     score = smoothed if eps_smoothing else effective
-    entry = F.collect_list(F.struct("order", "m", "h", "r"))  # one entry per n-gram order
-    per_ref = stats.groupBy(*by, *TEXT, "k").agg(entry.alias("e")).withColumn("s", score(F.col("e")))
-    best = per_ref.groupBy(*by, *TEXT).agg(F.max_by("e", F.struct("s", -F.col("k"))).alias("e"))
-    corpus = best.select(*by, F.inline("e")).groupBy(*by, "order").agg(*[F.sum(c).alias(c) for c in "mhr"])
-    return corpus.groupBy(*by).agg(entry.alias("e")).select(
+    per_ref = texts.select(*by, F.transform("c_r", lambda _, k: F.struct((-k).alias("k"), entries(k).alias("e"))).alias("refs"))
+    best = per_ref.select(*by, F.array_max(F.transform("refs", lambda x: F.struct(
+        score(x["e"]).alias("s"), x["k"].alias("k"), x["e"].alias("e"))))["e"].alias("e"))
+    corpus = best.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("e")[i][c]).alias(f"{c}{i}") for i in orders for c in "mhr"])
+    sums = F.array(*[F.struct(*[F.col(f"{c}{i}").alias(c) for c in "mhr"]) for i in orders])
+    return corpus.withColumn("e", F.when(F.col("n") > 0, sums).otherwise(F.slice(sums, 1, 0))).select(
         *by, score(F.col("e")).alias("score"), F.lit(char_order).alias("char_order"),
         F.lit(word_order).alias("word_order"), F.lit(beta).alias("beta"))
 
@@ -316,7 +302,10 @@ def rouge_rows(df: DataFrame, key: str, types: Sequence[str] = ("rouge1", "rouge
     orders = sorted(int(t[5:]) for t in types if t[5:].isdigit())
     scores = None
     if orders:
-        scores = reference_sums(gram_table(tokens, max(orders), by=keep), orders, keep).filter("k >= 0")
+        shared = shared_grams(F.col("hyp"), F.col("refs"), max(orders)).alias("shared")
+        scores = tokens.select(*keep, *TEXT, size_of(F.col("hyp")).alias("h"), F.transform("refs", size_of).alias("sizes"), shared).select(
+            *keep, *TEXT, "h", "sizes", F.posexplode("shared.each").alias("k", "m")).select(
+            *keep, *TEXT, "k", "h", F.get("sizes", F.col("k")).alias("r"), *[F.col("m")[n - 1].alias(f"m{n}") for n in orders])
     if "rougeL" in types or not orders:
         flat = tokens.select(*keep, *TEXT, F.col("hyp"), F.posexplode("refs").alias("k", "ref"))
         lcs = flat.select(*keep, *TEXT, "k", F.size("hyp").alias("h"), F.size("ref").alias("r"),
@@ -444,34 +433,72 @@ def wiki_split(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
 
 # --- NIST ------------------------------------------------------------------------------------
 
+def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on n-grams, sorted by a hash of the keys first: it settles nearly all comparisons of strings."""
+    first = F.xxhash64(*keys)
+    return join_groups(left.withColumn("__first", first), right.withColumn("__first", first), ["__first", *keys], how).drop("__first")
+
+
+
 def nist(df: DataFrame, key: str, n: int = 5, tokenizer: tx.Tokenizer = tx.tokenize_13a, by: Sequence[str] = ()) -> DataFrame:
     """Information-weighted n-gram precision with the NIST length penalty.
 
     Information is log2(count of the n-gram's prefix / count of the n-gram) over all
     references (of a group); both tables are keyed by n-gram, so the lookups are plain hash joins.
+    What a text with one reference gains is added up per n-gram before; a text with several
+    looks its shared n-grams up and takes, by order, the reference that gains it most.
     """
-    by = list(by)
-    table = gram_table(tokenized(df, key, tokenizer, by), n, by=by)
-    in_refs = F.aggregate("refs", F.lit(0).cast("long"), lambda acc, r: acc + r["c"])
-    # the row of order 0 is the number of words, which stands in for the prefix of a single word
-    corpus = table.groupBy(*by, "order", "gram").agg(F.sum(in_refs).alias("count")).filter("count > 0")
-    last = F.when(F.col("order") > 1, F.expr("substring(gram, 1, length(gram) - length(substring_index(gram, ' ', -1)) - 1)")).otherwise("")
-    shorter = corpus.select(*by, (F.col("order") + 1).alias("order"), F.col("gram").alias("__prefix"), F.col("count").alias("before"))
-    info = join_groups(corpus.filter("order > 0").withColumn("__prefix", last), shorter, [*by, "order", "__prefix"]).select(
-        *by, "order", "gram", F.log2(F.col("before") / F.col("count")).alias("info"))
-    sides = table.select(*by, *TEXT, "order", "gram", "hyp", F.inline("refs"))
-    sizes = sides.filter("order = 0").select(*by, *TEXT, "k", F.col("hyp").alias("hyp_len"), F.col("c").alias("ref_len"))
-    hits = join_groups(sides.filter("order > 0 AND hyp > 0"), info, [*by, "order", "gram"])
-    per_ref = hits.groupBy(*TEXT, "k", "order").agg(F.sum(F.col("info") * F.least("hyp", "c")).alias("gain"))
-    scored = sizes.withColumn("order", F.explode(F.sequence(F.lit(1), F.lit(n)))).join(per_ref, [*TEXT, "k", "order"], "left").select(
-        *by, *TEXT, "order", "k", "hyp_len", "ref_len",
-        F.greatest(F.col("hyp_len") - (F.col("order") - 1), F.lit(0)).alias("den"), F.coalesce("gain", F.lit(0.0)).alias("gain"))
-    best = scored.groupBy(*by, *TEXT, "order").agg(F.max_by(
+    by, orders = list(by), range(1, n + 1)
+
+    def spelled(rows, keep):
+        """Per text and order the n-grams of the references, and a row without n-gram for the sizes."""
+        tokens = rows.select(*keep, tokenizer(F.col("prediction")).alias("hyp"), F.transform("references", tokenizer).alias("refs"))
+        found = tokens.select(*keep, size_of(F.col("hyp")).alias("hyp_len"), F.transform("refs", size_of).alias("sizes"),
+                              reference_grams(F.col("hyp"), F.col("refs"), n).alias("grams"))
+        every = F.transform("sizes", lambda _, k: F.struct(k.alias("k"), F.lit(0).cast("long").alias("n")))
+        words = F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)
+        sizes = F.array(*[F.struct(F.lit(i).alias("order"), F.lit(None).cast("string").alias("gram"), words.alias("n"), every.alias("hits"))
+                          for i in orders])
+        return found.select(*keep, "hyp_len", "sizes", F.inline(F.concat(sizes, F.col("grams"))))
+
+    den = F.greatest(F.col("hyp_len") - (F.col("order") - 1), F.lit(0))
+    single = lambda c: F.sum(F.when(F.size("sizes") == 1, c))
+    about = lambda c: single(F.when(F.col("gram").isNull(), c))
+    corpus = materialize(spelled(dealt(sided(df, by)), by).groupBy(*by, "order", "gram").agg(
+        F.sum("n").alias("count"), single(F.get("hits", F.lit(0))["n"]).alias("hits"),
+        about(den).alias("den"), about(F.col("hyp_len")).alias("h"), about(F.get("sizes", F.lit(0))).alias("r")))
+    grams = corpus.filter("gram is not null").select(*by, "order", "gram", "count", "hits")
+    # a single word's prefix stands for all words
+    prefix = F.expr("substring(gram, 1, length(gram) - length(substring_index(gram, ' ', -1)) - 1)")
+    words = corpus.filter("gram is null AND order = 1").select(*by, F.col("count").alias("before"))
+    shorter = grams.select(*by, (F.col("order") + 1).alias("order"), F.col("gram").alias("__prefix"), F.col("count").alias("before"))
+    columns = [*by, "order", "gram", "hits", F.log2(F.col("before") / F.col("count")).alias("info")]
+    info = join_groups(grams.filter("order = 1"), words, by).select(*columns).unionByName(
+        _meet(grams.filter("order > 1").withColumn("__prefix", prefix), shorter, [*by, "order", "__prefix"]).select(*columns))
+    info = materialize(info)
+    zero = F.lit(0.0)
+    # texts with one reference: sizes by order, and what their n-grams gain
+    alone = corpus.filter("den is not null").select(*by, "order", zero.alias("gain"), F.col("den").cast("double").alias("den"), "h", "r")
+    gains = info.filter("hits > 0").groupBy(*by, "order").agg(F.sum(F.col("info") * F.col("hits")).alias("gain")).select(
+        *by, "order", "gain", zero.alias("den"), F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("r"))
+    # the others meet what each n-gram gains; their rows of sizes meet nothing, each under a key of its own
+    several = spelled(spread_texts(sided(df, by)).filter("size(references) > 1"), [*by, *TEXT]).filter("size(hits) > 0").withColumns({
+        "sizes": F.when(F.col("gram").isNull(), F.col("sizes")),
+        "__order": F.when(F.col("gram").isNull(), -F.col("order")).otherwise(F.col("order")),
+        "__gram": F.coalesce("gram", F.col("__h").cast("string"))})
+    known = info.select(*by, F.col("order").alias("__order"), F.col("gram").alias("__gram"), "info")
+    hits = _meet(several, known, [*by, "__order", "__gram"], "left").select(
+        *by, *TEXT, "order", F.when(F.col("gram").isNull(), F.col("hyp_len")).alias("hyp_len"),
+        "sizes", F.coalesce("info", zero).alias("info"), F.inline("hits"))
+    per_ref = hits.groupBy(*by, *TEXT, "order", "k").agg(
+        F.max("hyp_len").alias("hyp_len"), F.max(F.get("sizes", F.col("k"))).alias("ref_len"), F.sum(F.col("info") * F.col("n")).alias("gain"))
+    best = per_ref.withColumn("den", den).groupBy(*by, *TEXT, "order").agg(F.max_by(
         F.struct("gain", "den", "hyp_len", "ref_len"),
         F.struct(ratio(F.col("gain"), F.col("den")), "gain", "den", "ref_len")).alias("b"))
-    sums = best.groupBy(*by, "order").agg(F.sum("b.gain").alias("gain"), F.sum("b.den").alias("den"),
-                                          F.sum("b.hyp_len").alias("h"), F.sum("b.ref_len").alias("r"))
+    chosen = best.groupBy(*by, "order").agg(F.sum("b.gain").alias("gain"), F.sum("b.den").cast("double").alias("den"),
+                                            F.sum("b.hyp_len").alias("h"), F.sum("b.ref_len").alias("r"))
+    total = alone.unionByName(gains).unionByName(chosen).groupBy(*by, "order").agg(*[F.sum(c).alias(c) for c in ("gain", "den", "h", "r")])
     log_ratio = F.log(F.sum("h") / F.sum("r"))
     beta = F.log(F.lit(0.5)) / F.pow(F.log(F.lit(1.5)), F.lit(2))
     penalty = F.when(log_ratio < 0, F.exp(beta * log_ratio * log_ratio)).otherwise(1.0)
-    return sums.groupBy(*by).agg((F.sum(ratio(F.col("gain"), F.col("den"))) * penalty).alias("nist_mt"))
+    return total.groupBy(*by).agg((F.sum(ratio(F.col("gain"), F.col("den"))) * penalty).alias("nist_mt"))
