@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,10 +119,15 @@ def edit_counts(a, b) -> int:
     return int(row[-1])
 
 
-@F.pandas_udf(T.LongType())
-def word_edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+def _pairwise(count: Callable, a: pa.Array, b: pa.Array) -> pa.Array:
+    """`count` of each pair of lists; only one pair at a time stands as Python objects."""
+    return pa.array([count(x.as_py(), y.as_py()) for x, y in zip(a, b)], pa.int64())
+
+
+@F.arrow_udf(T.LongType())
+def word_edit_distance(a: pa.Array, b: pa.Array) -> pa.Array:
     """Edit distance over two token-array columns."""
-    return pd.Series([edit_counts(list(x), list(y)) for x, y in zip(a, b)], dtype="int64")
+    return _pairwise(edit_counts, a, b)
 
 
 def _lcs_rows(a, b):
@@ -147,9 +152,9 @@ def lcs_size(a, b) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf(T.LongType())
-def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([lcs_size(list(x), list(y)) for x, y in zip(a, b)], dtype="int64")
+@F.arrow_udf(T.LongType())
+def lcs_length(a: pa.Array, b: pa.Array) -> pa.Array:
+    return _pairwise(lcs_size, a, b)
 
 
 def _lcs_positions(ref, hyp) -> set[int]:
@@ -194,6 +199,6 @@ def union_lcs_hits(ref_sentences, hyp_sentences) -> int:
     return hits
 
 
-@F.pandas_udf(T.LongType())
-def summary_lcs_hits(ref: pd.Series, hyp: pd.Series) -> pd.Series:
-    return pd.Series([union_lcs_hits(r, h) for r, h in zip(ref, hyp)], dtype="int64")
+@F.arrow_udf(T.LongType())
+def summary_lcs_hits(ref: pa.Array, hyp: pa.Array) -> pa.Array:
+    return _pairwise(union_lcs_hits, ref, hyp)
