@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from peakweave.functions.numeric import ratio
 from peakweave.operators.joins import join_groups
-from peakweave.operators.ordering import lag_difference, ordered_scan
+from peakweave.operators.ordering import ordered_scan
 from peakweave.operators.quantiles import group_quantiles
 from peakweave.operators.spectral import fourier, high_frequency_share, low_pass
 from peakweave.session import materialize
@@ -62,8 +62,10 @@ def online_reliability(df: DataFrame, eval_points: Sequence[int] = EVAL_POINTS,
     """
     df = materialize(df.select("run", "t", F.col("value").cast("double").alias("value")))
     base = materialize(curve_range(df))
-    diffs = materialize(lag_difference(df, "value", ["t"], 1, ["run"], "d").select("run", "t", "d"))
+    # one sort gives the places, the peaks and, by the place before, the changes
     placed = materialize(ordered_scan(df, ["t"], ["run"], index="i", maxima={"peak": "value"}))
+    past = placed.select("run", (F.col("i") + 1).alias("i"), F.col("value").alias("__past"))
+    diffs = materialize(join_groups(placed, past, ["run", "i"]).select("run", "t", (F.col("value") - F.col("__past")).alias("d")))
 
     def scaled(frame, names):
         """Means over all runs (and windows) of the named columns in units of the run's range."""
