@@ -28,12 +28,11 @@ def auc(df: DataFrame, keys: Sequence[str] = (), max_fpr: float | None = None) -
     negative = F.sum(F.when(F.col("positive"), 0.0).otherwise(F.col("w")))
     steps = df.groupBy(*keys, "score").agg(positive.alias("dp"), negative.alias("dn"))
     swept = ordered_scan(steps, [F.col("score").desc()], keys, sums={"cp": "dp", "cn": "dn"})
-    totals = steps.groupBy(*keys).agg(F.sum("dp").alias("np"), F.sum("dn").alias("nn"))
-    swept = join_groups(swept, totals, keys)
     if max_fpr is None or max_fpr == 1:
         area = F.sum(F.col("dn") * (F.col("cp") - F.col("dp") / 2))
-        return swept.groupBy(*keys).agg(
-            ratio(area, F.first("np") * F.first("nn"), None).alias("roc_auc"))
+        return swept.groupBy(*keys).agg(ratio(area, F.sum("dp") * F.sum("dn"), None).alias("roc_auc"))
+    totals = swept.groupBy(*keys).agg(F.sum("dp").alias("np"), F.sum("dn").alias("nn"))
+    swept = join_groups(swept, totals, keys)
     # the step runs from (x0, y0) to (x1, y1); only its part left of max_fpr counts
     x0 = ratio(F.col("cn") - F.col("dn"), F.col("nn"), None)
     x1 = ratio(F.col("cn"), F.col("nn"), None)

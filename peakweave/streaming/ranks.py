@@ -1,14 +1,15 @@
 """Rank metrics of a stream: Spearman correlation and ROC AUC, exact at every epoch.
 
 Both follow from how often each (prediction, reference) pair occurred. The counts are
-keyed state: a pair belongs to one of `slots` slots of its group, and a slot holds its
-pairs in sorted runs, one per level. A micro-batch becomes a run of level 0; where a level
-is taken, the two runs are merged into one of the next level, as a binary counter
-carries. So a pair is rewritten once per doubling of its slot, a group of any size is
-spread over its slots, and no state value holds more than a slot's share.
-
-The stream hands on only the levels that changed; the newest version of each level,
-found from the narrow columns of the epochs, is the whole count table.
+keyed state: a pair belongs to one of `slots` slots of its group and there to one part, and
+a part holds its pairs in sorted runs, one per level. A micro-batch becomes a run of level 0;
+where a level is taken, the two runs are merged into one of the next level, as a binary
+counter carries. So a pair is rewritten once per doubling of its part, a group of any size is
+spread over at least SPREAD parts, and no state value holds more than a part's share. A run
+stands in the state as the bytes of its three columns.
+
+The stream hands on only the levels that changed, a row per pair; the newest version of each
+level, found from the narrow columns of the epochs, is the whole count table.
 """
 
 from __future__ import annotations
@@ -24,9 +25,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from peakweave.operators.joins import join_groups
+from peakweave.session import store
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-RUN = "p array<double>, r array<double>, n array<bigint>"
+RUN = "p binary, r binary, n binary"
+PAIR = "p double, r double, n bigint"
+KINDS = (np.dtype("<f8"), np.dtype("<f8"), np.dtype("<i8"))
+#: State keys of a group, at least, however few its slots are.
+SPREAD = 128
 
 
 def merged(*runs: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,7 +53,7 @@ def _runs(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarr
 
 
 class SortedRuns(StatefulProcessor):
-    """The state of one slot: a run per occupied level."""
+    """The state of one part of a slot: a run per occupied level."""
 
     def __init__(self, keys: Sequence[str]):
         self.keys = list(keys)
@@ -59,15 +65,20 @@ class SortedRuns(StatefulProcessor):
         run, level, emptied = merged(*_runs(rows)), 0, []
         while self.levels.containsKey((level,)):
             held = self.levels.getValue((level,))
-            run = merged(tuple(np.asarray(c, dtype=t) for c, t in zip(held, (float, float, np.int64))), run)
+            run = merged(tuple(np.frombuffer(c, dtype=t) for c, t in zip(held, KINDS)), run)
             self.levels.removeKey((level,))
             emptied.append(level)
             level += 1
-        lists = [c.tolist() for c in run]
-        self.levels.updateValue((level,), tuple(lists))
-        named = dict(zip([*self.keys, "slot"], key))
-        rows_out = [{**named, "level": e, "p": None, "r": None, "n": None} for e in emptied]
-        yield pd.DataFrame([*rows_out, {**named, "level": level, **dict(zip("prn", lists))}])
+        self.levels.updateValue((level,), tuple(c.astype(t).tobytes() for c, t in zip(run, KINDS)))
+        place = dict(zip([*self.keys, "slot", "part"], key))
+        gone = len(emptied)
+        # first a row without a count for each level that was emptied, then the pairs
+        yield pd.DataFrame({
+            **{k: pd.Series([v] * (gone + len(run[2])), dtype=object if v is None else None) for k, v in place.items()},
+            "level": np.concatenate([np.array(emptied, dtype=int), np.full(len(run[2]), level)]),
+            "p": np.concatenate([np.full(gone, np.nan), run[0]]), "r": np.concatenate([np.full(gone, np.nan), run[1]]),
+            "n": pd.Series(pd.array(np.concatenate([np.zeros(gone, dtype=np.int64), run[2]]), dtype="Int64")).mask(
+                np.arange(gone + len(run[2])) < gone)})
 
     def close(self) -> None:
         pass
@@ -83,7 +94,7 @@ def accumulate_pairs(stream: DataFrame, directory: str, checkpoint: str, group_b
     """
     spark = stream.sparkSession
     keys = list(group_by)
-    taken = {"slot", "level", "p", "r", "n"} & set(keys)
+    taken = {"slot", "part", "level", "p", "r", "n"} & set(keys)
     if taken:
         raise ValueError(f"group columns cannot be named {sorted(taken)}")
     kinds = [f for f in stream.schema.fields if f.name in keys]
@@ -101,10 +112,11 @@ def accumulate_pairs(stream: DataFrame, directory: str, checkpoint: str, group_b
     bits = [F.col("p").isNull(), F.col("r").isNull(), F.coalesce(F.isnan("p"), F.lit(False)), F.coalesce(F.isnan("r"), F.lit(False))]
     gaps = sum((b.cast("int") * (1 << k) for k, b in enumerate(bits)), F.lit(0))
     counted = pairs.withColumn("gaps", gaps).mapInPandas(added, narrow)
-    slot = F.pmod(F.xxhash64("p", "r"), F.lit(slots)).cast("int")
-    state = T.StructType([*kinds, T.StructField("gaps", T.IntegerType()), T.StructField("slot", T.IntegerType()),
-                          T.StructField("level", T.IntegerType()), *T._parse_datatype_string(RUN).fields])
-    runs = counted.withColumn("slot", slot).groupBy(*names, "gaps", "slot").transformWithStateInPandas(
+    places = {"slot": F.pmod(F.xxhash64("p", "r"), F.lit(slots)).cast("int"),
+              "part": F.pmod(F.xxhash64(F.lit("part"), "p", "r"), F.lit(-(-SPREAD // slots))).cast("int")}
+    state = T.StructType([*kinds, *[T.StructField(c, T.IntegerType()) for c in ("gaps", "slot", "part", "level")],
+                          *T._parse_datatype_string(PAIR).fields])
+    runs = counted.withColumns(places).groupBy(*names, "gaps", "slot", "part").transformWithStateInPandas(
         SortedRuns([*names, "gaps"]), state, "Update", "none")
 
     def publish(batch: DataFrame, epoch: int) -> None:
@@ -123,21 +135,29 @@ def accumulate_pairs(stream: DataFrame, directory: str, checkpoint: str, group_b
             spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
 
 
-def counted_pairs(spark: SparkSession, directory: str, group_by: Sequence[str] = ()) -> DataFrame:
-    """(group, prediction, reference, n): the pairs of all epochs written so far."""
-    keys = list(group_by)
+def _held_pairs(spark: SparkSession, directory: str, keys: list[str]) -> DataFrame:
+    """(group, prediction, reference, n) of the newest runs; a pair may stand in runs of several levels."""
     epochs = spark.read.parquet(directory)
-    place = [*keys, "gaps", "slot", "level"]
-    newest = epochs.groupBy(*place).agg(F.max("epoch").alias("epoch"))
-    runs = join_groups(epochs, newest, [*place, "epoch"]).filter("n is not null")
-    rows = runs.select(*keys, "gaps", F.explode(F.arrays_zip("p", "r", "n")).alias("x"))
+    place = [*keys, "gaps", "slot", "part", "level"]
+    # a row per run: stored, so that its size is known to the join
+    newest = store(epochs.groupBy(*place).agg(F.max("epoch").alias("epoch")), "newest-runs")
+    rows = join_groups(epochs.filter("n is not null"), newest, [*place, "epoch"])
 
     def value(c: str, k: int):
         has = lambda bit: F.col("gaps").bitwiseAND(F.lit(1 << bit)) > 0
-        return F.when(has(k + 2), F.lit(float("nan"))).when(~has(k), F.col(f"x.{c}"))
+        return F.when(has(k + 2), F.lit(float("nan"))).when(~has(k), F.col(c))
+
+    return rows.select(*keys, value("p", 0).alias("prediction"), value("r", 1).alias("reference"), "n")
+
+
+def counted_pairs(spark: SparkSession, directory: str, group_by: Sequence[str] = ()) -> DataFrame:
+    """(group, prediction, reference, n): the pairs of all epochs written so far."""
+    keys = list(group_by)
+    return _summed(_held_pairs(spark, directory, keys), keys)
+
 
-    return rows.select(*keys, value("p", 0).alias("prediction"), value("r", 1).alias("reference"), F.col("x.n").alias("n")).groupBy(
-        *keys, "prediction", "reference").agg(F.sum("n").alias("n"))
+def _summed(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    return pairs.groupBy(*keys, "prediction", "reference").agg(F.sum("n").alias("n"))
 
 
 def rank_metrics(spark: SparkSession, directory: str, metrics: Sequence[str] = ("spearmanr",),
@@ -147,12 +167,13 @@ def rank_metrics(spark: SparkSession, directory: str, metrics: Sequence[str] = (
     from peakweave.metrics.regression import rank_correlation
 
     keys = list(group_by)
-    pairs = counted_pairs(spark, directory, keys)
+    pairs = _held_pairs(spark, directory, keys)
     out = None
     for name in metrics:
         if name == "spearmanr":
-            part = rank_correlation(pairs, keys, weight="n")
+            part = rank_correlation(_summed(pairs, keys), keys, weight="n")
         elif name == "roc_auc":
+            # the sweep adds up equal scores itself
             part = auc(pairs.select(*keys, F.col("prediction").alias("score"), (F.col("reference") == F.lit(pos_label)).alias("positive"),
                                     F.col("n").cast("double").alias("w")), keys)
         else:

@@ -58,3 +58,18 @@ def test_merging_runs():
     b = ranks.merged(a, (np.array([0.0, np.nan]), np.array([-0.0, 1.0]), np.array([5, 5])))
     assert b[0].tolist()[:2] == [0.0, 2.0] and np.isnan(b[0][2]) and b[2].tolist() == [8, 1, 7]
     assert [len(c) for c in ranks.merged((np.zeros(0), np.zeros(0), np.zeros(0, dtype=np.int64)))] == [0, 0, 0]
+
+
+def test_few_slots_are_spread_over_parts(spark, tmp_path):
+    """However few the slots, a group's state is dealt over many keys, and the stream hands on plain rows."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [(float(i), float(i % 2), "a") for i in range(2000)]
+    for part in (rows[:1000], rows[1000:]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    ranks.accumulate_pairs(jobs.read_parquet_stream(spark, source, SCHEMA, files_per_batch=1), out, out + "-c", slots=2).awaitTermination()
+    runs = spark.read.parquet(out)
+    assert dict(runs.dtypes)["p"] == "double"
+    sizes = [r["count"] for r in runs.filter("n is not null and level = 1").groupBy("slot", "part").count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) > 100 and max(sizes) < 60
+    # (prediction, reference) alternate, so AUC is 1000 * 1001 / 2 of the pairs
+    assert ranks.rank_metrics(spark, out, ["roc_auc"]).first().roc_auc == pytest.approx(1001 / 2000)
