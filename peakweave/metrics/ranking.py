@@ -265,7 +265,7 @@ def precision_at_k(left: DataFrame, right: DataFrame, id_column: str = "id", vec
     Rows without a partner do not count. Equal distances order by id.
     """
     a, b = (centered(df.select(F.col(id_column).alias("id"), F.col(vector).alias("embedding"))) for df in (left, right))
-    found = nearest(a, b, k, stripe=stripe).join(b.select("id"), "id", "left_semi")
+    found = nearest(a, b, k, stripe=stripe).join(right.select(F.col(id_column).alias("id")), "id", "left_semi")
     hit = F.exists("near", lambda n: n["id"] == F.col("id"))
     return found.agg(F.avg(hit.cast("double")).alias(f"precision@{k}"))
 

@@ -2,15 +2,18 @@
 
 Vectors have unit length, so the cosine distance orders like the distance in space and
 the triangle inequality can rule rows out. The right rows fall into cells around pivots.
-A left row first meets the cells nearest to it that hold k rows; its k-th distance there
-is a bound, and of the other cells it then meets only those that reach inside the bound:
-a cell whose pivot is farther than the bound plus the cell's radius has no neighbour of it.
-Where vectors form clusters a row meets a few cells, whatever their number.
-
-A cell is cut by hash into stripes of about STRIPE rows, and so are the left rows that
-meet it, so a task gets two stripes; it multiplies them block by block and returns per
-left row its k nearest only. The lists of a row, one per stripe it met, are merged by an
-aggregate that never holds more than k of each.
+A left row first meets right rows of its own cell; its k-th distance there is a bound, and
+of all cells it then meets only those that reach inside the bound: a cell whose pivot is
+farther than the bound plus the cell's radius has no neighbour of it. Where vectors form
+clusters a row meets a few cells, whatever their number.
+
+Rows are not sent to cells but to blocks: several small cells, or a stripe of a large one.
+A left row goes once to each block with a cell it must meet, so it is sent at most GRID times
+until blocks reach STRIPE rows, and never more often than there are blocks. The left rows of
+a block are cut by hash as well, so a task gets two lots of at most STRIPE rows. It walks
+through its cells, multiplies a cell with the rows that must meet it, and looks closer only
+at products inside the bound. The lists of a row, one per block, are merged by an aggregate
+that never holds more than k of each.
 """
 
 from __future__ import annotations
@@ -28,8 +31,14 @@ from peakweave.session import materialize
 
 #: Cells at most; the pivots are a bounded table.
 CELLS = 256
-STRIPE = 8192
+#: Rows of one side in a task at most, and at least where that leaves more than one task.
+STRIPE = 65536
+LEAST = 2048
+#: Blocks per side as long as they stay below STRIPE rows.
+GRID = 12
 BLOCK = 1024
+#: Right rows multiplied at once.
+WIDTH = 8192
 #: Distances are compared at this many decimals, so that equal ones order by id.
 DIGITS = 12
 
@@ -76,49 +85,117 @@ def _with_cells(rows: DataFrame, visits, schema: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _nearest_in_group(k: int, digits: int, skip_self: bool):
-    """For the rows of one pair of stripes: per left row the ids and distances of its k nearest right rows."""
+def _best(row: np.ndarray, value: np.ndarray, col: np.ndarray, k: int) -> np.ndarray:
+    """The places of each row's k entries that come first by (value, col), in that order."""
+    order = np.lexsort((col, value, row))
+    at = row[order]
+    return order[np.arange(len(at)) - np.searchsorted(at, at, side="left") < k]
+
+
+def _closest(x: np.ndarray, y: np.ndarray, rank: np.ndarray, own: np.ndarray, bound: np.ndarray, k: int, digits: int,
+             pieces: list[tuple[int, int, np.ndarray | None]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, value, rank): per row of x its k nearest of y inside its bound; equal distances order by `rank` of y.
+
+    A piece is a run of y, in the order of ranks, and the rows of x that meet it (None: all).
+    `own` is the place in y of the row itself, to be left out, or -1.
+    """
+    margin = 10.0**-digits
+    floor = 1 - bound - margin
+    found = [(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=np.int64))]
+    held = 0
+    for start, stop, rows in pieces:
+        for at in range(start, stop, WIDTH):
+            end = min(at + WIDTH, stop)
+            near = x if rows is None else x[rows]
+            s = near @ y[at:end].T
+            mine = own if rows is None else own[rows]
+            self_rows = np.flatnonzero((mine >= at) & (mine < end))
+            s[self_rows, mine[self_rows] - at] = -np.inf
+            hit = s >= (floor if rows is None else floor[rows])[:, None]
+            some = np.count_nonzero(hit)
+            if not some:
+                continue
+            if some > 4 * k * len(near) and some > hit.size // 32:
+                # many inside the bound: the first k by (distance, place) of this piece only
+                far = np.round(1 - s, digits)
+                col = np.argsort(far, axis=1, kind="stable")[:, :k]
+                row, col = np.repeat(np.arange(len(near)), col.shape[1]), col.ravel()
+                value = far[row, col]
+            else:
+                row, col = np.nonzero(hit)
+                value = np.round(1 - s[row, col], digits)
+            inside = np.isfinite(value)
+            row, col, value = row[inside], col[inside], value[inside]
+            found.append((row if rows is None else rows[row], value, rank[col + at]))
+            held += len(row)
+            if held > 8 * k * len(x):
+                found = [_trimmed(found, k)]
+                row, value, _ = found[0]
+                held = len(row)
+                full = np.flatnonzero(np.bincount(row, minlength=len(x)) == k)
+                last = np.searchsorted(row, full, side="right") - 1
+                floor[full] = np.maximum(floor[full], 1 - value[last] - margin)
+    return _trimmed(found, k)
+
+
+def _trimmed(found: list, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    row, value, col = (np.concatenate(c) for c in zip(*found))
+    best = _best(row, value, col, k)
+    return row[best], value[best], col[best]
+
+
+def _nearest_in_group(k: int, digits: int, skip_self: bool, pivots: np.ndarray, radius: np.ndarray):
+    """For the rows of one block: per left row the ids and distances of its k nearest right rows inside its bound.
+
+    The right rows stand in the order of their cells (-1: any left row meets them); a left row without a bound meets all.
+    """
 
     def run(group: pa.Table) -> pa.Table:
-        right = group.filter(pc.equal(group.column("side"), 1))
+        right = group.filter(pc.equal(group.column("side"), 1)).sort_by([("id", "ascending")])
         left = group.filter(pc.equal(group.column("side"), 0))
         ids = right.column("id").combine_chunks()
-        # equal distances order by id, so columns stand in the order of their ids
-        order = pc.sort_indices(ids)
-        ids = ids.take(order)
-        lists, apart = [], []
+        lists, apart, counts = [ids.slice(0, 0)], [np.zeros(0)], [np.zeros(0, dtype=int)]
         if left.num_rows and right.num_rows:
-            y = _matrix(right.column("v").take(order))
-            mine = pc.index_in(left.column("id"), value_set=ids).to_numpy(zero_copy_only=False) if skip_self else None
+            # equal distances order by id: y stands by cell, and `by_cell` has the ranks of its ids
+            cells = right.column("cell").to_numpy()
+            by_cell = np.argsort(cells, kind="stable")
+            y = _matrix(right.column("v"))[by_cell]
+            edges = np.flatnonzero(np.diff(cells[by_cell], prepend=-2))
+            runs = list(zip(cells[by_cell][edges], edges, [*edges[1:], len(y)]))
+            back = np.argsort(by_cell)
+            mine = np.full(left.num_rows, -1)
+            if skip_self:
+                known = pc.index_in(left.column("id"), value_set=ids).to_numpy(zero_copy_only=False).astype(float)
+                mine[~np.isnan(known)] = back[known[~np.isnan(known)].astype(int)]
             x = _matrix(left.column("v"))
+            bounds = left.column("bound").to_numpy(zero_copy_only=False).astype(float)
+            bounds = np.where(np.isnan(bounds), np.inf, bounds)
             for at in range(0, len(x), BLOCK):
-                far = np.round(1 - x[at : at + BLOCK] @ y.T, digits)
-                if skip_self:
-                    own = np.asarray(mine[at : at + BLOCK], dtype=float)
-                    known = np.flatnonzero(~np.isnan(own))
-                    far[known, own[known].astype(int)] = np.inf
-                n = min(k, far.shape[1])
-                # everything up to the n-th distance, then by (distance, place): ties at the cut are not lost
-                cut = np.partition(far, n - 1, axis=1)[:, n - 1]
-                row, col = np.nonzero(far <= cut[:, None])
-                value = far[row, col]
-                best = np.lexsort((col, value, row))
-                row, col, value = row[best], col[best], value[best]
-                rank = np.arange(len(row)) - np.searchsorted(row, row, side="left")
-                keep = (rank < n) & np.isfinite(value)
-                counts = np.bincount(row[keep], minlength=len(far))
-                lists.append((ids.take(pa.array(col[keep])), counts))
-                apart.append(value[keep])
-        counts = np.concatenate([c for _, c in lists]) if lists else np.zeros(left.num_rows, dtype=int)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-        values = pa.concat_arrays([i for i, _ in lists]) if lists else ids.slice(0, 0)
-        structs = pa.StructArray.from_arrays(
-            [pa.array(np.concatenate(apart) if apart else np.zeros(0)), values], names=["distance", "id"])
+                part, bound = x[at : at + BLOCK], bounds[at : at + BLOCK]
+                meets = _reached(part, bound, pivots, radius, digits)
+                pieces = []
+                for cell, start, stop in runs:
+                    rows = None if cell < 0 or meets[:, cell].all() else np.flatnonzero(meets[:, cell])
+                    if rows is None or len(rows):
+                        pieces.append((start, stop, rows))
+                row, value, rank = _closest(part, y, by_cell, mine[at : at + BLOCK], bound, k, digits, pieces)
+                lists.append(ids.take(pa.array(rank)))
+                apart.append(value)
+                counts.append(np.bincount(row, minlength=len(part)))
+        sizes = np.concatenate(counts) if len(counts) > 1 else np.zeros(left.num_rows, dtype=int)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        structs = pa.StructArray.from_arrays([pa.array(np.concatenate(apart)), pa.concat_arrays(lists)], names=["distance", "id"])
         return pa.table({"id": left.column("id").combine_chunks(), "near": pa.ListArray.from_arrays(offsets, structs)})
 
     return run
 
 
+def _reached(x: np.ndarray, bound: np.ndarray, pivots: np.ndarray, radius: np.ndarray, digits: int) -> np.ndarray:
+    """Which cells reach inside the bound of a row: cosine distances become distances in space."""
+    limit = np.sqrt(np.maximum(2 * (bound + 10.0**-digits), 0)) + 1e-7
+    return _apart(x, pivots) - radius <= limit[:, None]
+
+
 def nearest(left: DataFrame, right: DataFrame, k: int = 10, id_column: str = "id", vector: str = "embedding",
             skip_self: bool = False, cells: int = CELLS, stripe: int = STRIPE, digits: int = DIGITS) -> DataFrame:
     """(id, near): each left row with its k nearest right rows by cosine distance, as (distance, id), nearest first.
@@ -152,7 +229,8 @@ def nearest(left: DataFrame, right: DataFrame, k: int = 10, id_column: str = "id
     for r in placed.join(F.broadcast(table), "cell").groupBy("cell").agg(  # CELLS rows at most
             F.count(F.lit(1)).alias("n"), F.max(reach).alias("r")).collect():
         sizes[r["cell"]], radius[r["cell"]] = r["n"], r["r"]
-    stripes = np.maximum(1, -(-sizes // stripe))
+    size = int(min(stripe, max(LEAST, -(-int(sizes.sum()) // GRID))))
+    stripes = np.maximum(1, -(-sizes // size))
 
     def first(batch: pa.RecordBatch):
         """The nearest cells until they hold `wanted` rows."""
@@ -162,46 +240,59 @@ def nearest(left: DataFrame, right: DataFrame, k: int = 10, id_column: str = "id
         row, place = np.nonzero(before < wanted)
         return row, order[row, place]
 
-    def met(rows: DataFrame) -> DataFrame:
-        """Lists of the k nearest per left row, from all stripes of the cells it stands in."""
-        # the left rows of a cell are spread like its right rows: as many stripes as their own number asks for
-        numbers = {r["cell"]: r["n"] for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-        parts = F.element_at(F.array(*[F.lit(int(max(1, -(-numbers.get(c, 0) // stripe)))) for c in range(len(pivots))]), F.col("cell") + 1)
-        cuts = F.element_at(F.array(*[F.lit(int(s)) for s in stripes]), F.col("cell") + 1)
-        own = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-        ours = rows.select("id", "v", "cell", F.lit(0).alias("side"), own(parts).alias("a"), every(cuts).alias("b"))
-        theirs = placed.filter(F.col("cell").isin(list(numbers))).select(
-            "id", "v", "cell", F.lit(1).alias("side"), own(cuts).alias("b"), every(parts).alias("a"))
-        return ours.unionByName(theirs).groupBy("cell", "a", "b").applyInArrow(
-            _nearest_in_group(k, digits, skip_self), f"id {kind}, near array<struct<distance:double,id:{kind}>>")
-
-    def merge(lists: DataFrame) -> DataFrame:
-        # at most one list of k per stripe met
-        best = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k)
-        return lists.groupBy("id").agg(best.alias("near"))
+    own = lambda n, *more: F.pmod(F.xxhash64("id", *more), n).cast("int")
+    at = lambda numbers, c: F.element_at(F.array(*[F.lit(int(n)) for n in numbers]), F.col(c) + 1)
+    one_of = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    lists = f"id {kind}, near array<struct<distance:double,id:{kind}>>"
 
+    def merge(found: DataFrame) -> DataFrame:
+        # at most one list of k per block met
+        best = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k)
+        return found.groupBy("id").agg(best.alias("near"))
+
+    def met(ours: DataFrame, theirs: DataFrame, lots: int) -> DataFrame:
+        """Lists of the k nearest per left row (id, v, bound, lot) from the right rows (id, v, cell, lot) of its lots."""
+        # the left rows of a lot are cut by hash: as many parts as their own number asks for
+        numbers = {r["lot"]: r["n"] for r in ours.groupBy("lot").agg(F.count(F.lit(1)).alias("n")).collect()}
+        parts = at([max(1, -(-numbers.get(b, 0) // size)) for b in range(lots)], "lot")
+        a = ours.select("id", "v", F.lit(-1).alias("cell"), "bound", F.lit(0).alias("side"), "lot", own(parts, F.lit(1)).alias("part"))
+        b = theirs.filter(F.col("lot").isin(list(numbers))).select(
+            "id", "v", "cell", F.lit(None).cast("double").alias("bound"), F.lit(1).alias("side"), "lot", one_of(parts).alias("part"))
+        return merge(a.unionByName(b).groupBy("lot", "part").applyInArrow(_nearest_in_group(k, digits, skip_self, pivots, radius), lists))
+
+    # a bound: the k-th distance in one stripe of the row's own cell
     start = materialize(_with_cells(known, first, schema))
-    begun = materialize(merge(met(start)))
-    bounded = known.join(begun.select("id", F.when(F.size("near") >= k, F.element_at("near", -1)["distance"]).alias("bound")), "id")
+    base = np.cumsum(stripes) - stripes
+    stood = (at(base, "cell") + own(at(stripes, "cell"))).alias("lot")
+    begun = met(start.select("id", "v", F.lit(None).cast("double").alias("bound"), stood),
+                placed.select("id", "v", F.lit(-1).alias("cell"), stood), int(stripes.sum()))
+    bounded = materialize(known.join(begun.select("id", F.when(F.size("near") >= k, F.element_at("near", -1)["distance"]).alias("bound")), "id"))
+
+    # cells to blocks: small ones share a block, the stripes of a large one have a block each
+    opens = np.zeros(len(sizes), dtype=np.int64)
+    blocks, fill = 0, size
+    for c, n in enumerate(sizes):
+        if stripes[c] > 1:
+            opens[c], blocks, fill = blocks, blocks + int(stripes[c]), size
+        else:
+            if fill + n > size:
+                blocks, fill = blocks + 1, 0
+            opens[c], fill = blocks - 1, fill + n
+    inside = (np.arange(blocks) >= opens[:, None]) & (np.arange(blocks) < (opens + stripes)[:, None]) & (sizes > 0)[:, None]
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each block with a cell that reaches inside the bound; without k rows yet there is no bound."""
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(at, BLOCK)
-                apart = _apart(_matrix(part.column("v")), pivots)
-                order = apart.argsort(axis=1, kind="stable")
-                before = np.cumsum(sizes[order], axis=1) - sizes[order]
-                seen = np.zeros(apart.shape, dtype=bool)
-                np.put_along_axis(seen, order, before < wanted, axis=1)
-                # cosine distance to distance in space; without k rows yet there is no bound
+            for begin in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(begin, BLOCK)
                 bound = part.column("bound").to_numpy(zero_copy_only=False).astype(float)
-                limit = np.where(np.isnan(bound), np.inf, np.sqrt(np.maximum(2 * (bound + 10.0 ** -digits), 0)) + 1e-7)
-                row, cell = np.nonzero(~seen & (apart - radius <= limit[:, None]) & (sizes > 0))
+                reach = _reached(_matrix(part.column("v")), np.where(np.isnan(bound), np.inf, bound), pivots, radius, digits)
+                row, block = np.nonzero(reach.astype(np.float32) @ inside.astype(np.float32))
                 out = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([out.column("id"), out.column("v"), pa.array(cell.astype(np.int32))],
-                                                 names=["id", "v", "cell"])
+                yield pa.RecordBatch.from_arrays([out.column("id"), out.column("v"), out.column("bound"), pa.array(block.astype(np.int32))],
+                                                 names=["id", "v", "bound", "lot"])
 
-    more = materialize(bounded.mapInArrow(rest, schema))
-    found = merge(begun.unionByName(met(more)))
+    visits = bounded.mapInArrow(rest, f"id {kind}, v array<double>, bound double, lot int")
+    dealt = placed.select("id", "v", "cell", (at(opens, "cell") + own(at(stripes, "cell"))).alias("lot"))
+    found = met(visits, dealt, blocks)
     return a.select("id").join(found, "id", "left").withColumn("near", F.coalesce("near", F.array().cast(dict(found.dtypes)["near"])))

@@ -63,3 +63,33 @@ def test_clustered_rows_meet_a_few_cells_only(spark, monkeypatch):
     x = centres[np.arange(600) % 20] + 0.02 * rng.normal(size=(600, 16))
     nearest(frame(spark, x), frame(spark, x), 5, cells=20).count()
     assert sent[0] == 600 and sum(sent[1:]) < 3 * 600
+
+
+def test_unclustered_rows_are_sent_to_blocks(spark, monkeypatch):
+    """Without clusters a row goes once to each block, however many cells it must meet."""
+    from peakweave.operators import neighbours
+
+    sent = []
+    plain_group = neighbours._nearest_in_group
+
+    def counted(*options):
+        run, rows = plain_group(*options), spark.sparkContext.accumulator(0)
+        sent.append(rows)
+
+        def group(table):
+            rows.add(table.num_rows)
+            return run(table)
+
+        return group
+
+    monkeypatch.setattr(neighbours, "_nearest_in_group", counted)
+    x = list(np.random.default_rng(9).normal(size=(400, 24)))
+    # equal distances in different cells order by id
+    x += [np.eye(24)[i % 3] for i in (0, 1, 2, 1, 0, 2)]
+    assert got(nearest(frame(spark, x), frame(spark, x), 5, skip_self=True, stripe=120, cells=20)) == plain(x, x, 5, True)
+    blocks = -(-len(x) // 120) * 2
+    assert sum(r.value for r in sent) < len(x) * (3 + 2 * blocks)
+    # with one block, a row is sent twice as a left row and twice as a right row
+    sent.clear()
+    nearest(frame(spark, x), frame(spark, x), 5, skip_self=True, cells=20).count()
+    assert sum(r.value for r in sent) <= 4 * len(x)
