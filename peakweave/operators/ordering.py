@@ -44,7 +44,8 @@ def ordered_scan(
     computed a single time and written with a number per row; only the groups, the keys, the
     summed values and that number are sorted, and the rows find their results by the number.
     The number also comes last in the order, so that copies of one row are spread too;
-    without it rows equal in all sort keys stay in one partition.
+    without it rows equal in all sort keys stay in one partition. Where the keys are all the
+    columns there are and only places are wanted, the sorted rows are kept, and none is looked up.
     """
     sums = dict(sums or {})
     maxima = dict(maxima or {})
@@ -53,6 +54,10 @@ def ordered_scan(
     if not once:
         return _running(materialize(df.orderBy(*order)), groups, index, sums, maxima)
     stored = store(df.withColumn(_ROW, F.monotonically_increasing_id()), "ordered-rows")
+    if index and not (sums or maxima or groups) and set(df.columns) <= {k for k in order_by if isinstance(k, str)}:
+        # places are columns, so the sorted rows may be stored and read in any order
+        tagged = stored.orderBy(*order, _ROW).drop(_ROW, index).withColumns({_PID: F.spark_partition_id(), _SEQ: F.monotonically_increasing_id()})
+        return _with_offsets(store(tagged, "sorted-rows"), index)
     names = [*([index] if index else []), *sums, *maxima]
     values = {n: (F.col(c) if isinstance(c, str) else c) for n, c in {**sums, **maxima}.items()}
     narrow = stored.select("*", *[c.alias(f"__in_{n}") for n, c in values.items()]).orderBy(*order, _ROW).select(

@@ -24,8 +24,8 @@ def run(query) -> None:
 def stream_model_features(spark, sf):
     """Tokenised JSON shards streamed through the join with pooled cells into a parquet sink."""
     shards, sink = scratch_path(spark, "stream-shards"), scratch_path(spark, "stream-sink")
-    rows = sequence_dataset.tokenize(with_record_id(view(spark, sf, "raw_seq"), KEYS))
-    write_json_shards(rows.select("record_id", "sample", "peak_value", "input_ids"), shards, 8)
+    rows = with_record_id(view(spark, sf, "raw_seq"), KEYS).select("record_id", "sample", "peak_value", "seq")
+    write_json_shards(rows, shards, 8, compression="gzip", finish=lambda df: sequence_dataset.tokenize(df).drop("seq", "attention_mask"))
     stream = jobs.read_json_stream(spark, shards, "record_id long, sample string, peak_value double, input_ids array<int>", 4)
     pooled = joins.pool_cells(view(spark, sf, "cell_embedding"), 4)
     run(jobs.write_parquet_stream(jobs.attach_pooled_cells(stream, pooled, seq_max_len=40), sink, sink + "-checkpoint"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,15 +30,18 @@ def read_json_lines(spark: SparkSession, paths: str | Sequence[str], schema: T.S
 
 
 def write_json_shards(df: DataFrame, directory: str, num_shards: int = 500, index: str = "record_id",
-                      shard_mode: str = "strided", compression: str = "none", mode: str = "errorifexists") -> None:
+                      shard_mode: str = "strided", compression: str = "none", mode: str = "errorifexists",
+                      finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """JSON-lines export, one directory per split and shard of the contiguous `index`.
 
     Rows are rebalanced on (split, shard): adaptive execution joins small shards into one
-    task and lets several tasks write a large one, each its own file.
+    task and lets several tasks write a large one, each its own file. `finish` derives wide
+    columns where the rows are written, so that they are not shuffled.
     """
     sharded = with_shard(df, num_shards, index, shard_mode)
     keys = [c for c in ("split", "shard") if c in sharded.columns]
-    (sharded.hint("rebalance", *keys).write.mode(mode).option("compression", compression)
+    dealt = sharded.hint("rebalance", *keys)
+    ((finish(dealt) if finish else dealt).write.mode(mode).option("compression", compression)
      .partitionBy(*keys).json(directory))
 
 

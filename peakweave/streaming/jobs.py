@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from peakweave.functions.sequences import PAD, cropped_length, pad_left
 from peakweave.metrics.core import Metric, get
-from peakweave.session import materialize
+from peakweave.session import store
 
 
 def read_json_stream(spark: SparkSession, directory: str, schema: T.StructType | str,
@@ -53,13 +53,15 @@ def attach_pooled_cells(stream: DataFrame, pooled: DataFrame, label: str = "peak
     """Tokenised stream rows with the pooled cells of their sample (a static table).
 
     Rows of samples without cells are dropped, as in the batch join. The table is
-    written once, so the micro-batches read it instead of pooling again.
+    stored once, so the micro-batches read it instead of pooling again, and Spark knows its
+    size: a small one is broadcast, and the stream is not shuffled. Rows are padded after the join.
     """
-    rows = stream.select(
+    joined = stream.select("sample", "input_ids", F.col(label).alias("peak_value"), F.col("record_id").alias("sample_record_id")).join(
+        store(pooled, "pooled-cells"), "sample")
+    return joined.select(
         "sample", pad_left("input_ids", seq_max_len, pad_id).alias("seq_input_ids"),
-        cropped_length("input_ids", seq_max_len).alias("seq_len"),
-        F.col(label).alias("peak_value"), F.col("record_id").alias("sample_record_id"))
-    return rows.join(materialize(pooled), "sample")
+        cropped_length("input_ids", seq_max_len).alias("seq_len"), "peak_value", "sample_record_id",
+        *[c for c in pooled.columns if c != "sample"])
 
 
 def write_parquet_stream(stream: DataFrame, directory: str, checkpoint: str,

@@ -157,3 +157,17 @@ def test_rows_of_no_split_fail(spark, odd):
     df = spark.createDataFrame([("train", 1), (odd, 2)], "split string, k int")
     with pytest.raises(Exception, match="none of the splits"):
         o.with_record_id_by_split(df, ["k"]).collect()
+
+
+def test_rows_sorted_by_all_columns_are_not_looked_up(spark):
+    """The sorted rows are kept: no join of rows with their numbers; copies and nulls get places of their own."""
+    from peakweave.operators.ordering import with_record_id
+
+    rows = [(i % 3 if i % 4 else None, f"s{i % 5}") for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b string").repartition(5)
+    out = with_record_id(df, ["a", "b"])
+    assert out.columns == ["a", "b", "record_id"]
+    assert all("ordered-rows" not in f for f in out.inputFiles())
+    got = [(r.a, r.b) for r in sorted(out.collect(), key=lambda r: r.record_id)]
+    assert got == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted(r.record_id for r in out.collect()) == list(range(60))

@@ -99,3 +99,30 @@ def test_matrix_lookup_strict(spark):
     assert got["p"].log1p_norm_peak_value == np.log1p(np.float32(0.1))
     with pytest.raises(Exception, match="not in the matrix"):
         joins.matrix_lookup(seqs, matrix).collect()
+
+
+def test_stream_is_not_shuffled_to_a_small_table(spark, tmp_path):
+    """The pooled cells are stored, so their size is known and a small table is broadcast; json shards may be finished when written."""
+    from peakweave.operators import joins
+    from peakweave.plans import sequence_dataset
+    from peakweave.sources.datasets import write_json_shards
+    from peakweave.streaming import jobs
+
+    rows = spark.createDataFrame([(i, str(i % 4), float(i), "ACGTN"[: i % 5 + 1]) for i in range(20)], "record_id long, sample string, peak_value double, seq string")
+    shards = str(tmp_path / "shards")
+    write_json_shards(rows, shards, 3, compression="gzip", finish=lambda df: sequence_dataset.tokenize(df).drop("seq", "attention_mask"))
+    schema = "record_id long, sample string, peak_value double, input_ids array<int>"
+    cells = spark.createDataFrame([(c, str(c % 3), [float(c), 1.0]) for c in range(9)], "cell_id int, sample string, embedding array<double>")
+    pooled = joins.pool_cells(cells, 2)
+    batch = jobs.attach_pooled_cells(spark.read.schema(schema).option("recursiveFileLookup", "true").json(shards), pooled, seq_max_len=4)
+    assert batch.columns == ["sample", "seq_input_ids", "seq_len", "peak_value", "sample_record_id", "cell_embedding"]
+    sink = str(tmp_path / "sink")
+    stream = jobs.attach_pooled_cells(jobs.read_json_stream(spark, shards, schema), pooled, seq_max_len=4)
+    query = jobs.write_parquet_stream(stream, sink, sink + "-c")
+    query.awaitTermination()
+    found = spark.read.parquet(sink).collect()
+    assert sorted(r.sample_record_id for r in found) == [i for i in range(20) if i % 4 < 3]
+    want = {i: [] for i in range(20)}
+    assert {r.sample_record_id: (r.seq_len, len(r.seq_input_ids)) for r in found} == {i: (min(i % 5 + 1, 4), 4) for i in want if i % 4 < 3}
+    # a shuffle would have kept its state of partitions; the broadcast plan reads the stored table by name
+    assert any("pooled-cells" in f for f in batch.inputFiles())
