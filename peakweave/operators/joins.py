@@ -20,14 +20,25 @@ from peakweave.functions.sequences import variant_offset
 from peakweave.operators.checks import require
 from peakweave.operators.pooling import pool_rows
 
+#: Rows of a salted join that one task sorts.
+TASK_ROWS = 1 << 20
+
 
 def salted_join(facts: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 16,
                 spread_by: Sequence[str] | None = None) -> DataFrame:
-    """Join with every key cut into `salts` parts; the unique-keyed `table` is repeated per part."""
+    """Join with every key cut into `salts` parts; the unique-keyed `table` is repeated per part.
+
+    Both sides are sorted: the repeated table is larger than Spark takes it for, and a broadcast
+    of it would stand whole in every task. Facts of more rows than the session's shuffle partitions hold at TASK_ROWS each are dealt
+    over as many partitions as they need, so that what a task sorts does not grow with them.
+    """
     spread = spread_by or [c for c in facts.columns if c not in on]
     left = facts.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     right = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "__salt"], how).drop("__salt")
+    tasks = -(-facts.count() // TASK_ROWS)
+    if tasks > int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        left, right = (side.repartition(tasks, *on, "__salt") for side in (left, right))
+    return left.join(right.hint("merge"), [*on, "__salt"], how).drop("__salt")
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

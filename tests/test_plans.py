@@ -142,3 +142,18 @@ def test_the_newest_metrics_are_read_alone(spark, tmp_path):
     newest = jobs.newest_metrics(spark, str(tmp_path / "m"))
     assert [tuple(r) for r in newest.collect()] == [(3.0,)]
     assert all("epoch=10" in f for f in newest.inputFiles())
+
+
+def test_salted_join_deals_large_facts_over_more_tasks(spark, monkeypatch, capsys):
+    """What a task sorts is bounded by rows, not by the session's number of shuffle partitions."""
+    from peakweave.operators import joins
+
+    facts = spark.createDataFrame([(i % 7 if i % 5 else None, i) for i in range(400)], "k int, x int")
+    table = spark.createDataFrame([(k, k * 10) for k in range(7)], "k int, y int")
+    want = sorted((r.k, r.x, r.y) for r in joins.salted_join(facts, table, ["k"], salts=3).collect())
+    monkeypatch.setattr(joins, "TASK_ROWS", 20)
+    spread = joins.salted_join(facts, table, ["k"], salts=3)
+    spread.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    assert spread.rdd.getNumPartitions() == 20
+    assert sorted((r.k, r.x, r.y) for r in spread.collect()) == want and len(want) == 320
