@@ -3,7 +3,7 @@
 A row is a text, whatever its id: ids may repeat or be null. The n-grams a prediction shares
 with its references are counted inside the row, on whole batches of rows, so only the raw
 texts are dealt out and only sums per group are shuffled. Where n-grams of all texts are needed
-(NIST) those of the references are rows keyed by the n-gram. `by` names columns to score groups by.
+(NIST) `operators.gram_counts` counts them. `by` names columns to score groups by.
 """
 
 from __future__ import annotations
@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakweave.functions import text as tx
-from peakweave.functions.ngrams import reference_grams, shared_grams
+from peakweave.functions.ngrams import shared_grams
 from peakweave.functions.numeric import ratio
 from peakweave.metrics.core import Metric, register
+from peakweave.operators.gram_counts import reference_gains
 from peakweave.operators.joins import join_groups
-from peakweave.session import materialize
 
 
 # --- n-gram core -----------------------------------------------------------------------------
@@ -433,71 +433,22 @@ def wiki_split(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
 
 # --- NIST ------------------------------------------------------------------------------------
 
-def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on n-grams, sorted by a hash of the keys first: it settles nearly all comparisons of strings."""
-    first = F.xxhash64(*keys)
-    return join_groups(left.withColumn("__first", first), right.withColumn("__first", first), ["__first", *keys], how).drop("__first")
-
+def in_order(texts: DataFrame) -> DataFrame:
+    """Dealt texts sorted by hash and row: a partition has them in the same order whenever it is read."""
+    columns = [f.name for f in texts.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return texts.sortWithinPartitions("__h", *columns)
 
 
 def nist(df: DataFrame, key: str, n: int = 5, tokenizer: tx.Tokenizer = tx.tokenize_13a, by: Sequence[str] = ()) -> DataFrame:
     """Information-weighted n-gram precision with the NIST length penalty.
 
-    Information is log2(count of the n-gram's prefix / count of the n-gram) over all
-    references (of a group); both tables are keyed by n-gram, so the lookups are plain hash joins.
-    What a text with one reference gains is added up per n-gram before; a text with several
-    looks its shared n-grams up and takes, by order, the reference that gains it most.
+    Information is log2(count of the n-gram's prefix / count of the n-gram) over all references (of a group). A text
+    takes, by order, the reference that gains it most. Texts are dealt out once; n-grams travel as packed windows.
     """
-    by, orders = list(by), range(1, n + 1)
-
-    def spelled(rows, keep):
-        """Per text and order the n-grams of the references, and a row without n-gram for the sizes."""
-        tokens = rows.select(*keep, tokenizer(F.col("prediction")).alias("hyp"), F.transform("references", tokenizer).alias("refs"))
-        found = tokens.select(*keep, size_of(F.col("hyp")).alias("hyp_len"), F.transform("refs", size_of).alias("sizes"),
-                              reference_grams(F.col("hyp"), F.col("refs"), n).alias("grams"))
-        every = F.transform("sizes", lambda _, k: F.struct(k.alias("k"), F.lit(0).cast("long").alias("n")))
-        words = F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)
-        sizes = F.array(*[F.struct(F.lit(i).alias("order"), F.lit(None).cast("string").alias("gram"), words.alias("n"), every.alias("hits"))
-                          for i in orders])
-        return found.select(*keep, "hyp_len", "sizes", F.inline(F.concat(sizes, F.col("grams"))))
-
-    den = F.greatest(F.col("hyp_len") - (F.col("order") - 1), F.lit(0))
-    single = lambda c: F.sum(F.when(F.size("sizes") == 1, c))
-    about = lambda c: single(F.when(F.col("gram").isNull(), c))
-    corpus = materialize(spelled(dealt(sided(df, by)), by).groupBy(*by, "order", "gram").agg(
-        F.sum("n").alias("count"), single(F.get("hits", F.lit(0))["n"]).alias("hits"),
-        about(den).alias("den"), about(F.col("hyp_len")).alias("h"), about(F.get("sizes", F.lit(0))).alias("r")))
-    grams = corpus.filter("gram is not null").select(*by, "order", "gram", "count", "hits")
-    # a single word's prefix stands for all words
-    prefix = F.expr("substring(gram, 1, length(gram) - length(substring_index(gram, ' ', -1)) - 1)")
-    words = corpus.filter("gram is null AND order = 1").select(*by, F.col("count").alias("before"))
-    shorter = grams.select(*by, (F.col("order") + 1).alias("order"), F.col("gram").alias("__prefix"), F.col("count").alias("before"))
-    columns = [*by, "order", "gram", "hits", F.log2(F.col("before") / F.col("count")).alias("info")]
-    info = join_groups(grams.filter("order = 1"), words, by).select(*columns).unionByName(
-        _meet(grams.filter("order > 1").withColumn("__prefix", prefix), shorter, [*by, "order", "__prefix"]).select(*columns))
-    info = materialize(info)
-    zero = F.lit(0.0)
-    # texts with one reference: sizes by order, and what their n-grams gain
-    alone = corpus.filter("den is not null").select(*by, "order", zero.alias("gain"), F.col("den").cast("double").alias("den"), "h", "r")
-    gains = info.filter("hits > 0").groupBy(*by, "order").agg(F.sum(F.col("info") * F.col("hits")).alias("gain")).select(
-        *by, "order", "gain", zero.alias("den"), F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("r"))
-    # the others meet what each n-gram gains; their rows of sizes meet nothing, each under a key of its own
-    several = spelled(spread_texts(sided(df, by)).filter("size(references) > 1"), [*by, *TEXT]).filter("size(hits) > 0").withColumns({
-        "sizes": F.when(F.col("gram").isNull(), F.col("sizes")),
-        "__order": F.when(F.col("gram").isNull(), -F.col("order")).otherwise(F.col("order")),
-        "__gram": F.coalesce("gram", F.col("__h").cast("string"))})
-    known = info.select(*by, F.col("order").alias("__order"), F.col("gram").alias("__gram"), "info")
-    hits = _meet(several, known, [*by, "__order", "__gram"], "left").select(
-        *by, *TEXT, "order", F.when(F.col("gram").isNull(), F.col("hyp_len")).alias("hyp_len"),
-        "sizes", F.coalesce("info", zero).alias("info"), F.inline("hits"))
-    per_ref = hits.groupBy(*by, *TEXT, "order", "k").agg(
-        F.max("hyp_len").alias("hyp_len"), F.max(F.get("sizes", F.col("k"))).alias("ref_len"), F.sum(F.col("info") * F.col("n")).alias("gain"))
-    best = per_ref.withColumn("den", den).groupBy(*by, *TEXT, "order").agg(F.max_by(
-        F.struct("gain", "den", "hyp_len", "ref_len"),
-        F.struct(ratio(F.col("gain"), F.col("den")), "gain", "den", "ref_len")).alias("b"))
-    chosen = best.groupBy(*by, "order").agg(F.sum("b.gain").alias("gain"), F.sum("b.den").cast("double").alias("den"),
-                                            F.sum("b.hyp_len").alias("h"), F.sum("b.ref_len").alias("r"))
-    total = alone.unionByName(gains).unionByName(chosen).groupBy(*by, "order").agg(*[F.sum(c).alias(c) for c in ("gain", "den", "h", "r")])
+    by = list(by)
+    tokens = in_order(dealt(sided(df, by))).select(
+        *by, tokenizer(F.col("prediction")).alias("hyp"), F.transform("references", tokenizer).alias("refs"))
+    total = reference_gains(tokens, by, n)
     log_ratio = F.log(F.sum("h") / F.sum("r"))
     beta = F.log(F.lit(0.5)) / F.pow(F.log(F.lit(1.5)), F.lit(2))
     penalty = F.when(log_ratio < 0, F.exp(beta * log_ratio * log_ratio)).otherwise(1.0)
